@@ -1,0 +1 @@
+"""Every input is a closed daily delivery, so there are no streaming operators."""
