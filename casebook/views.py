@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -144,6 +145,10 @@ FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1, 2""",
 _NEEDS = re.compile(r"\b(?:FROM|JOIN)\s+(\w+)", re.IGNORECASE)
 
 
+# Table layouts by path, so that each is read from the files once.
+_LAYOUTS: dict[str, StructType] = {}
+
+
 class Views:
     """Given tables and views as frames; each is opened when first used."""
 
@@ -157,7 +162,10 @@ class Views:
         return self._frames[name]
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _LAYOUTS:
+            _LAYOUTS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_LAYOUTS[path]).parquet(path)
 
     def sql(self, text: str) -> DataFrame:
         for name in set(_NEEDS.findall(text)):

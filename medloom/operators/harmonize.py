@@ -90,7 +90,7 @@ def harmonize(
 
     recoded = F.col("_concept").isNotNull()
     backfilled = at(SOURCE_BACKFILL)
-    own_domain = F.when(backfilled, F.col("_s_domain")).otherwise(F.col("_t_domain"))
+    own_domain = F.when(backfilled, F.col("_s_domain")).when(F.col("_t_known"), F.col("_t_domain"))
     domain = F.when(recoded, F.col("_new_domain")).otherwise(F.coalesce(own_domain, F.lit("Unknown")))
     code = F.when(recoded, F.col("_new")).when(backfilled, F.col("_source")).otherwise(F.col("_target"))
     value = F.when(at(SOURCE_TARGET), F.col("_s_value")).when(recoded_from_target, F.col("_t_value"))
@@ -112,12 +112,15 @@ def harmonize(
 
 
 def _with_profiles(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Attach what the vocabulary knows of the source and the target concept."""
-    profiles = vocabulary.profiles()
+    """Attach what the vocabulary knows of the source and the target concept.
+
+    Both joins take the same columns, so that Spark builds the lookup once.
+    """
+    profiles = vocabulary.profiles().withColumn("known", F.lit(True))
 
     def named(prefix: str, key: str) -> DataFrame:
         renamed = [F.col(c).alias(f"_{prefix}_{c.replace('_target', '')}") for c in profiles.columns[1:]]
-        return profiles.select(F.col("concept_id").alias(key), F.lit(True).alias(f"_{prefix}_known"), *renamed)
+        return profiles.select(F.col("concept_id").alias(key), *renamed)
 
     rows = lookup_join(rows, named("s", "_source"), "_source", bound=vocabulary.concept)
     return lookup_join(rows, named("t", "_target"), "_target", bound=vocabulary.concept)

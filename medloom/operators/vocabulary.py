@@ -15,18 +15,22 @@ REPLACEMENT_RELATIONSHIPS = ["Concept replaced by"]
 
 def mapping_rows(relationship: DataFrame) -> DataFrame:
     """The relationships that re-code a concept."""
-    return relationship.filter(F.col("relationship_id").isin(MAPPING_RELATIONSHIPS + REPLACEMENT_RELATIONSHIPS))
+    kept = F.col("relationship_id").isin(MAPPING_RELATIONSHIPS + REPLACEMENT_RELATIONSHIPS)
+    return relationship.filter(kept).select(
+        F.col("concept_id_1").alias("concept_id"), "relationship_id", F.col("concept_id_2").alias("target_concept_id")
+    )
 
 
 def concept_lookup(concept: DataFrame, relationship: DataFrame) -> DataFrame:
     """Each concept with its mappings and replacements, one row per target."""
+    return _resolve(concept, mapping_rows(relationship))
+
+
+def _resolve(concept: DataFrame, mapped: DataFrame) -> DataFrame:
     own = concept.select(
         "concept_id", F.col("standard_concept").alias("concept_id_standard"),
         F.col("domain_id").alias("concept_id_domain"),
     )
-    mapped = mapping_rows(relationship).select(
-        F.col("concept_id_1").alias("concept_id"), "relationship_id", F.col("concept_id_2").alias("target_concept_id"),
-    )
     target = concept.select(
         F.col("concept_id").alias("target_concept_id"),
         F.col("standard_concept").alias("target_concept_id_standard"),
@@ -49,7 +53,8 @@ class Vocabulary:
 
     @staticmethod
     def build(concept: DataFrame, relationship: DataFrame) -> Vocabulary:
-        return Vocabulary(concept_lookup(concept, relationship), concept, mapping_rows(relationship))
+        mapped = mapping_rows(relationship)
+        return Vocabulary(_resolve(concept, mapped), concept, mapped)
 
     @staticmethod
     def stored(lookup: DataFrame) -> Vocabulary:
@@ -72,8 +77,7 @@ class Vocabulary:
         value = F.when(
             (F.col("target_concept_id_domain") == "Meas Value") | (F.col("relationship_id") == "Maps to value"), target
         )
-        return self.lookup.groupBy("concept_id").agg(
-            F.max("concept_id_domain").alias("domain"),
+        return self.lookup.groupBy("concept_id", F.col("concept_id_domain").alias("domain")).agg(
             F.min(mapped).alias("map_low"), F.max(mapped).alias("map_high"),
             F.min(replaced).alias("replace_low"), F.max(replaced).alias("replace_high"),
             F.max(value).alias("value_target"),

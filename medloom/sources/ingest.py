@@ -53,35 +53,37 @@ def csv_header(spark: SparkSession, path: str, separator: str = ",", encoding: s
 
 def read_csv(
     spark: SparkSession, path: str, separator: str = ",", encoding: str = "UTF-8", strict: bool = False,
-    multi_line: bool | None = None,
+    multi_line: bool | None = None, names: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """A delivered CSV table as text, and the lines that are not records.
 
-    Plain and gzip files, or folders of them. Short lines are filled with
-    NULL. A line with too many values or an open quote is rejected; with
+    Plain and gzip files, or folders of them, with a header unless ``names``
+    are given. Short lines are filled with NULL. A line with too many values,
+    or with a quote left open before its last value, is rejected; with
     ``strict`` it fails the job instead. Files without line breaks inside
     quotes are split over tasks; unless told, the reader looks first.
     """
-    header = csv_header(spark, path, separator, encoding)
+    header = names or csv_header(spark, path, separator, encoding)
     if multi_line is None:
         multi_line = has_quoted_newlines(spark, path, encoding)
     layout = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
     options = {
-        "header": True, "sep": separator, "encoding": encoding, "escape": '"', "multiLine": multi_line,
+        "header": names is None, "sep": separator, "encoding": encoding, "escape": '"', "multiLine": multi_line,
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": False,
-        "enforceSchema": True,
     }
     rows = spark.read.schema(layout).options(**options).csv(path)
+    values = [F.col(f"`{c}`") for c in header]
     reason = rejection(F.col(_CORRUPT), len(header), separator)
+    # Spark reads no file for its faulty lines alone; this makes it read the values too.
+    rejects = rows.filter(reason.isNotNull() & (F.length(F.concat_ws("", *values)) >= 0)).select(
+        F.col(_CORRUPT).alias("line"), reason.alias("reason")
+    )
     if strict:
-        rows = rows.withColumn(
-            header[0], F.when(reason.isNotNull(), F.raise_error(reason)).otherwise(F.col(f"`{header[0]}`"))
-        )
-        good = rows
+        checked = F.when(reason.isNotNull(), F.raise_error(reason)).otherwise(values[0])
+        good = rows.select(checked.alias(header[0]), *values[1:])
     else:
-        good = rows.filter(reason.isNull())
-    rejects = rows.filter(reason.isNotNull()).select(F.col(_CORRUPT).alias("line"), reason.alias("reason"))
-    return null_words(clean_names(good.select(*[F.col(f"`{c}`") for c in header]))), rejects
+        good = rows.filter(reason.isNull()).select(*values)
+    return null_words(clean_names(good)), rejects
 
 
 def rejection(line: Column, width: int, separator: str = ",") -> Column:
