@@ -68,7 +68,8 @@ FROM lineitem WHERE l_partkey % 23 <> 0 AND (l_partkey % 19 = 0 OR l_partkey % 1
 
 
 def _drugs(v: Views):
-    return normalize(ingest.null_words(v["f_raw_drug"]), "drug_exposure", date_format="%m/%d/%Y")
+    text = Views(v.spark, v.sf_dir, spread=True)["f_raw_drug"]
+    return normalize(ingest.null_words(text), "drug_exposure", date_format="%m/%d/%Y")
 
 
 _TYPED = ("typed", """

@@ -11,6 +11,7 @@ from medloom.operators import dedupe, harmonize as h
 from medloom.operators.normalize import conform
 from medloom.operators.routing import route
 from medloom.operators.vocabulary import Vocabulary, concept_lookup
+from medloom.sources.storage import scratch_path
 
 QUERIES, CHECKS = {}, {}
 
@@ -33,8 +34,20 @@ FINDING_CHAIN = chain("f_finding", FINDING, "condition_occurrence_id", "conditio
                       "condition_source_concept_id", "condition_occurrence")
 
 
+# Lookups are built once per vocabulary and session, as for a delivery.
+_STORED: dict[tuple[str, str, str], Vocabulary] = {}
+
+
+def stored(v: Views, name: str, concept: DataFrame) -> Vocabulary:
+    place = (v.spark.sparkContext.applicationId, v.sf_dir, name)
+    if place not in _STORED:
+        built = Vocabulary.build(concept, v["f_concept_relationship"])
+        _STORED[place] = built.store(scratch_path(v.spark, "vocabulary"))
+    return _STORED[place]
+
+
 def vocabulary(v: Views) -> Vocabulary:
-    return Vocabulary.build(v["f_concept"], v["f_concept_relationship"])
+    return stored(v, "concepts", v["f_concept"])
 
 
 def harmonized_drugs(v: Views, steps: list[str] | None = None) -> DataFrame:
@@ -169,7 +182,7 @@ _VISIT_VOCABULARY = "CASE WHEN p_partkey % 10 IN (1, 2) THEN 'Visit' ELSE 'Condi
 def _visit_vocabulary(v: Views) -> Vocabulary:
     concept = v.sql(f"SELECT p_partkey AS concept_id, {_VISIT_VOCABULARY} AS domain_id,"
                     " CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE 'S' END AS standard_concept FROM part")
-    return Vocabulary.build(concept, v["f_concept_relationship"])
+    return stored(v, "visits", concept)
 
 
 QUERIES["route_c_to_v"] = lambda v: route(

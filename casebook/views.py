@@ -152,8 +152,8 @@ _LAYOUTS: dict[str, StructType] = {}
 class Views:
     """Given tables and views as frames; each is opened when first used."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = False):
+        self.spark, self.sf_dir, self._spread = spark, sf_dir, spread
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -165,7 +165,12 @@ class Views:
         path = f"{self.sf_dir}/{name}.parquet"
         if path not in _LAYOUTS:
             _LAYOUTS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_LAYOUTS[path]).parquet(path)
+        df = self.spark.read.schema(_LAYOUTS[path]).parquet(path)
+        # One file may be one row group, which one task reads however the file
+        # is split. Costly row work spreads such a table first; a table of many
+        # files, or one too small to split, stays as it is.
+        slots = self.spark.sparkContext.defaultParallelism
+        return df.repartition(slots) if self._spread and 1 < df.rdd.getNumPartitions() < slots else df
 
     def sql(self, text: str) -> DataFrame:
         for name in set(_NEEDS.findall(text)):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from medloom.functions.keys import content_key, row_digest
 from medloom.operators.joins import lookup_join
 from medloom.operators.ranking import number_rows
+from medloom.sources.storage import materialize
 
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 1_000_000
@@ -29,7 +30,8 @@ def repair_keys(df: DataFrame, key: str) -> DataFrame:
     different rows of one key are numbered bucket by bucket.
     """
     others = [c for c in df.columns if c != key]
-    tagged = lookup_join(df, repeated_keys(df, key).withColumn("_repeats", F.lit(True)).drop("row_count"), key)
+    keys = materialize(repeated_keys(df, key).select(key), "repeated-keys")
+    tagged = lookup_join(df, keys.withColumn("_repeats", F.lit(True)), key, bound=keys)
     unique = tagged.filter(F.col("_repeats").isNull()).select(*df.columns)
     repeated = tagged.filter(F.col("_repeats").isNotNull()).select(*df.columns)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from medloom import schema
 from medloom.operators.joins import lookup_join
 from medloom.operators.vocabulary import Vocabulary
+from medloom.sources.storage import materialize
 
 SOURCE_TARGET = "source_target"
 TARGET_REMAP = "target_remap"
@@ -80,7 +81,7 @@ def harmonize(
         "_concept": F.when(at(SOURCE_TARGET), F.col("_source")).when(recoded_from_target, F.col("_target")),
         "_kind": F.when(at(TARGET_REPLACEMENT), "replace").otherwise("map"),
     })
-    targets = vocabulary.targets().select(
+    targets = vocabulary.targets.select(
         F.col("concept_id").alias("_concept"), F.col("kind").alias("_kind"), F.col("target_concept_id").alias("_new"),
         F.col("target_domain").alias("_new_domain"), F.col("relationship_id").alias("_relation"),
     )
@@ -116,7 +117,7 @@ def _with_profiles(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     Both joins take the same columns, so that Spark builds the lookup once.
     """
-    profiles = vocabulary.profiles().withColumn("known", F.lit(True))
+    profiles = vocabulary.profiles.withColumn("known", F.lit(True))
 
     def named(prefix: str, key: str) -> DataFrame:
         renamed = [F.col(c).alias(f"_{prefix}_{c.replace('_target', '')}") for c in profiles.columns[1:]]
@@ -151,8 +152,9 @@ def _settle_by_key(rows: DataFrame, key: str, steps: list[str]) -> DataFrame:
     shared = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_step").alias("_first"),
         F.max("_s_value").alias("_key_s_value"), F.max("_t_value").alias("_key_t_value"),
-    ).filter("_rows > 1")
-    joined = lookup_join(rows, shared, key)
+    ).filter("_rows > 1").drop("_rows")
+    # Written, as it is both counted and joined.
+    joined = lookup_join(rows, materialize(shared, "shared-keys"), key)
     is_shared = F.col("_first").isNotNull()
     applies = F.array(*[F.col(f"_is_{s}") for s in steps])[F.col("_first")]
     return joined.withColumns({

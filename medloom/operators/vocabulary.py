@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medloom.operators.joins import lookup_join
@@ -45,43 +45,60 @@ def _resolve(concept: DataFrame, mapped: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A concept lookup, with frames that bound its concepts and its targets."""
+    """What harmonization looks up.
+
+    ``concept`` and ``mapping`` bound the rows of what is looked up and are
+    cheap to count.
+    """
 
     lookup: DataFrame
+    profiles: DataFrame
+    targets: DataFrame
     concept: DataFrame
     mapping: DataFrame
 
     @staticmethod
     def build(concept: DataFrame, relationship: DataFrame) -> Vocabulary:
         mapped = mapping_rows(relationship)
-        return Vocabulary(_resolve(concept, mapped), concept, mapped)
+        lookup = _resolve(concept, mapped)
+        return Vocabulary(lookup, profiles(lookup), targets(lookup), concept, mapped)
+
+    def store(self, path: str) -> Vocabulary:
+        """Write the lookups once per vocabulary version and read them back."""
+        self.lookup.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/lookup")
+        lookup = self.lookup.sparkSession.read.schema(self.lookup.schema).parquet(f"{path}/lookup")
+        profiles(lookup).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/profiles")
+        targets(lookup).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/targets")
+        return Vocabulary.stored(lookup.sparkSession, path)
 
     @staticmethod
-    def stored(lookup: DataFrame) -> Vocabulary:
-        """From a lookup written earlier."""
-        return Vocabulary(lookup, lookup.select("concept_id").distinct(), lookup)
-
-    def targets(self) -> DataFrame:
-        """Targets a row can be re-coded to: (concept, kind, target, domain, relationship)."""
-        kind = F.when(F.col("relationship_id").isin(REPLACEMENT_RELATIONSHIPS), "replace").otherwise("map")
-        return self.lookup.filter(_recodes()).select(
-            "concept_id", kind.alias("kind"), "target_concept_id",
-            F.col("target_concept_id_domain").alias("target_domain"), "relationship_id",
-        )
-
-    def profiles(self) -> DataFrame:
-        """One row per concept: its domain, the range of its targets, its value target."""
-        target = F.col("target_concept_id")
-        mapped = F.when(_recodes() & F.col("relationship_id").isin(MAPPING_RELATIONSHIPS), target)
-        replaced = F.when(_recodes() & F.col("relationship_id").isin(REPLACEMENT_RELATIONSHIPS), target)
-        value = F.when(
-            (F.col("target_concept_id_domain") == "Meas Value") | (F.col("relationship_id") == "Maps to value"), target
-        )
-        return self.lookup.groupBy("concept_id", F.col("concept_id_domain").alias("domain")).agg(
-            F.min(mapped).alias("map_low"), F.max(mapped).alias("map_high"),
-            F.min(replaced).alias("replace_low"), F.max(replaced).alias("replace_high"),
-            F.max(value).alias("value_target"),
-        )
+    def stored(spark: SparkSession, path: str) -> Vocabulary:
+        lookup, profile, target = (spark.read.parquet(f"{path}/{n}") for n in ("lookup", "profiles", "targets"))
+        return Vocabulary(lookup, profile, target, profile, target)
+
+
+def targets(lookup: DataFrame) -> DataFrame:
+    """Targets a row can be re-coded to: (concept, kind, target, domain, relationship)."""
+    kind = F.when(F.col("relationship_id").isin(REPLACEMENT_RELATIONSHIPS), "replace").otherwise("map")
+    return lookup.filter(_recodes()).select(
+        "concept_id", kind.alias("kind"), "target_concept_id",
+        F.col("target_concept_id_domain").alias("target_domain"), "relationship_id",
+    )
+
+
+def profiles(lookup: DataFrame) -> DataFrame:
+    """One row per concept: its domain, the range of its targets, its value target."""
+    target = F.col("target_concept_id")
+    mapped = F.when(_recodes() & F.col("relationship_id").isin(MAPPING_RELATIONSHIPS), target)
+    replaced = F.when(_recodes() & F.col("relationship_id").isin(REPLACEMENT_RELATIONSHIPS), target)
+    value = F.when(
+        (F.col("target_concept_id_domain") == "Meas Value") | (F.col("relationship_id") == "Maps to value"), target
+    )
+    return lookup.groupBy("concept_id", F.col("concept_id_domain").alias("domain")).agg(
+        F.min(mapped).alias("map_low"), F.max(mapped).alias("map_high"),
+        F.min(replaced).alias("replace_low"), F.max(replaced).alias("replace_high"),
+        F.max(value).alias("value_target"),
+    )
 
 
 def _recodes() -> Column:

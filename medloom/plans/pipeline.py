@@ -55,9 +55,7 @@ def process(
     """
     as_of = as_of or site.delivery_date
     run_at = run_at or dt.datetime.combine(site.delivery_date, dt.time())
-    lookup = publish.write_parquet(
-        Vocabulary.build(vocabulary["concept"], vocabulary["concept_relationship"]).lookup, f"{root}/vocabulary_lookup")
-    codes = Vocabulary.stored(lookup)
+    codes = Vocabulary.build(vocabulary["concept"], vocabulary["concept_relationship"]).store(f"{root}/vocabulary")
 
     metrics = [validate(spark, delivered, site.version)]
     tables, invalid = {}, {}
