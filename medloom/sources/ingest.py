@@ -74,10 +74,9 @@ def read_csv(
     rows = spark.read.schema(layout).options(**options).csv(path)
     values = [F.col(f"`{c}`") for c in header]
     reason = rejection(F.col(_CORRUPT), len(header), separator)
-    # Spark reads no file for its faulty lines alone; this makes it read the values too.
-    rejects = rows.filter(reason.isNotNull() & (F.length(F.concat_ws("", *values)) >= 0)).select(
-        F.col(_CORRUPT).alias("line"), reason.alias("reason")
-    )
+    # Spark reads no file for its faulty lines alone, so ask for the values too.
+    rows = rows.filter(F.length(F.concat_ws("", *values)) >= 0)
+    rejects = rows.filter(reason.isNotNull()).select(F.col(_CORRUPT).alias("line"), reason.alias("reason"))
     if strict:
         checked = F.when(reason.isNotNull(), F.raise_error(reason)).otherwise(values[0])
         good = rows.select(checked.alias(header[0]), *values[1:])

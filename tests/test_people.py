@@ -1,0 +1,80 @@
+import pytest
+from pyspark.sql import functions as F
+
+from medloom.operators import participants as p
+
+REGISTRY = ("connect_id string, verified_status string, verified_status_concept_id string, consent_withdrawn string,"
+            " consent_withdrawn_concept_id string, hipaa_revoked string, hipaa_revoked_concept_id string,"
+            " data_destruction_requested string, data_destruction_requested_concept_id string")
+OK, NO, YES = "197316935", "104430631", "353358909"
+
+
+def entry(i, verified=OK, consent=NO, hipaa=NO, destruction=NO, label="Verified"):
+    return (i, label, verified, "No" if consent == NO else "Yes", consent, " ", hipaa, "No", destruction)
+
+
+@pytest.fixture
+def registry(spark):
+    return spark.createDataFrame([
+        entry("1"), entry("2", verified="875007964", label="Not Yet Verified"), entry("3", consent=YES),
+        entry("4", hipaa=YES), entry("5", destruction=YES), entry("6", verified=None, label=None), entry("x7"),
+        entry("8"), entry("9"), entry("9", consent=YES),
+    ], REGISTRY)
+
+
+@pytest.fixture
+def rows(spark):
+    ids = ["1", "1", "2", "3", "4", "5", "6", "7", "-1", "abc", None, "9"]
+    return spark.createDataFrame([(i,) for i in ids], "person_id string")
+
+
+def test_filter_and_counts_agree(spark, registry, rows):
+    kept = p.eligible_rows(rows, registry)
+    # An absent verification status does not exclude.
+    assert sorted(r.person_id for r in kept.collect()) == ["1", "1", "6"]
+    counts = p.removal_counts(rows, registry).first()
+    assert tuple(counts) == (3, 1, 5)
+    assert sum(counts) + kept.count() == rows.count()
+    assert p.eligible_rows(spark.range(3), registry).count() == 3
+    assert tuple(p.removal_counts(rows.limit(0), registry).first()) == (0, 0, 0)
+
+
+def test_undelivered_needs_a_status(registry, spark):
+    person = spark.createDataFrame([(1,)], "person_id bigint")
+    assert sorted(r.connect_id for r in p.undelivered_ids(registry, person).collect()) == [8, 9]
+    row = p.undelivered_report(registry, person).first()
+    assert (row.part, row.patient_count, row.patient_ids) == (0, 2, "8|9")
+
+
+def test_unmatched(registry, rows, spark):
+    invalid = spark.createDataFrame([("abc", "q"), ("abc", " "), ("7", "z"), (None, "17")], "person_id string, connect_id string")
+    assert {r.unmatched_id for r in p.unmatched_ids(rows, registry).collect()} == {"7"}
+    row = p.unmatched_report(rows, registry, invalid).first()
+    assert (row.patient_count, row.patient_ids) == (3, "7|q|z")
+    row = p.unmatched_report(rows, registry, invalid.select("person_id")).first()
+    assert row.patient_ids == "7|abc"
+    row = p.unmatched_report(rows.filter("person_id = '1'"), registry).first()
+    assert (row.part, row.patient_count, row.patient_ids) == (0, 0, "")
+
+
+def test_breakdown_lists_ids_of_excluding_statuses(registry, spark):
+    person = spark.range(0, 10).select(F.col("id").alias("person_id"))
+    found = {(r.status_kind, r.status_value): (r.patient_count, r.patient_ids)
+             for r in p.status_breakdown(registry, person).collect()}
+    assert found[("verified_status", "Not Yet Verified")] == (1, "2")
+    assert found[("verified_status", "UNKNOWN")] == (1, "")
+    assert found[("verified_status", "Verified")][1] == ""
+    assert found[("consent_withdrawn", "Yes")] == (2, "3|9")
+    rows = p.status_breakdown(registry, person, list_rows=1).filter(
+        "status_kind = 'consent_withdrawn' AND status_value = 'Yes'").orderBy("part").collect()
+    assert [(r.part, r.patient_ids) for r in rows] == [(0, "3"), (1, "9")]
+
+
+def test_decode(spark):
+    columns = ["connect_id", *p.STATUS_VARIABLES.values(), *p.COMPLETION_VARIABLES.values(), *p.MOMENT_VARIABLES.values()]
+    base = {c: None for c in columns}
+    rows = [{**base, "connect_id": "1", "d_821247024": OK, "d_949302066": "231311385"}] * 2 + [base]
+    df = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], ", ".join(f"{c} string" for c in columns))
+    out = p.decode_status(df).collect()
+    assert len(out) == 1 and out[0].verified_status == "Verified" and out[0].module1_status == "Submitted"
+    assert out[0].consent_withdrawn == "UNKNOWN"
