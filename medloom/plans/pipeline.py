@@ -15,11 +15,12 @@ from medloom.operators import participants
 from medloom.operators.dedupe import repair_keys
 from medloom.operators.normalize import globalize_keys, normalize
 from medloom.operators.routing import route_all
-from medloom.operators.upgrade import upgrade
+from medloom.operators.upgrade import populate_source, upgrade
 from medloom.operators.validate import validate
 from medloom.operators.vocabulary import Vocabulary
 from medloom.plans import report
 from medloom.plans.derive import derive
+from medloom.plans.tasks import run_task
 from medloom.sources import publish
 
 
@@ -35,6 +36,11 @@ class Site:
     steps: list[str] = field(default_factory=lambda: list(h.DEFAULT_STEPS))
     # Also fill zero concepts of further pairs; off unless asked for.
     fill_secondary: bool = False
+    # Descriptions for cdm_source, should the site send none.
+    facts: dict[str, str] = field(default_factory=dict)
+    vocabulary_version: str = ""
+    # Clean-up tasks in order: name -> {table: SELECT ...}.
+    tasks: dict[str, dict[str, str | None]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -65,6 +71,9 @@ def process(
         tables[table], invalid[table], counted = _normalized(df, table, site, root)
         metrics.append(report.normalization(counted, table))
     upgraded = {t: upgrade(df, t, site.version, "5.4") for t, df in tables.items()}
+    upgraded["cdm_source"] = populate_source(
+        upgraded.get("cdm_source"), spark, site.facts, site.delivery_date, "5.4", site.vocabulary_version,
+        site.date_format)
     tables = {t: globalize_keys(df, t, site.name) for t, df in upgraded.items() if df is not None}
     if registry is not None:
         metrics.append(report.registry(tables, registry, invalid))
@@ -77,12 +86,16 @@ def process(
     for table in [t for t in schema.HARMONIZED_TABLES if t in tables]:
         harmonized[table], counted = _harmonized(tables[table], table, site, codes, root)
         metrics += counted
-    if harmonized:
-        for table, df in route_all(harmonized, site.name).items():
-            keyed = repair_keys(df, schema.primary_key(table)) if table in schema.SURROGATE_KEY_TABLES else df
-            tables[table] = publish.write_parquet(keyed, f"{root}/{publish.ROUTED}/{table}")
+        # What stays in the table comes back with the routed rows.
+        del tables[table]
+    for table, df in route_all(harmonized, site.name).items():
+        keyed = repair_keys(df, schema.primary_key(table)) if table in schema.SURROGATE_KEY_TABLES else df
+        tables[table] = publish.write_parquet(keyed, f"{root}/{publish.ROUTED}/{table}")
     for table in [t for t in tables if t not in schema.HARMONIZED_TABLES]:
         tables[table] = publish.write_parquet(tables[table], f"{root}/{publish.CONVERTED}_final/{table}")
+    for name, statements in site.tasks.items():
+        tables, counted = _cleaned(tables, name, statements, root)
+        metrics.append(counted)
     for name in schema.DERIVED_TABLES:
         derived = derive(name, tables, vocabulary, as_of, site.name)
         if derived is not None:
@@ -108,6 +121,18 @@ def _normalized(df: DataFrame, table: str, site: Site, root: str) -> tuple[DataF
     return back.valid, back.invalid, back.row_counts()
 
 
+def _cleaned(
+    tables: dict[str, DataFrame], name: str, statements: dict[str, str | None], root: str,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Tables after a task; those it wrote are written to a place of their own."""
+    result = run_task(name, tables, statements)
+    written = {
+        t: publish.write_parquet(df, f"{root}/{publish.CLEANED}/{name}/{t}") if t in statements else df
+        for t, df in result.tables.items()
+    }
+    return written, result.metrics()
+
+
 def _harmonized(
     df: DataFrame, table: str, site: Site, codes: Vocabulary, root: str,
 ) -> tuple[DataFrame, list[DataFrame]]:

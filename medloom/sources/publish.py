@@ -5,11 +5,13 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from medloom import schema
+from medloom.operators.merge import PROVENANCE
 from medloom.operators.normalize import conform
+from medloom.operators.participants import decode_status
 
 logger = logging.getLogger(__name__)
 
@@ -22,6 +24,7 @@ INVALID = "artifacts/invalid_rows"
 REPORT = "artifacts/delivery_report"
 REGISTRY = "artifacts/registry"
 CHUNKS = "artifacts/merge_chunks"
+CLEANED = "artifacts/post_processing"
 
 
 def folder_of(table: str) -> str:
@@ -58,6 +61,27 @@ def write_lines(lines: DataFrame, order: list[str], path: str) -> None:
     lines.repartition(1).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
 
+def export_registry(participants: DataFrame, root: str, site: Column | None = None) -> DataFrame:
+    """Write the decoded participant registry of a delivery."""
+    return write_parquet(decode_status(participants, site), f"{root}/{REGISTRY}")
+
+
+def write_chunk(chunk: DataFrame, root: str, table: str) -> None:
+    """Stage one site's chunk; chunks of a table lie side by side by provenance."""
+    writer = chunk.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PROVENANCE).parquet(f"{root}/{CHUNKS}/{table}")
+
+
+def read_chunks(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All chunks of a table; a column some lack is NULL there."""
+    path = f"{root}/{CHUNKS}/{table}"
+    merged = spark.read.option("mergeSchema", True).parquet(path).schema
+    # Site names are text even where they look like numbers.
+    kinds = {"site": T.StringType(), "delivery_date": T.DateType()}
+    layout = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in merged])
+    return spark.read.schema(layout).parquet(path)
+
+
 def publish(df: DataFrame | None, table: str, layout: T.StructType | None = None, path: str | None = None) -> bool:
     """Replace a catalog table by a frame; False if there is none."""
     if df is None:

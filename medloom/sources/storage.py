@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of local sessions that name none.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach: ``spark.checkpoint.dir``.
 
@@ -18,9 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="medloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="medloom-")
+    return _LOCAL[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,7 +7,7 @@ from medloom import schema
 from medloom.operators import harmonize as h
 from medloom.operators import merge, metrics as m, runlog
 from medloom.operators.vocabulary import Vocabulary
-from medloom.plans import pipeline, report, tasks
+from medloom.plans import merging, pipeline, report, tasks
 
 RUN = dt.datetime(2024, 5, 6, 7, 8, 9)
 DAY = dt.date(2024, 5, 6)
@@ -169,6 +169,28 @@ def test_merge(spark):
     assert merge.merged_source(sources.limit(0), facts, 2, "5.4", "v5", DAY).first().source_release_date == DAY
 
 
+def test_merged_instance(spark, tmp_path):
+    def person(*ids):
+        return spark.createDataFrame([(i, None) for i in ids], "person_id bigint, care_site_id bigint")
+
+    source = spark.createDataFrame([(dt.date(2024, 2, 3),)], "source_release_date date")
+    deliveries = [
+        merging.Source("a", "Site A", DAY, {"person": person(1, 2), "cdm_source": source}),
+        merging.Source("007", "Site B", DAY, {"person": person(3).withColumn("extra", F.lit("x"))}),
+    ]
+    done = merging.merge_deliveries(
+        spark, deliveries, str(tmp_path / "m"), DAY, {"cdm_source_name": "all"}, "v5", run_at=RUN)
+    assert done.tables["person"].count() == 3 and done.tables["person"].filter("extra IS NULL").count() == 2
+    assert done.tables["person"].select("care_site_id").distinct().count() == 2 == done.tables["care_site"].count()
+    assert done.tables["cdm_source"].first().source_release_date == dt.date(2024, 2, 3)
+    rows = {(r.name, r.value_as_string): r.value_as_number for r in done.report.collect()}
+    assert rows[("Merge source delivery row count", "a__2024-05-06")] == 3
+    assert rows[("Merge source delivery row count", "007__2024-05-06")] == 1
+    assert rows[("Merge total row count", None)] == 4
+    with pytest.raises(ValueError):
+        merging.merge_deliveries(spark, [], str(tmp_path / "m"), DAY, {}, "v5")
+
+
 def test_run_log(spark):
     start = spark.createDataFrame([("a", DAY, RUN, "csv", "5.3", "r1")],
                                   "site_name string, delivery_date date, pipeline_start_datetime timestamp_ntz,"
@@ -242,7 +264,9 @@ def test_whole_delivery(spark, tmp_path):
         "unknown_table": spark.createDataFrame([("1",)], "a string"),
     }
     registry = spark.createDataFrame([entry("1"), entry("2"), entry("3", consent="353358909"), entry("8")], REGISTRY)
-    site = pipeline.Site("site a", DAY, version="5.3")
+    site = pipeline.Site(
+        "site a", DAY, version="5.3", facts={"cdm_source_name": "A"}, vocabulary_version="v5",
+        tasks={"no late rows": {"measurement": "SELECT * FROM {measurement} WHERE measurement_date < DATE'2025-01-01'"}})
     done = pipeline.process(spark, delivered, site, vocabulary_tables(spark), str(tmp_path / "out"), registry, run_at=RUN)
     condition = done.tables["condition_occurrence"]
     # Two equal rows of person 1 were re-coded to a condition and a measurement each.
@@ -258,6 +282,8 @@ def test_whole_delivery(spark, tmp_path):
     assert rows["Vocab harmonization table transition: condition_occurrence to measurement"] == 2
     assert rows["Final row count: condition_occurrence"] == 3
     assert rows["Invalid table name: unknown_table"] is None
+    assert rows["Post-processing task no late rows: rows removed"] == 0
+    assert done.tables["cdm_source"].first().vocabulary_version == "v5"
     text = "".join(f.read_text() for f in (tmp_path / "out" / "artifacts/delivery_report/study_summary").glob("*.txt"))
     assert "Person record count: 2" in text and "Study status - Verified: 2" in text
     assert "Eligible participants not in delivery (1): 8" in text and "Delivered study ids not found in registry (1):" in text
