@@ -31,7 +31,7 @@ def repair_keys(df: DataFrame, key: str) -> DataFrame:
     """
     others = [c for c in df.columns if c != key]
     keys = materialize(repeated_keys(df, key).select(key), "repeated-keys")
-    tagged = lookup_join(df, keys.withColumn("_repeats", F.lit(True)), key, bound=keys)
+    tagged = lookup_join(df, keys.withColumn("_repeats", F.lit(True)), key, bound=keys, narrow=False)
     unique = tagged.filter(F.col("_repeats").isNull()).select(*df.columns)
     repeated = tagged.filter(F.col("_repeats").isNotNull()).select(*df.columns)
 

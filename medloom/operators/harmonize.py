@@ -154,7 +154,7 @@ def _settle_by_key(rows: DataFrame, key: str, steps: list[str]) -> DataFrame:
         F.max("_s_value").alias("_key_s_value"), F.max("_t_value").alias("_key_t_value"),
     ).filter("_rows > 1").drop("_rows")
     # Written, as it is both counted and joined.
-    joined = lookup_join(rows, materialize(shared, "shared-keys"), key)
+    joined = lookup_join(rows, materialize(shared, "shared-keys"), key, narrow=False)
     is_shared = F.col("_first").isNotNull()
     applies = F.array(*[F.col(f"_is_{s}") for s in steps])[F.col("_first")]
     return joined.withColumns({
@@ -166,8 +166,8 @@ def _settle_by_key(rows: DataFrame, key: str, steps: list[str]) -> DataFrame:
 
 def exclude_settled(df: DataFrame, settled: DataFrame, key: str) -> DataFrame:
     """Rows whose key no earlier output holds."""
-    keys = settled.filter(F.col(key).isNotNull()).select(key).distinct()
-    return lookup_join(df, keys, key, "left_anti")
+    keys = materialize(settled.filter(F.col(key).isNotNull()).select(key).distinct(), "settled-keys")
+    return lookup_join(df, keys, key, "left_anti", narrow=False)
 
 
 def backfill_secondary(df: DataFrame, pairs: list[tuple[str, str]], vocabulary: Vocabulary) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medloom.sources.storage import materialize
+
 # Lookups are narrow: a few ids, flags and short codes, about 100 bytes a row.
 BROADCAST_ROWS = 1_000_000
 SALTS = 32
@@ -50,12 +52,19 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> D
 
 def lookup_join(
     left: DataFrame, lookup: DataFrame, on: list[str] | str, how: str = "left", bound: DataFrame | None = None,
+    narrow: bool = True,
 ) -> DataFrame:
-    """Join rows with a lookup on equally named columns."""
+    """Join rows with a lookup on equally named columns.
+
+    ``narrow=False`` skips the look at the keys in use, for lookups that were
+    made from these very rows.
+    """
     keys = [on] if isinstance(on, str) else on
     if fits(lookup, bound):
         return left.join(F.broadcast(lookup), keys, how)
-    used = lookup.join(left.select(*keys).distinct(), keys, "left_semi")
-    if fits(used):
-        return left.join(F.broadcast(used), keys, how)
-    return salted_join(left, used, keys, how)
+    if narrow:
+        # Written, as it is counted first and joined after.
+        lookup = materialize(lookup.join(left.select(*keys).distinct(), keys, "left_semi"), "used-keys")
+        if fits(lookup):
+            return left.join(F.broadcast(lookup), keys, how)
+    return salted_join(left, lookup, keys, how)

@@ -36,8 +36,12 @@ def _resolve(concept: DataFrame, mapped: DataFrame) -> DataFrame:
         F.col("standard_concept").alias("target_concept_id_standard"),
         F.col("domain_id").alias("target_concept_id_domain"),
     )
+    # The relationships are the side on which one concept may be frequent, as
+    # a source or as a target; both joins look up concepts from there.
     resolved = lookup_join(mapped, target, "target_concept_id", bound=concept)
-    return lookup_join(own, resolved, "concept_id", bound=mapped).select(
+    with_targets = lookup_join(resolved, own, "concept_id", "inner", bound=concept)
+    without = own.join(mapped.select("concept_id").distinct(), "concept_id", "left_anti")
+    return with_targets.unionByName(without, allowMissingColumns=True).select(
         "concept_id", "concept_id_standard", "concept_id_domain", "relationship_id", "target_concept_id",
         "target_concept_id_standard", "target_concept_id_domain",
     ).distinct()
