@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Java reads '5d' as a number; '1e3' and 'inf' must pass.
@@ -115,6 +115,8 @@ def cast_temporal(text: Column, kind: str, strptime: str, default: Column) -> Co
     return F.coalesce(*readers)
 
 
-def person_number(column: str = "person_id") -> Column:
-    """person_id as a number from either text or number columns."""
+def whole_number(df: DataFrame, column: str) -> Column:
+    """A column as a whole number; text is read leniently, numbers are taken as they are."""
+    if df.schema[column].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(column).cast("bigint")
     return as_long(F.col(column).cast("string"))

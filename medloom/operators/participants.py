@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medloom.functions.casts import as_long, person_number
+from medloom.functions.casts import as_long, whole_number
 from medloom.operators.joins import lookup_join
 from medloom.operators.ranking import LIST_ROWS, id_lists
 
@@ -58,9 +58,6 @@ MOMENT_VARIABLES = {
 }
 UNKNOWN = "UNKNOWN"
 
-# Ids up to 2^16 apart share a bucket when ids are listed in order.
-_ID_BUCKET_BITS = 16
-
 
 def decode_status(participants: DataFrame, site: Column | None = None, id_column: str = "connect_id") -> DataFrame:
     """Registry rows with their status codes spelled out."""
@@ -111,7 +108,7 @@ def eligible_rows(df: DataFrame, registry: DataFrame) -> DataFrame:
     if "person_id" not in df.columns:
         return df
     kept = registry_people(registry).filter(~F.col("_excluded")).select("_person")
-    people = df.withColumn("_person", person_number()).filter(F.col("_person") != -1)
+    people = df.withColumn("_person", whole_number(df, "person_id")).filter(F.col("_person") != -1)
     return lookup_join(people, kept, "_person", "left_semi", bound=registry).drop("_person")
 
 
@@ -120,7 +117,7 @@ def removal_counts(df: DataFrame, registry: DataFrame) -> DataFrame:
 
     Rows are counted per person first, so only one row a person is joined.
     """
-    per_person = df.groupBy(person_number().alias("_person")).agg(F.count(F.lit(1)).alias("n"))
+    per_person = df.groupBy(whole_number(df, "person_id").alias("_person")).agg(F.count(F.lit(1)).alias("n"))
     joined = per_person.join(registry_people(registry), "_person", "left")
     unknown = F.col("_person").isNull() | (F.col("_person") == -1)
     reason = (
@@ -137,7 +134,7 @@ def removal_counts(df: DataFrame, registry: DataFrame) -> DataFrame:
 
 def unmatched_ids(df: DataFrame, registry: DataFrame, invalid: DataFrame | None = None) -> DataFrame:
     """Delivered ids the registry does not hold, unreadable ones included."""
-    delivered = df.select(person_number().alias("_person")).filter("_person != -1").distinct()
+    delivered = df.select(whole_number(df, "person_id").alias("_person")).filter("_person != -1").distinct()
     known = registry.select(_registry_id().alias("_person")).distinct()
     out = delivered.join(known, "_person", "left_anti").select(F.col("_person").cast("string").alias("unmatched_id"))
     if invalid is not None:
@@ -154,7 +151,7 @@ def unmatched_report(
 ) -> DataFrame:
     """Number of unmatched ids and their ordered list, in parts if it is long."""
     ids = unmatched_ids(df, registry, invalid)
-    return _counted_list(ids, "unmatched_id", F.substring("unmatched_id", 1, 4), list_rows)
+    return _counted_list(ids, "unmatched_id", list_rows)
 
 
 def undelivered_ids(registry: DataFrame, person: DataFrame) -> DataFrame:
@@ -169,19 +166,19 @@ def undelivered_ids(registry: DataFrame, person: DataFrame) -> DataFrame:
         & (F.coalesce(_code("data_destruction_requested"), F.lit(0)) != YES)
     )
     ids = registry.filter(eligible).select(_registry_id().alias("connect_id")).filter("connect_id IS NOT NULL")
-    delivered = person.select(person_number().alias("connect_id")).distinct()
+    delivered = person.select(whole_number(person, "person_id").alias("connect_id")).distinct()
     return ids.distinct().join(delivered, "connect_id", "left_anti")
 
 
 def undelivered_report(registry: DataFrame, person: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
     ids = undelivered_ids(registry, person)
-    return _counted_list(ids, "connect_id", F.shiftright("connect_id", _ID_BUCKET_BITS), list_rows)
+    return _counted_list(ids, "connect_id", list_rows)
 
 
-def _counted_list(ids: DataFrame, column: str, bucket: Column, list_rows: int) -> DataFrame:
+def _counted_list(ids: DataFrame, column: str, list_rows: int) -> DataFrame:
     """The count beside each part of the list; one empty part if there are none."""
     total = ids.agg(F.count(F.lit(1)).alias("patient_count"), F.lit(1).alias("_one"))
-    lists = id_lists(ids, [], column, bucket, list_rows).withColumn("_one", F.lit(1))
+    lists = id_lists(ids, [], column, list_rows).withColumn("_one", F.lit(1))
     return total.join(lists, "_one", "left").select(
         F.coalesce("part", F.lit(0)).alias("part"), "patient_count", F.coalesce("ids", F.lit("")).alias("patient_ids")
     )
@@ -198,7 +195,7 @@ def matched_people(registry: DataFrame, person: DataFrame) -> DataFrame:
         _registry_id().alias("person_id"),
         *[c for name in STATUS_VARIABLES for c in (label(name), _code(name).alias(f"{name}_concept_id"))],
     ).filter("person_id IS NOT NULL").distinct()
-    delivered = person.select(person_number().alias("person_id")).distinct()
+    delivered = person.select(whole_number(person, "person_id").alias("person_id")).distinct()
     return statuses.join(delivered, "person_id", "left_semi")
 
 
@@ -221,7 +218,7 @@ def status_breakdown(registry: DataFrame, person: DataFrame, list_rows: int = LI
         ((F.col("status_kind") == "verified_status") & (F.col("status_concept_id") != VERIFIED))
         | ((F.col("status_kind") != "verified_status") & (F.col("status_concept_id") == YES))
     )
-    lists = id_lists(rows.filter(excludes), group, "person_id", F.shiftright("person_id", _ID_BUCKET_BITS), list_rows)
+    lists = id_lists(rows.filter(excludes), group, "person_id", list_rows)
     same = [counts[c].eqNullSafe(lists[c]) for c in group]
     return counts.join(lists, same, "left").select(
         *[counts[c] for c in group], F.coalesce(lists["part"], F.lit(0)).alias("part"), "patient_count",

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import schema
+from medloom.functions.casts import whole_number
 from medloom.functions.keys import content_key
-from medloom.functions.casts import person_number
 from medloom.operators.intervals import lag_islands, merge_intervals
 from medloom.operators.joins import lookup_join
 
@@ -22,8 +22,8 @@ VISIT_GAP_DAYS = 548
 PERIOD_TYPE = 32882
 
 
-def _known_person() -> Column:
-    return F.coalesce(person_number(), F.lit(-1)) != -1
+def _known_person(df: DataFrame) -> Column:
+    return F.coalesce(whole_number(df, "person_id"), F.lit(-1)) != -1
 
 
 def _keyed(df: DataFrame, table: str, parts: list[str], site: str) -> DataFrame:
@@ -41,7 +41,7 @@ def condition_era(condition: DataFrame, site: str) -> DataFrame:
     start = F.col("condition_start_date").cast("date")
     end = F.coalesce(F.col("condition_end_date").cast("date"), F.date_add(start, 1))
     days = (
-        condition.filter((F.col("condition_concept_id") != 0) & start.isNotNull() & _known_person())
+        condition.filter((F.col("condition_concept_id") != 0) & start.isNotNull() & _known_person(condition))
         .groupBy("person_id", "condition_concept_id", start.alias("start"))
         .agg(F.max(F.greatest(start, end)).alias("end"))
     )
@@ -65,7 +65,7 @@ def ingredients(concept: DataFrame, ancestor: DataFrame) -> DataFrame:
 
 def drug_era(drug: DataFrame, concept: DataFrame, ancestor: DataFrame, site: str) -> DataFrame:
     """Spans of one ingredient: overlapping exposures first, then gaps of up to 30 days."""
-    known = drug.filter((F.col("drug_concept_id") != 0) & _known_person())
+    known = drug.filter((F.col("drug_concept_id") != 0) & _known_person(drug))
     start = F.col("drug_exposure_start_date").cast("date")
     end = F.coalesce(
         F.col("drug_exposure_end_date").cast("date"), F.date_add(start, F.col("days_supply").cast("int")),
@@ -123,13 +123,13 @@ def observation_period(
 def _visit_islands(visits: DataFrame, death: DataFrame | None, as_of: dt.date) -> DataFrame:
     today = F.lit(as_of)
     start, end = F.col("visit_start_date").cast("date"), F.col("visit_end_date").cast("date")
-    rows = visits.filter((start <= today) & (end <= today) & _known_person()).select(
+    rows = visits.filter((start <= today) & (end <= today) & _known_person(visits)).select(
         "person_id", start.alias("start"), end.alias("end")
     )
     if death is None:
         padded = F.least(F.date_add("end", VISIT_PAD_DAYS), today)
     else:
-        died = death.filter(F.col("death_date").cast("date").isNotNull() & _known_person()).select(
+        died = death.filter(F.col("death_date").cast("date").isNotNull() & _known_person(death)).select(
             "person_id", F.col("death_date").cast("date").alias("died")
         ).distinct()
         # Distinct spans first: that bounds what one person brings to the join.
