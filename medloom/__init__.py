@@ -1 +1,3 @@
 """Clinical-delivery harmonization as Spark DataFrame transformations."""
+
+__version__ = "0.1.0"

@@ -8,14 +8,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom import schema
+from medloom import __version__, schema
 from medloom.operators import harmonize as h
 from medloom.operators import metrics as m
 from medloom.operators import participants
 from medloom.operators.dedupe import repair_keys
 from medloom.operators.normalize import globalize_keys, normalize
 from medloom.operators.routing import route_all
-from medloom.operators.upgrade import populate_source, upgrade
+from medloom.operators.upgrade import delivered_vocabulary_version, extraction_date, populate_source, upgrade
 from medloom.operators.validate import validate
 from medloom.operators.vocabulary import Vocabulary
 from medloom.plans import report
@@ -38,6 +38,7 @@ class Site:
     fill_secondary: bool = False
     # Descriptions for cdm_source, should the site send none.
     facts: dict[str, str] = field(default_factory=dict)
+    file_format: str = "csv"
     vocabulary_version: str = ""
     # Clean-up tasks in order: name -> {table: SELECT ...}.
     tasks: dict[str, dict[str, str | None]] = field(default_factory=dict)
@@ -101,8 +102,19 @@ def process(
         if derived is not None:
             tables[name] = publish.write_parquet(derived, f"{root}/{publish.DERIVED}/{name}")
 
+    metrics += [
+        m.as_metrics(extraction_date(tables["cdm_source"], site.delivery_date), F.lit("Source system extraction date"),
+                     F.col("extraction_date")),
+        _delivered_vocabulary(tables, spark),
+    ]
     about = report.Delivery(spark, tables, vocabulary["concept"], site.delivery_date, {
-        "Site": site.name, "Delivered CDM version": site.version, "Standardized to CDM version": "5.4",
+        "Site": site.name,
+        "File delivery format": site.file_format,
+        "Delivered CDM version": site.version,
+        "Standardized to CDM version": "5.4",
+        "Standardized to vocabulary version": site.vocabulary_version,
+        "Pipeline version": __version__,
+        "Delivery processing date": run_at.date().isoformat(),
     })
     rows = publish.write_parquet(report.generate(about, metrics, run_at), f"{root}/{publish.REPORT}/rows")
     publish.write_csv(rows, f"{root}/{publish.REPORT}/delivery_report")
@@ -121,6 +133,13 @@ def _normalized(df: DataFrame, table: str, site: Site, root: str) -> tuple[DataF
     return back.valid, back.invalid, back.row_counts()
 
 
+def _delivered_vocabulary(tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
+    name = "Delivered vocabulary version"
+    if "vocabulary" not in tables:
+        return m.metric_frame(spark, [m.Metric(name)])
+    return m.as_metrics(delivered_vocabulary_version(tables["vocabulary"]), F.lit(name), F.col("vocabulary_version"))
+
+
 def _cleaned(
     tables: dict[str, DataFrame], name: str, statements: dict[str, str | None], root: str,
 ) -> tuple[dict[str, DataFrame], DataFrame]:

@@ -15,17 +15,21 @@ _LOCAL: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach: ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting.
+    Only a local session may do without the setting. What is written below
+    ``medloom/`` there is scratch; whoever runs the jobs clears it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL:
-        _LOCAL[application] = tempfile.mkdtemp(prefix="medloom-")
-    return _LOCAL[application]
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="medloom-")
+    return _LOCAL[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

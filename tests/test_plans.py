@@ -284,6 +284,8 @@ def test_whole_delivery(spark, tmp_path):
     assert rows["Invalid table name: unknown_table"] is None
     assert rows["Post-processing task no late rows: rows removed"] == 0
     assert done.tables["cdm_source"].first().vocabulary_version == "v5"
+    texts = {r.name: r.value_as_string for r in done.report.collect()}
+    assert texts["Source system extraction date"] == "2024-05-06" and texts["Delivered vocabulary version"] is None
     text = "".join(f.read_text() for f in (tmp_path / "out" / "artifacts/delivery_report/study_summary").glob("*.txt"))
     assert "Person record count: 2" in text and "Study status - Verified: 2" in text
     assert "Eligible participants not in delivery (1): 8" in text and "Delivered study ids not found in registry (1):" in text
