@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from casebook.views import Views, with_views
-from medloom import schema
 from medloom.operators import merge, runlog
 
 QUERIES, CHECKS = {}, {}

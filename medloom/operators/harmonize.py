@@ -58,7 +58,11 @@ def harmonize(
     """
     concept = concept or schema.PRIMARY_CONCEPT[table]
     source = source or schema.primary_pair(table)[1]
-    chosen = [s for s in STEPS if s in (DEFAULT_STEPS if steps is None else steps)]
+    wanted = DEFAULT_STEPS if steps is None else steps
+    unknown = [s for s in wanted if s not in STEPS]
+    if unknown:
+        raise ValueError(f"unknown harmonization step {', '.join(unknown)}")
+    chosen = [s for s in STEPS if s in wanted]
     if source is None:
         chosen = [s for s in chosen if s not in (SOURCE_TARGET, SOURCE_BACKFILL)]
 

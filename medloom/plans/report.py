@@ -275,9 +275,14 @@ def artifact(delivery: Delivery, kind: str) -> DataFrame:
     return ARTIFACTS[kind](delivery)
 
 
+def consolidate(parts: list[DataFrame], run_at: dt.datetime) -> DataFrame:
+    """Metrics made one kind at a time, as rows of the metadata table."""
+    return m.finish_report(m.unite(parts), run_at)
+
+
 def generate(delivery: Delivery, earlier: list[DataFrame], run_at: dt.datetime) -> DataFrame:
     """All metrics with those of earlier steps, as rows of the metadata table."""
-    return m.finish_report(m.unite([*earlier, *[make(delivery) for make in ARTIFACTS.values()]]), run_at)
+    return consolidate([*earlier, *[make(delivery) for make in ARTIFACTS.values()]], run_at)
 
 
 def study_summary(spark: SparkSession, metrics: DataFrame) -> DataFrame:

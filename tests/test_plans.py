@@ -65,6 +65,11 @@ def test_steps_and_fan_out(spark, codes):
     assert run(spark, codes, [(10, 99, 0)], steps=[h.SOURCE_TARGET]) == []
 
 
+def test_unknown_steps_are_refused(spark, codes):
+    with pytest.raises(ValueError):
+        run(spark, codes, [(10, 0, 1)], steps=["guess"])
+
+
 def test_target_remap_moves_the_old_target_to_the_source(spark, codes):
     row = h.harmonize(conditions(spark, [(10, 1, 0)]), "condition_occurrence", codes).first()
     assert row.condition_source_concept_id == 1 and row.source_concept_id == 0 and row.previous_target_concept_id == 1
@@ -248,7 +253,7 @@ def test_breakdown_metrics(spark):
 
 
 def test_whole_delivery(spark, tmp_path):
-    from tests.test_people import OK, REGISTRY, entry
+    from tests.test_people import REGISTRY, entry
 
     delivered = {
         "person": spark.createDataFrame([("1", "8507", "1980"), ("2", "8507", "1990"), ("x", "8507", "1990")],
