@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Folders of local sessions that name none.
-_LOCAL: dict[str, str] = {}
+# Below it, a local session that names no folder gets one of its own.
+LOCAL_FOLDER = "/tmp/medloom-scratch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,9 +26,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if context.applicationId not in _LOCAL:
-        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="medloom-")
-    return _LOCAL[context.applicationId]
+    context.setCheckpointDir(f"{LOCAL_FOLDER}/{context.applicationId}")
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

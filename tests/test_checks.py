@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import clinical_queries, clinical_sql, entry
 from casebook.compare import compare, oracle
 from tests.conftest import SMALL
 
@@ -23,10 +23,10 @@ def connection():
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(clinical_queries()) == set(clinical_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(clinical_queries()))
 def test_query(spark, connection, name):
     assert compare(spark, connection, name, SMALL) is None
 
