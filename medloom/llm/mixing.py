@@ -22,6 +22,8 @@ SEED = 17
 # Steps of the seeded draw: a source's taken words miss its target by one document or one step, whichever is more.
 STEPS = 1 << 12
 UNITS = 1 << 32
+# Sources up to which their plan, one short row each, is broadcast; beyond it the join shuffles.
+BROADCAST_SOURCES = 10_000
 
 
 def draw(seed: int, key: Column) -> Column:
@@ -55,44 +57,80 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
         F.coalesce(F.col("weight") * F.col("water"), F.col("cap").cast("double")).alias("target"))
 
 
+def _sized(df: DataFrame, key: str, text: str, source: str, seed: int) -> DataFrame:
+    return materialize(df.select(
+        F.col(key).alias("key"), F.col(source).alias("source"), F.size(words(text_of(text))).cast("long").alias("size"),
+        _step(seed, key).alias("step")), "mix-sizes")
+
+
+def _step(seed: int, key: str) -> Column:
+    return F.floor(draw(seed, F.col(key)) / (UNITS // STEPS))
+
+
+def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+    """(source, source_size, target, whole, below): documents of a source are taken ``whole`` times, below a step once more.
+
+    The running sum of sizes by step decides: a step joins while it brings the
+    sum nearer to what whole repetitions leave of the target.
+    """
+    # One row for each source and step: a hot source is summed before it meets.
+    steps = materialize(sized.groupBy("source", "step").agg(F.sum("size").alias("words")), "mix-steps")
+    goal = targets(steps.groupBy("source").agg(F.sum("words").alias("source_size")), weights, epochs)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    goal = goal.withColumn("whole", whole)
+    goal = materialize(goal.withColumn("part", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
+    running = W.partitionBy("source").orderBy("step")
+    parts = goal.select(F.col("source").alias("s"), "part")
+    drawn = steps.join(parts, F.col("source").eqNullSafe(F.col("s"))).select(
+        "source", "step", "part", F.sum("words").over(running).alias("upto"), "words")
+    cut = drawn.filter("part > 0 AND upto - words / 2 <= part").groupBy(F.col("source").alias("s")).agg(
+        (F.max("step") + 1).alias("below"))
+    return materialize(goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        "source", "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below")), "mix-plan")
+
+
+def _with_copies(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows (source, step, ...) with source_size, target and copies."""
+    found = found.withColumnRenamed("source", "_s")
+    if found.count() <= BROADCAST_SOURCES:
+        found = F.broadcast(found)
+    rows = rows.join(found, F.col("source").eqNullSafe(F.col("_s")), "left")
+    return rows.withColumn("copies", F.col("whole") + (F.col("step") < F.col("below")).cast("long"))
+
+
 def mix(
     df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
     weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED,
 ) -> DataFrame:
-    """(key, size, source, source_size, target, copies, taken) for every row.
+    """(key, source, size, source_size, target, copies, taken) for every row.
 
     ``size`` counts the words between white space, zero for a null text. All
     documents of a source are taken whole as often as the target holds the
-    source, and a seeded part once more: those whose draw lies below the step
-    at which the running sum of sizes by step comes nearest to what is left.
-    The null source is a source of its own. Repeated rows draw alike, and so
-    do rows without a key. Sources without words have the target zero. An
-    empty table gives an empty result; other columns are not touched.
+    source, and a seeded part once more. The null source is a source of its
+    own. Repeated rows draw alike, and so do rows without a key. Sources
+    without words have the target zero. An empty table gives an empty result;
+    other columns are not touched.
     """
-    sized = df.select(
-        F.col(key).alias("key"), F.col(source).alias("source"), F.size(words(text_of(text))).cast("long").alias("size"),
-        draw(seed, F.col(key)).alias("draw"))
-    sized = materialize(sized, "mix-sizes")
-    # One row for each source and step: a hot source is summed before it meets.
-    steps = sized.groupBy("source", F.expr(f"draw div {UNITS // STEPS}").alias("step")).agg(F.sum("size").alias("words"))
-    steps = materialize(steps, "mix-steps")
-    goal = targets(steps.groupBy("source").agg(F.sum("words").alias("source_size")), weights, epochs)
-    goal = materialize(goal.withColumns({
-        "whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"),
-    }).withColumn("part", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    running = W.partitionBy("source").orderBy("step")
-    drawn = steps.join(goal.select(F.col("source").alias("s"), "part"), F.col("source").eqNullSafe(F.col("s"))).select(
-        "source", "step", "part", F.sum("words").over(running).alias("upto"), "words")
-    # A step joins while it brings the sum nearer to the part than the sum before it.
-    cut = drawn.filter(F.col("upto") - F.col("words") / 2 <= F.col("part")).filter("part > 0").groupBy("source").agg(
-        (F.max("step") + 1).alias("below"))
-    plan = goal.join(cut.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").select(
-        F.col("source").alias("s"), "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below"))
-    found = sized.join(materialize(plan, "mix-plan"), F.col("source").eqNullSafe(F.col("s")), "left")
-    copies = F.col("whole") + (F.expr(f"draw div {UNITS // STEPS}") < F.col("below")).cast("long")
-    return found.select(
-        F.col("key").alias(key), "size", "source", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"))
+    sized = _sized(df, key, text, source, seed)
+    rows = _with_copies(sized, plan(sized, weights, epochs))
+    return rows.select(
+        F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeat(
+    df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED,
+) -> DataFrame:
+    """The mixture itself: every row as often as ``mix`` takes it, numbered by ``epoch`` from 1. Texts do not shuffle.
+
+    A column named epoch is replaced.
+    """
+    found = plan(_sized(df, key, text, source, seed), weights, epochs)
+    columns = [c for c in df.columns if c != "epoch"]
+    rows = df.select(F.struct(*columns).alias("row"), F.col(source).alias("source"), _step(seed, key).alias("step"))
+    rows = _with_copies(rows, found).filter("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("epoch")).select("row.*", "epoch")
 
 
 _COUNT = f"len(list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> ''))"

@@ -199,3 +199,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", list
     least = placed.groupBy("root").agg(F.min("least").alias("component"))
     named = materialize(placed.join(materialize(least, "simhash-least"), "root").select("simhash", "component"), "simhash-named")
     return rows.join(named, "simhash", "left").select(key, "simhash", "component")
+
+
+def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", list_limit: int = LIST_LIMIT) -> DataFrame:
+    """One row of each component, that with the least key; nulls come first.
+
+    Rows are told apart by key and text, so that neither a key that stands
+    twice nor a null one loses a different text. Rows equal in both are one.
+    """
+    rows = df.withColumn("_key", F.struct(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
+    found = near_duplicates(rows, "_key", text, list_limit)
+    kept = materialize(found.filter("_key = component").select("_key").distinct(), "simhash-kept")
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
