@@ -70,7 +70,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise.sanitise(_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in sanitise.KINDS]
+    counts = [sanitise.number_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in sanitise.KINDS]
     base = F.sha2(sanitise.as_text(sanitise.base_only(F.col("spans"))), 256)
     return found.select("doc_id", *counts, base.alias("base_sha256"), sanitise.as_text(F.col("spans")).alias("spans"))
 

@@ -238,6 +238,10 @@ def base_only(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*KINDS))
 
 
+def number_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def as_text(spans: Column) -> Column:
     """kind:start:end of every span, comma-joined."""
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
