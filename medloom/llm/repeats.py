@@ -40,6 +40,8 @@ LEAST_BUCKETS = 64
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _INVERSES = tuple(pow(m, -1, 1 << 64) for m in _MULTIPLIERS)
 _SEEDS = (1, 2)
+# Text of one row group of the staged files, which a task holds as arrays of about twenty times its bytes.
+GROUP_BYTES = 4 << 20
 _ENTRY = "file string, part int, bucket long, one binary, two binary, marks binary"
 
 
@@ -47,40 +49,41 @@ class Words:
     """Words of one row group, end to end, with what rolling windows need."""
 
     def __init__(self, texts: pa.ChunkedArray):
-        from xxhash import xxh64_intdigest
-
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").combine_chunks())
         flat, owner = lists.flatten(), pc.list_parent_indices(lists)
         kept = pc.not_equal(flat, "")
         self.flat, owner = flat.filter(kept), owner.filter(kept).to_numpy()
-        self.ends = np.searchsorted(owner, np.arange(len(lists)), side="right")
-        self.starts = np.r_[0, self.ends[:-1]] if len(lists) else self.ends
-        coded = self.flat.dictionary_encode()
-        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-        codes = coded.indices.to_numpy()
-        self.hashes = [np.array([xxh64_intdigest(w, s) for w in distinct], dtype=np.uint64)[codes] for s in _SEEDS]
+        self.ends = np.searchsorted(owner, np.arange(len(lists)), side="right").astype(np.int32)
+        self.starts = np.r_[np.int32(0), self.ends[:-1]] if len(lists) else self.ends
+        self.coded = self.flat.dictionary_encode()
         lengths = self.ends - self.starts
         self.start_of = np.repeat(self.starts, lengths)
         self.end_of = np.repeat(self.ends, lengths)
 
     def rolling(self, length: int, which: int) -> np.ndarray:
         """Hash of the ``length`` words from each position on; only meaningful where they fit the document."""
-        values, n = self.hashes[which], len(self.hashes[which])
+        from xxhash import xxh64_intdigest
+
+        n = len(self.flat)
         if n < length:
             return np.zeros(0, dtype=np.uint64)
+        distinct = [xxh64_intdigest(w, _SEEDS[which]) for w in self.coded.dictionary.cast(pa.binary()).to_pylist()]
+        values = np.array(distinct, dtype=np.uint64)[self.coded.indices.to_numpy()]
         powers = np.full(n, _MULTIPLIERS[which], dtype=np.uint64)
         powers[0] = 1
         inverses = np.full(n, _INVERSES[which], dtype=np.uint64)
         inverses[0] = 1
-        sums = np.r_[np.zeros(1, dtype=np.uint64), np.cumsum(values * np.cumprod(powers, dtype=np.uint64), dtype=np.uint64)]
-        mixed = (sums[length:] - sums[:-length]) * np.cumprod(inverses, dtype=np.uint64)[:n - length + 1]
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(np.multiply(values, np.cumprod(powers, out=powers), out=values), out=sums[1:])
+        mixed = sums[length:] - sums[:-length]
+        mixed *= np.cumprod(inverses, out=inverses)[:n - length + 1]
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         return mixed ^ (mixed >> np.uint64(29))
 
     def fitting(self, length: int, least: int) -> np.ndarray:
         """Positions from which ``length`` words fit, in documents of ``least`` words or more."""
-        at = np.arange(len(self.start_of))
+        at = np.arange(len(self.start_of), dtype=np.int32)
         return at[(at + length <= self.end_of) & (self.end_of - self.start_of >= least)]
 
 
@@ -245,14 +248,12 @@ def _cut(window: int, key: str, key_type: pa.DataType):
                     one, two = words.rolling(window, 0)[begin], words.rolling(window, 1)[begin]
                     near = np.isin(one, good)
                     begin, one, two = begin[near], one[near], two[near]
-                    pair = np.dtype([("a", np.uint64), ("b", np.uint64)])
                     wanted = set(zip(good.tolist(), other.tolist()))
                     begin = begin[np.fromiter(((a, b) in wanted for a, b in zip(one.tolist(), two.tolist())), dtype=bool, count=len(begin))]
                     edge = np.zeros(n + 1, dtype=np.int64)
                     np.add.at(edge, begin, 1)
                     np.add.at(edge, begin + window, -1)
                     covered = np.cumsum(edge)[:n] > 0
-                    del pair
                 upto = np.r_[0, np.cumsum(covered)]
                 removed = upto[words.ends] - upto[words.starts]
                 kept = pa.array(~covered)
@@ -266,7 +267,7 @@ def _cut(window: int, key: str, key_type: pa.DataType):
                     turns = np.flatnonzero(np.diff(np.r_[False, covered[start:end], False].astype(np.int8)))
                     spans.append(turns.reshape(-1, 2).tolist())
                 out.append(pa.Table.from_arrays([
-                    table.column("key").combine_chunks(), pa.array(words.ends - words.starts), pa.array(removed),
+                    table.column("key").combine_chunks(), pa.array((words.ends - words.starts).astype(np.int64)), pa.array(removed),
                     pc.binary_join(lists, " "), pa.array(spans, type=schema.field("repeats").type)], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
     return run
@@ -286,7 +287,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     spark, block = df.sparkSession, (window + 1) // 2
     kind = df.schema[key].dataType
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).alias("n_bytes"))
-    folder = stage(rows, "repeats-texts")
+    folder = stage(rows, "repeats-texts", GROUP_BYTES)
     files = staged_files(spark, folder)
     if not files.take(1):
         return spark.createDataFrame([], f"{key} {kind.simpleString()}, n_words long, n_removed long, kept_text string, repeats array<array<bigint>>")

@@ -103,7 +103,7 @@ def _grown(mask: int, size: int) -> set[int]:
 
 def _linked(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     """Which of the fingerprints pass the count of shared bytes and the verification."""
-    differing = np.bitwise_xor(one, many)
+    differing = np.bitwise_xor(one, many).view(np.uint64)  # of signed numbers, bits are counted without the sign
     shared = (differing.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
     return (shared >= SHARED_BYTES) & (np.bitwise_count(differing) <= BITS)
 

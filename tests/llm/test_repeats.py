@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from medloom.llm import repeats
+from medloom.llm.shared import stage
 
 
 def brute(texts, window):
@@ -62,7 +63,7 @@ def test_empty_table(docs):
 
 
 def test_many_row_groups(docs, monkeypatch):
-    monkeypatch.setattr(repeats, "stage", lambda df, name: __import__("medloom.llm.shared", fromlist=["stage"]).stage(df, name, 1 << 10, 7))
+    monkeypatch.setattr(repeats, "stage", lambda df, name, size: stage(df, name, 1 << 10, 7))
     rng = random.Random(2)
     shared = " ".join(f"s{i}" for i in range(40))
     rows = [(i, " ".join(f"w{rng.randrange(9000)}" for _ in range(60)) + (" " + shared if i % 5 == 0 else "")) for i in range(80)]
