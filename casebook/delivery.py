@@ -50,7 +50,7 @@ FROM lineitem"""
 def _read_lines(v: Views) -> tuple[DataFrame, DataFrame]:
     path = storage.scratch_path(v.spark, "lines")
     v.sql(_LINES).write.text(path)
-    return ingest.read_csv(v.spark, path, multi_line=False, names=["l_orderkey", "l_linenumber", "remark"])
+    return ingest.read_csv(v.spark, path, names=["l_orderkey", "l_linenumber", "remark"])
 
 
 QUERIES["csv_records"] = lambda v: _read_lines(v)[0]

@@ -22,12 +22,60 @@ def test_csv_with_quoted_newlines(spark, tmp_path):
     assert good.select("note").count() == 5
 
 
-def test_csv_reader_looks_for_newlines(spark, tmp_path):
-    plain, broken = tmp_path / "a.csv", tmp_path / "b.csv"
-    plain.write_text('a,b\n1,"x"\n')
-    broken.write_text('a,b\n1,"x\ny"\n')
-    assert not ingest.has_quoted_newlines(spark, str(plain))
-    assert ingest.has_quoted_newlines(spark, str(broken))
+def read(spark, path, text, **options):
+    path.write_text(text)
+    good, bad = ingest.read_csv(spark, str(path), **options)
+    return sorted((tuple(r) for r in good.collect()), key=str), sorted(tuple(r) for r in bad.collect())
+
+
+def test_a_stray_quote_costs_one_line(spark, tmp_path):
+    lines = [f"{i},plain {i},x" for i in range(100_000)]
+    lines[40_000] = '40000,"open,x'
+    good, bad = ingest.read_csv(spark, _written(tmp_path / "a.csv", "a,b,c\n" + "\n".join(lines) + "\n"))
+    assert good.count() == 99_999
+    assert [tuple(r) for r in bad.collect()] == [('40000,"open,x', "open quote")]
+
+
+def _written(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_two_stray_quotes_swallow_nothing(spark, tmp_path):
+    good, bad = read(spark, tmp_path / "a.csv", 'a,b\n1,"x\n2,y\n3,"z\n4,w\n5,"p\n6,"q\n')
+    assert good == [("2", "y"), ("4", "w")]
+    assert [b for _, b in bad] == ["open quote"] * 4
+
+
+def test_quotes_within_values_are_text(spark, tmp_path):
+    good, bad = read(spark, tmp_path / "a.csv", 'a,b\n1,5" tall\n2,6" tall\n3,y\n')
+    assert good == [("1", '5" tall'), ("2", '6" tall'), ("3", "y")] and not bad
+
+
+@pytest.mark.parametrize("block", ["64", "300", "134217728"])
+def test_records_over_many_lines_and_blocks(spark, tmp_path, block):
+    """Records that cross the border of two blocks, with blank and short lines inside."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    rows = [(str(i), f"line one\n\nli, ne ""two"" {i}\nend" if i % 3 else f"plain {i}", str(i * i)) for i in range(60)]
+    text = "a,b,c\n" + "".join(f'{a},"{b}",{c}\n' if i % 3 else f"{a},{b},{c}\n" for i, (a, b, c) in enumerate(rows))
+    good, bad = read(spark, tmp_path / "a.csv", text)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert good == sorted(rows, key=str) and not bad
+
+
+def test_long_values(spark, tmp_path):
+    long = "word " * 200_000
+    quoted = 'say ""hi"", ' * 3000
+    text = f'a,b,c\n1,"{long}",x\n2,"{quoted}\n{quoted}",y\n3,"{quoted}"\n4,"{quoted}",a,b\n'
+    good, bad = read(spark, tmp_path / "a.csv", text)
+    plain = quoted.replace('""', '"')
+    assert good == sorted([("1", long, "x"), ("2", plain + "\n" + plain, "y"), ("3", plain, None)], key=str)
+    assert [r for _, r in bad] == ["too many values"]
+
+
+def test_records_above_the_limit_stand_by_line(spark, tmp_path):
+    good, bad = read(spark, tmp_path / "a.csv", 'a,b\n1,"x\n' + "y\n" * 100 + 'z"\n2,w\n', record_bytes=50)
+    assert ("2", "w") in good and any(line == '1,"x' for line, _ in bad)
 
 
 def test_csv_strict_fails(spark, tmp_path):
