@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebook.people import CHECKS as CHECKS_OF_PEOPLE
 from casebook.sql import SITE, key
 from casebook.views import Views, with_views
 from medloom import schema
 from medloom.functions.casts import as_date, as_double, as_long, as_timestamp
+from medloom.operators.metrics import finish_report
 from medloom.operators.normalize import conform, globalize_keys, normalize
 from medloom.operators.upgrade import (
     delivered_vocabulary_version, extraction_date, populate_source, standardized_versions, upgrade,
 )
+from medloom.operators.validate import validate
+from medloom.plans.pipeline import Site, _normalized
+from medloom.plans.report import normalization
 from medloom.sources import ingest, storage
-from medloom.sources.publish import write_parquet
+from medloom.sources.publish import export_registry, publish, write_parquet
 
 QUERIES, CHECKS = {}, {}
 
@@ -264,3 +270,47 @@ def _vocabulary_file(v: Views) -> DataFrame:
 QUERIES["vocabulary_file"] = _vocabulary_file
 CHECKS["vocabulary_file"] = """SELECT p_partkey AS concept_id, concat('a "', p_name) AS concept_name,
     p_brand AS vocabulary_id, DATE '2020-01-31' AS valid_start_date, CAST(NULL AS DATE) AS valid_end_date FROM part"""
+
+
+def _table(v: Views) -> DataFrame:
+    """Published to the catalog, replaced by a second version, and read by name."""
+    name = f"published_{uuid.uuid4().hex}"
+    for df in (v["f_visit"].limit(1), v["f_visit"]):
+        publish(df, name, schema.layout("visit_occurrence"), storage.scratch_path(v.spark, name))
+    return v.spark.table(name).select("visit_occurrence_id", "person_id", "visit_start_date", "visit_end_date", "provider_id")
+
+
+QUERIES["publish_table"] = _table
+CHECKS["publish_table"] = CHECKS["publish_roundtrip"]
+
+QUERIES["registry_export"] = lambda v: export_registry(v["f_participants"], storage.scratch_path(v.spark, "registry"))
+CHECKS["registry_export"] = CHECKS_OF_PEOPLE["status_decode"]
+
+# A delivery with a table the model does not know, a column too many and columns missing.
+QUERIES["name_checks"] = lambda v: finish_report(validate(
+    v.spark, {"death": v["f_death"].withColumn("odd", F.lit(1)), "deaths": v["f_death"]}), dt.datetime(2002, 1, 1)).drop("metadata_id")
+CHECKS["name_checks"] = """
+SELECT CAST(0 AS INTEGER) AS metadata_concept_id, CAST(32880 AS INTEGER) AS metadata_type_concept_id, name, lower(split_part(name, ':', 1)) AS value_as_string,
+       CAST(0 AS INTEGER) AS value_as_concept_id, CAST(NULL AS DOUBLE) AS value_as_number, DATE '2002-01-01' AS metadata_date,
+       TIMESTAMP '2002-01-01 00:00:00' AS metadata_datetime
+FROM (VALUES ('Valid table name: death'), ('Valid column name: death.death_date'), ('Valid column name: death.person_id'),
+             ('Invalid column name: death.odd'), ('Missing column: death.cause_concept_id'),
+             ('Missing column: death.cause_source_concept_id'), ('Missing column: death.cause_source_value'),
+             ('Missing column: death.death_datetime'), ('Missing column: death.death_type_concept_id'),
+             ('Invalid table name: deaths')) t(name)"""
+
+
+def _nobody(v: Views) -> DataFrame:
+    """A table of which no row was delivered goes through the pipeline's normalization."""
+    rows = v["f_raw_drug"].filter("person_id = 'nobody'")
+    root = storage.scratch_path(v.spark, "delivery")
+    counted = _normalized(rows, "drug_exposure", Site("site", _DELIVERY), root)[2]
+    return finish_report(normalization(counted, "drug_exposure"), dt.datetime(2002, 1, 1)).select(
+        "metadata_concept_id", "name", "value_as_string", "value_as_concept_id", "value_as_number")
+
+
+QUERIES["normalize_empty"] = _nobody
+CHECKS["normalize_empty"] = with_views("""
+    SELECT CAST(0 AS INTEGER) AS metadata_concept_id, concat(side, ' row count: drug_exposure') AS name, CAST(NULL AS VARCHAR) AS value_as_string,
+           CAST(0 AS INTEGER) AS value_as_concept_id, CAST((SELECT count(*) FROM f_raw_drug WHERE person_id = 'nobody') AS DOUBLE) AS value_as_number
+    FROM (VALUES ('Valid'), ('Invalid')) t(side)""")

@@ -5,9 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook.views import Views, with_views
-from medloom.operators import merge, runlog
+from medloom.operators import merge, metrics, runlog
+from medloom.plans import report
+from medloom.sources import publish, storage
 
 QUERIES, CHECKS = {}, {}
 
@@ -39,6 +42,35 @@ _CHUNKS = ("chunks", f"""
 
 QUERIES["merge_chunks"] = _chunks
 CHECKS["merge_chunks"] = with_views("SELECT * FROM chunks", _CHUNKS)
+
+
+def _staged(v: Views):
+    """The same sites written and read back, beside a site that sent nobody and one that is not part of the merge."""
+    root = storage.scratch_path(v.spark, "merge")
+    people = v.sql(_PEOPLE)
+    named, fields = [], {}
+    for i, name in enumerate(["site0", "site1", "site2", "empty", "foreign"]):
+        df = people.filter(F.col("nation") % 3 == i if i < 3 else F.col("nation") == (-1 if i == 3 else 2)).drop("nation")
+        df = df if i == 0 else df.drop("year_of_birth")
+        chunk = merge.extract_chunk(df, "person", name, _DAY + dt.timedelta(i), f"Site {i}")
+        publish.write_chunk(chunk, root, "person", name, _DAY + dt.timedelta(i))
+        if name != "foreign":
+            named.append((name, _DAY + dt.timedelta(i)))
+            fields |= {f.name: f for f in chunk.schema}
+    return publish.read_chunks(v.spark, root, "person", named, T.StructType(list(fields.values())))
+
+
+QUERIES["merge_staged"] = _staged
+CHECKS["merge_staged"] = with_views("SELECT * FROM chunks", _CHUNKS)
+QUERIES["merge_report"] = lambda v: metrics.finish_report(
+    report.merge(v.spark, merge.delivery_counts(_chunks(v))), dt.datetime(2024, 5, 4, 9)).drop("metadata_id")
+CHECKS["merge_report"] = with_views("""
+    SELECT CAST(0 AS INTEGER) AS metadata_concept_id, CAST(32880 AS INTEGER) AS metadata_type_concept_id, name, value_as_string,
+           CAST(0 AS INTEGER) AS value_as_concept_id, CAST(n AS DOUBLE) AS value_as_number, DATE '2024-05-04' AS metadata_date,
+           TIMESTAMP '2024-05-04 09:00:00' AS metadata_datetime
+    FROM (SELECT DISTINCT 'Merge source site' AS name, site AS value_as_string, NULL AS n FROM chunks
+          UNION ALL SELECT 'Merge source delivery row count', concat(site, '__', delivery_date), count(*) FROM chunks GROUP BY site, delivery_date
+          UNION ALL SELECT 'Merge total row count', NULL, count(*) FROM chunks)""", _CHUNKS)
 QUERIES["merge_reconcile"] = lambda v: merge.reconcile(_chunks(v))
 CHECKS["merge_reconcile"] = with_views("SELECT person_id, year_of_birth, care_site_id FROM chunks", _CHUNKS)
 QUERIES["merge_counts"] = lambda v: merge.delivery_counts(_chunks(v))
@@ -65,6 +97,7 @@ SELECT 'Merged records' AS cdm_source_name, 'MR' AS cdm_source_abbreviation, 'Co
 
 # ---- run log ----
 
+_SITE = "site 3"
 _START = "timestamp_ntz'2024-05-01 10:00:00'"
 _END = "timestamp_ntz'2024-05-01 11:00:00'"
 
@@ -128,3 +161,5 @@ CHECKS["runlog_state"] = with_views(_STATE, *_STEPS)
 QUERIES["latest_completed"] = lambda v: runlog.latest_completed(_state(v))
 CHECKS["latest_completed"] = with_views(
     f"SELECT site_name, max(delivery_date) AS delivery_date FROM ({_STATE}) WHERE status = 'completed' GROUP BY 1", *_STEPS)
+QUERIES["log_rows"] = lambda v: runlog.log_rows(_state(v), _SITE, F.col("delivery_date"))
+CHECKS["log_rows"] = with_views(f"SELECT * FROM ({_STATE}) WHERE site_name = '{_SITE}'", *_STEPS)

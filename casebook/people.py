@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.views import Views, with_views
-from medloom.operators import participants as p
+from medloom.operators import metrics, participants as p
+from medloom.plans import report
 
 QUERIES, CHECKS = {}, {}
 
@@ -28,7 +29,7 @@ _STATUSES = ["verified_status", "consent_withdrawn", "hipaa_revoked", "data_dest
 
 def _labelled(v: Views) -> DataFrame:
     """The registry with its status labels; a blank one now and then."""
-    labels = F.create_map(*[F.lit(x) for pair in p.STATUS_LABELS.items() for x in pair])
+    labels = F.create_map(*[F.lit(x) for pair in _LABELS.items() for x in pair])
     registry = v["f_registry"]
     for name in _STATUSES:
         code = F.coalesce(F.col(f"{name}_concept_id"), F.lit(""))
@@ -57,21 +58,9 @@ _UNMATCHED = ("unmatched", f"""
     UNION SELECT person_id FROM ({_BAD_ROWS}) WHERE trim(person_id) <> '' AND try_cast(person_id AS BIGINT) IS NULL""")
 QUERIES["unmatched_ids"] = lambda v: p.unmatched_ids(v.sql(_ROWS), v["f_registry"], v.sql(_BAD_ROWS))
 CHECKS["unmatched_ids"] = with_views("SELECT * FROM unmatched", _KNOWN, _UNMATCHED)
-# Lists of at most 50 ids a part, so that long lists show how they continue.
-_PART = 50
-
-
-def _listed(ids: str, column: str, total: str) -> str:
-    return f"""
-    SELECT CAST((n - 1) // {_PART} AS INTEGER) AS part, ({total}) AS patient_count,
-           string_agg(CAST({column} AS VARCHAR), '|' ORDER BY {column}) AS patient_ids
-    FROM (SELECT {column}, row_number() OVER (ORDER BY {column}) AS n FROM {ids}) GROUP BY 1"""
-
-
-QUERIES["ids_not_in_registry"] = lambda v: p.unmatched_report(
-    v.sql(_ROWS), v["f_registry"], v.sql(_BAD_ROWS), _PART)
-CHECKS["ids_not_in_registry"] = with_views(
-    _listed("unmatched", "unmatched_id", "SELECT count(*) FROM unmatched"), _KNOWN, _UNMATCHED)
+QUERIES["ids_not_in_registry"] = lambda v: p.patient_count(
+    p.unmatched_ids(v.sql(_ROWS), v["f_registry"], v.sql(_BAD_ROWS)))
+CHECKS["ids_not_in_registry"] = with_views("SELECT count(*) AS patient_count FROM unmatched", _KNOWN, _UNMATCHED)
 
 _UNDELIVERED = ("undelivered", f"""
     SELECT DISTINCT CAST(connect_id AS BIGINT) AS connect_id FROM f_registry
@@ -81,14 +70,19 @@ _UNDELIVERED = ("undelivered", f"""
       AND CAST(connect_id AS BIGINT) NOT IN (SELECT person_id FROM f_person)""")
 QUERIES["registry_not_delivered"] = lambda v: p.undelivered_ids(v["f_registry"], v["f_person"])
 CHECKS["registry_not_delivered"] = with_views("SELECT * FROM undelivered", _UNDELIVERED)
-QUERIES["registry_not_delivered_report"] = lambda v: p.undelivered_report(v["f_registry"], v["f_person"])
-CHECKS["registry_not_delivered_report"] = with_views(
-    "SELECT CAST(0 AS INTEGER) AS part, count(*) AS patient_count,"
-    " string_agg(CAST(connect_id AS VARCHAR), '|' ORDER BY connect_id) AS patient_ids FROM undelivered", _UNDELIVERED)
+QUERIES["registry_not_delivered_report"] = lambda v: p.patient_count(p.undelivered_ids(v["f_registry"], v["f_person"]))
+CHECKS["registry_not_delivered_report"] = with_views("SELECT count(*) AS patient_count FROM undelivered", _UNDELIVERED)
+
+# Codes and labels as the registry writes them.
+_LABELS = {
+    "197316935": "Verified", "875007964": "Not Yet Verified", "290379732": "No Longer Enrolling",
+    "160161595": "Outreach timed Out", "922622075": "Duplicate", "219863910": "Cannot be Verified", "104430631": "No",
+    "353358909": "Yes",
+}
 
 
-def _breakdown_sql() -> str:
-    names = "MAP {" + ", ".join(f"'{code}': '{label}'" for code, label in p.STATUS_LABELS.items()) + "}"
+def _statuses_sql() -> str:
+    names = "MAP {" + ", ".join(f"'{code}': '{label}'" for code, label in _LABELS.items()) + "}"
     branches = []
     for status in _STATUSES:
         code = f"CAST({status}_concept_id AS BIGINT)"
@@ -96,15 +90,75 @@ def _breakdown_sql() -> str:
                  f" ELSE coalesce({names}[{status}_concept_id], 'UNKNOWN') END")
         listed = f"{code} <> 197316935" if status == "verified_status" else f"{code} = 353358909"
         branches.append(f"""
-        SELECT '{status}' AS status_kind, {label} AS status_value, {code} AS status_concept_id,
-               count(DISTINCT connect_id) AS patient_count,
-               coalesce(string_agg(connect_id, '|' ORDER BY CAST(connect_id AS BIGINT)) FILTER ({listed}), '') AS patient_ids
-        FROM f_registry WHERE CAST(connect_id AS BIGINT) IN (SELECT person_id FROM f_person) GROUP BY 1, 2, 3""")
-    return "SELECT *, CAST(0 AS INTEGER) AS part FROM (" + " UNION ALL ".join(branches) + ")"
+        SELECT DISTINCT '{status}' AS status_kind, {label} AS status_value, {code} AS status_concept_id,
+               CAST(connect_id AS BIGINT) AS person_id, coalesce({listed}, FALSE) AS listed
+        FROM f_registry WHERE CAST(connect_id AS BIGINT) IN (SELECT person_id FROM f_person)""")
+    return " UNION ALL ".join(branches)
 
 
 QUERIES["status_breakdown"] = lambda v: p.status_breakdown(_labelled(v), v["f_person"])
-CHECKS["status_breakdown"] = with_views(_breakdown_sql())
+CHECKS["status_breakdown"] = with_views(f"""
+    SELECT status_kind, status_value, status_concept_id, count(DISTINCT person_id) AS patient_count
+    FROM ({_statuses_sql()}) GROUP BY 1, 2, 3""")
+QUERIES["status_ids"] = lambda v: p.status_ids(_labelled(v), v["f_person"])
+CHECKS["status_ids"] = with_views(
+    f"SELECT status_kind, status_value, status_concept_id, person_id FROM ({_statuses_sql()}) WHERE listed")
+
+# ---- the study summary ----
+
+
+def _summary(v: Views) -> DataFrame:
+    tables = {"person": v["f_person"], "death": v.sql(_ROWS)}
+    registry, invalid = _labelled(v), {"death": v.sql(_BAD_ROWS)}
+    valid = metrics.metric_frame(v.spark, [metrics.Metric("Valid row count: person", value_as_number=7.0)])
+    found = metrics.unite([valid, report.registry(tables, registry, invalid)])
+    return report.study_summary(v.spark, found, report.registry_ids(tables, registry, invalid))
+
+
+_TABLES = ["condition_era", "condition_occurrence", "death", "device_exposure", "dose_era", "drug_era", "drug_exposure",
+           "episode", "measurement", "note", "observation", "observation_period", "payer_plan_period", "person",
+           "procedure_occurrence", "specimen", "visit_detail", "visit_occurrence"]
+# (title, kind, value, whether ids follow)
+_TITLES = [
+    ("Consent withdrawn", "consent_withdrawn", "yes", True), ("Consent not withdrawn", "consent_withdrawn", "no", False),
+    ("HIPAA revoked", "hipaa_revoked", "yes", True), ("HIPAA not revoked", "hipaa_revoked", "no", False),
+    ("Data destruction requested", "data_destruction_requested", "yes", True),
+    ("Data destruction not requested", "data_destruction_requested", "no", False),
+    ("Study status - Verified", "verified_status", "verified", False),
+    *[(f"Study status - {t}", "verified_status", t.lower(), True) for t in (
+        "Duplicate", "Not Yet Verified", "Cannot be Verified", "No Longer Enrolling", "Outreach Timed Out")],
+]
+
+
+def _summary_sql() -> str:
+    """One branch for each line, and one for the ids below it."""
+    out, line = ["SELECT 0 AS line_no, CAST(NULL AS VARCHAR) AS id, 'Person record count: 7' AS line"], 2
+
+    def counted(text: str, ids: str, with_ids: bool) -> None:
+        nonlocal line
+        after = "):" if with_ids else ""
+        before = f"{text} (" if with_ids else f"{text}: "
+        out.append(f"SELECT {line}, CAST(NULL AS VARCHAR), concat('{before}', (SELECT count(*) FROM ({ids})), '{after}')")
+        if with_ids:
+            out.append(f"SELECT {line}, CAST(id AS VARCHAR), concat('    ', id) FROM ({ids})")
+        line += 1
+
+    delivered = {"death": "SELECT unmatched_id AS id FROM unmatched",
+                 "person": "SELECT DISTINCT person_id AS id FROM f_person WHERE person_id <> -1 AND person_id NOT IN (SELECT id FROM known)"}
+    total = " UNION ALL ".join(f"SELECT CAST(id AS VARCHAR) FROM ({ids})" for ids in delivered.values())
+    out.append(f"SELECT 1, CAST(NULL AS VARCHAR), concat('Delivered study ids not found in registry (', (SELECT count(*) FROM ({total})), '):')")
+    for table in _TABLES:
+        counted(f"  {table}", delivered.get(table, "SELECT 1 AS id WHERE FALSE"), True)
+    for title, kind, value, with_ids in _TITLES:
+        counted(title, f"SELECT DISTINCT person_id AS id FROM statuses WHERE status_kind = '{kind}' AND lower(status_value) = '{value}'"
+                + (" AND listed" if with_ids else ""), with_ids)
+    counted("Eligible participants not in delivery", "SELECT connect_id AS id FROM undelivered", True)
+    return " UNION ALL ".join(out)
+
+
+QUERIES["study_summary"] = _summary
+CHECKS["study_summary"] = with_views(
+    _summary_sql(), _KNOWN, _UNMATCHED, _UNDELIVERED, ("statuses", _statuses_sql()))
 
 
 def _decode_sql() -> str:

@@ -18,19 +18,19 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
 
 
-def has_repeated_keys(df: DataFrame, key: str) -> bool:
-    return not repeated_keys(df, key).isEmpty()
-
-
 def repair_keys(df: DataFrame, key: str) -> DataFrame:
     """Make the key unique: the first row keeps it, the others get new ones.
 
+    Without repeated keys the frame itself comes back.
+
     Rows with one key are ordered by their content. Only rows whose key
     repeats are moved; equal copies travel as one row with a count, and
     different rows of one key are numbered bucket by bucket.
     """
     others = [c for c in df.columns if c != key]
     keys = materialize(repeated_keys(df, key).select(key), "repeated-keys")
+    if keys.isEmpty():
+        return df
     tagged = lookup_join(df, keys.withColumn("_repeats", F.lit(True)), key, bound=keys, narrow=False)
     unique = tagged.filter(F.col("_repeats").isNull()).select(*df.columns)
     repeated = tagged.filter(F.col("_repeats").isNotNull()).select(*df.columns)

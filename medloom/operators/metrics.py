@@ -66,7 +66,11 @@ def as_metrics(
 
 
 def finish_report(metrics: DataFrame, run_at: dt.datetime) -> DataFrame:
-    """Complete metric rows to the nine columns of the metadata table."""
+    """Complete metric rows to the nine columns of the metadata table.
+
+    A metric that is about no concept has the concept 0.
+    """
+    metrics = metrics.fillna(0, ["metadata_concept_id", "value_as_concept_id"])
     identity = F.xxhash64("name", "value_as_string", "value_as_concept_id", "value_as_number")
     return metrics.select(
         F.pmod(identity, F.lit(2**31 - 1)).cast("int").alias("metadata_id"), "metadata_concept_id",

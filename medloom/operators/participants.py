@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from medloom.functions.casts import as_long, whole_number
 from medloom.operators.joins import lookup_join
-from medloom.operators.ranking import LIST_ROWS, id_lists
 
 VERIFIED = 197316935
 YES = 353358909
@@ -146,12 +145,9 @@ def unmatched_ids(df: DataFrame, registry: DataFrame, invalid: DataFrame | None
     return out
 
 
-def unmatched_report(
-    df: DataFrame, registry: DataFrame, invalid: DataFrame | None = None, list_rows: int = LIST_ROWS,
-) -> DataFrame:
-    """Number of unmatched ids and their ordered list, in parts if it is long."""
-    ids = unmatched_ids(df, registry, invalid)
-    return _counted_list(ids, "unmatched_id", list_rows)
+def patient_count(ids: DataFrame) -> DataFrame:
+    """How many ids there are; one row, also where there are none."""
+    return ids.agg(F.count(F.lit(1)).alias("patient_count"))
 
 
 def undelivered_ids(registry: DataFrame, person: DataFrame) -> DataFrame:
@@ -170,20 +166,6 @@ def undelivered_ids(registry: DataFrame, person: DataFrame) -> DataFrame:
     return ids.distinct().join(delivered, "connect_id", "left_anti")
 
 
-def undelivered_report(registry: DataFrame, person: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    ids = undelivered_ids(registry, person)
-    return _counted_list(ids, "connect_id", list_rows)
-
-
-def _counted_list(ids: DataFrame, column: str, list_rows: int) -> DataFrame:
-    """The count beside each part of the list; one empty part if there are none."""
-    total = ids.agg(F.count(F.lit(1)).alias("patient_count"), F.lit(1).alias("_one"))
-    lists = id_lists(ids, [], column, list_rows).withColumn("_one", F.lit(1))
-    return total.join(lists, "_one", "left").select(
-        F.coalesce("part", F.lit(0)).alias("part"), "patient_count", F.coalesce("ids", F.lit("")).alias("patient_ids")
-    )
-
-
 def matched_people(registry: DataFrame, person: DataFrame) -> DataFrame:
     """Registry statuses of the delivered people."""
 
@@ -199,28 +181,33 @@ def matched_people(registry: DataFrame, person: DataFrame) -> DataFrame:
     return statuses.join(delivered, "person_id", "left_semi")
 
 
-def status_breakdown(registry: DataFrame, person: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """Delivered people per status of each kind.
+_STATUS = ["status_kind", "status_value", "status_concept_id"]
 
-    Ids are listed only where the status excludes. All four kinds come from
-    one pass over the matched people.
-    """
+
+def _statuses(registry: DataFrame, person: DataFrame) -> DataFrame:
+    """One row per delivered person and kind of status."""
     kinds = F.array(*[
         F.struct(
             F.lit(name).alias("status_kind"), F.col(name).alias("status_value"),
             F.col(f"{name}_concept_id").alias("status_concept_id"),
         ) for name in STATUS_VARIABLES
     ])
-    rows = matched_people(registry, person).select("person_id", F.explode(kinds).alias("k")).select("person_id", "k.*")
-    group = ["status_kind", "status_value", "status_concept_id"]
-    counts = rows.groupBy(*group).agg(F.countDistinct("person_id").alias("patient_count"))
+    rows = matched_people(registry, person).select("person_id", F.explode(kinds).alias("k"))
+    return rows.select("person_id", "k.*")
+
+
+def status_breakdown(registry: DataFrame, person: DataFrame) -> DataFrame:
+    """Delivered people per status of each kind.
+
+    All four kinds come from one pass over the matched people.
+    """
+    return _statuses(registry, person).groupBy(*_STATUS).agg(F.countDistinct("person_id").alias("patient_count"))
+
+
+def status_ids(registry: DataFrame, person: DataFrame) -> DataFrame:
+    """The people whose status excludes them, a row for each person and status."""
     excludes = (
         ((F.col("status_kind") == "verified_status") & (F.col("status_concept_id") != VERIFIED))
         | ((F.col("status_kind") != "verified_status") & (F.col("status_concept_id") == YES))
     )
-    lists = id_lists(rows.filter(excludes), group, "person_id", list_rows)
-    same = [counts[c].eqNullSafe(lists[c]) for c in group]
-    return counts.join(lists, same, "left").select(
-        *[counts[c] for c in group], F.coalesce(lists["part"], F.lit(0)).alias("part"), "patient_count",
-        F.coalesce(lists["ids"], F.lit("")).alias("patient_ids"),
-    )
+    return _statuses(registry, person).filter(excludes).select(*_STATUS, "person_id").distinct()

@@ -10,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medloom.sources.storage import materialize
-
-LIST_ROWS = 100_000
-
 
 def number_rows(
     df: DataFrame, group: list[str], bucket: Column, order: list[str], weight: str | None = None, out: str = "_n",
@@ -37,23 +33,3 @@ def number_rows(
         .withColumn(out, F.col("_start") + F.col("_within") + 1)
         .drop("_bucket", "_within", "_start")
     )
-
-
-def id_lists(df: DataFrame, group: list[str], id_column: str, list_rows: int = LIST_ROWS) -> DataFrame:
-    """Ordered, pipe-separated ids per group: (group, part, ids).
-
-    A list longer than ``list_rows`` continues in further parts, so no value
-    grows with the data. Buckets are ranges of ids found by sampling; they are
-    written, since another run of the sampling may draw other borders.
-    """
-    # A struct is equal to itself even where a field of it is NULL.
-    grouped = df.select(*group, id_column, F.struct(F.lit(0).alias("_"), *group).alias("_group"))
-    ranged = materialize(
-        grouped.repartitionByRange("_group", id_column).withColumn("_range", F.spark_partition_id()), "id-ranges"
-    )
-    numbered = number_rows(ranged, ["_group"], F.col("_range"), [id_column])
-    return (
-        numbered.withColumn("part", ((F.col("_n") - 1) / list_rows).cast("int"))
-        .groupBy(*group, "part")
-        .agg(F.expr(f"listagg(CAST({id_column} AS STRING), '|') WITHIN GROUP (ORDER BY {id_column})").alias("ids"))
-    )

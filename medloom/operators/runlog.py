@@ -24,12 +24,20 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+def _latest(updates: DataFrame, on: list[str], moment: str) -> DataFrame:
+    """One update per key, the last; of several at one moment the greatest row."""
+    others = [c for c in updates.columns if c not in on and c != moment]
+    latest = updates.groupBy(*on).agg(F.max(F.struct(moment, *others)).alias("_last"))
+    return latest.select(*on, *[F.col(f"_last.{c}").alias(c) for c in updates.columns if c not in on])
+
+
 def log_started(log: DataFrame, starts: DataFrame) -> DataFrame:
     """Add new deliveries and reset those that run again.
 
-    ``starts`` holds one row per delivery: its key, pipeline_start_datetime,
+    ``starts`` holds, for each delivery (the last row counts), its key, pipeline_start_datetime,
     file_format, cdm_version, run_id and optionally message.
     """
+    starts = _latest(starts, KEY, "pipeline_start_datetime")
     again = log.select(*KEY).withColumn("_known", F.lit(True))
     note = F.col("message") if "message" in starts.columns else F.lit(None)
     fixed = {
@@ -60,21 +68,23 @@ def log_running(log: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def log_completed(log: DataFrame, ends: DataFrame) -> DataFrame:
-    """``ends``: one row per delivery with its pipeline_end_datetime."""
+    """``ends``: for each delivery (the last row counts) its pipeline_end_datetime."""
     changes = {
         "status": F.lit(COMPLETED), "pipeline_end_datetime": F.col("_pipeline_end_datetime"), "message": F.lit(None),
     }
-    return _update(log, ends.select(*KEY, "pipeline_end_datetime"), KEY, changes, F.lit(False))
+    ends = _latest(ends.select(*KEY, "pipeline_end_datetime"), KEY, "pipeline_end_datetime")
+    return _update(log, ends, KEY, changes, F.lit(False))
 
 
 def log_failed(log: DataFrame, errors: DataFrame) -> DataFrame:
-    """``errors``: one row per run_id with pipeline_end_datetime and message."""
+    """``errors``: for each run_id (the last row counts) its pipeline_end_datetime and message."""
     keep = (F.coalesce(F.col("message"), F.lit("")) != "") & (F.col("_message") == GENERIC_FAILURE)
     changes = {
         "status": F.lit(ERROR), "pipeline_end_datetime": F.col("_pipeline_end_datetime"),
         "message": F.when(keep, F.col("message")).otherwise(F.col("_message")),
     }
-    return _update(log, errors.select("run_id", "pipeline_end_datetime", "message"), ["run_id"], changes, F.lit(False))
+    errors = _latest(errors.select("run_id", "pipeline_end_datetime", "message"), ["run_id"], "pipeline_end_datetime")
+    return _update(log, errors, ["run_id"], changes, F.lit(False))
 
 
 def log_rows(log: DataFrame, site: str, delivery_date) -> DataFrame:

@@ -64,7 +64,10 @@ def ingredients(concept: DataFrame, ancestor: DataFrame) -> DataFrame:
 
 
 def drug_era(drug: DataFrame, concept: DataFrame, ancestor: DataFrame, site: str) -> DataFrame:
-    """Spans of one ingredient: overlapping exposures first, then gaps of up to 30 days."""
+    """Spans of one ingredient: overlapping exposures first, then gaps of up to 30 days.
+
+    Exposure ids are unique after key repair, so exposures are counted as rows.
+    """
     known = drug.filter((F.col("drug_concept_id") != 0) & _known_person(drug))
     start = F.col("drug_exposure_start_date").cast("date")
     end = F.coalesce(
@@ -74,11 +77,11 @@ def drug_era(drug: DataFrame, concept: DataFrame, ancestor: DataFrame, site: str
     exposures = known.select(
         "drug_exposure_id", "person_id", "drug_concept_id", start.alias("start"), F.greatest(start, end).alias("end")
     ).filter("start IS NOT NULL")
-    by_ingredient = lookup_join(exposures, ingredients(concept, ancestor), "drug_concept_id", "inner")
+    by_ingredient = lookup_join(exposures, ingredients(concept, ancestor).distinct(), "drug_concept_id", "inner")
     key = ["person_id", "ingredient_concept_id"]
     # One row a day, however many exposures start on it.
     days = by_ingredient.groupBy(*key, "start").agg(
-        F.max("end").alias("end"), F.countDistinct("drug_exposure_id").alias("exposures")
+        F.max("end").alias("end"), F.count("drug_exposure_id").alias("exposures")
     )
     overlaps = merge_intervals(days, key, "start", "end", 0, [F.sum("exposures").alias("exposures")])
     spans = overlaps.select(

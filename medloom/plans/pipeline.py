@@ -78,6 +78,7 @@ def process(
     tables = {t: globalize_keys(df, t, site.name) for t, df in upgraded.items() if df is not None}
     if registry is not None:
         metrics.append(report.registry(tables, registry, invalid))
+        ids = publish.write_parquet(report.registry_ids(tables, registry, invalid), f"{root}/{publish.REPORT}/registry_ids")
         for table, df in tables.items():
             if "person_id" in df.columns:
                 metrics.append(report.removals(participants.removal_counts(df, registry), table))
@@ -89,9 +90,10 @@ def process(
         metrics += counted
         # What stays in the table comes back with the routed rows.
         del tables[table]
-    for table, df in route_all(harmonized, site.name).items():
-        keyed = repair_keys(df, schema.primary_key(table)) if table in schema.SURROGATE_KEY_TABLES else df
-        tables[table] = publish.write_parquet(keyed, f"{root}/{publish.ROUTED}/{table}")
+    # Tables that were delivered stay, even if no row is routed to them.
+    routed = {t: spark.createDataFrame([], schema.layout(t)) for t in harmonized} | route_all(harmonized, site.name)
+    for table, df in routed.items():
+        tables[table] = _with_unique_keys(publish.write_parquet(df, f"{root}/{publish.ROUTED}/{table}"), table, root)
     for table in [t for t in tables if t not in schema.HARMONIZED_TABLES]:
         tables[table] = publish.write_parquet(tables[table], f"{root}/{publish.CONVERTED}_final/{table}")
     for name, statements in site.tasks.items():
@@ -119,8 +121,8 @@ def process(
     rows = publish.write_parquet(report.generate(about, metrics, run_at), f"{root}/{publish.REPORT}/rows")
     publish.write_csv(rows, f"{root}/{publish.REPORT}/delivery_report")
     if registry is not None:
-        lines = report.study_summary(spark, rows)
-        publish.write_lines(lines, ["line_no", "part"], f"{root}/{publish.REPORT}/study_summary")
+        lines = report.study_summary(spark, rows, ids)
+        publish.write_lines(lines, ["line_no", "id"], f"{root}/{publish.REPORT}/study_summary")
     return Processed(tables, invalid, rows)
 
 
@@ -133,6 +135,14 @@ def _normalized(df: DataFrame, table: str, site: Site, root: str) -> tuple[DataF
     return back.valid, back.invalid, back.row_counts()
 
 
+def _with_unique_keys(written: DataFrame, table: str, root: str) -> DataFrame:
+    """A routed table, written anew only if keys had to be repaired."""
+    if table not in schema.SURROGATE_KEY_TABLES:
+        return written
+    keyed = repair_keys(written, schema.primary_key(table))
+    return written if keyed is written else publish.write_parquet(keyed, f"{root}/{publish.ROUTED}_keyed/{table}")
+
+
 def _delivered_vocabulary(tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
     name = "Delivered vocabulary version"
     if "vocabulary" not in tables:

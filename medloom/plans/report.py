@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medloom import schema
@@ -217,30 +217,44 @@ def secondary_backfill(counts: DataFrame, table: str) -> DataFrame:
                         number=F.col("row_count"))
 
 
+def _breakdown_name() -> Column:
+    labels = F.create_map(*[F.lit(x) for pair in _STATUS_KINDS.items() for x in pair])
+    return F.concat(F.lit(f"{_BREAKDOWN}: "), labels[F.col("status_kind")], F.lit(" ("), F.col("status_value"), F.lit(")"))
+
+
 def registry(
     tables: dict[str, DataFrame], registered: DataFrame, invalid: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Delivered people against the registry.
+    """Counts of delivered people against the registry; ``registry_ids`` has the ids behind them."""
+    person = tables["person"]
+    parts = [
+        m.as_metrics(p.status_breakdown(registered, person), _breakdown_name(), number=F.col("patient_count"),
+                     concept=F.col("status_concept_id")),
+        m.as_metrics(p.patient_count(p.undelivered_ids(registered, person)), F.lit(_UNDELIVERED),
+                     number=F.col("patient_count")),
+    ]
+    for table, df in tables.items():
+        if "person_id" in df.columns:
+            rows = p.patient_count(p.unmatched_ids(df, registered, (invalid or {}).get(table)))
+            parts.append(m.as_metrics(rows, F.lit(f"{_UNMATCHED}: {table}"), number=F.col("patient_count")))
+    return m.unite(parts)
 
-    A list in parts carries its total on the first part only.
-    """
-    def counted(rows: DataFrame, name: Column, concept: Column | None = None) -> DataFrame:
-        total = F.when(F.col("part") == 0, F.col("patient_count"))
-        return m.as_metrics(rows, name, F.col("patient_ids"), total, concept)
 
+def registry_ids(
+    tables: dict[str, DataFrame], registered: DataFrame, invalid: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """(name, id): the ids behind each metric of ``registry`` that names people, as text."""
     person = tables["person"]
-    labels = F.create_map(*[F.lit(x) for pair in _STATUS_KINDS.items() for x in pair])
-    statuses = p.status_breakdown(registered, person)
-    name = F.concat(F.lit(f"{_BREAKDOWN}: "), labels[F.col("status_kind")], F.lit(" ("), F.col("status_value"), F.lit(")"))
     parts = [
-        counted(statuses, name, F.col("status_concept_id")),
-        counted(p.undelivered_report(registered, person), F.lit(_UNDELIVERED)),
+        p.status_ids(registered, person).select(_breakdown_name().alias("name"), F.col("person_id").cast("string").alias("id")),
+        p.undelivered_ids(registered, person).select(
+            F.lit(_UNDELIVERED).alias("name"), F.col("connect_id").cast("string").alias("id")),
     ]
     for table, df in tables.items():
         if "person_id" in df.columns:
-            rows = p.unmatched_report(df, registered, (invalid or {}).get(table))
-            parts.append(counted(rows, F.lit(f"{_UNMATCHED}: {table}")))
-    return m.unite(parts)
+            ids = p.unmatched_ids(df, registered, (invalid or {}).get(table))
+            parts.append(ids.select(F.lit(f"{_UNMATCHED}: {table}").alias("name"), F.col("unmatched_id").alias("id")))
+    return m.unite(parts).distinct()
 
 
 def merge(spark: SparkSession, counts: DataFrame) -> DataFrame:
@@ -285,11 +299,12 @@ def generate(delivery: Delivery, earlier: list[DataFrame], run_at: dt.datetime)
     return consolidate([*earlier, *[make(delivery) for make in ARTIFACTS.values()]], run_at)
 
 
-def study_summary(spark: SparkSession, metrics: DataFrame) -> DataFrame:
-    """Lines of the plain-text summary: (line_no, part, line).
+def study_summary(spark: SparkSession, metrics: DataFrame, ids: DataFrame) -> DataFrame:
+    """Lines of the plain-text summary: (line_no, id, line).
 
+    A line with a count has no id; the ids it counts follow, one to a line.
     Status labels match without regard to case, as the registry writes one of
-    them differently. Ids of a long list continue on lines of their own.
+    them differently.
     """
     tables = sorted(t for t in schema.tables() if "person_id" in schema.layout(t).names)
 
@@ -299,34 +314,30 @@ def study_summary(spark: SparkSession, metrics: DataFrame) -> DataFrame:
     # (metric, text before the count, text after it, whether ids follow)
     wanted = [("Valid row count: person", "Person record count: ", "", False)]
     wanted.append(("*unmatched", "Delivered study ids not found in registry (", "):", False))
-    wanted += [(f"{_UNMATCHED}: {t}", f"  {t}: ", None, True) for t in tables]
+    wanted += [(f"{_UNMATCHED}: {t}", f"  {t} (", "):", True) for t in tables]
     for title, kind, yes, no in (
         ("Consent withdrawn", "Consent withdrawn status", "Consent withdrawn", "Consent not withdrawn"),
         ("HIPAA revoked", "HIPAA revoked status", "HIPAA revoked", "HIPAA not revoked"),
         ("Data destruction", "Data destruction status", "Data destruction requested", "Data destruction not requested"),
     ):
-        wanted.append((breakdown(kind, "Yes"), f"{yes} (", "): ", True))
+        wanted.append((breakdown(kind, "Yes"), f"{yes} (", "):", True))
         wanted.append((breakdown(kind, "No"), f"{no}: ", "", False))
     for status in STUDY_STATUSES:
         verified = status == "Verified"
         wanted.append((breakdown("Study status", status), f"Study status - {status}" + (": " if verified else " ("),
-                       "" if verified else "): ", not verified))
-    wanted.append((_UNDELIVERED, "Eligible participants not in delivery (", "): ", True))
-    plan = spark.createDataFrame(
+                       "" if verified else "):", not verified))
+    wanted.append((_UNDELIVERED, "Eligible participants not in delivery (", "):", True))
+    plan = F.broadcast(spark.createDataFrame(
         [(i, w[0].lower(), w[1], w[2], w[3]) for i, w in enumerate(wanted)],
-        "line_no int, key string, before string, after string, with_ids boolean")
-
-    per_name = metrics.select(
-        F.lower("name").alias("key"), F.translate(F.coalesce("value_as_string", F.lit("")), "|", ",").alias("ids"),
-        F.col("value_as_number").alias("n"),
-    )
-    every = per_name.filter(F.col("key").startswith(_UNMATCHED.lower())).select(
-        F.lit("*unmatched").alias("key"), F.lit("").alias("ids"), "n"
-    ).groupBy("key", "ids").agg(F.sum("n").alias("n"))
-    # The first part is the one that carries the count.
-    order = Window.partitionBy("line_no").orderBy(F.col("n").isNull(), "ids")
-    joined = plan.join(per_name.unionByName(every), "key", "left").withColumn("part", F.row_number().over(order))
+        "line_no int, key string, before string, after string, with_ids boolean"))
+
+    key = F.lower("name").alias("key")
+    counts = metrics.select(key, F.col("value_as_number").alias("n"))
+    every = counts.filter(F.col("key").startswith(_UNMATCHED.lower())).select(F.lit("*unmatched").alias("key"), "n")
+    counts = counts.union(every).groupBy("key").agg(F.sum("n").alias("n"))
     count = F.format_string("%d", F.coalesce("n", F.lit(0)).cast("bigint"))
-    ids = F.when(F.col("with_ids"), F.coalesce("ids", F.lit(""))).otherwise("")
-    head = F.concat("before", F.when(F.col("after").isNotNull(), F.concat(count, F.col("after"))).otherwise(""), ids)
-    return joined.select("line_no", "part", F.when(F.col("part") == 1, head).otherwise(ids).alias("line"))
+    heads = plan.join(counts, "key", "left").select(
+        "line_no", F.lit(None).cast("string").alias("id"), F.concat("before", count, "after").alias("line"))
+    listed = ids.select(key, "id").join(plan.filter("with_ids"), "key").select(
+        "line_no", "id", F.concat(F.lit("    "), F.col("id")).alias("line"))
+    return heads.unionByName(listed)

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from medloom.sources.storage import LOCAL_FOLDER
+
 
 def local_session(cpus: int | None = None) -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
@@ -15,6 +17,7 @@ def local_session(cpus: int | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", LOCAL_FOLDER)
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom import schema
@@ -35,10 +38,10 @@ def folder_of(table: str) -> str:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a table and return it read back. Spark refuses a path the table reads from."""
+    """Write a table and return it read back, empty ones included. Spark refuses a path the table reads from."""
     writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
@@ -49,7 +52,7 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header. For reports, whose size the model bounds.
+    """One CSV file with a header. For reports, whose size the model bounds: counts, no ids.
 
     The shuffle keeps the work that leads to the report parallel.
     """
@@ -57,8 +60,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_lines(lines: DataFrame, order: list[str], path: str) -> None:
-    """One text file of a short report's lines in order."""
-    lines.repartition(1).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
+    """Text files of lines that read in order, file after file. Parallel, as some lines are ids."""
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select("line").write.mode("overwrite").text(path)
 
 
 def export_registry(participants: DataFrame, root: str, site: Column | None = None) -> DataFrame:
@@ -66,20 +70,26 @@ def export_registry(participants: DataFrame, root: str, site: Column | None = No
     return write_parquet(decode_status(participants, site), f"{root}/{REGISTRY}")
 
 
-def write_chunk(chunk: DataFrame, root: str, table: str) -> None:
-    """Stage one site's chunk; chunks of a table lie side by side by provenance."""
-    writer = chunk.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*PROVENANCE).parquet(f"{root}/{CHUNKS}/{table}")
+def _chunk_path(root: str, table: str, site: str, delivery_date: dt.date) -> str:
+    return f"{root}/{CHUNKS}/{table}/site={quote(site, safe='')}/delivery_date={delivery_date.isoformat()}"
 
 
-def read_chunks(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All chunks of a table; a column some lack is NULL there."""
-    path = f"{root}/{CHUNKS}/{table}"
-    merged = spark.read.option("mergeSchema", True).parquet(path).schema
+def write_chunk(chunk: DataFrame, root: str, table: str, site: str, delivery_date: dt.date) -> None:
+    """Stage one site's chunk in a folder of its own; an empty one replaces what was there as well."""
+    path = _chunk_path(root, table, site, delivery_date)
+    chunk.drop(*PROVENANCE).write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def read_chunks(
+    spark: SparkSession, root: str, table: str, chunks: list[tuple[str, dt.date]], layout: T.StructType,
+) -> DataFrame:
+    """The named chunks of a table and no others; a column some lack is NULL there."""
     # Site names are text even where they look like numbers.
     kinds = {"site": T.StringType(), "delivery_date": T.DateType()}
-    layout = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in merged])
-    return spark.read.schema(layout).parquet(path)
+    fields = [f for f in layout if f.name not in kinds]
+    layout = T.StructType([*fields, *[T.StructField(n, k) for n, k in kinds.items()]])
+    paths = [_chunk_path(root, table, site, day) for site, day in chunks]
+    return spark.read.schema(layout).option("basePath", f"{root}/{CHUNKS}/{table}").parquet(*paths)
 
 
 def publish(df: DataFrame | None, table: str, layout: T.StructType | None = None, path: str | None = None) -> bool:
@@ -110,15 +120,31 @@ def create_missing(spark: SparkSession, database: str, version: str = "5.4") ->
     made = []
     for table, layout in schema.tables(version).items():
         name = f"{database}.{table}"
+        _recover(spark, name)
         if not spark.catalog.tableExists(name):
             spark.createDataFrame([], layout).write.format("parquet").saveAsTable(name)
             made.append(table)
             continue
         existing = spark.table(name)
         if [(f.name, f.dataType) for f in existing.schema] != [(f.name, f.dataType) for f in layout]:
-            # Written beside first: a table cannot be replaced while it is read.
-            staged = f"{name}_conformed"
-            conform(existing, layout).write.mode("overwrite").format("parquet").saveAsTable(staged)
-            spark.table(staged).write.mode("overwrite").format("parquet").saveAsTable(name)
-            spark.sql(f"DROP TABLE {staged}")
+            conform(existing, layout).write.mode("overwrite").format("parquet").saveAsTable(f"{name}_conformed")
+            _swap(spark, name)
     return made
+
+
+def _swap(spark: SparkSession, name: str) -> None:
+    """Put the conformed table in place by renaming; the former one goes last."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}_former")
+    spark.sql(f"ALTER TABLE {name}_conformed RENAME TO {name}")
+    spark.sql(f"DROP TABLE {name}_former")
+
+
+def _recover(spark: SparkSession, name: str) -> None:
+    """Finish a swap that was cut off: at every moment the rows are in a whole table."""
+    if spark.catalog.tableExists(f"{name}_former"):
+        if not spark.catalog.tableExists(name):
+            # Both new and former are whole; the new one is complete once the former was renamed.
+            spark.sql(f"ALTER TABLE {name}_conformed RENAME TO {name}")
+        spark.sql(f"DROP TABLE {name}_former")
+    elif spark.catalog.tableExists(f"{name}_conformed"):
+        spark.sql(f"DROP TABLE {name}_conformed")

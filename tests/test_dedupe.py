@@ -41,4 +41,5 @@ def test_repeated_keys(spark):
     df = spark.range(5).select(F.col("id") % 3)
     df = df.toDF("k")
     assert {(r.k, r.row_count) for r in dedupe.repeated_keys(df, "k").collect()} == {(0, 2), (1, 2)}
-    assert dedupe.has_repeated_keys(df, "k") and not dedupe.has_repeated_keys(df.distinct(), "k")
+    distinct = df.dropDuplicates(["k"])
+    assert dedupe.repair_keys(df, "k") is not df and dedupe.repair_keys(distinct, "k") is distinct

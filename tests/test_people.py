@@ -42,32 +42,37 @@ def test_filter_and_counts_agree(spark, registry, rows):
 def test_undelivered_needs_a_status(registry, spark):
     person = spark.createDataFrame([(1,)], "person_id bigint")
     assert sorted(r.connect_id for r in p.undelivered_ids(registry, person).collect()) == [8, 9]
-    row = p.undelivered_report(registry, person).first()
-    assert (row.part, row.patient_count, row.patient_ids) == (0, 2, "8|9")
+    assert p.patient_count(p.undelivered_ids(registry, person)).first().patient_count == 2
 
 
 def test_unmatched(registry, rows, spark):
     invalid = spark.createDataFrame([("abc", "q"), ("abc", " "), ("7", "z"), (None, "17")], "person_id string, connect_id string")
     assert {r.unmatched_id for r in p.unmatched_ids(rows, registry).collect()} == {"7"}
-    row = p.unmatched_report(rows, registry, invalid).first()
-    assert (row.patient_count, row.patient_ids) == (3, "7|q|z")
-    row = p.unmatched_report(rows, registry, invalid.select("person_id")).first()
-    assert row.patient_ids == "7|abc"
-    row = p.unmatched_report(rows.filter("person_id = '1'"), registry).first()
-    assert (row.part, row.patient_count, row.patient_ids) == (0, 0, "")
+    def found(*arguments):
+        return sorted(r.unmatched_id for r in p.unmatched_ids(*arguments).collect())
 
+    assert found(rows, registry, invalid) == ["7", "q", "z"]
+    assert found(rows, registry, invalid.select("person_id")) == ["7", "abc"]
+    none = p.unmatched_ids(rows.filter("person_id = '1'"), registry)
+    assert p.patient_count(none).first().patient_count == 0
 
-def test_breakdown_lists_ids_of_excluding_statuses(registry, spark):
+
+def test_breakdown_and_ids_of_excluding_statuses(registry, spark):
     person = spark.range(0, 10).select(F.col("id").alias("person_id"))
-    found = {(r.status_kind, r.status_value): (r.patient_count, r.patient_ids)
-             for r in p.status_breakdown(registry, person).collect()}
-    assert found[("verified_status", "Not Yet Verified")] == (1, "2")
-    assert found[("verified_status", "UNKNOWN")] == (1, "")
-    assert found[("verified_status", "Verified")][1] == ""
-    assert found[("consent_withdrawn", "Yes")] == (2, "3|9")
-    rows = p.status_breakdown(registry, person, list_rows=1).filter(
-        "status_kind = 'consent_withdrawn' AND status_value = 'Yes'").orderBy("part").collect()
-    assert [(r.part, r.patient_ids) for r in rows] == [(0, "3"), (1, "9")]
+    found = {(r.status_kind, r.status_value): r.patient_count for r in p.status_breakdown(registry, person).collect()}
+    assert found[("verified_status", "Not Yet Verified")] == 1 and found[("verified_status", "UNKNOWN")] == 1
+    assert found[("consent_withdrawn", "Yes")] == 2
+    ids = {}
+    for r in p.status_ids(registry, person).collect():
+        ids.setdefault((r.status_kind, r.status_value), set()).add(r.person_id)
+    assert ids[("verified_status", "Not Yet Verified")] == {2} and ids[("consent_withdrawn", "Yes")] == {3, 9}
+    assert ("verified_status", "UNKNOWN") not in ids and ("verified_status", "Verified") not in ids
+
+
+def test_ids_take_no_nested_loop(registry, rows, spark):
+    person = spark.createDataFrame([(1,)], "person_id bigint")
+    for df in (p.patient_count(p.unmatched_ids(rows, registry)), p.undelivered_ids(registry, person), p.status_ids(registry, person)):
+        assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_decode(spark):

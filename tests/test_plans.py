@@ -293,5 +293,52 @@ def test_whole_delivery(spark, tmp_path):
     assert texts["Source system extraction date"] == "2024-05-06" and texts["Delivered vocabulary version"] is None
     text = "".join(f.read_text() for f in (tmp_path / "out" / "artifacts/delivery_report/study_summary").glob("*.txt"))
     assert "Person record count: 2" in text and "Study status - Verified: 2" in text
-    assert "Eligible participants not in delivery (1): 8" in text and "Delivered study ids not found in registry (1):" in text
-    assert "  person: x" in text
+    assert "Eligible participants not in delivery (1):\n    8\n" in text and "Delivered study ids not found in registry (1):" in text
+    assert "  person (1):\n    x\n" in text
+    assert {r.value_as_concept_id is None or r.metadata_concept_id is None for r in done.report.collect()} == {False}
+
+
+def test_delivery_of_header_only_tables(spark, tmp_path):
+    from tests.test_people import REGISTRY, entry
+
+    (tmp_path / "death.csv").write_text("person_id,death_date,death_type_concept_id\n")
+    (tmp_path / "person.csv").write_text("person_id,gender_concept_id,year_of_birth\n")
+    (tmp_path / "condition_occurrence.csv").write_text("condition_occurrence_id,person_id,condition_concept_id\n")
+    from medloom.sources import ingest
+
+    delivered = {t: ingest.read_delivery_file(spark, str(tmp_path / f"{t}.csv")) for t in ("death", "person", "condition_occurrence")}
+    registry = spark.createDataFrame([entry("1")], REGISTRY)
+    site = pipeline.Site("site a", DAY, facts={"cdm_source_name": "A"}, vocabulary_version="v5")
+    done = pipeline.process(spark, delivered, site, vocabulary_tables(spark), str(tmp_path / "out"), registry, run_at=RUN)
+    assert all(done.tables[t].count() == 0 for t in delivered)
+    rows = {r.name: r.value_as_number for r in done.report.collect()}
+    assert rows["Valid row count: death"] == 0 and rows["Invalid row count: death"] == 0
+    assert rows["Number of eligible registered people not in delivery"] == 1
+
+
+def test_merge_reads_its_own_chunks(spark, tmp_path):
+    def source(site, *ids):
+        death = spark.createDataFrame([], "person_id bigint, death_date date")
+        people = spark.createDataFrame([(i, None) for i in ids], "person_id bigint, care_site_id bigint")
+        return merging.Source(site, site, DAY, {"person": people, "death": death})
+
+    def merged(*sources):
+        return merging.merge_deliveries(spark, list(sources), str(tmp_path / "m"), DAY, {"cdm_source_name": "all"}, "v5", run_at=RUN)
+
+    assert merged(source("a", 1, 2), source("b", 3)).tables["person"].count() == 3
+    done = merged(source("a", 1))
+    assert done.tables["person"].count() == 1 == done.tables["care_site"].count() and done.tables["death"].count() == 0
+    assert merged(source("a")).tables["person"].count() == 0
+
+
+def test_run_log_takes_one_update_a_delivery(spark):
+    start = spark.createDataFrame(
+        [("a", DAY, RUN, "csv", "5.3", "r1"), ("a", DAY, RUN + dt.timedelta(hours=1), "csv", "5.3", "r2")],
+        "site_name string, delivery_date date, pipeline_start_datetime timestamp_ntz, file_format string, cdm_version string, run_id string")
+    log = runlog.log_started(spark.createDataFrame([], runlog.LOG_SCHEMA), start)
+    assert [r.run_id for r in log.collect()] == ["r2"]
+    ends = start.select("site_name", "delivery_date", F.col("pipeline_start_datetime").alias("pipeline_end_datetime"))
+    done = runlog.log_completed(log, ends).collect()
+    assert [r.pipeline_end_datetime for r in done] == [RUN + dt.timedelta(hours=1)]
+    errors = spark.createDataFrame([("r2", RUN, "x"), ("r2", RUN, "y")], "run_id string, pipeline_end_datetime timestamp_ntz, message string")
+    assert [r.message for r in runlog.log_failed(log, errors).collect()] == ["y"]

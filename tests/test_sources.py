@@ -148,12 +148,29 @@ def test_missing_tables_are_made_and_others_conformed(spark):
     assert publish.create_missing(spark, "made") == []
 
 
+def test_a_swap_that_was_cut_off_is_finished(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS cut")
+    def table(name, n):
+        spark.createDataFrame([(n, dt.date(2020, 1, n))], "person_id bigint, death_date date").write.mode("overwrite").saveAsTable(f"cut.{name}")
+    table("death", 1)
+    table("death_conformed", 2)
+    publish._recover(spark, "cut.death")
+    assert spark.table("cut.death").first().person_id == 1 and not spark.catalog.tableExists("cut.death_conformed")
+    spark.sql("ALTER TABLE cut.death RENAME TO cut.death_former")
+    table("death_conformed", 2)
+    publish._recover(spark, "cut.death")
+    assert spark.table("cut.death").first().person_id == 2 and not spark.catalog.tableExists("cut.death_former")
+
+
 def test_files(spark, tmp_path):
     df = spark.range(5).withColumn("line", F.concat(F.lit("line "), F.col("id").cast("string")))
     publish.write_csv(df, str(tmp_path / "r"))
     assert len(list((tmp_path / "r").glob("*.csv"))) == 1
     publish.write_lines(df, ["id"], str(tmp_path / "t"))
-    assert next((tmp_path / "t").glob("*.txt")).read_text().split("\n")[:2] == ["line 0", "line 1"]
+    text = "".join(f.read_text() for f in sorted((tmp_path / "t").glob("*.txt")))
+    assert text.split("\n")[:5] == [f"line {i}" for i in range(5)]
+    empty = publish.write_parquet(df.limit(0), str(tmp_path / "e"), partition_by=["line"])
+    assert empty.columns == ["id", "line"] and empty.isEmpty()
     assert publish.read_if_present(spark, str(tmp_path / "none")) is None
     back = publish.write_parquet(df, str(tmp_path / "p"))
     with pytest.raises(Exception):
