@@ -1,9 +1,11 @@
 """Re-coding rows to the target vocabulary.
 
 The steps run in a fixed order and the first that applies to a row's key
-settles it. Whether a step applies depends only on the row's two concept ids,
-so one lookup per id decides the step and one more brings the targets: the
-whole chain is a single pass over the table without a shuffle of it.
+settles it. Whether a step applies, and what it gives, depends only on the
+row's two concept ids. A vocabulary that may be broadcast is looked up from
+the rows themselves, in a single pass without a shuffle. A larger one is
+looked up from the distinct pairs of ids in use, once for all steps, and the
+rows are joined with what was found.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import schema
-from medloom.operators.joins import lookup_join
+from medloom.operators.joins import fits, lookup_join
 from medloom.operators.vocabulary import Vocabulary
 from medloom.sources.storage import materialize
 
@@ -68,7 +70,7 @@ def harmonize(
 
     target_id = F.col(concept)
     source_id = F.col(source) if source else F.lit(0).cast("bigint")
-    rows = _with_profiles(df.withColumn("_target", target_id).withColumn("_source", source_id), vocabulary)
+    rows = _looked_up(df.withColumn("_target", target_id).withColumn("_source", source_id), vocabulary)
     applies = _applicable(chosen)
     rows = rows.withColumns({f"_is_{s}": applies[s] for s in chosen})
     first = F.coalesce(*[F.when(F.col(f"_is_{s}"), F.lit(i)) for i, s in enumerate(chosen)])
@@ -81,19 +83,18 @@ def harmonize(
         return F.col("_step").isin([chosen.index(n) for n in names if n in chosen])
 
     recoded_from_target = at(TARGET_REMAP, TARGET_REPLACEMENT)
-    rows = rows.withColumns({
-        "_concept": F.when(at(SOURCE_TARGET), F.col("_source")).when(recoded_from_target, F.col("_target")),
-        "_kind": F.when(at(TARGET_REPLACEMENT), "replace").otherwise("map"),
-    })
-    targets = vocabulary.targets.select(
-        F.col("concept_id").alias("_concept"), F.col("kind").alias("_kind"), F.col("target_concept_id").alias("_new"),
-        F.col("target_domain").alias("_new_domain"), F.col("relationship_id").alias("_relation"),
-    )
-    rows = lookup_join(rows, targets, ["_concept", "_kind"], bound=vocabulary.mapping).filter(
-        F.col("_concept").isNull() | (F.col("_new") != F.col("_target"))
+    recoded = at(SOURCE_TARGET) | recoded_from_target
+    found = (
+        F.when(at(SOURCE_TARGET), F.col("_s_map")).when(at(TARGET_REMAP), F.col("_t_map"))
+        .when(at(TARGET_REPLACEMENT), F.col("_t_replace"))
     )
+    kind = rows.schema["_t_map"].dataType
+    itself = F.array(F.lit(None).cast(kind.elementType))
+    others = F.filter(F.coalesce(found, F.array().cast(kind)), lambda x: x["new"] != F.col("_target"))
+    rows = rows.withColumn("_outcome", F.explode(F.when(recoded, others).otherwise(itself))).withColumns({
+        "_new": F.col("_outcome.new"), "_new_domain": F.col("_outcome.domain"), "_relation": F.col("_outcome.relation"),
+    })
 
-    recoded = F.col("_concept").isNotNull()
     backfilled = at(SOURCE_BACKFILL)
     own_domain = F.when(backfilled, F.col("_s_domain")).when(F.col("_t_known"), F.col("_t_domain"))
     domain = F.when(recoded, F.col("_new_domain")).otherwise(F.coalesce(own_domain, F.lit("Unknown")))
@@ -116,6 +117,39 @@ def harmonize(
     )
 
 
+# Stands for a missing id where pairs of ids are joined.
+_NO_ID = -(2**63)
+
+
+def _looked_up(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Rows (_source, _target, ...) with all that the vocabulary says of the two.
+
+    A vocabulary too large to broadcast meets the distinct pairs, which are
+    combined before they shuffle; the rows are read once for the pairs and
+    once for the result.
+    """
+    if fits(vocabulary.concept) and fits(vocabulary.mapping):
+        return _with_targets(_with_profiles(rows, vocabulary), vocabulary)
+    pair = [F.coalesce("_source", F.lit(_NO_ID)).alias("_pair_s"), F.coalesce("_target", F.lit(_NO_ID)).alias("_pair_t")]
+    pairs = materialize(rows.select("_source", "_target", *pair).distinct(), "concept-pairs")
+    known = materialize(
+        _with_targets(_with_profiles(pairs, vocabulary), vocabulary).drop("_source", "_target"), "known-pairs")
+    keyed = rows.withColumns({"_pair_s": pair[0], "_pair_t": pair[1]})
+    return lookup_join(keyed, known, ["_pair_s", "_pair_t"], narrow=False).drop("_pair_s", "_pair_t")
+
+
+def _with_targets(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Attach what the two concepts are mapped to or replaced by; a concept has few targets."""
+    entry = F.struct(F.col("target_concept_id").alias("new"), F.col("target_domain").alias("domain"),
+                     F.col("relationship_id").alias("relation"))
+    lists = vocabulary.targets.groupBy("concept_id").agg(*[
+        F.collect_list(F.when(F.col("kind") == kind, entry)).alias(kind) for kind in ("map", "replace")])
+    sources = lists.select(F.col("concept_id").alias("_source"), F.col("map").alias("_s_map"))
+    targets = lists.select(F.col("concept_id").alias("_target"), F.col("map").alias("_t_map"), F.col("replace").alias("_t_replace"))
+    rows = lookup_join(rows, sources, "_source", bound=vocabulary.mapping)
+    return lookup_join(rows, targets, "_target", bound=vocabulary.mapping)
+
+
 def _with_profiles(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Attach what the vocabulary knows of the source and the target concept.
 
