@@ -74,6 +74,10 @@ CHECKS["orphan_persons"] = with_views(
 
 # ---- the report as a whole ----
 
+def _about(v: Views) -> report.Delivery:
+    return report.Delivery(v.spark, _delivery(v), v["f_concept"], _UNTIL, {"Site": "site a"})
+
+
 _RUN = dt.datetime(2001, 7, 1, 8, 30)
 
 
@@ -90,20 +94,22 @@ def _rows(sql: str) -> str:
            DATE '2001-07-01' AS metadata_date, TIMESTAMP '2001-07-01 08:30:00' AS metadata_datetime FROM ({sql})"""
 
 
-QUERIES["report_integrity"] = lambda v: _finished(report.person_integrity(_delivery(v)))
-CHECKS["report_integrity"] = with_views(_rows(" UNION ALL ".join(
+QUERIES["report_integrity"] = lambda v: _finished(report.artifact(_about(v), "person_id_integrity"))
+_INTEGRITY = (" UNION ALL ".join(
     f"""SELECT 'Person_id referential integrity violation count: {t}' AS name, '{t}' AS value_as_string,
                CAST(count(*) FILTER (person_id NOT IN (SELECT person_id FROM f_person)) AS DOUBLE) AS value_as_number
-        FROM {view}""" for t, view in _COUNTED.items() if t != "person")))
-QUERIES["report_time_series"] = lambda v: _finished(report.time_series(_delivery(v), _UNTIL))
+        FROM {view}""" for t, view in _COUNTED.items() if t != "person"))
+CHECKS["report_integrity"] = with_views(_rows(_INTEGRITY))
+QUERIES["report_time_series"] = lambda v: _finished(report.artifact(_about(v), "time_series"))
 _DATED = {"measurement": "measurement_date", "drug_exposure": "drug_exposure_start_date",
           "visit_occurrence": "visit_start_date"}
-CHECKS["report_time_series"] = with_views(_rows(" UNION ALL ".join(
+_SERIES = (" UNION ALL ".join(
     f"""SELECT concat('Time series row count: {t}.', year({c})) AS name, concat('{t}.', year({c})) AS value_as_string,
                CAST(count(*) AS DOUBLE) AS value_as_number
         FROM {_COUNTED[t]} WHERE {c} BETWEEN DATE '1970-01-01' AND DATE '2001-06-30' GROUP BY 1, 2"""
-    for t, c in _DATED.items())))
-QUERIES["report_final_counts"] = lambda v: _finished(report.final_counts(v.spark, _delivery(v)))
+    for t, c in _DATED.items()))
+CHECKS["report_time_series"] = with_views(_rows(_SERIES))
+QUERIES["report_final_counts"] = lambda v: _finished(report.artifact(_about(v), "final_row_counts"))
 CHECKS["report_final_counts"] = _rows(
     "SELECT concat('Final row count: ', table_name) AS name, table_name AS value_as_string,"
     f" row_count AS value_as_number FROM ({CHECKS['final_row_counts']})")
@@ -122,6 +128,46 @@ QUERIES["report_harmonization"] = lambda v: _finished(
 CHECKS["report_harmonization"] = with_views(
     _rows(f"SELECT name, CAST(NULL AS VARCHAR) AS value_as_string, n AS value_as_number FROM ({_MOVES})"), *DRUG_CHAIN)
 
+# Concept fields of the given tables: (table, target field, its source field: None if the model has none, empty if not delivered).
+_TARGETS = [("measurement", "measurement_concept_id", "measurement_source_concept_id"),
+            ("measurement", "unit_concept_id", "unit_source_concept_id"), ("measurement", "value_as_concept_id", None),
+            ("drug_exposure", "drug_concept_id", "drug_source_concept_id"), ("visit_occurrence", "visit_concept_id", ""),
+            ("person", "gender_concept_id", "")]
+
+
+def _all_sql() -> str:
+    parts = ["SELECT 'Delivery date' AS name, '2001-06-30' AS value_as_string, CAST(NULL AS DOUBLE) AS value_as_number, 0 AS c, 0 AS k",
+             "SELECT 'Site', 'site a', NULL, 0, 0"]
+    for table, kind in (("measurement", "measurement_type_concept_id"), ("drug_exposure", "drug_type_concept_id")):
+        parts.append(f"""SELECT 'Type concept breakdown: {table}', coalesce(concept_name, 'No matching concept'), count(*),
+            coalesce({kind}, 0), coalesce({kind}, 0) FROM {_COUNTED[table]} t LEFT JOIN f_concept c ON c.concept_id = t.{kind} GROUP BY ALL""")
+        parts.append(f"""SELECT 'Invalid concept_id count: {table}.{kind}', '{table}.{kind}', count(*) FILTER ({kind} <> 0
+            AND {kind} NOT IN (SELECT concept_id FROM f_concept)), 0, 0 FROM {_COUNTED[table]}""")
+    for table, target, source in _TARGETS:
+        parts.append(f"""SELECT 'Invalid concept_id count: {table}.{target}', '{table}.{target}', count(*) FILTER ({target} <> 0
+            AND {target} NOT IN (SELECT concept_id FROM f_concept)), 0, 0 FROM {_COUNTED[table]}""")
+        for side, column in (("Target", target), ("Source", source)):
+            if column == "":
+                continue
+            parts.append(f"""SELECT '{side} vocabulary breakdown: {table}.{target}', coalesce(vocabulary_id, 'No matching concept'), count(*), 0, 0
+                FROM {_COUNTED[table]} t LEFT JOIN f_concept c ON c.concept_id = t.{column} GROUP BY ALL""" if column else
+                f"SELECT 'Source vocabulary breakdown: {table}.{target}', 'Source vocabulary not captured in the model', NULL, 0, 0")
+    dated = [("measurement", "measurement_date"), ("drug_exposure", "drug_exposure_start_date"), ("drug_exposure", "drug_exposure_end_date"),
+             ("visit_occurrence", "visit_start_date"), ("visit_occurrence", "visit_end_date"), ("death", "death_date")]
+    for table, column in dated:
+        parts.append(f"""SELECT 'Date/datetime default value count: {table}.{column}', NULL, count(*) FILTER ({column} = DATE '1970-01-01'), 0, 0
+            FROM {_COUNTED[table]}""")
+    rest = [_INTEGRITY, _SERIES, f"SELECT concat('Final row count: ', table_name), table_name, row_count FROM ({CHECKS['final_row_counts']})"]
+    parts += [f"SELECT *, 0, 0 FROM ({part})" for part in rest]
+    return " UNION ALL ".join(f"SELECT * FROM ({part})" for part in parts)
+
+
+QUERIES["report_all"] = lambda v: report.generate(_about(v), [], _RUN).drop("metadata_id")
+CHECKS["report_all"] = with_views(f"""
+    SELECT CAST(k AS INTEGER) AS metadata_concept_id, CAST(32880 AS INTEGER) AS metadata_type_concept_id, name, value_as_string,
+           CAST(c AS INTEGER) AS value_as_concept_id, CAST(value_as_number AS DOUBLE) AS value_as_number,
+           DATE '2001-07-01' AS metadata_date, TIMESTAMP '2001-07-01 08:30:00' AS metadata_datetime FROM ({_all_sql()})""")
+
 # ---- clean-up tasks ----
 
 # Reviewed concepts that stay.

@@ -13,6 +13,7 @@ from medloom import schema
 from medloom.operators import harmonize as h
 from medloom.operators import metrics as m
 from medloom.operators import participants as p
+from medloom.sources.storage import materialize
 
 STUDY_STATUSES = ["Verified", "Duplicate", "Not Yet Verified", "Cannot be Verified", "No Longer Enrolling",
                   "Outreach Timed Out"]
@@ -42,10 +43,6 @@ def _named(prefix: str, *parts: str) -> Column:
     return F.concat(F.lit(prefix), *[F.col(x) if i % 2 == 0 else F.lit(x) for i, x in enumerate(parts)])
 
 
-def _no_metrics(tables: dict[str, DataFrame]) -> DataFrame:
-    return m.metric_frame(next(iter(tables.values())).sparkSession, [])
-
-
 # ---- facts ---------------------------------------------------------------------
 
 
@@ -58,35 +55,88 @@ def facts(delivery: Delivery) -> DataFrame:
     ])
 
 
-# ---- concepts ------------------------------------------------------------------
+# ---- what the tables hold --------------------------------------------------------
 
 
-def usage(tables: dict[str, DataFrame], fields: Callable[[str], list[str]]) -> DataFrame | None:
-    """Rows per table, field and concept, one scan a table."""
-    counted = []
-    for table, df in tables.items():
-        present = [f for f in fields(table) if f in df.columns] if table in schema.tables() else []
+@dataclass(frozen=True)
+class Survey:
+    """All that the metrics of a delivery are made from, by two aggregates a table.
+
+    ``concepts``: rows by (table_name, field, concept_id) over all concept
+    fields, and over person_id as if it were one. ``days``: rows by
+    (table_name, year, in_range), with the placeholder dates among them.
+    """
+
+    concepts: DataFrame
+    days: DataFrame
+
+
+def _fields(table: str) -> list[str]:
+    """Concept fields that a metric looks at."""
+    kind = m.type_field(table)
+    pairs = [x for pair in m.vocabulary_fields(table) for x in pair if x]
+    return list(dict.fromkeys([*pairs, *([kind] if kind else [])]))
+
+
+def survey(delivery: Delivery) -> Survey:
+    known = {t: df for t, df in delivery.tables.items() if t in schema.tables()}
+    concepts, days = [], []
+    for table, df in known.items():
+        present = [f for f in [*_fields(table), "person_id"] if f in df.columns]
         if present:
-            counted.append(m.concept_usage(df, present).select(F.lit(table).alias("table_name"), "*"))
-    return m.unite(counted) if counted else None
+            counted = m.concept_usage(df.select(*[F.col(f).cast("bigint").alias(f) for f in present]), present)
+            concepts.append(counted.select(F.lit(table).alias("table_name"), "*"))
+        days.append(_days(table, df, delivery.delivery_date))
+    spark = delivery.spark
+    nothing = spark.createDataFrame([], "table_name string, field string, concept_id bigint, n bigint")
+    no_days = spark.createDataFrame(
+        [], "table_name string, year int, in_range boolean, n bigint, defaults array<struct<field:string,n:bigint>>")
+    return Survey(m.unite([nothing, *concepts]), m.unite([no_days, *days]))
+
+
+def _days(table: str, df: DataFrame, until: dt.date) -> DataFrame:
+    """Rows by calendar year, from the placeholder date to the delivery or not, and placeholders per date column."""
+    kinds = dict(df.dtypes)
+    dated = [c for c in df.columns if kinds[c] in ("date", "timestamp_ntz", "timestamp")]
+    event = schema.EVENT_DATE.get(table)
+    day = F.col(event) if event in df.columns else F.lit(None).cast("date")
+    kept = (day >= F.lit(schema.DEFAULTS["date"]).cast("date")) & (day <= F.lit(until))
+    placeholders = [
+        F.sum((F.col(c) == F.lit(schema.DEFAULTS["date"]).cast(kinds[c])).cast("bigint")).alias(f"_default_{i}")
+        for i, c in enumerate(dated)
+    ]
+    grouped = df.groupBy(F.year(day).alias("year"), F.coalesce(kept, F.lit(False)).alias("in_range")).agg(
+        F.count(F.lit(1)).alias("n"), *placeholders)
+    entries = [F.struct(F.lit(c).alias("field"), F.coalesce(F.col(f"_default_{i}"), F.lit(0)).cast("bigint").alias("n"))
+               for i, c in enumerate(dated)]
+    empty = F.array().cast("array<struct<field:string,n:bigint>>")
+    return grouped.select(
+        F.lit(table).alias("table_name"), "year", "in_range", "n", (F.array(*entries) if entries else empty).alias("defaults"))
 
 
-def _fielded(counted: DataFrame) -> DataFrame:
-    """Table and field as one name, as the breakdowns group by."""
-    return counted.select(F.concat_ws(".", "table_name", "field").alias("field"), "concept_id", "n")
+def _used(found: Survey, fields: list[tuple[str, str]]) -> DataFrame:
+    """Rows per (table.field, concept) of the named fields."""
+    wanted = F.concat_ws(".", "table_name", "field")
+    return found.concepts.filter(wanted.isin([f"{t}.{f}" for t, f in fields])).select(
+        wanted.alias("field"), "concept_id", "n")
 
 
-def type_breakdown(delivery: Delivery) -> DataFrame:
-    counted = usage(delivery.tables, lambda t: [x for x in [m.type_field(t)] if x])
-    if counted is None:
-        return m.metric_frame(delivery.spark, [])
-    rows = m.type_breakdown(counted.select(F.col("table_name").alias("field"), "concept_id", "n"), delivery.concept)
+def _present(delivery: Delivery, fields: Callable[[str], list[str]]) -> list[tuple[str, str]]:
+    return [(t, f) for t, df in delivery.tables.items() if t in schema.tables() for f in fields(t) if f in df.columns]
+
+
+# ---- concepts ------------------------------------------------------------------
+
+
+def type_breakdown(delivery: Delivery, found: Survey) -> DataFrame:
+    kinds = _present(delivery, lambda t: [x for x in [m.type_field(t)] if x])
+    rows = m.type_breakdown(_used(found, kinds).withColumn("field", F.substring_index("field", ".", 1)), delivery.concept)
     kind = F.col("type_concept_id")
     return m.as_metrics(rows, _named("Type concept breakdown: ", "field"), F.col("concept_name"),
                         F.col("record_count"), kind, kind)
 
 
-def vocabulary_breakdown(delivery: Delivery) -> DataFrame:
+def vocabulary_breakdown(delivery: Delivery, found: Survey) -> DataFrame:
     """Target and source vocabularies of every concept field."""
     pairs = [(t, c, s) for t in delivery.tables if t in schema.tables() for c, s in m.vocabulary_fields(t)
              if c in delivery.tables[t].columns]
@@ -94,79 +144,75 @@ def vocabulary_breakdown(delivery: Delivery) -> DataFrame:
         return m.metric_frame(delivery.spark, [])
     names = {f"{t}.{c}": f"Target vocabulary breakdown: {t}.{c}" for t, c, _ in pairs}
     names |= {f"{t}.{s}": f"Source vocabulary breakdown: {t}.{c}" for t, c, s in pairs if s}
-    fields = {t: [x for u, c, s in pairs if u == t for x in (c, s) if x] for t, _, _ in pairs}
-    counted = usage(delivery.tables, lambda t: fields.get(t, []))
-    rows = m.vocabulary_breakdown(_fielded(counted), delivery.concept)
+    rows = m.vocabulary_breakdown(_used(found, [(t, x) for t, c, s in pairs for x in (c, s) if x]), delivery.concept)
     labels = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    found = m.as_metrics(rows, labels[F.col("field")], F.col("vocabulary_id"), F.col("record_count"), F.lit(0))
+    counted = m.as_metrics(rows, labels[F.col("field")], F.col("vocabulary_id"), F.col("record_count"), F.lit(0))
     missing = [m.Metric(f"Source vocabulary breakdown: {t}.{c}", m.SOURCE_NOT_CAPTURED, None, 0)
                for t, c, s in pairs if not s]
-    return found.unionByName(m.metric_frame(delivery.spark, missing))
+    return counted.unionByName(m.metric_frame(delivery.spark, missing))
 
 
-def invalid_concepts(delivery: Delivery) -> DataFrame:
+def invalid_concepts(delivery: Delivery, found: Survey) -> DataFrame:
     """Unknown concepts per concept and type field, also where there are none."""
 
     def fields(table: str) -> list[str]:
         kind = m.type_field(table)
         return [c for c, _ in m.vocabulary_fields(table)] + ([kind] if kind else [])
 
-    checked = [(f"{t}.{f}",) for t, df in delivery.tables.items() if t in schema.tables()
-               for f in fields(t) if f in df.columns]
+    checked = _present(delivery, fields)
     if not checked:
         return m.metric_frame(delivery.spark, [])
-    rows = m.invalid_concepts(_fielded(usage(delivery.tables, fields)), delivery.concept)
-    rows = delivery.spark.createDataFrame(checked, "field string").join(rows, "field", "left")
-    return m.as_metrics(rows, _named("Invalid concept_id count: ", "field"), F.col("field"),
+    rows = m.invalid_concepts(_used(found, checked), delivery.concept)
+    named = delivery.spark.createDataFrame([(f"{t}.{f}",) for t, f in checked], "field string")
+    return m.as_metrics(named.join(rows, "field", "left"), _named("Invalid concept_id count: ", "field"), F.col("field"),
                         F.coalesce("invalid_count", F.lit(0)), F.lit(0))
 
 
 # ---- dates, counts, people -----------------------------------------------------
 
 
-def default_dates(delivery: Delivery) -> DataFrame:
-    parts = []
-    for table, df in delivery.tables.items():
-        kinds = dict(df.dtypes)
-        dated = [c for c in df.columns if kinds[c] in ("date", "timestamp_ntz", "timestamp")]
-        if table in schema.tables() and dated:
-            rows = m.default_dates(df, dated)
-            parts.append(m.as_metrics(
-                rows, _named(f"Date/datetime default value count: {table}.", "field"), number=F.col("default_count")))
-    return m.unite(parts) if parts else m.metric_frame(delivery.spark, [])
+def default_dates(delivery: Delivery, found: Survey) -> DataFrame:
+    """Placeholders per date column, also of tables without rows."""
+    kinds = ("date", "timestamp_ntz", "timestamp")
+    dated = [(t, c) for t, df in delivery.tables.items() if t in schema.tables() for c, k in df.dtypes if k in kinds]
+    if not dated:
+        return m.metric_frame(delivery.spark, [])
+    counted = found.days.select("table_name", F.explode("defaults").alias("d")).groupBy(
+        "table_name", F.col("d.field").alias("field")).agg(F.sum("d.n").alias("n"))
+    named = delivery.spark.createDataFrame(dated, "table_name string, field string")
+    rows = named.join(counted, ["table_name", "field"], "left")
+    return m.as_metrics(rows, _named("Date/datetime default value count: ", "table_name", ".", "field"),
+                        number=F.coalesce("n", F.lit(0)))
 
 
-def person_integrity(tables: dict[str, DataFrame]) -> DataFrame:
+def person_integrity(delivery: Delivery, found: Survey) -> DataFrame:
     """Rows without a person, per table that has any rows."""
-    parts = [
-        df.groupBy("person_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "person_id", "n")
-        for t, df in tables.items() if t != "person" and "person_id" in df.columns
-    ]
-    if "person" not in tables or not parts:
-        return _no_metrics(tables)
+    if "person" not in delivery.tables:
+        return m.metric_frame(delivery.spark, [])
+    people = found.concepts.filter("field = 'person_id'").select("table_name", F.col("concept_id").alias("person_id"), "n")
+    known = people.filter("table_name = 'person'").select("person_id").distinct().withColumn("known", F.lit(True))
     # One join with the people for all tables; per table a person comes once.
-    known = tables["person"].select("person_id").distinct().withColumn("known", F.lit(True))
-    counted = m.unite(parts).join(known, "person_id", "left")
+    counted = people.filter("table_name != 'person'").join(known, "person_id", "left")
     missing = F.col("known").isNull() & F.col("person_id").isNotNull()
     rows = counted.groupBy("table_name").agg(F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("violations"))
     return m.as_metrics(rows, _named("Person_id referential integrity violation count: ", "table_name"),
                         F.col("table_name"), F.col("violations"), F.lit(0))
 
 
-def final_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    rows = m.row_counts(spark, tables)
-    return m.as_metrics(rows, _named("Final row count: ", "table_name"), F.col("table_name"), F.col("row_count"), F.lit(0))
+def final_counts(delivery: Delivery, found: Survey) -> DataFrame:
+    """Rows of every table of the model, 0 for tables that were not delivered."""
+    counted = found.days.groupBy("table_name").agg(F.sum("n").alias("row_count"))
+    named = delivery.spark.createDataFrame([(t,) for t in schema.tables()], "table_name string")
+    rows = named.join(counted, "table_name", "left")
+    return m.as_metrics(rows, _named("Final row count: ", "table_name"), F.col("table_name"),
+                        F.coalesce("row_count", F.lit(0)), F.lit(0))
 
 
-def time_series(tables: dict[str, DataFrame], until: dt.date) -> DataFrame:
-    parts = []
-    for table, column in schema.EVENT_DATE.items():
-        if table in tables:
-            rows = m.rows_per_year(tables[table], column, until)
-            label = F.concat(F.lit(f"{table}."), F.col("year").cast("string"))
-            parts.append(m.as_metrics(
-                rows, F.concat(F.lit("Time series row count: "), label), label, F.col("row_count"), F.lit(0)))
-    return m.unite(parts) if parts else _no_metrics(tables)
+def time_series(delivery: Delivery, found: Survey) -> DataFrame:
+    """Rows per calendar year from the placeholder date to the delivery."""
+    rows = found.days.filter("in_range")
+    label = F.concat(F.col("table_name"), F.lit("."), F.col("year").cast("string"))
+    return m.as_metrics(rows, F.concat(F.lit("Time series row count: "), label), label, F.col("n"), F.lit(0))
 
 
 # ---- steps of the pipeline -----------------------------------------------------
@@ -270,15 +316,15 @@ def merge(spark: SparkSession, counts: DataFrame) -> DataFrame:
 
 # ---- the whole -----------------------------------------------------------------
 
-ARTIFACTS: dict[str, Callable[[Delivery], DataFrame]] = {
-    "metadata": facts,
+ARTIFACTS: dict[str, Callable[[Delivery, Survey], DataFrame]] = {
+    "metadata": lambda delivery, _: facts(delivery),
     "type_concept_breakdown": type_breakdown,
     "vocabulary_breakdown": vocabulary_breakdown,
     "date_datetime_defaults": default_dates,
     "invalid_concept_ids": invalid_concepts,
-    "person_id_integrity": lambda d: person_integrity(d.tables),
-    "final_row_counts": lambda d: final_counts(d.spark, d.tables),
-    "time_series": lambda d: time_series(d.tables, d.delivery_date),
+    "person_id_integrity": person_integrity,
+    "final_row_counts": final_counts,
+    "time_series": time_series,
 }
 
 
@@ -286,7 +332,7 @@ def artifact(delivery: Delivery, kind: str) -> DataFrame:
     """One kind of metric."""
     if kind not in ARTIFACTS:
         raise ValueError(f"unknown artifact {kind}; known: {', '.join(ARTIFACTS)}")
-    return ARTIFACTS[kind](delivery)
+    return ARTIFACTS[kind](delivery, survey(delivery))
 
 
 def consolidate(parts: list[DataFrame], run_at: dt.datetime) -> DataFrame:
@@ -295,8 +341,10 @@ def consolidate(parts: list[DataFrame], run_at: dt.datetime) -> DataFrame:
 
 
 def generate(delivery: Delivery, earlier: list[DataFrame], run_at: dt.datetime) -> DataFrame:
-    """All metrics with those of earlier steps, as rows of the metadata table."""
-    return consolidate([*earlier, *[make(delivery) for make in ARTIFACTS.values()]], run_at)
+    """All metrics with those of earlier steps, as rows of the metadata table. Each table is read twice."""
+    found = survey(delivery)
+    found = Survey(materialize(found.concepts, "report-concepts"), materialize(found.days, "report-days"))
+    return consolidate([*earlier, *[make(delivery, found) for make in ARTIFACTS.values()]], run_at)
 
 
 def study_summary(spark: SparkSession, metrics: DataFrame, ids: DataFrame) -> DataFrame:

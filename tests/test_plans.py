@@ -342,3 +342,22 @@ def test_run_log_takes_one_update_a_delivery(spark):
     assert [r.pipeline_end_datetime for r in done] == [RUN + dt.timedelta(hours=1)]
     errors = spark.createDataFrame([("r2", RUN, "x"), ("r2", RUN, "y")], "run_id string, pipeline_end_datetime timestamp_ntz, message string")
     assert [r.message for r in runlog.log_failed(log, errors).collect()] == ["y"]
+
+
+def test_report_reads_each_table_twice(spark, tmp_path):
+    """One aggregate over the concepts and people of a table, one over its days."""
+    path = str(tmp_path / "death")
+    spark.createDataFrame([(1, 32, DAY)], "person_id bigint, death_type_concept_id bigint, death_date date").write.parquet(path)
+    about = report.Delivery(spark, {"death": spark.read.parquet(path)}, vocabulary_tables(spark)["concept"], DAY)
+    found = report.survey(about)
+    scans = [f._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") for f in (found.concepts, found.days)]
+    assert scans == [1, 1]
+    plan = report.generate(about, [], RUN)._jdf.queryExecution().executedPlan().toString()
+    assert path not in plan and "report-concepts" in plan
+
+
+def test_rows_that_are_settled_do_not_shuffle(spark, codes):
+    """With a vocabulary that may be broadcast no row of the table is exchanged."""
+    rows = conditions(spark, [(10, 0, 1), (11, 99, 0)])
+    plan = h.harmonize(rows, "condition_occurrence", codes)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(condition" not in plan and "SortMergeJoin" not in plan
