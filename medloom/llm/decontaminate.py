@@ -1,17 +1,18 @@
 """Benchmark passages in training texts, found over a positional inverted index.
 
-The index keeps, for the terms that are asked for, where each stands in each
-text. Every window of ten benchmark words is looked up from its rarest terms:
-their lists, shifted by the place of the term in the window, must agree on
-the start. What is left is compared with the text itself, word by word.
+The index is sharded by text: a shard lists, term by term, where the terms
+that are asked for stand in that text. Every window of ten benchmark words is
+looked up from its rarest term. Each place on that term's list must be met by
+the lists of the next rarest terms, shifted by their distance in the window.
+What is left is compared with the text itself, word by word.
 
 Rarity is counted over all training texts. Only lists of the rarest terms are
-stored, and copies of one text share their entries.
+stored, and copies of one text are one shard.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medloom.llm.text import alnum_words, let, text_of
@@ -22,6 +23,10 @@ WINDOW = 10
 LISTS = 3
 # Rows up to which a frame of short rows is broadcast, after it was counted; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+# The same for candidates, which carry the words of their window.
+BROADCAST_CANDIDATES = 20_000
+# Numbers of terms that lead no window start here.
+OTHERS = 1 << 30
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -53,44 +58,61 @@ def term_counts(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFram
     return found.join(_small(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def postings(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(term, k1, k2, pos): the stored lists of the terms over all texts."""
-    found = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term"))
-    return found.join(_small(terms), "term").select("term", "k1", "k2", "pos")
-
-
 def plan(found: DataFrame, counts: DataFrame, lists: int = LISTS) -> DataFrame:
-    """(wid, need, term, rank, offset): the rarest terms of each window whose terms all occur."""
+    """(wid, ranked): the rarest terms of each window whose terms all occur, as (n, term, offset), rarest first."""
     single = found.select("wid", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
     known = single.join(counts, "term").groupBy("wid", "size").agg(
         F.sort_array(F.collect_list(F.struct("n", "term", "offset"))).alias("ranked"))
     known = known.filter(F.size("ranked") == F.col("size"))
-    best = known.select("wid", F.least("size", F.lit(lists)).alias("need"), F.posexplode(F.slice("ranked", 1, lists)).alias("rank", "t"))
-    return best.select("wid", "need", "rank", "t.term", "t.offset")
+    return known.select("wid", F.slice("ranked", 1, lists).alias("ranked"))
+
+
+def numbered(ranked: DataFrame) -> DataFrame:
+    """(term, tid, lead): the terms to index. Terms that lead a window, as its rarest, are numbered from 0, others above them all."""
+    terms = ranked.select(F.posexplode("ranked").alias("rank", "t")).groupBy(F.col("t.term").alias("term")).agg(
+        (F.min("rank") == 0).alias("lead"))
+    number = F.row_number().over(Window.orderBy(~F.col("lead"), "term")) - 1
+    return terms.select("term", F.when(F.col("lead"), number).otherwise(number + OTHERS).cast("long").alias("tid"))
+
+
+def postings(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """(k1, k2, entries): the index of all texts; an entry is a term's number times 2^32 plus its place, in order."""
+    found = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term"))
+    found = found.join(_small(terms), "term").select("k1", "k2", (F.shiftleft("tid", 32) + F.col("pos")).alias("entry"))
+    return found.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
+
+
+def _lookups(ranked: DataFrame, terms: DataFrame) -> DataFrame:
+    """(wid, tid, offset, others): the leading term of each window, and (tid, distance) of the others."""
+    each = ranked.select("wid", F.posexplode("ranked").alias("rank", "t")).select("wid", "rank", "t.term", "t.offset")
+    each = each.join(terms, "term").groupBy("wid").agg(F.sort_array(F.collect_list(F.struct("rank", "tid", "offset"))).alias("r"))
+    first = F.col("r")[0]
+    return each.select(
+        "wid", first["tid"].alias("tid"), first["offset"].alias("offset"),
+        F.transform(F.slice("r", 2, 1 << 20), lambda t: F.struct(
+            t["tid"].alias("tid"), (t["offset"] - first["offset"]).alias("distance"))).alias("others"))
 
 
-def _starts(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(wid, need, rank, k1, k2, start): lists shifted to where the window would begin."""
-    hits = index.join(_small(wanted), "term")
-    return hits.select("wid", "need", "rank", "k1", "k2", (F.col("pos") - F.col("offset")).alias("start"))
+def _led(index: DataFrame, lookups: DataFrame) -> DataFrame:
+    """Every place of a leading term with the windows it leads."""
+    leads = F.filter("entries", lambda e: e < OTHERS << 32)
+    places = index.select("k1", "k2", "entries", F.explode(leads).alias("entry"))
+    places = places.withColumns({"tid": F.shiftright("entry", 32), "pos": F.col("entry").bitwiseAND(F.lit((1 << 32) - 1))})
+    return places.join(_small(lookups), "tid").withColumn("start", (F.col("pos") - F.col("offset")).cast("int")).filter("start >= 0")
 
 
-def intersect(index: DataFrame, wanted: DataFrame) -> DataFrame:
+def intersect(index: DataFrame, lookups: DataFrame) -> DataFrame:
     """(wid, k1, k2, start) on which all lists of a window agree."""
-    marks = _starts(index, wanted).filter("start >= 0").withColumn("mark", F.expr("shiftleft(1, rank)"))
-    met = marks.groupBy("wid", "k1", "k2", "start", "need").agg(F.bit_or("mark").alias("met"))
-    return met.filter(F.col("met") == F.expr("shiftleft(1, need) - 1")).select("wid", "k1", "k2", "start")
+    met = F.forall("others", lambda o: F.array_contains(
+        F.col("entries"), F.shiftleft(o["tid"], 32) + F.col("pos") + o["distance"]))
+    return _led(index, lookups).filter(met).select("wid", "k1", "k2", "start")
 
 
-def near(index: DataFrame, wanted: DataFrame, slop: int) -> DataFrame:
-    """(wid, k1, k2, start): the lists of a window agree on its start within ``slop`` words of the rarest term's."""
-    shifted = _starts(index, wanted).withColumn("band", F.floor(F.col("start") / (slop + 1)))
-    first = shifted.filter("rank = 0").select("wid", "need", "k1", "k2", "start", F.explode(
-        F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")).distinct()
-    other = shifted.select("wid", "k1", "k2", "band", "rank", F.col("start").alias("at")).distinct()
-    met = first.join(other, ["wid", "k1", "k2", "band"]).filter(F.abs(F.col("at") - F.col("start")) <= slop)
-    met = met.groupBy("wid", "k1", "k2", "start", "need").agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("met"))
-    return met.filter(F.col("met") == F.expr("shiftleft(1, need) - 1")).select("wid", "k1", "k2", "start")
+def near(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
+    """(wid, k1, k2, start): the other lists of a window meet its rarest term's within ``slop`` words of their places."""
+    met = F.forall("others", lambda o: F.exists(F.sequence(F.lit(-slop), F.lit(slop)), lambda d: F.array_contains(
+        F.col("entries"), F.shiftleft(o["tid"], 32) + F.col("pos") + o["distance"] + d)))
+    return _led(index, lookups).filter(met).select("wid", "k1", "k2", "start")
 
 
 def _verified(w: Column, candidates: Column) -> Column:
@@ -123,22 +145,25 @@ def decontaminate(
     found = windows(items, item_key, item_text, window)
     terms = materialize(found.select(F.explode("terms").alias("term")).distinct(), "bench-terms")
     counts = materialize(term_counts(df, terms, text), "term-counts")
-    wanted = materialize(plan(found, counts, lists), "window-plan")
-    rare = materialize(wanted.select("term").distinct(), "rare-terms")
+    ranked = materialize(plan(found, counts, lists), "window-plan")
+    rare = materialize(numbered(ranked), "rare-terms")
+    lookups = materialize(_lookups(ranked, rare), "window-lookups")
     index = materialize(postings(df, rare, text), "postings")
-    met = materialize(intersect(index, wanted), "met")
+    met = materialize(intersect(index, lookups), "met")
     by_text = met.join(_small(found), "wid").groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list(F.struct("start", "terms", "items"))).alias("candidates"))
     by_text = materialize(by_text, "candidates")
     if slop is not None:
-        close = near(index, wanted, slop).select("k1", "k2", "wid").distinct().groupBy("k1", "k2").agg(F.count("*").alias("n_near"))
+        close = near(index, lookups, slop).select("k1", "k2", "wid").distinct().groupBy("k1", "k2").agg(F.count("*").alias("n_near"))
         by_text = by_text.join(close, ["k1", "k2"], "full")
         by_text = materialize(by_text, "candidates-near")
     t = text_of(text)
     rows = df.withColumns({"_k1": F.xxhash64(t), "_k2": F.xxhash64(t, F.lit(1))})
     names = {c: f"_found_{c}" for c in by_text.columns}
     by_text = by_text.withColumnsRenamed(names)
-    rows = rows.join(_small(by_text), (F.col("_k1") == F.col("_found_k1")) & (F.col("_k2") == F.col("_found_k2")), "left")
+    entries = by_text.agg(F.sum(F.size("_found_candidates"))).first()[0] or 0
+    by_text = F.broadcast(by_text) if entries <= BROADCAST_CANDIDATES else by_text
+    rows = rows.join(by_text, (F.col("_k1") == F.col("_found_k1")) & (F.col("_k2") == F.col("_found_k2")), "left")
     none = F.array().cast(by_text.schema["_found_candidates"].dataType)
     judged = let(alnum_words(t), lambda w: let(
         _verified(w, F.coalesce(F.col("_found_candidates"), none)), lambda spans: F.struct(

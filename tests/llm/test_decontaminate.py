@@ -58,6 +58,7 @@ def test_against_brute_force(corpus):
 def test_shuffled_joins(corpus, monkeypatch, spark):
     rows, items, df, bench = corpus
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(decontaminate, "BROADCAST_CANDIDATES", -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     check(rows, items, decontaminate.decontaminate(df, bench))
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
