@@ -157,12 +157,16 @@ def disclosures(
     if not both.take(1):
         return empty
     t = text_of(text)
-    keys = df.select(F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2"))
-    total = keys.distinct().count()
+    keyed = [F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2")]
+    copies = materialize(df.select(*keyed).groupBy("k1", "k2").agg(F.count("*").alias("n")), "text-copies")
+    total = copies.count()
+    repeated = materialize(copies.filter("n > 1"), "repeated-texts")
     entities = materialize(pairs.filter("term IS NULL").groupBy("entity").agg(F.count("*").alias("c_e")).filter(F.col("c_e") >= support), "entities")
     terms = materialize(both.select("term").distinct(), "candidate-terms")
-    stands = df.select(F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2"), F.explode(F.array_distinct(alnum_words(t))).alias("term"))
-    stands = stands.join(_small(terms), "term").distinct().groupBy("term").agg(F.count("*").alias("c_t"))
+    # The n copies of a text count 1/n each, which adds up to whole texts without bringing the copies together.
+    stands = df.select(*keyed, F.array_distinct(alnum_words(t)).alias("w")).join(_small(repeated), ["k1", "k2"], "left")
+    stands = stands.select((1 / F.coalesce("n", F.lit(1))).alias("part"), F.explode("w").alias("term")).join(_small(terms), "term")
+    stands = stands.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("c_t"))
     known = both.join(_small(materialize(stands, "term-texts")), "term").join(_small(entities), "entity")
     information = F.log(F.lit(float(total)) / F.col("c_e"))
     shared = F.log(F.lit(float(total)) * F.col("c_te") / (F.col("c_t") * F.col("c_e")))
