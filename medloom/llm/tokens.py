@@ -14,6 +14,7 @@ in no piece cut a word further, as no piece crosses them.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -47,37 +48,33 @@ class Counter:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
+        self.singles = {piece for piece, _ in pieces if len(piece) == 1}
         covered = {c for piece, _ in pieces for c in piece}
         self.foreign = re.compile(f"([^{re.escape(''.join(sorted(covered)))}])")
         self.remembered, self.cache = remembered, {}
 
     def viterbi(self, part: str) -> tuple[float, int]:
         n = len(part)
-        score: list[float | None] = [0.0] + [None] * n
-        count = [0] * (n + 1)
-        position = 0
-
-        def close(end: int, single: bool) -> None:
-            """The character before ``end`` as an unknown one, unless a piece covers it alone."""
-            if not single:
-                other = self.unknown + score[end - 1]
-                if score[end] is None or other > score[end]:
-                    score[end] = other
-                    count[end] = count[end - 1] + len(part[end - 1].encode())
-
-        single = False
-        for last, (length, value) in self.automaton.iter(part):
-            while position < last:
-                close(position + 1, single)
-                position, single = position + 1, False
-            end = last + 1
-            found = value + score[end - length]
-            if score[end] is None or found > score[end]:
-                score[end], count[end] = found, count[end - length] + 1
-            single = single or length == 1
-        while position < n:
-            close(position + 1, single)
-            position, single = position + 1, False
+        score, count = [0.0] + [-math.inf] * n, [0] * (n + 1)
+        if self.singles.issuperset(part):
+            for last, (length, value) in self.automaton.iter(part):
+                end = last + 1
+                found = value + score[end - length]
+                if found > score[end]:
+                    score[end], count[end] = found, count[end - length] + 1
+            return score[n], count[n]
+        ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+        for last, match in self.automaton.iter(part):
+            ending[last + 1].append(match)
+        for end in range(1, n + 1):
+            for length, value in ending[end]:
+                found = value + score[end - length]
+                if found > score[end]:
+                    score[end], count[end] = found, count[end - length] + 1
+            # A character that no piece covers alone is an unknown one.
+            if part[end - 1] not in self.singles and self.unknown + score[end - 1] > score[end]:
+                score[end] = self.unknown + score[end - 1]
+                count[end] = count[end - 1] + len(part[end - 1].encode())
         return score[n], count[n]
 
     def word(self, word: str) -> tuple[float, int]:
@@ -97,14 +94,14 @@ class Counter:
         if not marked.startswith(SPACE):
             marked = SPACE + marked
         score, count = 0.0, 0
-        for word in marked[1:].split(SPACE):
-            for i, part in enumerate(self.foreign.split(SPACE + word)):
-                if not part:
-                    continue
-                if i % 2:
-                    found = self.unknown, len(part.encode())
-                else:
-                    found = self.word(part)
+        for i, part in enumerate(self.foreign.split(marked)):
+            if i % 2:
+                score, count = score + self.unknown, count + len(part.encode())
+                continue
+            # What stands before the first mark goes on from the character before.
+            head, *rest = part.split(SPACE)
+            for word in [head, *[SPACE + w for w in rest]] if head else [SPACE + w for w in rest]:
+                found = self.word(word)
                 score, count = score + found[0], count + found[1]
         return score, count
 
