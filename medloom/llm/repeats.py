@@ -36,6 +36,8 @@ WINDOW = 35
 # Text that one bucket of the index serves; a bucket is one group in one task.
 BUCKET_BYTES = 32 << 20
 LEAST_BUCKETS = 64
+# Partitions for each staged file.
+SPREAD = 8
 # Odd multipliers of the rolling sums, their inverses modulo 2^64, and seeds of the word hashes.
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _INVERSES = tuple(pow(m, -1, 1 << 64) for m in _MULTIPLIERS)
@@ -293,12 +295,13 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
         return spark.createDataFrame([], f"{key} {kind.simpleString()}, n_words long, n_removed long, kept_text string, repeats array<array<bigint>>")
     total = spark.read.schema("n_bytes int").parquet(folder).agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
-    n_files = files.count()
-    files = files.repartition(n_files, "file")
+    # A file is the unit of work; with more partitions than files few files share one.
+    parts = SPREAD * files.count()
+    files = files.repartition(parts, "file")
 
     def met(entries: DataFrame, check) -> DataFrame:
         found = entries.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(check, _ENTRY)
-        return materialize(found, "repeats-met").repartition(n_files, "file").groupBy("file")
+        return materialize(found, "repeats-met").repartition(parts, "file").groupBy("file")
 
     anchors = met(_anchors(staged_files(spark, folder), block, window, buckets), _met_anchors)
     around = files.groupBy("file").cogroup(anchors).applyInArrow(_windows(block, window, buckets), _ENTRY)
