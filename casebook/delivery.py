@@ -109,11 +109,12 @@ QUERIES["normalize_row_counts"] = lambda v: _drugs(v).row_counts()
 CHECKS["normalize_row_counts"] = with_views(
     "SELECT person IS NOT NULL AS is_valid, count(*) AS row_count FROM typed GROUP BY 1", _TYPED)
 
+# The study's own id column takes the place of person_id; some ids are missing or unreadable.
 QUERIES["study_id"] = lambda v: normalize(
-    v["f_raw_drug"].withColumnRenamed("not_in_schema", "Site_Connect_ID"), "death").flagged.groupBy(
+    v["f_raw_drug"].withColumnRenamed("person_id", "Site_Connect_ID"), "death").flagged.groupBy(
     "person_id", "is_valid").agg(F.count(F.lit(1)).alias("row_count"))
 CHECKS["study_id"] = with_views(
-    "SELECT CAST(NULL AS BIGINT) AS person_id, FALSE AS is_valid, count(*) AS row_count FROM f_raw_drug")
+    "SELECT person AS person_id, person IS NOT NULL AS is_valid, count(*) AS row_count FROM typed GROUP BY 1, 2", _TYPED)
 
 QUERIES["birth_datetime"] = lambda v: normalize(v["f_raw_person"], "person").valid.select(
     "person_id", "year_of_birth", "birth_datetime", "gender_concept_id")
