@@ -19,7 +19,7 @@ from medloom.sources.storage import materialize
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 SEED = 17
-# Steps of the seeded draw: a source's taken words miss its target by one document or one step, whichever is more.
+# Steps of the seeded draw; a step, or a document if that is more, is the least that can be added to a source's words.
 STEPS = 1 << 12
 UNITS = 1 << 32
 # Sources up to which their plan, one short row each, is broadcast; beyond it the join shuffles.
@@ -68,10 +68,12 @@ def _step(seed: int, key: str) -> Column:
 
 
 def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """(source, source_size, target, whole, below): documents of a source are taken ``whole`` times, below a step once more.
+    """(source, source_size, target, whole, below, extra): how often a source's documents are taken.
 
-    The running sum of sizes by step decides: a step joins while it brings the
-    sum nearer to what whole repetitions leave of the target.
+    All are taken ``whole`` times. What whole repetitions leave of the target
+    is filled by steps of the draw, as long as their running sum stays within
+    it, so those below ``below`` are taken once more; then by the one step
+    behind them that brings the sum nearest, if any brings it nearer.
     """
     # One row for each source and step: a hot source is summed before it meets.
     steps = materialize(sized.groupBy("source", "step").agg(F.sum("size").alias("words")), "mix-steps")
@@ -83,10 +85,16 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPO
     parts = goal.select(F.col("source").alias("s"), "part")
     drawn = steps.join(parts, F.col("source").eqNullSafe(F.col("s"))).select(
         "source", "step", "part", F.sum("words").over(running).alias("upto"), "words")
-    cut = drawn.filter("part > 0 AND upto - words / 2 <= part").groupBy(F.col("source").alias("s")).agg(
-        (F.max("step") + 1).alias("below"))
+    inside = F.col("upto") <= F.col("part")
+    filled = F.coalesce(F.max(F.when(inside, F.col("upto"))).over(W.partitionBy("source")), F.lit(0))
+    drawn = drawn.withColumns({"gap": F.col("part") - filled, "inside": inside})
+    miss = F.abs(F.col("gap") - F.col("words"))
+    nearer = F.when(~F.col("inside") & (miss < F.col("gap")), F.struct(miss.alias("miss"), "step"))
+    cut = drawn.groupBy(F.col("source").alias("s")).agg(
+        F.max(F.when(F.col("inside"), F.col("step") + 1)).alias("below"), F.min(nearer).alias("nearest"))
     return materialize(goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below")), "mix-plan")
+        "source", "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below"),
+        F.coalesce("nearest.step", F.lit(-1)).alias("extra")), "mix-plan")
 
 
 def _with_copies(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -95,7 +103,7 @@ def _with_copies(rows: DataFrame, found: DataFrame) -> DataFrame:
     if found.count() <= BROADCAST_SOURCES:
         found = F.broadcast(found)
     rows = rows.join(found, F.col("source").eqNullSafe(F.col("_s")), "left")
-    return rows.withColumn("copies", F.col("whole") + (F.col("step") < F.col("below")).cast("long"))
+    return rows.withColumn("copies", F.col("whole") + ((F.col("step") < F.col("below")) | (F.col("step") == F.col("extra"))).cast("long"))
 
 
 def mix(
@@ -155,11 +163,17 @@ parts AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM goal),
 steps AS (SELECT source, step, sum(size) AS words FROM sized GROUP BY source, step),
 upto AS (SELECT source, step, words, sum(words) OVER (PARTITION BY source ORDER BY step) AS upto FROM steps),
-cuts AS (
-  SELECT u.source, max(step) + 1 AS below FROM upto u JOIN parts p ON u.source IS NOT DISTINCT FROM p.source
-  WHERE target - whole * source_size > 0 AND upto - words / 2 <= target - whole * source_size GROUP BY u.source)
+placed AS (
+  SELECT u.source, step, words, upto, target - whole * source_size AS part, upto <= target - whole * source_size AS inside
+  FROM upto u JOIN parts p ON u.source IS NOT DISTINCT FROM p.source),
+gaps AS (SELECT *, part - coalesce(max(CASE WHEN inside THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM placed),
+cuts AS (SELECT source, max(CASE WHEN inside THEN step + 1 END) AS below FROM gaps GROUP BY source),
+extras AS (
+  SELECT source, step AS extra FROM gaps WHERE NOT inside AND abs(gap - words) < gap
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(gap - words), step) = 1)
 SELECT doc_id, size, source_size, target,
-       CAST((whole + CASE WHEN step < coalesce(below, 0) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+       CAST((whole + CASE WHEN step < coalesce(below, 0) OR step = extra THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
 LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
+LEFT JOIN extras e ON s.source IS NOT DISTINCT FROM e.source
 """
