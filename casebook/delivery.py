@@ -167,9 +167,27 @@ def _old_table(v: Views, table: str, values: dict[str, str], source: str) -> Dat
     ) + f" FROM {source}")
 
 
+# Fixed values of the model: columns that version 5.4 renamed.
+_RENAMED = {
+    "visit_occurrence": {
+        "admitting_source_concept_id": "admitted_from_concept_id",
+        "admitting_source_value": "admitted_from_source_value",
+        "discharge_to_concept_id": "discharged_to_concept_id",
+        "discharge_to_source_value": "discharged_to_source_value",
+    },
+    "visit_detail": {
+        "admitting_source_value": "admitted_from_source_value",
+        "admitting_source_concept_id": "admitted_from_concept_id",
+        "discharge_to_source_value": "discharged_to_source_value",
+        "discharge_to_concept_id": "discharged_to_concept_id",
+        "visit_detail_parent_id": "parent_visit_detail_id",
+    },
+}
+
+
 def _new_table(table: str, values: dict[str, str], source: str) -> str:
     kinds = {"bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "string": "VARCHAR"}
-    renamed = schema.RENAMED.get(table, {})
+    renamed = _RENAMED.get(table, {})
     moved = {renamed.get(name, name): value for name, value in values.items()}
     if table == "cdm_source":
         moved["cdm_version_concept_id"] = "756265"

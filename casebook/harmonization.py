@@ -142,18 +142,22 @@ def _routed(v: Views, view: str, source: str, target: str) -> DataFrame:
 _KINDS = {"timestamp_ntz": "TIMESTAMP", "string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE"}
 
 
+# Fixed values of the model: what stands in for a required value.
+_PLACEHOLDERS = {"bigint": "-1", "double": "-1.0", "date": "1970-01-01", "timestamp_ntz": "1970-01-01 00:00:00", "string": ""}
+
+
 def _route_check(target: str, given: dict[str, str], entries, no_concept: str = "0") -> str:
     """Target columns from ``given``; the rest is ``no_concept`` for concepts and NULL otherwise."""
     layout = schema.layout(target)
     values = {f.name: given.get(f.name, no_concept if f.name.endswith("_concept_id") else "NULL") for f in layout}
-    keyed = target in schema.SURROGATE_KEY_TABLES
+    keyed = target != "visit_occurrence"
     columns = []
     for f in layout:
         kind = f.dataType.simpleString()
         value = key(list(values.values()), SITE) if keyed and f.metadata["pk"] else values[f.name]
         value = f"CAST({value} AS {_KINDS[kind]})"
         if f.metadata["required"] or f.name.endswith("_concept_id"):
-            value = f"coalesce({value}, CAST('{schema.default_text(f.name, kind)}' AS {_KINDS[kind]}))"
+            value = f"coalesce({value}, CAST('{'0' if f.name.endswith('_concept_id') else _PLACEHOLDERS[kind]}' AS {_KINDS[kind]}))"
         columns.append(f"{value} AS {f.name}")
     return with_views(f"SELECT {', '.join(columns)} FROM harmonized WHERE target_table = '{target}'", *entries)
 

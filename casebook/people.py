@@ -161,16 +161,35 @@ CHECKS["study_summary"] = with_views(
     _summary_sql(), _KNOWN, _UNMATCHED, _UNDELIVERED, ("statuses", _statuses_sql()))
 
 
+# Variables of the registry: fixed values.
+_STATUS_VARIABLES = {
+    "verified_status": "d_821247024", "consent_withdrawn": "d_747006172", "hipaa_revoked": "d_773707518",
+    "data_destruction_requested": "d_831041022",
+}
+_COMPLETION = {"972455046": "Not Started", "615768760": "Started", "231311385": "Submitted"}
+_SURVEY_VARIABLES = {
+    "module1_status": "d_949302066", "module2_status": "d_536735468", "module3_status": "d_976570371",
+    "module4_status": "d_663265240", "menstrual_status": "d_459098666", "covid19_status": "d_220186468",
+    "experience2024_status": "d_956490759",
+}
+_MOMENTS = {
+    "consent_withdrawn_ts": "d_659990606", "hipaa_revoked_ts": "d_664453818", "data_destruction_ts": "d_269050420",
+    "module1_complete_ts": "d_517311251", "module2_complete_ts": "d_832139544", "module3_complete_ts": "d_770257102",
+    "module4_complete_ts": "d_264644252", "menstrual_complete_ts": "d_217640691", "covid19_complete_ts": "d_784810139",
+    "experience2024_complete_ts": "d_199471989",
+}
+
+
 def _decode_sql() -> str:
     def label(table: dict[str, str], variable: str) -> str:
         whens = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in table.items())
         return f"CASE {variable} {whens} ELSE 'UNKNOWN' END"
 
     columns = ["connect_id"]
-    for table, variables in ((p.STATUS_LABELS, p.STATUS_VARIABLES), (p.COMPLETION_LABELS, p.COMPLETION_VARIABLES)):
+    for table, variables in ((_LABELS, _STATUS_VARIABLES), (_COMPLETION, _SURVEY_VARIABLES)):
         for name, variable in variables.items():
             columns += [f"{label(table, variable)} AS {name}", f"{variable} AS {name}_concept_id"]
-    columns += [f"{variable} AS {name}" for name, variable in p.MOMENT_VARIABLES.items()]
+    columns += [f"{variable} AS {name}" for name, variable in _MOMENTS.items()]
     return f"SELECT DISTINCT {', '.join(columns)} FROM f_participants WHERE connect_id IS NOT NULL"
 
 

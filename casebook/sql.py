@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from medloom import schema
-
 SITE = "site_a"
+# Fixed values of the model: the table a domain belongs to.
+_TABLE_OF = {
+    "Visit": "visit_occurrence", "Condition": "condition_occurrence", "Drug": "drug_exposure",
+    "Procedure": "procedure_occurrence", "Device": "device_exposure", "Measurement": "measurement",
+    "Observation": "observation", "Note": "note", "Specimen": "specimen",
+}
 
 Entry = tuple[str, str]
 
@@ -19,7 +23,7 @@ def digest(parts: list[str]) -> str:
 
 
 def table_case(domain: str, own: str) -> str:
-    whens = " ".join(f"WHEN '{d}' THEN '{t}'" for d, t in schema.DOMAIN_TABLE.items())
+    whens = " ".join(f"WHEN '{d}' THEN '{t}'" for d, t in _TABLE_OF.items())
     return f"CASE {domain} {whens} ELSE '{own}' END"
 
 
