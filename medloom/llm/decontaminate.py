@@ -25,6 +25,8 @@ LISTS = 3
 BROADCAST_ROWS = 200_000
 # The same for candidates, which carry the words of their window.
 BROADCAST_CANDIDATES = 20_000
+# The same for keys of texts, two longs each.
+BROADCAST_KEYS = 1_000_000
 # Numbers of terms that lead no window start here.
 OTHERS = 1 << 30
 
@@ -129,6 +131,23 @@ def _n_hit(spans: Column) -> Column:
     return F.aggregate(spans, zero, step, lambda held: held["n"])
 
 
+def _with_candidates(rows: DataFrame, by_text: DataFrame) -> DataFrame:
+    """Rows (_k1, _k2, ...) with the candidates of their text.
+
+    Few candidates are broadcast. Of more, the keys of their texts tell the
+    rows that have any, and only those shuffle; beyond that all rows do.
+    """
+    same = (F.col("_k1") == F.col("_found_k1")) & (F.col("_k2") == F.col("_found_k2"))
+    entries, texts = by_text.agg(F.sum(F.size("_found_candidates")), F.count("*")).first()
+    if (entries or 0) <= BROADCAST_CANDIDATES:
+        return rows.join(F.broadcast(by_text), same, "left")
+    if texts > BROADCAST_KEYS:
+        return rows.join(by_text, same, "left")
+    keys = F.broadcast(by_text.select("_found_k1", "_found_k2"))
+    some = rows.join(keys, same, "left_semi").join(by_text, same, "left")
+    return some.unionByName(rows.join(keys, same, "left_anti"), allowMissingColumns=True)
+
+
 def decontaminate(
     df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
     window: int = WINDOW, lists: int = LISTS, slop: int | None = None,
@@ -161,9 +180,7 @@ def decontaminate(
     rows = df.withColumns({"_k1": F.xxhash64(t), "_k2": F.xxhash64(t, F.lit(1))})
     names = {c: f"_found_{c}" for c in by_text.columns}
     by_text = by_text.withColumnsRenamed(names)
-    entries = by_text.agg(F.sum(F.size("_found_candidates"))).first()[0] or 0
-    by_text = F.broadcast(by_text) if entries <= BROADCAST_CANDIDATES else by_text
-    rows = rows.join(by_text, (F.col("_k1") == F.col("_found_k1")) & (F.col("_k2") == F.col("_found_k2")), "left")
+    rows = _with_candidates(rows, materialize(by_text, "found-candidates"))
     none = F.array().cast(by_text.schema["_found_candidates"].dataType)
     judged = let(alnum_words(t), lambda w: let(
         _verified(w, F.coalesce(F.col("_found_candidates"), none)), lambda spans: F.struct(

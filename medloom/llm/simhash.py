@@ -31,6 +31,8 @@ SHARED_BYTES = 8 - BITS
 TRIPLES = [sum(1 << p for p in t) for half in ((0, 1, 2, 3), (4, 5, 6, 7)) for t in combinations(half, 3)]
 # Lists up to this size are compared in one task, 8 bytes a fingerprint.
 LIST_LIMIT = 4096
+# Keys of rows, two longs each, up to which they are broadcast, after they were counted; beyond it the join shuffles.
+BROADCAST_KEYS = 1_000_000
 SEED = 42
 WORDS = 3
 _STEP = 1 << 16
@@ -208,6 +210,17 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", list_lim
     twice nor a null one loses a different text. Rows equal in both are one.
     """
     rows = df.withColumn("_key", F.struct(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
-    found = near_duplicates(rows, "_key", text, list_limit)
-    kept = materialize(found.filter("_key = component").select("_key").distinct(), "simhash-kept")
-    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    found = materialize(near_duplicates(rows, "_key", text, list_limit), "simhash-components")
+    first = F.col("_key") == F.col("component")
+    dropped = found.filter(~first).select("_key")
+    repeated = materialize(found.filter(first).groupBy("_key").count().filter("count > 1").select("_key"), "simhash-repeated")
+    gone = materialize(dropped.union(repeated).distinct(), "simhash-gone")
+    kept = rows.join(_small(gone), "_key", "left_anti")
+    if repeated.take(1):
+        kept = kept.unionByName(rows.join(_small(repeated), "_key", "left_semi").dropDuplicates(["_key"]))
+    return kept.drop("_key")
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    """The (written) keys, marked for a broadcast when their count allows it; then the texts need not shuffle."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys

@@ -55,10 +55,12 @@ def test_against_brute_force(corpus):
     check(rows, items, decontaminate.decontaminate(df, bench))
 
 
-def test_shuffled_joins(corpus, monkeypatch, spark):
+@pytest.mark.parametrize("keys", [-1, 1000])
+def test_shuffled_joins(corpus, monkeypatch, spark, keys):
     rows, items, df, bench = corpus
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(decontaminate, "BROADCAST_CANDIDATES", -1)
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", keys)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     check(rows, items, decontaminate.decontaminate(df, bench))
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -112,10 +112,14 @@ def test_empty_table(docs):
     assert simhash.deduplicate(docs([])).collect() == []
 
 
-def test_deduplicate_keeps_one_of_each(docs):
+@pytest.mark.parametrize("limit", [simhash.BROADCAST_KEYS, -1])
+def test_deduplicate_keeps_one_of_each(docs, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", limit)
     text = " ".join(f"w{i}" for i in range(100))
-    rows = [(3, text), (1, text), (1, text), (None, "other words stand here"), (5, "something else again it is"), (5, "and a different text under one id"), (7, None), (8, "")]
-    kept = simhash.deduplicate(docs(rows, clash=True))
+    rows = [(3, text), (1, text), (1, text), (None, "other words stand here"), (5, "something else again it is"), (5, "and a different text under one id"),
+            (7, None), (8, ""), (9, "gone with a null one"), (None, "gone with a null one"), (None, "gone with a null one")]
+    df = docs(rows, clash=True)
+    kept = simhash.deduplicate(df)
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
-        [(1, text), rows[3], rows[4], rows[5], (7, None)], key=str)
-    assert kept.columns == docs(rows, clash=True).columns or set(docs([]).columns) <= set(kept.columns)
+        [(1, text), rows[3], rows[4], rows[5], (7, None), rows[9]], key=str)
+    assert kept.columns == [c for c in df.columns if c != "_key"]
