@@ -1,15 +1,15 @@
-r"""Personal data, and the terms around it that would give it away.
+r"""Personal data, and the terms in the same text that would give it away.
 
 Addresses and numbers are found by pattern. The corpus then says how strongly
 a term reveals a protected entity (an exact address or number): with N
 distinct texts, PMI(t; e) = log(N * c(t, e) / (c(t) * c(e))) is compared with
 all there is to know, IC(e) = log(N / c(e)). A term whose share of it reaches
-``DISCLOSURE`` is generalised, one that reaches ``IDENTIFYING`` is removed, in
-the texts and contexts where the entity stands. Common words share next to
-nothing with any entity and stay.
+``DISCLOSURE`` is generalised, one that reaches ``IDENTIFYING`` is removed,
+wherever it stands in the texts that hold the entity. Common words share next
+to nothing with any entity and stay.
 
-Copies of a text count once. An entity or pair seen in fewer than ``SUPPORT``
-texts is no evidence of co-occurrence, so it discloses nothing.
+Copies of a text count once. A pair seen in fewer than ``SUPPORT`` texts is no
+evidence of co-occurrence, so it discloses nothing.
 """
 
 from __future__ import annotations
@@ -29,10 +29,12 @@ KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE = 0.8
 IDENTIFYING = 0.95
 SUPPORT = 3
-# Words on either side of an entity that its context holds.
-CONTEXT = 8
 # Rows up to which a frame of short rows is broadcast, after it was counted; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+# The same for keys of texts, two longs each, and for the terms that texts are to lose.
+BROADCAST_KEYS = BROADCAST_TERMS = 1_000_000
+# Parts the copies of a text are dealt over where terms and texts meet in a shuffle.
+SALTS = 16
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -42,7 +44,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_SPANS = "array<struct<kind:string,start:int,end:int>>"
+_SPANS = T.ArrayType(T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -98,96 +101,123 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.translate(_UPPER)}" if kind in ("email", "ip") else f"{kind}:" + re.sub("[^0-9]", "", value)
 
 
-def _around(text: str, start: int, end: int, context: int) -> list[tuple[int, int]]:
-    """Places of the terms within ``context`` words of a span; ever larger pieces are read until they suffice."""
-    reach = 16 * context
-    while True:
-        low, high = max(0, start - reach), min(len(text), end + reach)
-        left = [(m.start(), m.end()) for m in _TERM.finditer(text[low:start].translate(_UPPER))]
-        right = [(m.start(), m.end()) for m in _TERM.finditer(text[end:high].translate(_UPPER))]
-        # The outermost term of a piece may be cut, so one more than asked for is needed on each side.
-        if (low == 0 or len(left) > context) and (high == len(text) or len(right) > context):
-            return [(a + low, b + low) for a, b in left[-context:]] + [(a + end, b + end) for a, b in right[:context]]
-        reach *= 4
-
-
-def _contexts(text: str, context: int) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the terms around each entity, outside of all base spans."""
-    spans = base_spans(text)
-    found = []
-    for kind, start, end in spans:
-        entity = _entity(kind, text[start:end])
-        for a, b in _around(text, start, end, context):
-            if not any(a < z and s < b for _, s, z in spans):
-                found.append((entity, text[a:b].translate(_UPPER), a, b))
+def _outside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of all terms outside of the spans, which are in order of their start."""
+    lowered, done, found = text.translate(_UPPER), 0, []
+    for start, end in [(a, b) for _, a, b in spans] + [(len(text), len(text))]:
+        if start > done:
+            found += [(m.group(), m.start() + done, m.end() + done) for m in _TERM.finditer(lowered[done:start])]
+        done = max(done, end)
     return found
 
 
-def co_occurrences(df: DataFrame, text: str = "text", context: int = CONTEXT) -> DataFrame:
-    """(k1, k2, entity, term): what stands around each entity, once for each distinct text; an entity alone has a null term."""
+def _entity_texts(df: DataFrame, text: str) -> DataFrame:
+    """(k1, k2, entities, terms): each distinct text with an entity, with its distinct terms."""
     def run(batches):
         for batch in batches:
-            k1, k2, texts = (batch.column(i).to_pylist() for i in range(3))
             rows = []
-            for a, b, value in zip(k1, k2, texts):
-                entities = {_entity(k, value[s:e]) for k, s, e in base_spans(value)}
-                pairs = {(e, t) for e, t, _, _ in _contexts(value, context)} if entities else set()
-                rows += [(a, b, e, None) for e in entities] + [(a, b, e, t) for e, t in pairs]
+            for a, b, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                spans = base_spans(value)
+                if spans:
+                    rows.append((a, b, sorted({_entity(k, value[s:e]) for k, s, e in spans}), sorted({t for t, _, _ in _outside(value, spans)})))
             columns = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()))],
-                names=["k1", "k2", "entity", "term"])
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["k1", "k2", "entities", "terms"])
 
     t = text_of(text)
     keyed = df.select(F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2"), t.alias("t"))
-    return keyed.mapInArrow(run, "k1 long, k2 long, entity string, term string").distinct()
+    found = keyed.mapInArrow(run, "k1 long, k2 long, entities array<string>, terms array<string>")
+    return found.groupBy("k1", "k2").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def co_occurrences(df: DataFrame, text: str = "text") -> DataFrame:
+    """(k1, k2, entity, term): what stands in a text with each entity, once for each distinct text; an entity alone has a null term."""
+    found = materialize(_entity_texts(df, text), "entity-texts")
+    each = found.select("k1", "k2", "terms", F.explode("entities").alias("entity"))
+    alone = F.array(F.lit(None).cast("string"))
+    return each.select("k1", "k2", "entity", F.explode(F.concat(alone, "terms")).alias("term"))
 
 
-def disclosures(
-    df: DataFrame, pairs: DataFrame, text: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT,
-) -> DataFrame:
-    """(entity, term, share): pairs whose term gives away at least ``threshold`` of the entity."""
-    both = pairs.filter("term IS NOT NULL").groupBy("entity", "term").agg(F.count("*").alias("c_te"))
-    both = materialize(both.filter(F.col("c_te") >= support), "pairs-supported")
-    empty = both.select("entity", "term", F.lit(0.0).alias("share"))
-    if not both.take(1):
-        return empty
+def _small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if limit is None else limit) else df
+
+
+def _judged(df: DataFrame, pairs: DataFrame, text: str, threshold: float, support: int) -> tuple[DataFrame, DataFrame]:
+    """(entity, term, share) from ``threshold`` on, and (k1, k2, entity, term) of all pairs that may be among them."""
     t = text_of(text)
     keyed = [F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2")]
+    entities = materialize(pairs.filter("term IS NULL").groupBy("entity").agg(F.count("*").alias("c_e")), "entities")
+    terms = materialize(pairs.filter("term IS NOT NULL").select("term").distinct(), "candidate-terms")
+    if not terms.take(1):
+        return pairs.select("entity", "term", F.lit(0.0).alias("share")).limit(0), pairs.limit(0)
     copies = materialize(df.select(*keyed).groupBy("k1", "k2").agg(F.count("*").alias("n")), "text-copies")
     total = copies.count()
     repeated = materialize(copies.filter("n > 1"), "repeated-texts")
-    entities = materialize(pairs.filter("term IS NULL").groupBy("entity").agg(F.count("*").alias("c_e")).filter(F.col("c_e") >= support), "entities")
-    terms = materialize(both.select("term").distinct(), "candidate-terms")
     # The n copies of a text count 1/n each, which adds up to whole texts without bringing the copies together.
-    stands = df.select(*keyed, F.array_distinct(alnum_words(t)).alias("w")).join(_small(repeated), ["k1", "k2"], "left")
-    stands = stands.select((1 / F.coalesce("n", F.lit(1))).alias("part"), F.explode("w").alias("term")).join(_small(terms), "term")
+    stands = df.select(*keyed, F.array_distinct(alnum_words(t)).alias("w")).join(_small(repeated, BROADCAST_KEYS), ["k1", "k2"], "left")
+    stands = stands.select((1 / F.coalesce("n", F.lit(1))).alias("part"), F.explode("w").alias("term"))
+    few = terms.count() <= BROADCAST_ROWS
+    stands = stands.join(F.broadcast(terms), "term") if few else stands
     stands = stands.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("c_t"))
-    known = both.join(_small(materialize(stands, "term-texts")), "term").join(_small(entities), "entity")
-    information = F.log(F.lit(float(total)) / F.col("c_e"))
-    shared = F.log(F.lit(float(total)) * F.col("c_te") / (F.col("c_t") * F.col("c_e")))
+    # A piece of a word that a span cuts may stand in no text as a word.
+    stands = terms.join(stands, "term", "left").select("term", F.coalesce("c_t", F.lit(0)).alias("c_t"))
+    stands = materialize(stands, "term-texts")
+    n = F.lit(float(total))
+    information = F.log(n / F.col("c_e"))
+    # No pair stands in more texts than its term or its entity, which bounds its share.
+    bound = F.log(n / F.greatest("c_t", "c_e")) >= threshold * information - 1e-9
+    most = entities.agg(F.max("c_e")).first()[0]
+    rare = materialize(stands.withColumn("c_e", F.lit(most)).filter(bound).drop("c_e"), "rare-terms")
+    rare = pairs.join(_small(rare), "term").join(_small(entities), "entity").filter(bound)
+    rare = materialize(rare.select("k1", "k2", "entity", "term", "c_e", "c_t"), "pairs-rare")
+    known = rare.groupBy("entity", "term", "c_e", "c_t").agg(F.count("*").alias("c_te")).filter(F.col("c_te") >= support)
+    counted = F.greatest("c_t", "c_te")
+    shared = F.log(n * F.col("c_te") / (counted * F.col("c_e")))
     # An entity that stands in every text has nothing to disclose.
     known = known.withColumn("share", F.when(information > 0, shared / information).otherwise(F.lit(0.0)))
-    return materialize(known.filter(F.col("share") >= threshold).select("entity", "term", "share"), "disclosures")
+    known = materialize(known.filter(F.col("share") >= threshold).select("entity", "term", "share"), "disclosures")
+    return known, rare.select("k1", "k2", "entity", "term")
+
+
+def disclosures(
+    df: DataFrame, pairs: DataFrame, text: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT,
+) -> DataFrame:
+    """(entity, term, share): pairs whose term gives away at least ``threshold`` of the entity."""
+    return _judged(df, pairs, text, threshold, support)[0]
 
 
-def _spans_udf(context: int):
-    @F.pandas_udf(_SPANS)
-    def spans(texts: pd.Series, revealed: pd.Series) -> pd.Series:
-        out = []
-        for text, terms in zip(texts, revealed):
-            found = base_spans(text)
-            if found and terms is not None and len(terms):
-                marks = {(r["entity"], r["term"]): r["kind"] for r in terms}
-                places = {(a, b): marks[e, t] for e, t, a, b in _contexts(text, context) if (e, t) in marks}
-                found = sorted(found + [(k, a, b) for (a, b), k in places.items()], key=lambda s: (s[1], (*KINDS, "general", "removed").index(s[0])))
-            out.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-        return pd.Series(out)
-    return spans
+@F.pandas_udf(_SPANS)
+def _spans(texts: pd.Series, general: pd.Series, removed: pd.Series) -> pd.Series:
+    out = []
+    for text, some, all_of in zip(texts, general, removed):
+        found = base_spans(text)
+        if found and some is not None:
+            marks = dict.fromkeys(some, "general") | dict.fromkeys(all_of, "removed")
+            terms = [(marks[t], a, b) for t, a, b in _outside(text, found) if t in marks]
+            found = sorted(found + terms, key=lambda s: (s[1], (*KINDS, "general", "removed").index(s[0])))
+        out.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
+    return pd.Series(out)
+
+
+def _with_revealed(rows: DataFrame, revealed: DataFrame) -> DataFrame:
+    """Rows (_k1, _k2, ...) with the terms their text is to lose.
+
+    Few terms are broadcast. Of more, the keys of their texts tell the rows
+    that have any, and only those shuffle, the copies of a text over
+    ``SALTS`` parts; beyond that all rows do.
+    """
+    same = (F.col("_k1") == F.col("_r1")) & (F.col("_k2") == F.col("_r2"))
+    terms, texts = revealed.agg(F.sum(F.size("_general") + F.size("_removed")), F.count("*")).first()
+    if (terms or 0) <= BROADCAST_TERMS:
+        return rows.join(F.broadcast(revealed), same, "left")
+    salted = revealed.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    met = same & (F.col("_salt") == F.col("_part"))
+    if texts > BROADCAST_KEYS:
+        return dealt.join(salted, met, "left").drop("_salt", "_part")
+    keys = F.broadcast(revealed.select("_r1", "_r2"))
+    some = dealt.join(keys, same, "left_semi").join(salted, met, "left").drop("_salt", "_part")
+    return some.unionByName(rows.join(keys, same, "left_anti"), allowMissingColumns=True)
 
 
 @F.pandas_udf(T.StringType())
@@ -212,30 +242,29 @@ def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 def sanitise(
     df: DataFrame, text: str = "text", threshold: float = DISCLOSURE, identifying: float = IDENTIFYING,
-    support: int = SUPPORT, context: int = CONTEXT,
+    support: int = SUPPORT,
 ) -> DataFrame:
     """The frame with ``spans``: array of (kind, start, end), end exclusive, by start and kind.
 
     Kinds are email, ip, card and phone, and ``general`` or ``removed`` for
-    terms that disclose one of them; ``masked`` applies the spans. A null or
-    empty text has none. Texts without an entity never change. Repeated rows
-    get equal spans and count once as evidence. An empty table gives an empty
-    result; a column named spans is replaced.
+    terms that disclose one of them, at every place of the text; ``masked``
+    applies the spans. A null or empty text has none. Texts without an entity
+    never change. Repeated rows get equal spans and count once as evidence. An
+    empty table gives an empty result; a column named spans is replaced.
     """
-    pairs = materialize(co_occurrences(df, text, context), "co-occurrences")
-    known = disclosures(df, pairs, text, threshold, support)
-    kind = F.when(F.col("share") >= identifying, "removed").otherwise("general").alias("kind")
-    revealed = pairs.join(_small(known), ["entity", "term"]).groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("entity", "term", kind)).alias("_revealed"))
-    revealed = materialize(revealed.withColumnsRenamed({"k1": "_r1", "k2": "_r2"}), "revealed")
+    pairs = co_occurrences(df, text)
+    known, rare = _judged(df, pairs, text, threshold, support)
+    found = rare.join(_small(known), ["entity", "term"])
+    strong = F.col("share") >= identifying
+    # A term that several entities of a text ask for is removed if one of them asks for it; see _spans.
+    revealed = found.groupBy(F.col("k1").alias("_r1"), F.col("k2").alias("_r2")).agg(
+        F.collect_set(F.when(~strong, F.col("term"))).alias("_general"), F.collect_set(F.when(strong, F.col("term"))).alias("_removed"))
+    revealed = materialize(revealed, "revealed")
     t = text_of(text)
     rows = df.withColumns({"_k1": F.xxhash64(t), "_k2": F.xxhash64(t, F.lit(1))})
-    if revealed.take(1):
-        rows = rows.join(_small(revealed), (F.col("_k1") == F.col("_r1")) & (F.col("_k2") == F.col("_r2")), "left")
-    else:
-        rows = rows.withColumn("_revealed", F.lit(None).cast("array<struct<entity:string,term:string,kind:string>>"))
-    rows = rows.withColumn("spans", _spans_udf(context)(t, F.col("_revealed")))
-    return rows.drop("_k1", "_k2", "_r1", "_r2", "_revealed")
+    rows = _with_revealed(rows, revealed)
+    rows = rows.withColumn("spans", _spans(t, F.col("_general"), F.col("_removed")))
+    return rows.drop("_k1", "_k2", "_r1", "_r2", "_general", "_removed")
 
 
 def base_only(spans: Column) -> Column:

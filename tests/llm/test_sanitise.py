@@ -101,6 +101,22 @@ def test_disclosure_is_pmi_by_information(docs, spark):
         assert c_te >= sanitise.SUPPORT and r.share >= sanitise.DISCLOSURE
 
 
+@pytest.mark.parametrize("limit", [1_000_000, -1])
+def test_terms_far_from_the_entity(docs, monkeypatch, limit):
+    # The name stands far more than eight words before the address, and again after it.
+    monkeypatch.setattr(sanitise, "BROADCAST_TERMS", limit)
+    rng = random.Random(2)
+    def filler():
+        return " ".join(f"v{rng.randrange(30)}" for _ in range(30))
+    rows = [(i, filler()) for i in range(200)] + [(1000 + i, f"Zorvian {filler()} ann@example.org {filler()} zorvian") for i in range(6)]
+    rows += [(2000, None), rows[201]]
+    found = sanitise.sanitise(docs(rows)).collect()
+    assert sorted(r.doc_id for r in found) == sorted([k for k, _ in rows[:-2]] + [2000, rows[-1][0]], key=lambda k: k)
+    for r in found:
+        names = [r.text[s.start:s.end] for s in r.spans if s.kind == "removed"]
+        assert names == (["Zorvian", "zorvian"] if 1000 <= r.doc_id < 2000 else [])
+
+
 def test_masked_text(docs):
     out = sanitise.sanitise(docs(corpus()))
     rows = {r.doc_id: r.clean for r in out.select("doc_id", sanitise.masked("text", "spans").alias("clean")).collect()}
