@@ -8,8 +8,10 @@ all there is to know, IC(e) = log(N / c(e)). A term whose share of it reaches
 wherever it stands in the texts that hold the entity. Common words share next
 to nothing with any entity and stay.
 
-Copies of a text count once. A pair seen in fewer than ``SUPPORT`` texts is no
-evidence of co-occurrence, so it discloses nothing.
+Copies of a text count once. Every entity is judged from its first text on;
+a pair seen in fewer than ``SUPPORT`` texts is smoothed: its term counts as if
+it stood in ``SUPPORT`` more texts, without the entity. So a term of one text
+alone says little among a thousand texts and much among a million.
 """
 
 from __future__ import annotations
@@ -170,8 +172,8 @@ def _judged(df: DataFrame, pairs: DataFrame, text: str, threshold: float, suppor
     rare = materialize(stands.withColumn("c_e", F.lit(most)).filter(bound).drop("c_e"), "rare-terms")
     rare = pairs.join(_small(rare), "term").join(_small(entities), "entity").filter(bound)
     rare = materialize(rare.select("k1", "k2", "entity", "term", "c_e", "c_t"), "pairs-rare")
-    known = rare.groupBy("entity", "term", "c_e", "c_t").agg(F.count("*").alias("c_te")).filter(F.col("c_te") >= support)
-    counted = F.greatest("c_t", "c_te")
+    known = rare.groupBy("entity", "term", "c_e", "c_t").agg(F.count("*").alias("c_te"))
+    counted = F.greatest("c_t", "c_te") + F.when(F.col("c_te") < support, support).otherwise(0)
     shared = F.log(n * F.col("c_te") / (counted * F.col("c_e")))
     # An entity that stands in every text has nothing to disclose.
     known = known.withColumn("share", F.when(information > 0, shared / information).otherwise(F.lit(0.0)))

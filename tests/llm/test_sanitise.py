@@ -101,6 +101,16 @@ def test_disclosure_is_pmi_by_information(docs, spark):
         assert c_te >= sanitise.SUPPORT and r.share >= sanitise.DISCLOSURE
 
 
+def test_one_text_among_many_discloses(docs):
+    # Among 1,500 texts a term that only one text has gives its address away, copies or not; common words do not.
+    rows = [(i, f"common words stand v{i % 50} here") for i in range(50)] + [(i, f"common words stand {i} here") for i in range(50, 1500)]
+    rows += [(2000, "common words quixote bob@example.org here"), *[(3000 + i, "common vexing carl@example.org words") for i in range(20)]]
+    for key, term in ((2000, "quixote"), (3000, "vexing"), (3019, "vexing")):
+        text = dict(rows)[key]
+        found = {r.doc_id: r.spans for r in sanitise.sanitise(docs(rows)).collect()}[key]
+        assert [(s.kind, text[s.start:s.end]) for s in found if s.kind != "email"] == [("general", term)]
+
+
 @pytest.mark.parametrize("limit", [1_000_000, -1])
 def test_terms_far_from_the_entity(docs, monkeypatch, limit):
     # The name stands far more than eight words before the address, and again after it.
