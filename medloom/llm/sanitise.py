@@ -134,7 +134,10 @@ def _entity_texts(df: DataFrame, text: str) -> DataFrame:
 
 def co_occurrences(df: DataFrame, text: str = "text") -> DataFrame:
     """(k1, k2, entity, term): what stands in a text with each entity, once for each distinct text; an entity alone has a null term."""
-    found = materialize(_entity_texts(df, text), "entity-texts")
+    return _paired(materialize(_entity_texts(df, text), "entity-texts"))
+
+
+def _paired(found: DataFrame) -> DataFrame:
     each = found.select("k1", "k2", "terms", F.explode("entities").alias("entity"))
     alone = F.array(F.lit(None).cast("string"))
     return each.select("k1", "k2", "entity", F.explode(F.concat(alone, "terms")).alias("term"))
@@ -144,12 +147,18 @@ def _small(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
-def _judged(df: DataFrame, pairs: DataFrame, text: str, threshold: float, support: int) -> tuple[DataFrame, DataFrame]:
-    """(entity, term, share) from ``threshold`` on, and (k1, k2, entity, term) of all pairs that may be among them."""
+def _judged(
+    df: DataFrame, pairs: DataFrame, text: str, threshold: float, support: int, texts: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(entity, term, share) from ``threshold`` on, and (k1, k2, entity, term) of all pairs that may be among them.
+
+    ``texts``, where at hand, is what the pairs were made from.
+    """
     t = text_of(text)
     keyed = [F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2")]
     entities = materialize(pairs.filter("term IS NULL").groupBy("entity").agg(F.count("*").alias("c_e")), "entities")
-    terms = materialize(pairs.filter("term IS NOT NULL").select("term").distinct(), "candidate-terms")
+    each = pairs.filter("term IS NOT NULL") if texts is None else texts.select(F.explode("terms").alias("term"))
+    terms = materialize(each.select("term").distinct(), "candidate-terms")
     if not terms.take(1):
         return pairs.select("entity", "term", F.lit(0.0).alias("share")).limit(0), pairs.limit(0)
     copies = materialize(df.select(*keyed).groupBy("k1", "k2").agg(F.count("*").alias("n")), "text-copies")
@@ -158,8 +167,6 @@ def _judged(df: DataFrame, pairs: DataFrame, text: str, threshold: float, suppor
     # The n copies of a text count 1/n each, which adds up to whole texts without bringing the copies together.
     stands = df.select(*keyed, F.array_distinct(alnum_words(t)).alias("w")).join(_small(repeated, BROADCAST_KEYS), ["k1", "k2"], "left")
     stands = stands.select((1 / F.coalesce("n", F.lit(1))).alias("part"), F.explode("w").alias("term"))
-    few = terms.count() <= BROADCAST_ROWS
-    stands = stands.join(F.broadcast(terms), "term") if few else stands
     stands = stands.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("c_t"))
     # A piece of a word that a span cuts may stand in no text as a word.
     stands = terms.join(stands, "term", "left").select("term", F.coalesce("c_t", F.lit(0)).alias("c_t"))
@@ -170,7 +177,10 @@ def _judged(df: DataFrame, pairs: DataFrame, text: str, threshold: float, suppor
     bound = F.log(n / F.greatest("c_t", "c_e")) >= threshold * information - 1e-9
     most = entities.agg(F.max("c_e")).first()[0]
     rare = materialize(stands.withColumn("c_e", F.lit(most)).filter(bound).drop("c_e"), "rare-terms")
-    rare = pairs.join(_small(rare), "term").join(_small(entities), "entity").filter(bound)
+    # A text's terms meet their counts once, not once for each entity.
+    found = pairs.filter("term IS NOT NULL").select("k1", "k2", "term").distinct() if texts is None else texts.select("k1", "k2", F.explode("terms").alias("term"))
+    holders = materialize(pairs.filter("term IS NULL").select("k1", "k2", "entity").join(_small(entities), "entity"), "entity-holders")
+    rare = found.join(rare, "term").join(_small(holders), ["k1", "k2"]).filter(bound)
     rare = materialize(rare.select("k1", "k2", "entity", "term", "c_e", "c_t"), "pairs-rare")
     known = rare.groupBy("entity", "term", "c_e", "c_t").agg(F.count("*").alias("c_te"))
     counted = F.greatest("c_t", "c_te") + F.when(F.col("c_te") < support, support).otherwise(0)
@@ -254,9 +264,9 @@ def sanitise(
     never change. Repeated rows get equal spans and count once as evidence. An
     empty table gives an empty result; a column named spans is replaced.
     """
-    pairs = co_occurrences(df, text)
-    known, rare = _judged(df, pairs, text, threshold, support)
-    found = rare.join(_small(known), ["entity", "term"])
+    texts = materialize(_entity_texts(df, text), "entity-texts")
+    known, rare = _judged(df, _paired(texts), text, threshold, support, texts)
+    found = rare.join(known, ["entity", "term"])
     strong = F.col("share") >= identifying
     # A term that several entities of a text ask for is removed if one of them asks for it; see _spans.
     revealed = found.groupBy(F.col("k1").alias("_r1"), F.col("k2").alias("_r2")).agg(
