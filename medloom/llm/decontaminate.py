@@ -21,6 +21,8 @@ from medloom.sources.storage import materialize
 WINDOW = 10
 # Lists that are intersected for each window.
 LISTS = 3
+# One in so many terms of a window may be missing from a proximity match, two of ten.
+ABSENT = 5
 # Rows up to which a frame of short rows is broadcast, after it was counted; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 # The same for candidates, which carry the words of their window.
@@ -110,11 +112,36 @@ def intersect(index: DataFrame, lookups: DataFrame) -> DataFrame:
     return _led(index, lookups).filter(met).select("wid", "k1", "k2", "start")
 
 
-def near(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
-    """(wid, k1, k2, start): the other lists of a window meet its rarest term's within ``slop`` words of their places."""
-    met = F.forall("others", lambda o: F.exists(F.sequence(F.lit(-slop), F.lit(slop)), lambda d: F.array_contains(
-        F.col("entries"), F.shiftleft(o["tid"], 32) + F.col("pos") + o["distance"] + d)))
-    return _led(index, lookups).filter(met).select("wid", "k1", "k2", "start")
+def near_candidates(df: DataFrame, found: DataFrame, counts: DataFrame, text: str = "text") -> DataFrame:
+    """(k1, k2, near): where a window may stand in a text, as (start, wid, terms, items).
+
+    Of one term more than may be missing, one is there: each of that many, the
+    rarest, leads its window. A term that stands nowhere is one that is
+    missing. A start lies before the text where the first terms are cut off.
+    """
+    single = found.select("wid", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
+    ranked = single.join(counts, "term", "left").groupBy("wid", "size").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset"))).alias("ranked"))
+    missing = F.floor(F.col("size") / ABSENT).cast("int")
+    leads = ranked.select("wid", F.explode(F.slice("ranked", 1, missing + 1)).alias("t")).filter("t.n > 0")
+    leads = materialize(leads.select("wid", "t.term", "t.offset"), "near-leads")
+    places = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term")).join(_small(leads), "term")
+    places = places.select("wid", "k1", "k2", (F.col("pos") - F.col("offset")).cast("int").alias("start")).distinct()
+    return places.join(_small(found), "wid").groupBy("k1", "k2").agg(
+        F.sort_array(F.collect_list(F.struct("start", "wid", "terms", "items"))).alias("near"))
+
+
+def _verified_near(w: Column, candidates: Column, slop: int) -> Column:
+    """Candidates of whose terms enough stand within ``slop`` words of their places; all terms are looked at."""
+    def there(c, i):
+        low = F.greatest(c["start"] + i - slop, F.lit(0))
+        return F.array_contains(F.slice(w, low + 1, F.greatest(c["start"] + i + slop - low + 1, F.lit(0))), c["terms"][i])
+
+    def enough(c):
+        size = F.size(c["terms"])
+        held = F.size(F.filter(F.sequence(F.lit(0), size - 1), lambda i: there(c, i)))
+        return held >= size - F.floor(size / ABSENT)
+    return F.filter(candidates, enough)
 
 
 def _verified(w: Column, candidates: Column) -> Column:
@@ -138,7 +165,8 @@ def _with_candidates(rows: DataFrame, by_text: DataFrame) -> DataFrame:
     rows that have any, and only those shuffle; beyond that all rows do.
     """
     same = (F.col("_k1") == F.col("_found_k1")) & (F.col("_k2") == F.col("_found_k2"))
-    entries, texts = by_text.agg(F.sum(F.size("_found_candidates")), F.count("*")).first()
+    held = [F.coalesce(F.size(c), F.lit(0)) for c in by_text.columns if c in ("_found_candidates", "_found_near")]
+    entries, texts = by_text.agg(F.sum(sum(held)), F.count("*")).first()
     if (entries or 0) <= BROADCAST_CANDIDATES:
         return rows.join(F.broadcast(by_text), same, "left")
     if texts > BROADCAST_KEYS:
@@ -152,11 +180,13 @@ def decontaminate(
     df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
     window: int = WINDOW, lists: int = LISTS, slop: int | None = None,
 ) -> DataFrame:
-    """The frame with n_words, n_hit, items (keys), contaminated and, with ``slop``, n_near.
+    """The frame with n_words, n_hit, items (keys), contaminated and, with ``slop``, n_near and near.
 
-    A word is hit inside any occurrence of a window of an item. ``n_near``
-    counts windows whose rarest terms stand in their places within ``slop``
-    words, exact occurrences included. Null and empty texts have no words, on
+    A word is hit inside any occurrence of a window of an item. ``near`` has
+    (start, items) of every place where at most one in ``ABSENT`` terms of a
+    window is missing and all others stand within ``slop`` words of their
+    places, as seen from one of its rarest terms; exact occurrences are
+    included. ``n_near`` counts the windows of these places. Null and empty texts have no words, on
     either side; an item without a key hits words but is in no list. Repeated
     rows get equal results, and an empty table on either side gives zeros or
     no rows. Columns of the result's names in the frame are replaced.
@@ -173,9 +203,7 @@ def decontaminate(
         F.sort_array(F.collect_list(F.struct("start", "terms", "items"))).alias("candidates"))
     by_text = materialize(by_text, "candidates")
     if slop is not None:
-        close = near(index, lookups, slop).select("k1", "k2", "wid").distinct().groupBy("k1", "k2").agg(F.count("*").alias("n_near"))
-        by_text = by_text.join(close, ["k1", "k2"], "full")
-        by_text = materialize(by_text, "candidates-near")
+        by_text = by_text.join(materialize(near_candidates(df, found, counts, text), "near-candidates"), ["k1", "k2"], "full")
     t = text_of(text)
     rows = df.withColumns({"_k1": F.xxhash64(t), "_k2": F.xxhash64(t, F.lit(1))})
     names = {c: f"_found_{c}" for c in by_text.columns}
@@ -190,7 +218,11 @@ def decontaminate(
         "n_words": F.col("_judged.n_words"), "n_hit": F.col("_judged.n_hit"), "items": F.col("_judged.items"),
     }).withColumn("contaminated", F.col("n_hit") > 0)
     if slop is not None:
-        rows = rows.withColumn("n_near", F.coalesce("_found_n_near", F.lit(0)))
+        close = F.coalesce(F.col("_found_near"), F.array().cast(by_text.schema["_found_near"].dataType))
+        rows = rows.withColumn("_close", let(alnum_words(t), lambda w: _verified_near(w, close, slop))).withColumns({
+            "n_near": F.size(F.array_distinct(F.transform("_close", lambda c: c["wid"]))).cast("long"),
+            "near": F.transform("_close", lambda c: F.struct(c["start"].alias("start"), c["items"].alias("items"))),
+        }).drop("_close")
     return rows.drop("_judged", "_k1", "_k2", *names.values())
 
 

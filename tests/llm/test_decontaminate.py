@@ -82,6 +82,19 @@ def test_proximity(docs, spark):
         1: (1, True), 2: (1, False), 3: (0, False), 4: (0, False), 5: (0, False)}
 
 
+def test_proximity_looks_at_all_terms_and_every_place(docs, spark):
+    item = " ".join(f"k{i}" for i in range(10))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    # The text begins within the passage; a word is changed, k4 stands nowhere; seven and three terms are missing; a word is put in.
+    rows = [(1, "k1 k2 k3 k5 k5 k6 k7 k8 k9"), (2, "x x k0 k1 k2 k3 other k5 k6 k7 k8 k9"), (3, "k0 k1 k2 x x x x x x x"),
+            (4, "k0 k1 k2 k3 y k5 k6 y y y"), (5, "k0 k1 k2 k3 x y k5 k6 k7 k8 k9"), (6, ""), (7, None)]
+    found = {r.doc_id: r for r in decontaminate.decontaminate(docs(rows), bench, slop=1).collect()}
+    assert {k: r.n_near for k, r in found.items()} == {1: 1, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0, 7: 0}
+    assert [(p.start, p["items"]) for p in found[1].near] == [(-1, [1])]
+    assert [(p.start, p["items"]) for p in found[2].near] == [(2, [1])]
+    assert not any(r.contaminated for r in found.values())
+
+
 def test_empty_tables(docs, spark, corpus):
     rows, items, df, bench = corpus
     assert decontaminate.decontaminate(docs([]), bench).collect() == []
