@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import decontaminate, html, licenses, mixing, quality, sanitise, tokens, warc
+from medloom.llm import decontaminate, html, infill, langid, licenses, mixing, quality, sanitise, tokens, turns, warc
 from medloom.llm.repeats import remove_repeats
 from medloom.llm.simhash import near_duplicates
 
@@ -75,9 +75,26 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base.alias("base_sha256"), sanitise.as_text(F.col("spans")).alias("spans"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = turns.repair(turns.damage(_table(spark, sf_dir, "conversations")))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.transform(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"))
+
+
 _QUERIES = {f.__name__: f for f in (
     op1_warc_index, op2_quality_rules, op3_substring_dedup, op4_decontamination, op5_html_extraction, op6_mix_sources,
-    op7_token_counts, op8_license_scan, op9_simhash, op10_pii)}
+    op7_token_counts, op8_license_scan, op9_simhash, op10_pii, op11_conversation_repair, op12_language_id, op13_fill_in_middle)}
 _SQL = {
     "op1_warc_index": warc.SQL,
     "op2_quality_rules": quality.SQL,
@@ -101,6 +118,8 @@ FROM w LEFT JOIN gone ON w.r = gone.r LEFT JOIN kept ON w.r = kept.r
 """,
     "op6_mix_sources": mixing.SQL,
     "op8_license_scan": licenses.SQL,
+    "op11_conversation_repair": turns.SQL,
+    "op13_fill_in_middle": infill.SQL,
 }
 
 
