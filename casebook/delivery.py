@@ -45,10 +45,13 @@ CHECKS["parquet_as_text"] = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
     o_orderstatus, substr(CAST(o_orderdate AS VARCHAR), 1, 10) AS o_day FROM orders"""
 
 # Lines of a delivered file: some short, some with a value too many, some with an open quote.
+# Lines of other widths, a quote that never closes, and records over three lines, the middle one like a record by itself.
 _LINES = """
 SELECT CASE WHEN l_partkey % 23 = 0 THEN concat(CAST(l_orderkey AS STRING), ',', CAST(l_linenumber AS STRING))
             WHEN l_partkey % 19 = 0 THEN concat(CAST(l_orderkey AS STRING), ',1,a,b')
             WHEN l_partkey % 17 = 0 THEN concat(CAST(l_orderkey AS STRING), ',"open,1')
+            WHEN l_partkey % 13 = 0 THEN concat(CAST(l_orderkey AS STRING), ',"x', chr(10), CAST(l_orderkey AS STRING), ',2,y', chr(10), 'z",', repeat('"', 2))
+            WHEN l_partkey % 11 = 0 THEN concat(CAST(l_orderkey AS STRING), ',5" tall,', repeat('"', 4))
             ELSE concat(CAST(l_orderkey AS STRING), ',', CAST(l_linenumber AS STRING), ',"', l_returnflag, ' ""q"" x"') END AS line
 FROM lineitem"""
 
@@ -61,8 +64,12 @@ def _read_lines(v: Views) -> tuple[DataFrame, DataFrame]:
 
 QUERIES["csv_records"] = lambda v: _read_lines(v)[0]
 CHECKS["csv_records"] = """
-SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
-       CASE WHEN l_partkey % 23 = 0 THEN NULL ELSE l_returnflag || ' "q" x' END AS remark
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+       CASE WHEN l_partkey % 23 = 0 THEN CAST(l_linenumber AS VARCHAR)
+            WHEN l_partkey % 13 = 0 THEN concat('x', chr(10), l_orderkey, ',2,y', chr(10), 'z')
+            WHEN l_partkey % 11 = 0 THEN '5" tall' ELSE CAST(l_linenumber AS VARCHAR) END AS l_linenumber,
+       CASE WHEN l_partkey % 23 = 0 THEN NULL WHEN l_partkey % 13 = 0 THEN NULL WHEN l_partkey % 11 = 0 THEN '"'
+            ELSE l_returnflag || ' "q" x' END AS remark
 FROM lineitem WHERE l_partkey % 23 = 0 OR (l_partkey % 19 <> 0 AND l_partkey % 17 <> 0)"""
 QUERIES["csv_rejects"] = lambda v: _read_lines(v)[1]
 CHECKS["csv_rejects"] = """
@@ -70,6 +77,44 @@ SELECT CASE WHEN l_partkey % 19 = 0 THEN concat(l_orderkey, ',1,a,b') ELSE conca
        CASE WHEN l_partkey % 19 = 0 THEN 'too many values' ELSE 'open quote' END AS reason
 FROM lineitem WHERE l_partkey % 23 <> 0 AND (l_partkey % 19 = 0 OR l_partkey % 17 = 0)"""
 
+# Files with a header each, also one with a line break, and rows that look like it; as written by Spark.
+_NOTES = """
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'order_id' ELSE CAST(o_orderkey AS {t}) END AS order_id,
+       CASE WHEN o_orderkey % 7 = 0 THEN concat('note', chr(10), 'text') WHEN o_orderkey % 3 = 0 THEN
+            concat('"', o_orderpriority, '",', chr(10), CAST(o_orderkey AS {t}), ',x,y', chr(13), chr(10), chr(10), 'end ', CAST(o_custkey AS {t}))
+            ELSE o_orderstatus END AS {note}, o_orderpriority FROM orders"""
+
+
+def _read_notes(v: Views) -> DataFrame:
+    path = storage.scratch_path(v.spark, "notes")
+    text = v.sql(_NOTES.format(t="STRING", note="note")).withColumnRenamed("note", "note\ntext")
+    text.write.options(header=True, escape='"').csv(path)
+    return ingest.read_csv(v.spark, path)[0]
+
+
+QUERIES["csv_files"] = _read_notes
+CHECKS["csv_files"] = _NOTES.format(t="VARCHAR", note="notetext")
+
+# Files in several encodings, found from their bytes; one table of a folder for each.
+_ENCODINGS = ["UTF-8", "UTF-16LE", "UTF-16BE", "ISO-8859-1"]
+
+
+def _read_encodings(v: Views) -> DataFrame:
+    parts = []
+    for i, name in enumerate(_ENCODINGS):
+        path = storage.scratch_path(v.spark, "encoded")
+        rows = v["customer"].filter(F.col("c_custkey") % 4 == i).selectExpr(
+            "c_custkey", "concat(c_name, ' d\u00e9j\u00e0', CASE WHEN c_custkey % 3 = 0 THEN chr(10) ELSE '' END) AS c_name")
+        rows.write.options(header=True, escape='"', encoding=name, ignoreTrailingWhiteSpace=False).csv(path)
+        parts.append(ingest.read_csv(v.spark, path)[0])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+QUERIES["csv_encodings"] = _read_encodings
+CHECKS["csv_encodings"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+       c_name || ' d\u00e9j\u00e0' || CASE WHEN c_custkey % 3 = 0 THEN chr(10) ELSE '' END AS c_name FROM customer"""
+
 # ---- normalization ----
 
 

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom import schema
+from medloom.sources.encoding import Encoding, encoding_of
+from medloom.sources.records import has_open_quotes, split_records, values_of
 from medloom.sources.storage import materialize
 
 NULL_WORDS = ["NULL", "null"]
 _CORRUPT = "_corrupt_record"
-# Stands for a quoted value when separators and open quotes are counted.
-_MARK = "\u0001"
-# Longest record over several lines.
-RECORD_BYTES = 2 << 20
+# Code points that no text holds.
+_NO_SEPARATOR = "\uffff\ufffe\uffff"
 
 
 def clean_name(name: str) -> str:
@@ -44,46 +44,42 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return null_words(clean_names(as_text(spark.read.parquet(path))))
 
 
-def csv_header(spark: SparkSession, path: str, separator: str = ",", encoding: str = "UTF-8") -> list[str]:
-    options = {"header": True, "sep": separator, "encoding": encoding, "escape": '"', "inferSchema": False}
-    return spark.read.options(**options).csv(path).columns
+def csv_header(spark: SparkSession, path: str, separator: str = ",", encoding: str | None = None) -> list[str]:
+    """Column names as delivered; a name in quotes may hold line breaks."""
+    found = encoding_of(spark, path, encoding)
+    western = found.name == "windows-1252"
+    options = {"header": True, "sep": separator, "encoding": "ISO-8859-1" if western else found.name, "escape": '"',
+               "inferSchema": False, "multiLine": True}
+    return [c.removeprefix("\ufeff") for c in spark.read.options(**options).csv(path).columns]
 
 
 def read_csv(
-    spark: SparkSession, path: str, separator: str = ",", encoding: str = "UTF-8", strict: bool = False,
-    names: list[str] | None = None, record_bytes: int = RECORD_BYTES,
+    spark: SparkSession, path: str, separator: str = ",", encoding: str | None = None, strict: bool = False,
+    names: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """A delivered CSV table as text, and the lines that are not records.
 
     Plain and gzip files, or folders of them, with a header unless ``names``
-    are given. Files are read by line and stay split over tasks. Lines that
-    hold an odd number of quotes are looked at again: from one such line to
-    the next they are one record if, put together, they close their quotes,
-    have the header's width, and no line between is a record by itself.
-    Otherwise each stands alone. Short lines are filled with NULL. A line with
-    too many values or a quote left open is rejected, and it alone; with
-    ``strict`` it fails the job instead. A record may have ``record_bytes``.
+    are given. The encoding is found from a sample unless it is named. Files
+    are read by line and stay split over tasks. Records may go over lines and
+    blocks and have any length (``records.split_records``); a quote that opens
+    a value and never soundly closes it costs its own line only. Short records
+    are filled with NULL. A line with too many values or a quote left open is
+    rejected, and it alone; with ``strict`` it fails the job instead.
+
+    Where no line leaves a quote open, which one look at the lines tells, every
+    line is a record. Otherwise the lines are written once, so that all passes
+    see the same ones.
     """
+    found = encoding_of(spark, path, encoding)
     header = names or csv_header(spark, path, separator, encoding)
-    lines = _lines(spark, path, encoding)
-    rows = lines
-    if names is None:
-        rows = rows.filter(~((F.col("block") == 0) & F.col("line").isin(_header_lines(lines))))
-    blank = F.trim("line") == ""
-    parsed = _parsed(rows.filter(~blank), header, separator)
-    odd = _quotes("line") % 2 == 1
-    if parsed.filter(odd).isEmpty():
-        records = parsed
+    lines = _lines(spark, path, found)
+    if found.name == "UTF-8" and not has_open_quotes(lines, separator):
+        records = _parsed(_single_lines(spark, path, names is None, found), header, separator)
     else:
-        suspect = odd | F.col("values")[_CORRUPT].isNotNull()
-        # Blank lines are no records, but may stand within one.
-        suspects = materialize(rows.withColumn("odd", odd).filter(
-            odd | blank | _parse("line", header, separator)[_CORRUPT].isNotNull()), "csv-suspects")
-        stitched = materialize(_stitched(suspects, lines, header, separator, record_bytes), "csv-stitched")
-        used = stitched.select("file", F.explode("places").alias("at"))
-        alone = suspects.join(used, ["file", "at"], "left_anti").filter(~blank).select("line")
-        records = parsed.filter(~suspect).select("line", "values").unionByName(
-            _parsed(alone.union(stitched.select("line")), header, separator).select("line", "values"))
+        lines = materialize(lines, "csv-lines")
+        whole = split_records(lines, len(header), separator, names is None, found.line_end)
+        records = _parsed(whole, header, separator)
     reason = rejection(F.col("line"), F.col("values")[_CORRUPT].isNotNull(), len(header), separator)
     values = [F.col("values")[_value(i)].alias(c) for i, c in enumerate(header)]
     rejects = records.filter(reason.isNotNull()).select("line", reason.alias("reason"))
@@ -95,24 +91,18 @@ def read_csv(
     return null_words(clean_names(good)), rejects
 
 
-def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str, encoding: Encoding) -> DataFrame:
     """(file, block, at, line): ``at`` grows by one from line to line of a block of a file."""
-    return spark.read.text(path).select(
+    return spark.read.option("lineSep", encoding.separator).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-        F.decode(F.col("value").cast("binary"), encoding).alias("line") if encoding.upper() != "UTF-8"
-        else F.regexp_replace("value", "^\ufeff", "").alias("line"),
-    )
-
+        F.monotonically_increasing_id().alias("at"), encoding.text("value").alias("line"))
 
-def _header_lines(lines: DataFrame) -> list[str]:
-    """The first line of each file; the files of a folder share few wordings of one header."""
-    firsts = lines.filter("block = 0").groupBy("file").agg(F.min_by("line", "at").alias("line"))
-    return [r.line for r in firsts.select("line").distinct().collect()]
 
-
-def _quotes(line: str) -> Column:
-    return F.length(line) - F.length(F.replace(F.col(line), F.lit('"'), F.lit("")))
+def _single_lines(spark: SparkSession, path: str, has_header: bool, encoding: Encoding) -> DataFrame:
+    """(line) of files whose lines are records: read as one column, so that the reader takes each file's header away."""
+    options = {"sep": _NO_SEPARATOR, "quote": "", "escape": "", "header": has_header, "lineSep": encoding.line_end}
+    lines = spark.read.schema("line STRING").options(**options).csv(path)
+    return lines.select(F.regexp_replace(encoding.text("line"), "\r\\z", "").alias("line")).filter(F.trim("line") != "")
 
 
 def _value(place: int) -> str:
@@ -120,79 +110,24 @@ def _value(place: int) -> str:
     return f"_{place}"
 
 
-def _parse(line: str, header: list[str], separator: str) -> Column:
-    layout = ", ".join(f"{_value(i)} STRING" for i in range(len(header))) + f", {_CORRUPT} STRING"
-    options = {"sep": separator, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    return F.from_csv(F.col(line), layout, options)
-
-
 def _parsed(rows: DataFrame, header: list[str], separator: str) -> DataFrame:
-    return rows.withColumn("values", _parse("line", header, separator))
-
-
-def _closed(line: Column, separator: str) -> Column:
-    """Quoted values as one mark each; what is left of quotes is open or stands within a value."""
-    return F.regexp_replace(F.regexp_replace(line, '"[^"]*"', _MARK), f"{_MARK}+", _MARK)
+    layout = ", ".join(f"{_value(i)} STRING" for i in range(len(header))) + f", {_CORRUPT} STRING"
+    # With multiLine, line breaks within values stay as they are.
+    options = {"sep": separator, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "multiLine": "true"}
+    return rows.withColumn("values", F.from_csv(F.col("line"), layout, options))
 
 
-def _stitched(suspects: DataFrame, lines: DataFrame, header: list[str], separator: str, record_bytes: int) -> DataFrame:
-    """(file, places, line) of records over several lines.
+def rejection(line: Column, incomplete: Column, width: int, separator: str = ",") -> Column:
+    """Why a record is none; NULL if it is one or is only short.
 
-    Lines are numbered through each file from the sizes of its blocks. All
-    windows run within one block of a file, or over one row for each block.
+    A quote within a value is text, as in 5" tall; one that opens a value and
+    does not close is not. A value that goes on behind its closing quote is
+    read as well as may be, if the record then has the header's width.
     """
-    sizes = lines.groupBy("file", "block").agg(F.min("at").alias("first_at"), F.count(F.lit(1)).alias("n_lines"))
-    odds = suspects.groupBy("file", "block").agg(
-        F.count(F.lit(1)).alias("n_suspects"), F.sum(F.col("odd").cast("long")).alias("n_odd"))
-    blocks = sizes.join(odds, ["file", "block"], "left").fillna(0, ["n_suspects", "n_odd"])
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-
-    def earlier(column: str) -> Column:
-        return F.coalesce(F.sum(column).over(before), F.lit(0))
-
-    blocks = materialize(blocks.select(
-        "file", "block", "first_at", earlier("n_lines").alias("lines"), earlier("n_suspects").alias("suspects"),
-        earlier("n_odd").alias("odds")), "csv-blocks")
-    within = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    placed = suspects.join(blocks, ["file", "block"]).select(
-        "file", "block", "at", "line", "odd", (F.col("at") - F.col("first_at") + F.col("lines")).alias("pos"),
-        (F.col("suspects") + F.row_number().over(within)).alias("turn"),
-        (F.col("odds") + F.sum(F.col("odd").cast("long")).over(within)).alias("segment"))
-    placed = materialize(placed, "csv-placed")
-    # Where each odd line stands, and the one before it.
-    opens = placed.filter("odd").select("file", "segment", F.col("pos").alias("open_pos"), F.col("turn").alias("open_turn"))
-    closers = placed.filter("odd").withColumn("segment", F.col("segment") - 1)
-    members = placed.withColumn("closes", F.lit(False)).unionByName(closers.withColumn("closes", F.lit(True)))
-    # A line belongs to the record only if all lines since the open quote are suspects, and not too many.
-    members = members.join(opens, ["file", "segment"]).filter(
-        (F.col("pos") - F.col("open_pos") == F.col("turn") - F.col("open_turn"))
-        & (F.col("pos") - F.col("open_pos") < record_bytes))
-    grouped = members.withColumn("bytes", F.octet_length("line").cast("long") + 1).groupBy("file", "segment").agg(
-        F.max("closes").alias("closes"), F.sum("bytes").alias("bytes"),
-        F.when(F.sum("bytes") <= record_bytes, F.array_sort(F.collect_list(F.struct("pos", "at", "line")))).alias("parts"))
-    joined = grouped.filter("closes AND parts IS NOT NULL").select(
-        "file", "segment", F.transform("parts", lambda p: p["at"]).alias("places"),
-        F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("line"))
-    parsed = _parsed(joined, header, separator)
-    marks = _closed(F.col("line"), separator)
-    sep = re.escape(separator)
-    sound = ~F.contains(marks, F.lit('"')) & ~F.regexp_like(marks, F.lit(f"[^{sep}]{_MARK}|{_MARK}[^{sep}]"))
-    valid = materialize(parsed.filter(sound & F.col("values")[_CORRUPT].isNull()).drop("values"), "csv-valid")
-    # Of two records that would share a line the first stands.
-    taken = valid.select("file", (F.col("segment") + 1).alias("segment"))
-    return valid.join(taken, ["file", "segment"], "left_anti").select("file", "places", "line")
-
-
-def rejection(line: Column, incomplete: Column, width: int, separator: str = ",") -> Column:
-    """Why a line is no record; NULL if it is one or is only short."""
-    marks = _closed(line, separator)
-    values = F.length(marks) - F.length(F.replace(marks, F.lit(separator), F.lit(""))) + 1
-    # A quote within a value is text, as in 5" tall; one that opens a value and does not close is not.
-    opened = F.regexp_like(marks, F.lit(f'(^|{re.escape(separator)})"'))
+    opens, sound, separators = values_of(line, separator)
     return (
-        F.when(opened, F.lit("open quote"))
-        .when(incomplete & F.contains(marks, F.lit('"')), F.lit("open quote"))
-        .when(incomplete & (values > width), F.lit("too many values"))
+        F.when(opens, F.lit("open quote")).when(sound & (separators >= width), F.lit("too many values"))
+        .when(~sound & incomplete, F.lit("open quote"))
     )
 
 

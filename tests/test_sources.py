@@ -1,11 +1,13 @@
 import datetime as dt
 import gzip
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from medloom import schema
-from medloom.sources import ingest, publish, storage
+from medloom.sources import encoding, ingest, publish, storage
 
 CSV = 'Person ID,"Offset",Note\n1,2,plain\n3,4\n5,6,7,8\n9,"a\nb","say ""hi"""\nNULL,null,Null\n11,12,\n'
 
@@ -73,9 +75,130 @@ def test_long_values(spark, tmp_path):
     assert [r for _, r in bad] == ["too many values"]
 
 
-def test_records_above_the_limit_stand_by_line(spark, tmp_path):
-    good, bad = read(spark, tmp_path / "a.csv", 'a,b\n1,"x\n' + "y\n" * 100 + 'z"\n2,w\n', record_bytes=50)
-    assert ("2", "w") in good and any(line == '1,"x' for line, _ in bad)
+def test_records_of_any_length(spark, tmp_path):
+    body = "2,y\n" * 60_000
+    good, bad = read(spark, tmp_path / "a.csv", 'a,b\n1,"x\n' + body + 'z"\n2,w\n')
+    assert good == [("1", "x\n" + body + "z"), ("2", "w")] and not bad
+
+
+def test_lines_like_records_within_a_value(spark, tmp_path):
+    good, bad = read(spark, tmp_path / "a.csv", 'a,b\n1,"x\n2,y\nz"\n3,w\n')
+    assert good == [("1", "x\n2,y\nz"), ("3", "w")] and not bad
+
+
+def test_header_over_lines_and_rows_like_it(spark, tmp_path):
+    good, bad = read(spark, tmp_path / "a.csv", 'a,"b\nc",d\n1,"x\ny",2\n3,4\n')
+    assert good == [("1", "x\ny", "2"), ("3", "4", None)] and not bad
+    assert ingest.read_csv(spark, str(tmp_path / "a.csv"))[0].columns == ["a", "bc", "d"]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"{i}.csv").write_text('a,b\na,b\n' + (f'{i},"p\na,b\nq"\n' if i else "0,x\n"))
+    for chosen, expected in [("*.csv", [("0", "x"), ("1", "p\na,b\nq"), ("2", "p\na,b\nq")]), ("0.csv", [("0", "x")])]:
+        good, bad = ingest.read_csv(spark, str(folder if chosen == "*.csv" else folder / chosen))
+        rows = sorted(tuple(r) for r in good.collect())
+        assert rows == expected + [("a", "b")] * len(expected) and bad.isEmpty()
+
+
+def test_line_ends(spark, tmp_path):
+    for end in ("\r\n", "\r", "\n"):
+        path = tmp_path / "a.csv"
+        path.write_bytes(f'a,b{end}1,"x{end}{end}y"{end}{end}2,w {end}'.encode())
+        good, bad = ingest.read_csv(spark, str(path))
+        assert sorted(tuple(r) for r in good.collect()) == [("1", f"x{end}{end}y"), ("2", "w ")] and bad.isEmpty()
+        path.write_bytes(f"a,b{end} 1,5\" tall{end}{end}2,w {end}".encode())
+        good, bad = ingest.read_csv(spark, str(path))
+        assert sorted(tuple(r) for r in good.collect()) == [(" 1", '5" tall'), ("2", "w ")] and bad.isEmpty()
+
+
+def strict(text, width):
+    """Records by a parser that goes line by line, trying each open quote to its end."""
+    lines, out, rejected, i = text.split("\n"), [], [], 0
+
+    def fields(body):
+        """Values of a record and whether a quote is left open; None if it is malformed."""
+        found, at = [], 0
+        while True:
+            if body[at:at + 1] == '"':
+                end, value = at + 1, ""
+                while True:
+                    stop = body.find('"', end)
+                    if stop < 0:
+                        return found, True
+                    value += body[end:stop]
+                    if body[stop + 1:stop + 2] == '"':
+                        value, end = value + '"', stop + 2
+                        continue
+                    break
+                if body[stop + 1:stop + 2] not in ("", ","):
+                    return None, False
+                at = stop + 1
+            else:
+                stop = body.find(",", at)
+                value, at = (body[at:], len(body)) if stop < 0 else (body[at:stop], stop)
+            found.append(value)
+            if at >= len(body):
+                return found, False
+            at += 1
+
+    while i < len(lines):
+        if not lines[i].strip(" "):
+            i += 1
+            continue
+        for j in range(i, len(lines)):
+            found, open_ = fields("\n".join(lines[i:j + 1]))
+            if not open_:
+                break
+        if found is None or open_ or len(found) > width:
+            rejected.append(lines[i])
+            i += 1
+        else:
+            out.append(tuple([v or None for v in found] + [None] * (width - len(found))))
+            i = j + 1
+    return out, rejected
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_files_against_a_parser(spark, tmp_path, seed):
+    """Quotes, separators and line breaks in any order, over blocks of a few bytes."""
+    rng = random.Random(seed)
+    pieces = ['"', '"', '""', ",", ",", "\n", "\n", "a", "b", '",', ',"', '"\n', '\n"']
+    text = "".join(rng.choice(pieces) for _ in range(500)) + "\n"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str([100_000, 128, 50][seed]))
+    try:
+        good, bad = ingest.read_csv(spark, _written(tmp_path / "a.csv", text), names=["x", "y", "z"])
+        found = Counter(tuple(r) for r in good.collect()), Counter(r.line for r in bad.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected, rejected = strict(text, 3)
+    over_lines = Counter(r for r in expected if any("\n" in (v or "") for v in r))
+    assert Counter({r: n for r, n in found[0].items() if any("\n" in (v or "") for v in r)}) == over_lines
+    assert sum(found[0].values()) + sum(found[1].values()) == len(expected) + len(rejected)
+    assert not Counter(expected) - found[0] - over_lines
+
+
+def test_encodings_are_found(spark, tmp_path):
+    text = 'näme,b\n1,"dé\njà 東"\n2,€\n' + "".join(f"{i},plain\n" for i in range(3, 40))
+    for name, raw in [("UTF-8", text.encode()), ("UTF-8", b"\xef\xbb\xbf" + text.encode()), ("UTF-16LE", text.encode("utf-16-le")),
+                      ("UTF-16BE", text.encode("utf-16-be")), ("UTF-16LE", b"\xff\xfe" + text.encode("utf-16-le")),
+                      ("UTF-16BE", b"\xfe\xff" + text.encode("utf-16-be"))]:
+        path = tmp_path / "a.csv"
+        path.write_bytes(raw)
+        assert encoding.encoding_of(spark, str(path)).name == name
+        for given in (None, name):
+            good, bad = ingest.read_csv(spark, str(path), encoding=given)
+            rows = {r[0]: r[1] for r in good.collect()}
+            assert good.columns == ["näme", "b"] and len(rows) == 39 and bad.isEmpty()
+            assert rows["1"] == "dé\njà 東" and rows["2"] == "€"
+    for name, two in (("ISO-8859-1", "\xa3"), ("windows-1252", "€")):
+        path.write_bytes('a,b\n1,"dé\njà"\n2,'.encode("latin-1") + (b"\x80" if two == "€" else b"\xa3") + b"\n")
+        assert encoding.encoding_of(spark, str(path)).name == name
+        assert sorted(tuple(r) for r in ingest.read_csv(spark, str(path))[0].collect()) == [("1", "dé\njà"), ("2", two)]
+    zipped = tmp_path / "z.csv.gz"
+    zipped.write_bytes(gzip.compress(text.encode("utf-16-le")))
+    assert ingest.read_csv(spark, str(zipped))[0].count() == 39
+    (tmp_path / "e.csv").write_text("")
+    assert encoding.encoding_of(spark, str(tmp_path / "e.csv")).name == "UTF-8"
 
 
 def test_csv_strict_fails(spark, tmp_path):
