@@ -11,7 +11,7 @@ from medloom.operators import dedupe, harmonize as h
 from medloom.operators.normalize import conform
 from medloom.operators.routing import route
 from medloom.operators.vocabulary import Vocabulary, concept_lookup
-from medloom.sources.storage import scratch_path
+from medloom.sources.storage import shared_folder
 
 QUERIES, CHECKS = {}, {}
 
@@ -34,15 +34,15 @@ FINDING_CHAIN = chain("f_finding", FINDING, "condition_occurrence_id", "conditio
                       "condition_source_concept_id", "condition_occurrence")
 
 
-# Lookups are built once per vocabulary and session, as for a delivery.
+# Lookups are made once for a vocabulary; a session looks for them once.
 _STORED: dict[tuple[str, str, str], Vocabulary] = {}
 
 
 def stored(v: Views, name: str, concept: DataFrame) -> Vocabulary:
     place = (v.spark.sparkContext.applicationId, v.sf_dir, name)
     if place not in _STORED:
-        built = Vocabulary.build(concept, v["f_concept_relationship"])
-        _STORED[place] = built.store(scratch_path(v.spark, "vocabulary"))
+        root = f"{shared_folder(v.spark).rstrip('/')}/medloom/vocabulary"
+        _STORED[place] = Vocabulary.prepared(concept, v["f_concept_relationship"], root)
     return _STORED[place]
 
 

@@ -45,3 +45,24 @@ def name_key(name: Column) -> Column:
     lead = F.translate(F.substring(hexed, 1, 1), "89abcdef", "01234567")
     value = F.conv(F.concat(lead, F.substring(hexed, 2, 15)), 16, 10).cast("bigint")
     return F.when(value == 0, F.lit(1).cast("bigint")).otherwise(value)
+
+
+def mark_unique(df: DataFrame, key: str) -> DataFrame:
+    """State that no two rows share the key. The fact is kept with the column, also in a written table.
+
+    It holds for this very frame; a step that repeats or unites rows has to
+    drop it (``unmarked``).
+    """
+    return _marked(df, key, True)
+
+
+def unmarked(df: DataFrame, key: str) -> DataFrame:
+    return _marked(df, key, False)
+
+
+def known_unique(df: DataFrame, key: str) -> bool:
+    return bool(df.schema[key].metadata.get("unique", False))
+
+
+def _marked(df: DataFrame, key: str, unique: bool) -> DataFrame:
+    return df.withMetadata(key, {**df.schema[key].metadata, "unique": unique})

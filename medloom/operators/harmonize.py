@@ -129,27 +129,14 @@ def _looked_up(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     once for the result.
     """
     if fits(vocabulary.concept) and fits(vocabulary.mapping):
-        return _with_targets(_with_profiles(rows, vocabulary), vocabulary)
+        return _with_profiles(rows, vocabulary)
     pair = [F.coalesce("_source", F.lit(_NO_ID)).alias("_pair_s"), F.coalesce("_target", F.lit(_NO_ID)).alias("_pair_t")]
     pairs = materialize(rows.select("_source", "_target", *pair).distinct(), "concept-pairs")
-    known = materialize(
-        _with_targets(_with_profiles(pairs, vocabulary), vocabulary).drop("_source", "_target"), "known-pairs")
+    known = materialize(_with_profiles(pairs, vocabulary).drop("_source", "_target"), "known-pairs")
     keyed = rows.withColumns({"_pair_s": pair[0], "_pair_t": pair[1]})
     return lookup_join(keyed, known, ["_pair_s", "_pair_t"], narrow=False).drop("_pair_s", "_pair_t")
 
 
-def _with_targets(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Attach what the two concepts are mapped to or replaced by; a concept has few targets."""
-    entry = F.struct(F.col("target_concept_id").alias("new"), F.col("target_domain").alias("domain"),
-                     F.col("relationship_id").alias("relation"))
-    lists = vocabulary.targets.groupBy("concept_id").agg(*[
-        F.collect_list(F.when(F.col("kind") == kind, entry)).alias(kind) for kind in ("map", "replace")])
-    sources = lists.select(F.col("concept_id").alias("_source"), F.col("map").alias("_s_map"))
-    targets = lists.select(F.col("concept_id").alias("_target"), F.col("map").alias("_t_map"), F.col("replace").alias("_t_replace"))
-    rows = lookup_join(rows, sources, "_source", bound=vocabulary.mapping)
-    return lookup_join(rows, targets, "_target", bound=vocabulary.mapping)
-
-
 def _with_profiles(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Attach what the vocabulary knows of the source and the target concept.
 

@@ -1,8 +1,9 @@
 """Joins that hold when one key carries a large share of the rows.
 
 A lookup is broadcast only after its rows were counted. Past the limit the
-lookup is narrowed to the keys in use, and past it again both sides shuffle
-with a salt, so that one hot key is served by many tasks.
+lookup is narrowed to the keys in use, and past it again both sides shuffle.
+A sketch of the keys then tells the heavy ones; these alone get a salt, so
+that many tasks serve them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from medloom.sources.storage import materialize
 # Lookups are narrow: a few ids, flags and short codes, about 100 bytes a row.
 BROADCAST_ROWS = 1_000_000
 SALTS = 32
+# Share of the rows from which a key is heavy; what lies below is left to adaptive skew handling.
+HEAVY_SHARE = 0.01
 
 
 def setting(spark: SparkSession, name: str, default: int) -> int:
@@ -36,17 +39,42 @@ def row_count(df: DataFrame) -> int:
     return df._medloom_rows
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Shuffle join whose left rows of one key spread over many tasks.
+def heavy_keys(df: DataFrame, on: list[str]) -> dict[int, float]:
+    """Hash and share of the keys that hold more than ``HEAVY_SHARE`` of the rows.
+
+    A frequent-items sketch of bounded size, merged over the tasks without a
+    shuffle: no key above the share is missed, and there are at most
+    ``1 / HEAVY_SHARE`` of them.
+    """
+    most = round(1 / HEAVY_SHARE)
+    found = df.select(F.xxhash64(*on).alias("key")).agg(
+        F.expr(f"approx_top_k(key, {most}, {16 * most})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return {r["item"]: r["count"] / found.n for r in found.top or [] if r["count"] > HEAVY_SHARE * found.n}
 
-    The salt is the partition a left row comes from: rows of one key, copies
-    of one row included, arrive from many partitions, and a repeated task
-    assigns the same salt again. The right side is repeated once per salt, so
-    left, inner, semi and anti joins stay exact.
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Shuffle join whose left rows of a heavy key spread over many tasks.
+
+    Only heavy keys are salted, each in proportion to its share, and only
+    their right rows are repeated, once per salt; all other rows join as they
+    are. The salt is the partition a left row comes from: rows of one key,
+    copies of one row included, arrive from many partitions, and a repeated
+    task assigns the same salt again. Left, inner, semi and anti joins stay
+    exact.
     """
-    salts = setting(left.sparkSession, "salts", SALTS)
-    spread = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heavy = heavy_keys(left, on)
+    if not heavy:
+        return left.join(right, on, how)
+    spark = left.sparkSession
+    most, tasks = setting(spark, "salts", SALTS), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many salts as tasks of average size that the key's rows would fill, two at least.
+    salts = {key: min(most, max(2, round(2 * share * tasks))) for key, share in heavy.items()}
+    table = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair])
+    salted = left.withColumn("_salts", table[F.xxhash64(*on)])
+    spread = salted.withColumn("_salt", F.when(
+        F.col("_salts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_salts"))).otherwise(0)).drop("_salts")
+    count = F.coalesce(table[F.xxhash64(*on)], F.lit(1))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), count - 1)))
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from medloom.operators.joins import lookup_join
+from medloom.sources.storage import create_once, read_completed
+
+# Part of the fingerprint: lookups of another layout are made anew.
+VERSION = "2"
 
 MAPPING_RELATIONSHIPS = ["Maps to", "Maps to value"]
 REPLACEMENT_RELATIONSHIPS = ["Concept replaced by"]
@@ -51,13 +57,13 @@ def _resolve(concept: DataFrame, mapped: DataFrame) -> DataFrame:
 class Vocabulary:
     """What harmonization looks up.
 
-    ``concept`` and ``mapping`` bound the rows of what is looked up and are
-    cheap to count.
+    ``profiles`` has one row for each concept with all that re-coding needs to
+    know of it. ``concept`` and ``mapping`` bound the rows of what is looked up
+    and are cheap to count.
     """
 
     lookup: DataFrame
     profiles: DataFrame
-    targets: DataFrame
     concept: DataFrame
     mapping: DataFrame
 
@@ -65,43 +71,81 @@ class Vocabulary:
     def build(concept: DataFrame, relationship: DataFrame) -> Vocabulary:
         mapped = mapping_rows(relationship)
         lookup = _resolve(concept, mapped)
-        return Vocabulary(lookup, profiles(lookup), targets(lookup), concept, mapped)
+        return Vocabulary(lookup, profiles(lookup), concept, mapped)
 
     def store(self, path: str) -> Vocabulary:
-        """Write the lookups once per vocabulary version and read them back."""
+        """Write the lookups to a new folder and read them back."""
         self.lookup.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/lookup")
         lookup = self.lookup.sparkSession.read.schema(self.lookup.schema).parquet(f"{path}/lookup")
         profiles(lookup).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/profiles")
-        targets(lookup).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/targets")
         return Vocabulary.stored(lookup.sparkSession, path)
 
     @staticmethod
     def stored(spark: SparkSession, path: str) -> Vocabulary:
-        lookup, profile, target = (spark.read.parquet(f"{path}/{n}") for n in ("lookup", "profiles", "targets"))
-        return Vocabulary(lookup, profile, target, profile, target)
-
+        lookup, profile = (spark.read.parquet(f"{path}/{n}") for n in ("lookup", "profiles"))
+        return Vocabulary(lookup, profile, profile, lookup)
 
-def targets(lookup: DataFrame) -> DataFrame:
-    """Targets a row can be re-coded to: (concept, kind, target, domain, relationship)."""
-    kind = F.when(F.col("relationship_id").isin(REPLACEMENT_RELATIONSHIPS), "replace").otherwise("map")
-    return lookup.filter(_recodes()).select(
-        "concept_id", kind.alias("kind"), "target_concept_id",
-        F.col("target_concept_id_domain").alias("target_domain"), "relationship_id",
-    )
+    @staticmethod
+    def prepared(concept: DataFrame, relationship: DataFrame, root: str) -> Vocabulary:
+        """The lookups of this very vocabulary below ``root``, made at its first use.
+
+        A fingerprint of the contents names them. They are written to a folder
+        of their own; the manifest that points there comes last and is written
+        once, so what was cut off is never taken up, and of two that build at a
+        time the first one's is used by both.
+        """
+        spark = concept.sparkSession
+        manifest = f"{root}/manifests/{fingerprint(concept, relationship)}"
+        known = _manifest(spark, manifest)
+        if known is None:
+            folder = f"lookups/{uuid.uuid4().hex}"
+            made = Vocabulary.build(concept, relationship).store(f"{root}/{folder}")
+            counts = [(folder, made.lookup.count(), made.profiles.count())]
+            create_once(spark.createDataFrame(counts, _MANIFEST), manifest)
+            known = _manifest(spark, manifest)
+        found = Vocabulary.stored(spark, f"{root}/{known.folder}")
+        if (found.lookup.count(), found.profiles.count()) != (known.lookup_rows, known.profile_rows):
+            raise ValueError(f"{root}/{known.folder} does not hold what its manifest states; remove {manifest}")
+        return found
+
+
+_MANIFEST = "folder string, lookup_rows long, profile_rows long"
+
+
+def _manifest(spark: SparkSession, path: str) -> Row | None:
+    """The manifest's row, or None where none was completed."""
+    found = read_completed(spark, path)
+    return None if found is None else found.first()
+
+
+def fingerprint(concept: DataFrame, relationship: DataFrame) -> str:
+    """Digest of what the lookups are made from: columns and rows, in any order and over any files."""
+    parts = []
+    for df in (concept.select("concept_id", "standard_concept", "domain_id"), mapping_rows(relationship)):
+        # Two independent 64-bit hashes of a row; sums as decimals, so that repeated rows count.
+        one, two = (F.xxhash64(F.lit(seed), *[F.col(c).cast("string") for c in df.columns]) for seed in (1, 2))
+        sums = [F.sum(h.cast("decimal(38,0)")).cast("string") for h in (one, two)]
+        parts.append(df.select(F.concat_ws("/", F.count(F.lit(1)).cast("string"), *sums).alias("t")).first().t)
+    return hashlib.md5("|".join([VERSION, *parts]).encode()).hexdigest()
 
 
 def profiles(lookup: DataFrame) -> DataFrame:
-    """One row per concept: its domain, the range of its targets, its value target."""
+    """One row per concept: its domain, the range and the list of its targets, its value target.
+
+    A concept has few targets, as the vocabulary's makers map by hand.
+    """
     target = F.col("target_concept_id")
-    mapped = F.when(_recodes() & F.col("relationship_id").isin(MAPPING_RELATIONSHIPS), target)
-    replaced = F.when(_recodes() & F.col("relationship_id").isin(REPLACEMENT_RELATIONSHIPS), target)
+    entry = F.struct(target.alias("new"), F.col("target_concept_id_domain").alias("domain"), F.col("relationship_id").alias("relation"))
+    is_map = _recodes() & F.col("relationship_id").isin(MAPPING_RELATIONSHIPS)
+    is_replacement = _recodes() & F.col("relationship_id").isin(REPLACEMENT_RELATIONSHIPS)
     value = F.when(
         (F.col("target_concept_id_domain") == "Meas Value") | (F.col("relationship_id") == "Maps to value"), target
     )
     return lookup.groupBy("concept_id", F.col("concept_id_domain").alias("domain")).agg(
-        F.min(mapped).alias("map_low"), F.max(mapped).alias("map_high"),
-        F.min(replaced).alias("replace_low"), F.max(replaced).alias("replace_high"),
+        F.min(F.when(is_map, target)).alias("map_low"), F.max(F.when(is_map, target)).alias("map_high"),
+        F.min(F.when(is_replacement, target)).alias("replace_low"), F.max(F.when(is_replacement, target)).alias("replace_high"),
         F.max(value).alias("value_target"),
+        F.collect_list(F.when(is_map, entry)).alias("map"), F.collect_list(F.when(is_replacement, entry)).alias("replace"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from medloom import schema
 from medloom.functions.casts import whole_number
-from medloom.functions.keys import content_key
+from medloom.functions.keys import content_key, known_unique
 from medloom.operators.intervals import lag_islands, merge_intervals
 from medloom.operators.joins import lookup_join
 
@@ -66,7 +66,9 @@ def ingredients(concept: DataFrame, ancestor: DataFrame) -> DataFrame:
 def drug_era(drug: DataFrame, concept: DataFrame, ancestor: DataFrame, site: str) -> DataFrame:
     """Spans of one ingredient: overlapping exposures first, then gaps of up to 30 days.
 
-    Exposure ids are unique after key repair, so exposures are counted as rows.
+    An exposure counts once, however many rows have its id. Where the table is
+    known to have unique ids (``keys.known_unique``), rows are counted;
+    otherwise rows of one id, ingredient and day are combined first.
     """
     known = drug.filter((F.col("drug_concept_id") != 0) & _known_person(drug))
     start = F.col("drug_exposure_start_date").cast("date")
@@ -79,10 +81,10 @@ def drug_era(drug: DataFrame, concept: DataFrame, ancestor: DataFrame, site: str
     ).filter("start IS NOT NULL")
     by_ingredient = lookup_join(exposures, ingredients(concept, ancestor).distinct(), "drug_concept_id", "inner")
     key = ["person_id", "ingredient_concept_id"]
+    if not known_unique(drug, "drug_exposure_id"):
+        by_ingredient = by_ingredient.groupBy(*key, "start", "drug_exposure_id").agg(F.max("end").alias("end"))
     # One row a day, however many exposures start on it.
-    days = by_ingredient.groupBy(*key, "start").agg(
-        F.max("end").alias("end"), F.count("drug_exposure_id").alias("exposures")
-    )
+    days = by_ingredient.groupBy(*key, "start").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("exposures"))
     overlaps = merge_intervals(days, key, "start", "end", 0, [F.sum("exposures").alias("exposures")])
     spans = overlaps.select(
         *key, F.col("island_start").alias("start"), F.col("island_end").alias("end"), "exposures",

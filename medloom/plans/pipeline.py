@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medloom import __version__, schema
+from medloom.functions.keys import mark_unique, unmarked
 from medloom.operators import harmonize as h
 from medloom.operators import metrics as m
 from medloom.operators import participants
@@ -54,15 +55,19 @@ class Processed:
 def process(
     spark: SparkSession, delivered: dict[str, DataFrame], site: Site, vocabulary: dict[str, DataFrame], root: str,
     registry: DataFrame | None = None, as_of: dt.date | None = None, run_at: dt.datetime | None = None,
+    vocabulary_root: str | None = None,
 ) -> Processed:
     """Run every stage over text tables and write the results under ``root``.
 
     Tables are written at the end of each stage and read back, so a stage
-    starts from files and an executor lost later costs no earlier stage.
+    starts from files and an executor lost later costs no earlier stage. The
+    lookups made from the vocabulary are kept below ``vocabulary_root``, which
+    deliveries may share, and made again only when the vocabulary differs.
     """
     as_of = as_of or site.delivery_date
     run_at = run_at or dt.datetime.combine(site.delivery_date, dt.time())
-    codes = Vocabulary.build(vocabulary["concept"], vocabulary["concept_relationship"]).store(f"{root}/vocabulary")
+    codes = Vocabulary.prepared(
+        vocabulary["concept"], vocabulary["concept_relationship"], vocabulary_root or f"{root}/vocabulary")
 
     metrics = [validate(spark, delivered, site.version)]
     tables, invalid = {}, {}
@@ -139,8 +144,11 @@ def _with_unique_keys(written: DataFrame, table: str, root: str) -> DataFrame:
     """A routed table, written anew only if keys had to be repaired."""
     if table not in schema.SURROGATE_KEY_TABLES:
         return written
-    keyed = repair_keys(written, schema.primary_key(table))
-    return written if keyed is written else publish.write_parquet(keyed, f"{root}/{publish.ROUTED}_keyed/{table}")
+    key = schema.primary_key(table)
+    keyed = repair_keys(written, key)
+    if keyed is not written:
+        written = publish.write_parquet(keyed, f"{root}/{publish.ROUTED}_keyed/{table}")
+    return mark_unique(written, key)
 
 
 def _delivered_vocabulary(tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
@@ -156,7 +164,10 @@ def _cleaned(
     """Tables after a task; those it wrote are written to a place of their own."""
     result = run_task(name, tables, statements)
     written = {
-        t: publish.write_parquet(df, f"{root}/{publish.CLEANED}/{name}/{t}") if t in statements else df
+        # What is known of a table's keys no longer holds once a task has written it.
+        t: publish.write_parquet(
+            unmarked(df, key) if (key := schema.primary_key(t)) in df.columns else df, f"{root}/{publish.CLEANED}/{name}/{t}")
+        if t in statements else df
         for t, df in result.tables.items()
     }
     return written, result.metrics()
@@ -176,6 +187,7 @@ def _harmonized(
         if pairs:
             metrics.append(report.secondary_backfill(h.secondary_backfill_counts(rows, pairs, codes), table))
             rows = h.backfill_secondary(rows, pairs, codes)
-    written = publish.write_parquet(rows, f"{root}/{publish.HARMONIZED}/{table}")
+    # By target, so that a move reads the rows it moves and no others.
+    written = publish.write_parquet(rows, f"{root}/{publish.HARMONIZED}/{table}", partition_by=["target_table"])
     metrics.append(report.harmonization(written, table, key))
     return written, metrics

@@ -43,3 +43,41 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def create_once(df: DataFrame, path: str) -> bool:
+    """Write a small frame unless the path has been completed; whether this call did.
+
+    The rows are written beside it and the folder renamed into place: of
+    several writers one succeeds, and a reader sees all of it or nothing. In
+    stores that copy folders instead, readers wait for the marker of success
+    (``read_completed``).
+    """
+    spark = df.sparkSession
+    jvm = spark._jvm
+    beside = f"{path}.{uuid.uuid4().hex}"
+    df.coalesce(1).write.parquet(beside)
+    place, made = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if is_completed(spark, path):
+        system.delete(made, True)
+        return False
+    # A rename onto an existing folder moves into it; the store's own word on existence decides.
+    if system.exists(place) or not system.rename(made, place):
+        system.delete(made, True)
+        return False
+    moved_into = jvm.org.apache.hadoop.fs.Path(place, made.getName())
+    if system.exists(moved_into):
+        system.delete(moved_into, True)
+        return False
+    return True
+
+
+def is_completed(spark: SparkSession, path: str) -> bool:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def read_completed(spark: SparkSession, path: str) -> DataFrame | None:
+    """A frame whose writing was completed, or None."""
+    return spark.read.parquet(path) if is_completed(spark, path) else None

@@ -33,6 +33,41 @@ def test_salted_join_spreads_the_hot_key(spark, no_broadcast):
     assert len(spread) > 1
 
 
+def test_only_heavy_keys_are_salted(spark, no_broadcast):
+    """One key of half the rows: its right rows are repeated, all others stand once."""
+    left = spark.range(0, 4000, 1, 8).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.lit(1).alias("x"))
+    heavy = joins.heavy_keys(left, ["k"])
+    assert len(heavy) == 1 and abs(next(iter(heavy.values())) - 0.5) < 0.01
+    right = spark.range(-1, 4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+    seen = []
+    join = type(left).join
+    left.__class__.join = lambda self, other, *a, **k: seen.append(other) or join(self, other, *a, **k)
+    try:
+        joined = joins.salted_join(left, right, ["k"], "left")
+    finally:
+        left.__class__.join = join
+    copies = {r.k: r["count"] for r in seen[0].groupBy("k").count().collect()}
+    assert copies.pop(-1) > 1 and set(copies.values()) == {1}
+    assert joined.exceptAll(left.join(right, "k", "left")).isEmpty() and joined.count() == 4000
+    # Without a heavy key nothing is salted.
+    even = spark.range(0, 3000).select((F.col("id") % 1000).alias("k"))
+    assert joins.heavy_keys(even, ["k"]) == {} and "_salt" not in plan(joins.salted_join(even, right, ["k"], "left"))
+    assert joins.heavy_keys(even.limit(0), ["k"]) == {}
+
+
+@pytest.mark.parametrize("limit", ["0", "500", None])
+def test_results_at_every_limit(spark, limit):
+    left, right = hot_rows(spark), spark.range(0, 900).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    expected = left.join(right, "k", "left")
+    if limit is not None:
+        spark.conf.set("spark.medloom.broadcastRows", limit)
+    try:
+        got = joins.lookup_join(left, right, "k")
+        assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    finally:
+        spark.conf.unset("spark.medloom.broadcastRows")
+
+
 def test_lookup_join_checks_the_size(spark):
     left = hot_rows(spark)
     right = spark.range(0, 30).select(F.col("id").alias("k"), F.lit("v").alias("v"))
