@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,10 @@ from medloom.operators.validate import validate
 from medloom.plans.pipeline import Site, _normalized
 from medloom.plans.report import normalization
 from medloom.sources import ingest, storage
-from medloom.sources.publish import export_registry, publish, write_parquet
+from medloom.sources.publish import (
+    create_missing, export_registry, publish, publish_all, publish_derived, publish_harmonized, published_versions, write_csv,
+    write_parquet,
+)
 
 QUERIES, CHECKS = {}, {}
 
@@ -347,6 +351,70 @@ def _table(v: Views) -> DataFrame:
 QUERIES["publish_table"] = _table
 CHECKS["publish_table"] = CHECKS["publish_roundtrip"]
 
+
+
+def _database(v: Views, name: str) -> str:
+    """A database of its own in the shared folder."""
+    database = f"{name}_{uuid.uuid4().hex}"
+    v.spark.sql(f"CREATE DATABASE {database} LOCATION '{storage.scratch_path(v.spark, name)}'")
+    return database
+
+
+def _sets(v: Views) -> DataFrame:
+    """All tables of a delivery published by class, twice, into a database; what each name then holds."""
+    database = _database(v, "sets")
+    delivery = {"visit_occurrence": v["f_visit"], "person": v["f_person"], "death": v["f_death"],
+                "observation_period": v["f_visit"].select(
+                    F.col("visit_occurrence_id").alias("observation_period_id"), "person_id",
+                    F.col("visit_start_date").alias("observation_period_start_date"))}
+    for days in (1, 0):
+        shown = {t: df.limit(1) if days else df for t, df in delivery.items()}
+        names = publish_harmonized(shown, database) + publish_derived(shown, database) + publish_all(
+            shown, database, ["person", "death", "note"])
+    versions = {t: published_versions(v.spark, f"{database}.{t}").count() for t in names}
+    return reduce(DataFrame.unionByName, [
+        v.spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("row_count"), F.sum("person_id").alias("people")).select(
+            F.lit(t).alias("table_name"), F.lit(versions[t]).cast("bigint").alias("versions"), "row_count", "people") for t in names])
+
+
+QUERIES["publish_sets"] = _sets
+CHECKS["publish_sets"] = with_views("""
+SELECT 'visit_occurrence' AS table_name, CAST(2 AS BIGINT) AS versions, count(*) AS row_count, CAST(sum(person_id) AS BIGINT) AS people FROM f_visit
+UNION ALL SELECT 'observation_period', 2, count(*), CAST(sum(person_id) AS BIGINT) FROM f_visit
+UNION ALL SELECT 'person', 2, count(*), CAST(sum(person_id) AS BIGINT) FROM f_person
+UNION ALL SELECT 'death', 2, count(*), CAST(sum(person_id) AS BIGINT) FROM f_death""")
+
+
+def _conformed(v: Views) -> DataFrame:
+    """A database with a table of text in another order: the model's tables appear, its rows come back typed."""
+    database = _database(v, "model")
+    loose = v["f_death"].select(F.col("death_date").cast("string").alias("death_date"), F.lit("x").alias("odd"), "person_id")
+    loose.write.format("parquet").saveAsTable(f"{database}.death")
+    made = create_missing(v.spark, database)
+    # Of the tables made, the first by name counts them all.
+    return v.spark.table(f"{database}.death").select(
+        "person_id", "death_date", "death_type_concept_id", F.lit(len(made)).cast("bigint").alias("tables_made"))
+
+
+QUERIES["conform_table"] = _conformed
+CHECKS["conform_table"] = with_views(
+    f"SELECT person_id, death_date, CAST(NULL AS BIGINT) AS death_type_concept_id, CAST({len(schema.tables()) - 1} AS BIGINT) AS tables_made FROM f_death")
+
+
+def _report_file(v: Views) -> DataFrame:
+    """Counts written as a report in one file and read back from it."""
+    path = storage.scratch_path(v.spark, "report")
+    rows = v["orders"].groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat(F.lit('Priority "'), "o_orderpriority", F.lit('", rows')).alias("name"), "n")
+    write_csv(rows, path)
+    parts = v.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).count()
+    return ingest.read_csv(v.spark, path)[0].withColumn("files", F.lit(parts).cast("bigint"))
+
+
+QUERIES["report_file"] = _report_file
+CHECKS["report_file"] = """
+SELECT 'Priority "' || o_orderpriority || '", rows' AS name, CAST(count(*) AS VARCHAR) AS n, CAST(1 AS BIGINT) AS files FROM orders GROUP BY 1"""
+
 QUERIES["registry_export"] = lambda v: export_registry(v["f_participants"], storage.scratch_path(v.spark, "registry"))
 CHECKS["registry_export"] = CHECKS_OF_PEOPLE["status_decode"]
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from casebook.views import Views, with_views
 from medloom.operators import merge, metrics, runlog
@@ -48,7 +47,7 @@ def _staged(v: Views):
     """The same sites written and read back, beside a site that sent nobody and one that is not part of the merge."""
     root = storage.scratch_path(v.spark, "merge")
     people = v.sql(_PEOPLE)
-    named, fields = [], {}
+    named = []
     for i, name in enumerate(["site0", "site1", "site2", "empty", "foreign"]):
         df = people.filter(F.col("nation") % 3 == i if i < 3 else F.col("nation") == (-1 if i == 3 else 2)).drop("nation")
         df = df if i == 0 else df.drop("year_of_birth")
@@ -56,12 +55,38 @@ def _staged(v: Views):
         publish.write_chunk(chunk, root, "person", name, _DAY + dt.timedelta(i))
         if name != "foreign":
             named.append((name, _DAY + dt.timedelta(i)))
-            fields |= {f.name: f for f in chunk.schema}
-    return publish.read_chunks(v.spark, root, "person", named, T.StructType(list(fields.values())))
+    return publish.read_chunks(v.spark, root, "person", named)
 
 
 QUERIES["merge_staged"] = _staged
 CHECKS["merge_staged"] = with_views("SELECT * FROM chunks", _CHUNKS)
+
+
+def _widened(v: Views):
+    """One column as whole number, number and text, a day as date and moment: united as by name."""
+    root = storage.scratch_path(v.spark, "widened")
+    named = []
+    kinds = [("bigint", "date"), ("double", "timestamp_ntz"), ("int", "date"), ("string", "date")]
+    for i, (amount, day) in enumerate(kinds):
+        df = v["orders"].filter(F.col("o_orderkey") % 4 == i).select(
+            "o_orderkey", F.col("o_custkey").cast(amount).alias("amount"), F.col("o_custkey").cast("int" if i % 2 else "double").alias("share"),
+            F.to_date("o_orderdate").cast(day).alias("day"))
+        publish.write_chunk(df if i else df.drop("share"), root, "note", f"site{i}", _DAY)
+        named.append((f"site{i}", _DAY))
+    numbers = publish.read_chunks(v.spark, root, "note", named[:3]).select(
+        "o_orderkey", F.col("amount").cast("string").alias("amount"), "share", "day", "site")
+    texts = publish.read_chunks(v.spark, root, "note", [named[0], named[3]]).select("o_orderkey", "amount", "share", "day", "site")
+    return numbers.unionByName(texts.withColumn("day", F.col("day").cast("timestamp_ntz")))
+
+
+QUERIES["merge_types"] = _widened
+CHECKS["merge_types"] = """
+SELECT o_orderkey, CAST(CAST(o_custkey AS DOUBLE) AS VARCHAR) AS amount,
+       CASE WHEN o_orderkey % 4 > 0 THEN CAST(o_custkey AS DOUBLE) END AS share,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, concat('site', o_orderkey % 4) AS site FROM orders WHERE o_orderkey % 4 < 3
+UNION ALL
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR), CASE WHEN o_orderkey % 4 > 0 THEN CAST(o_custkey AS DOUBLE) END,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), concat('site', o_orderkey % 4) FROM orders WHERE o_orderkey % 4 IN (0, 3)"""
 QUERIES["merge_report"] = lambda v: metrics.finish_report(
     report.merge(v.spark, merge.delivery_counts(_chunks(v))), dt.datetime(2024, 5, 4, 9)).drop("metadata_id")
 CHECKS["merge_report"] = with_views("""
@@ -158,6 +183,29 @@ _STATE = f"""
 _STEPS = [_BASE, _STARTED, _RUN, _FAILED]
 QUERIES["runlog_state"] = _state
 CHECKS["runlog_state"] = with_views(_STATE, *_STEPS)
+
+
+def _logged(v: Views):
+    """The same steps, each committed to a stored log by a writer of its own."""
+    root = storage.scratch_path(v.spark, "runlog")
+    base = v["f_log"]
+    keys = ["site_name", "delivery_date"]
+    errors = base.filter("run_id LIKE '%3' OR run_id LIKE '%7'").select(
+        "run_id", F.expr(_END).alias("pipeline_end_datetime"),
+        F.when(F.col("run_id").like("%3"), "DAG failed").otherwise("out of space").alias("message"))
+    ends = base.filter("run_id LIKE '%9'").select(
+        *keys, F.expr("timestamp_ntz'2024-05-01 12:00:00'").alias("pipeline_end_datetime"))
+    for change in (
+        lambda log: log.unionByName(_log(v)), lambda log: runlog.log_started(log, _starts(v)),
+        lambda log: runlog.log_running(log, base.filter("run_id LIKE '%1'").select(*keys)),
+        lambda log: runlog.log_failed(log, errors), lambda log: runlog.log_completed(log, ends),
+    ):
+        runlog.RunLog(v.spark, root).commit(change)
+    return runlog.RunLog(v.spark, root).read()
+
+
+QUERIES["runlog_table"] = _logged
+CHECKS["runlog_table"] = CHECKS["runlog_state"]
 QUERIES["latest_completed"] = lambda v: runlog.latest_completed(_state(v))
 CHECKS["latest_completed"] = with_views(
     f"SELECT site_name, max(delivery_date) AS delivery_date FROM ({_STATE}) WHERE status = 'completed' GROUP BY 1", *_STEPS)

@@ -197,16 +197,34 @@ def exclude_settled(df: DataFrame, settled: DataFrame, key: str) -> DataFrame:
 
 def backfill_secondary(df: DataFrame, pairs: list[tuple[str, str]], vocabulary: Vocabulary) -> DataFrame:
     """Fill zero concepts of further pairs from their known source concept."""
+    if not pairs:
+        return df
     known = vocabulary.concept.select(F.col("concept_id").alias("_id")).distinct()
-    out = df
-    for concept, source in pairs:
-        tagged = lookup_join(
-            out.withColumn("_id", F.col(source)), known.withColumn("_known", F.lit(True)), "_id",
-            bound=vocabulary.concept,
-        )
-        fill = (F.col(concept) == 0) & (F.col(source) != 0) & F.col("_known")
-        out = tagged.withColumn(concept, F.when(fill, F.col(source)).otherwise(F.col(concept))).select(*df.columns)
-    return out
+
+    def filled(found: dict[str, Column]) -> list[Column]:
+        fills = {c: F.when((F.col(c) == 0) & (F.col(s) != 0) & found[s], F.col(s)).otherwise(F.col(c)).alias(c) for c, s in pairs}
+        return [fills.get(c, F.col(c)) for c in df.columns]
+
+    sources = sorted({s for _, s in pairs})
+    if fits(known, vocabulary.concept):
+        # Every pair looks into the same broadcast table, in one pass over the rows.
+        tagged = df
+        for i, source in enumerate(sources):
+            named = known.select(F.col("_id").alias(f"_id{i}"), F.lit(True).alias(f"_known{i}"))
+            tagged = tagged.join(F.broadcast(named), F.col(source) == F.col(f"_id{i}"), "left")
+        return tagged.select(*filled({s: F.col(f"_known{i}") for i, s in enumerate(sources)}))
+    # The sets of ids in use are few beside the rows: they meet the vocabulary, and the rows meet them once.
+    group = [F.coalesce(F.col(s), F.lit(_NO_ID)).alias(f"_id{i}") for i, s in enumerate(sources)]
+    sets = materialize(df.select(*group).distinct(), "id-sets")
+    used = sets.select(F.explode(F.array(*[F.col(f"_id{i}") for i in range(len(sources))])).alias("_id")).distinct()
+    used = materialize(used.join(known, "_id", "left_semi"), "known-ids")
+    for i in range(len(sources)):
+        named = used.select(F.col("_id").alias(f"_id{i}"), F.lit(True).alias(f"_known{i}"))
+        sets = lookup_join(sets, named, f"_id{i}", narrow=False)
+    sets = materialize(sets, "known-sets")
+    keyed = df.withColumns({f"_id{i}": column for i, column in enumerate(group)})
+    joined = lookup_join(keyed, sets, [f"_id{i}" for i in range(len(sources))], narrow=False)
+    return joined.select(*filled({s: F.col(f"_known{i}") for i, s in enumerate(sources)}))
 
 
 def secondary_backfill_counts(df: DataFrame, pairs: list[tuple[str, str]], vocabulary: Vocabulary) -> DataFrame:
@@ -264,3 +282,41 @@ def row_disposition(harmonized: DataFrame, table: str, key: str) -> DataFrame:
         .otherwise("moved to other tables")
     )
     return per_key.groupBy(disposition.alias("disposition")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# What the report says of the rows of a harmonized table, by the operator that counts it alone.
+TRANSITION, STATUS_COUNT, CARDINALITY, DISPOSITION = "transition", "status", "cardinality", "disposition"
+
+
+def summary(harmonized: DataFrame, table: str, key: str) -> DataFrame:
+    """(kind, label, row_count): transitions, statuses, cardinalities and dispositions from one pass over the rows.
+
+    Rows are combined by key, table and target, then by key, then by what the
+    report tells apart, of which there are few; each step combines before its
+    shuffle, so a hot key or target costs no more than a rare one.
+    """
+    tables, statuses = schema.HARMONIZED_TABLES, list(STATUS.values())
+    to = {f"_to{i}": F.when(F.col("target_table") == t, 1).otherwise(0) for i, t in enumerate(tables)}
+    by = {f"_by{i}": F.when(F.col("vocab_harmonization_status") == s, 1).otherwise(0) for i, s in enumerate(statuses)}
+    numbers = [*to, *by]
+    own = F.col("target_table") == table
+    targets = harmonized.groupBy(F.col(key).alias("_key"), "target_table", "target_concept_id").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(x).alias(n) for n, x in (to | by).items()])
+    keys = targets.groupBy("_key").agg(
+        F.max(own).alias("_same"), F.max(~own).alias("_cross"), F.count(F.when(own, F.col("target_concept_id"))).alias("_targets"),
+        F.sum(F.when(own, F.col("_n"))).alias("_own"), *[F.sum(n).alias(n) for n in numbers])
+    few = keys.groupBy("_same", "_cross", "_targets").agg(
+        F.count(F.lit(1)).alias("_keys"), F.sum("_own").alias("_own"), *[F.sum(n).alias(n) for n in numbers])
+    disposition = (
+        F.when(F.col("_same") & ~F.col("_cross"), "stayed only").when(F.col("_same") & F.col("_cross"), "stayed and copied")
+        .otherwise("moved to other tables"))
+
+    def entry(kind: str, label: Column, number: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), label.cast("string").alias("label"), number.cast("bigint").alias("n"))
+
+    entries = [
+        *[entry(TRANSITION, F.lit(t), F.col(n)) for n, t in zip(to, tables)],
+        *[entry(STATUS_COUNT, F.lit(s), F.col(n)) for n, s in zip(by, statuses)],
+        entry(CARDINALITY, F.col("_targets"), F.col("_own")), entry(DISPOSITION, disposition, F.col("_keys"))]
+    told = few.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter("n > 0")
+    return told.groupBy("kind", "label").agg(F.sum("n").alias("row_count"))

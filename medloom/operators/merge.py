@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medloom import schema
 from medloom.functions.keys import name_key
@@ -22,10 +23,48 @@ def extract_chunk(df: DataFrame, table: str, site: str, delivery_date: dt.date,
 
 
 def unite_chunks(chunks: list[DataFrame]) -> DataFrame:
-    """All chunks of a table; a column some sites lack is NULL there."""
+    """All chunks of a table; a column some sites lack is NULL there, one of several types has their common one."""
     if not chunks:
         raise ValueError("no chunks to unite")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chunks)
+    whole = widened([c.schema for c in chunks])
+    return reduce(DataFrame.unionByName, [c.select(*[
+        (F.col(f"`{f.name}`") if f.name in c.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in whole]) for c in chunks])
+
+
+# Numbers from the narrowest to the widest; what stands apart meets as text.
+_NUMBERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
+_MOMENTS = [T.DateType(), T.TimestampNTZType(), T.TimestampType()]
+
+
+def common_type(one: T.DataType, other: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both."""
+    if one == other or isinstance(other, T.NullType):
+        return one
+    if isinstance(one, T.NullType):
+        return other
+    if isinstance(one, T.DecimalType) and isinstance(other, T.DecimalType):
+        scale = max(one.scale, other.scale)
+        return T.DecimalType(min(38, max(one.precision - one.scale, other.precision - other.scale) + scale), scale)
+    if isinstance(one, T.DecimalType) or isinstance(other, T.DecimalType):
+        exact, plain = (one, other) if isinstance(one, T.DecimalType) else (other, one)
+        if plain in _NUMBERS[:4]:
+            return common_type(exact, T.DecimalType([3, 5, 10, 19][_NUMBERS.index(plain)], 0))
+        return T.DoubleType() if plain in _NUMBERS[4:] else T.StringType()
+    for ladder in (_NUMBERS, _MOMENTS):
+        if one in ladder and other in ladder:
+            found = ladder[max(ladder.index(one), ladder.index(other))]
+            # A float does not hold all integers of more than 24 bits.
+            return T.DoubleType() if found == T.FloatType() else found
+    return T.StringType()
+
+
+def widened(layouts: list[T.StructType]) -> T.StructType:
+    """All columns of several layouts in the order of their first appearance, each in its common type."""
+    kinds: dict[str, T.DataType] = {}
+    for layout in layouts:
+        for f in layout:
+            kinds[f.name] = common_type(kinds[f.name], f.dataType) if f.name in kinds else f.dataType
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
 
 def reconcile(chunks: DataFrame) -> DataFrame:

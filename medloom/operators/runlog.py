@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medloom.sources.storage import create_once, numbered
+
 KEY = ["site_name", "delivery_date"]
 STARTED, RUNNING, COMPLETED, ERROR = "started", "running", "completed", "error"
 # What the scheduler reports; it must not hide a message that says more.
@@ -24,6 +28,38 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+class RunLog:
+    """The log as a table of numbered snapshots below a folder.
+
+    A commit reads the latest snapshot, applies a change and writes the next
+    number, which only one writer can create; one that comes second applies
+    its change to the newer snapshot again. A snapshot is small, a row for each
+    site and delivery, and is never changed, so readers need no lock.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, attempts: int = 20):
+        self.spark, self.root, self.attempts = spark, root.rstrip("/"), attempts
+
+    def version(self) -> int:
+        """Number of the latest snapshot; 0 if there is none."""
+        found = numbered(self.spark, self.root)
+        return int(found[-1]) if found else 0
+
+    def read(self, version: int | None = None) -> DataFrame:
+        version = self.version() if version is None else version
+        if version == 0:
+            return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/{version:012d}")
+
+    def commit(self, change: Callable[[DataFrame], DataFrame]) -> int:
+        """Store ``change(log)`` as the next snapshot; returns its number."""
+        for _ in range(self.attempts):
+            version = self.version()
+            if create_once(change(self.read(version)).select(*LOG_SCHEMA.names), f"{self.root}/{version + 1:012d}"):
+                return version + 1
+        raise RuntimeError(f"{self.root} was changed by others in each of {self.attempts} attempts")
+
+
 def _latest(updates: DataFrame, on: list[str], moment: str) -> DataFrame:
     """One update per key, the last; of several at one moment the greatest row."""
     others = [c for c in updates.columns if c not in on and c != moment]

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from medloom import schema
 from medloom.operators import merge
@@ -48,15 +47,13 @@ def merge_deliveries(
     named = [t for t in schema.tables(version) if any(t in source.tables for source in sources)]
     staged = {}
     for table in named:
-        chunks, fields = [], {}
+        chunks = []
         for source in [x for x in sources if table in x.tables]:
             chunk = merge.extract_chunk(
                 source.tables[table], table, source.site, source.delivery_date, source.site_name)
             publish.write_chunk(chunk, root, table, source.site, source.delivery_date)
             chunks.append((source.site, source.delivery_date))
-            for column in chunk.schema:
-                fields.setdefault(column.name, column)
-        staged[table] = publish.read_chunks(spark, root, table, chunks, T.StructType(list(fields.values())))
+        staged[table] = publish.read_chunks(spark, root, table, chunks)
     tables = {
         t: publish.write_parquet(merge.reconcile(chunks), f"{root}/{publish.CONVERTED}/{t}")
         for t, chunks in staged.items() if t not in _BUILT

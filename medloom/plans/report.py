@@ -244,18 +244,15 @@ def removals(counts: DataFrame, table: str) -> DataFrame:
 
 
 def harmonization(harmonized: DataFrame, table: str, key: str) -> DataFrame:
-    """Where rows went, by which step, into how many targets, and who stayed."""
-    def counted(rows: DataFrame, label: str, of: str, number: str) -> DataFrame:
-        name = F.concat(F.lit(f"Vocab harmonization {label}"), F.col(of).cast("string"))
-        return m.as_metrics(rows, name, number=F.col(number))
-
-    return m.unite([
-        counted(h.transitions(harmonized), f"table transition: {table} to ", "target_table", "row_count"),
-        counted(h.status_counts(harmonized), f"status: {table} - ", "vocab_harmonization_status", "row_count"),
-        counted(h.mapping_cardinality(harmonized, table, key), f"same-table mapping: {table} - 1:",
-                "num_same_table_targets", "num_source_rows"),
-        counted(h.row_disposition(harmonized, table, key), f"row disposition: {table} - ", "disposition", "row_count"),
-    ])
+    """Where rows went, by which step, into how many targets, and who stayed; one pass over the rows."""
+    # Fixed values of the report: how its metrics are named.
+    names = {
+        h.TRANSITION: f"table transition: {table} to ", h.STATUS_COUNT: f"status: {table} - ",
+        h.CARDINALITY: f"same-table mapping: {table} - 1:", h.DISPOSITION: f"row disposition: {table} - ",
+    }
+    label = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("kind")]
+    name = F.concat(F.lit("Vocab harmonization "), label, F.col("label"))
+    return m.as_metrics(h.summary(harmonized, table, key), name, number=F.col("row_count"))
 
 
 def secondary_backfill(counts: DataFrame, table: str) -> DataFrame:

@@ -81,3 +81,13 @@ def is_completed(spark: SparkSession, path: str) -> bool:
 def read_completed(spark: SparkSession, path: str) -> DataFrame | None:
     """A frame whose writing was completed, or None."""
     return spark.read.parquet(path) if is_completed(spark, path) else None
+
+
+def numbered(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the completed folders in a folder, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    names = sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
+    return [n for n in names if "." not in n and is_completed(spark, f"{folder}/{n}")]

@@ -361,3 +361,110 @@ def test_rows_that_are_settled_do_not_shuffle(spark, codes):
     rows = conditions(spark, [(10, 0, 1), (11, 99, 0)])
     plan = h.harmonize(rows, "condition_occurrence", codes)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(condition" not in plan and "SortMergeJoin" not in plan
+
+
+def _vocabulary(spark, domain="Drug"):
+    concept = spark.createDataFrame([(1, "S", "Drug"), (2, None, domain), (3, "S", "Measurement")],
+                                    "concept_id bigint, standard_concept string, domain_id string")
+    relationship = spark.createDataFrame([(2, 1, "Maps to"), (2, 3, "Maps to"), (1, 2, "Is a")],
+                                         "concept_id_1 bigint, concept_id_2 bigint, relationship_id string")
+    return concept, relationship
+
+
+def test_lookups_are_made_once(spark, tmp_path, monkeypatch):
+    """The same rows in any order and files are found again; a changed row makes new ones; half-written ones are no use."""
+    built = []
+    build = Vocabulary.build
+    monkeypatch.setattr(Vocabulary, "build", staticmethod(lambda *a: built.append(1) or build(*a)))
+    concept, relationship = _vocabulary(spark)
+    root = str(tmp_path)
+    one = Vocabulary.prepared(concept, relationship, root)
+    two = Vocabulary.prepared(concept.repartition(5), relationship.orderBy(F.rand()).withColumn("odd", F.lit(1)), root)
+    assert len(built) == 1 and one.profiles.inputFiles() == two.profiles.inputFiles()
+    changed = Vocabulary.prepared(*_vocabulary(spark, "Device"), root)
+    assert len(built) == 2 and changed.profiles.filter("concept_id = 2").first().domain == "Device"
+    # A repeated row is another vocabulary as well.
+    Vocabulary.prepared(concept.unionAll(concept.limit(1)), relationship, root)
+    assert len(built) == 3
+    # Without its manifest a folder is not taken up.
+    fresh = tmp_path / "cut"
+    Vocabulary.build(concept, relationship).store(f"{fresh}/lookups/x")
+    Vocabulary.prepared(concept, relationship, str(fresh))
+    assert len(built) == 5
+    # A folder that lost rows is refused.
+    spark.createDataFrame([], one.lookup.schema).write.mode("overwrite").parquet(one.lookup.inputFiles()[0].rsplit("/", 1)[0])
+    with pytest.raises(Exception):
+        Vocabulary.prepared(concept, relationship, root)
+
+
+def test_the_summary_reads_rows_once(spark, codes, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", "drug_exposure", "source_concept_id backfill", 1), ("a", "drug_exposure", "domain check", 1),
+         ("a", "drug_exposure", "domain check", 2), ("b", "drug_exposure", "domain check", None), ("b", "note", "domain check", 2),
+         ("c", "note", "domain check", 2), (None, "note", "domain check", 2)],
+        "k string, target_table string, vocab_harmonization_status string, target_concept_id int")
+    rows.write.parquet(str(tmp_path / "h"))
+    rows = spark.read.parquet(str(tmp_path / "h"))
+    summary = h.summary(rows, "drug_exposure", "k")
+    got = {(r.kind, r.label): r.row_count for r in summary.collect()}
+    parts = {h.TRANSITION: h.transitions(rows), h.STATUS_COUNT: h.status_counts(rows),
+             h.CARDINALITY: h.mapping_cardinality(rows, "drug_exposure", "k"), h.DISPOSITION: h.row_disposition(rows, "drug_exposure", "k")}
+    assert got == {(kind, str(r[0])): r[1] for kind, df in parts.items() for r in df.collect()}
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+
+
+def test_two_writers_of_the_run_log(spark, tmp_path):
+    """Who commits second applies the change to what the first has written."""
+    def start(site):
+        starts = spark.createDataFrame([(site, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), "csv", "5.3", site)],
+                                       "site_name string, delivery_date date, pipeline_start_datetime timestamp_ntz,"
+                                       " file_format string, cdm_version string, run_id string")
+        return lambda log: runlog.log_started(log, starts)
+
+    root, tried = str(tmp_path / "log"), []
+
+    def slow(log):
+        if not tried:
+            tried.append(runlog.RunLog(spark, root).commit(start("b")))
+        return start("a")(log)
+
+    assert runlog.RunLog(spark, root).read().isEmpty()
+    assert runlog.RunLog(spark, root).commit(slow) == 2 and tried == [1]
+    log = runlog.RunLog(spark, root)
+    assert {r.site_name for r in log.read().collect()} == {"a", "b"} and log.version() == 2
+    assert {r.site_name for r in log.read(1).collect()} == {"b"}
+    ends = spark.createDataFrame([("a", dt.date(2024, 1, 1), dt.datetime(2024, 1, 2))],
+                                 "site_name string, delivery_date date, pipeline_end_datetime timestamp_ntz")
+    log.commit(lambda rows: runlog.log_completed(rows, ends))
+    assert {r.site_name: r.status for r in log.read().collect()} == {"a": "completed", "b": "started"}
+    # One who never gets through says so.
+    with pytest.raises(RuntimeError, match="changed by others"):
+        runlog.RunLog(spark, root, attempts=1).commit(lambda rows: (log.commit(lambda r: r), rows)[1])
+
+
+def test_types_of_united_columns():
+    from pyspark.sql import types as T
+
+    pairs = [("int", "bigint", "bigint"), ("bigint", "double", "double"), ("float", "int", "double"), ("date", "timestamp_ntz", "timestamp_ntz"),
+             ("date", "bigint", "string"), ("string", "double", "string"), ("decimal(10,2)", "decimal(12,4)", "decimal(12,4)"),
+             ("decimal(5,2)", "bigint", "decimal(21,2)"), ("decimal(5,2)", "double", "double"), ("boolean", "int", "string"),
+             ("void", "date", "date"), ("string", "string", "string"), ("decimal(5,2)", "date", "string")]
+    for one, two, found in pairs:
+        a, b, c = (T.StructType.fromDDL(f"x {k}")["x"].dataType if k != "void" else T.NullType() for k in (one, two, found))
+        assert merge.common_type(a, b) == merge.common_type(b, a) == c
+
+
+def test_an_unchanged_table_is_not_joined(spark):
+    from medloom.operators import diff
+
+    table = spark.range(2000).select((F.col("id") % 900).alias("k"))
+    assert tuple(diff.diff_by_key(table, table.repartition(3), "k").first()) == (0, 0)
+    sides = [diff._keys(df, "k") for df in (table, table.filter("k <> 5").unionAll(spark.createDataFrame([(7,), (5000,), (None,)], "k bigint")))]
+    assert diff.differing_buckets(sides[0], sides[0]).isEmpty()
+    assert 0 < diff.differing_buckets(*sides).count() <= 3
+    after = table.filter("k <> 5").unionAll(spark.createDataFrame([(7,), (5000,), (5000,), (None,)], "k bigint"))
+    assert tuple(diff.diff_by_key(table, after, "k").first()) == (2, 3)
+    assert tuple(diff.diff_by_content(table, after).first()) == (3, 3)
+    empty = table.limit(0)
+    assert tuple(diff.diff_by_key(empty, table, "k").first()) == (2000, 0) and tuple(diff.diff_by_key(empty, empty, "k").first()) == (0, 0)

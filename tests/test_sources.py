@@ -299,3 +299,39 @@ def test_files(spark, tmp_path):
     with pytest.raises(Exception):
         publish.write_parquet(back, str(tmp_path / "p"))
     assert publish.folder_of("note") == publish.ROUTED and publish.folder_of("drug_era") == publish.DERIVED
+
+
+def test_a_failed_publish_leaves_the_former_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS safe")
+    good = spark.createDataFrame([(1,), (2,)], "person_id bigint")
+    assert publish.publish(good, "safe.person")
+    bad = spark.range(1000).select(F.when(F.col("id") == 999, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("bigint").alias("person_id"))
+    with pytest.raises(Exception, match="broken"):
+        publish.publish(bad, "safe.person")
+    assert sorted(r.person_id for r in spark.table("safe.person").collect()) == [1, 2]
+    assert publish.published_versions(spark, "safe.person").count() == 1
+    # One who still reads the former version is not disturbed by the next.
+    before = spark.table("safe.person")
+    files = before.inputFiles()
+    assert publish.publish(good.limit(0), "safe.person")
+    assert spark.read.parquet(*files).count() == 2 and spark.table("safe.person").isEmpty()
+    assert [(r.number, r.row_count) for r in publish.published_versions(spark, "safe.person").orderBy("number").collect()] == [(1, 2), (2, 0)]
+
+
+def test_publish_with_another_layout(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS safe")
+    spark.createDataFrame([(1,)], "a int").write.mode("overwrite").saveAsTable("safe.note")
+    assert publish.publish(spark.createDataFrame([("x", 2.5)], "a string, `b c` double"), "safe.note")
+    assert [tuple(r) for r in spark.table("safe.note").collect()] == [("x", 2.5)]
+    assert publish.published_versions(spark, "safe.none").count() == 0
+
+
+def test_only_one_creates_a_folder(spark, tmp_path):
+    one, two = (spark.createDataFrame([(i,)], "i int") for i in (1, 2))
+    assert storage.create_once(one, str(tmp_path / "x")) and not storage.create_once(two, str(tmp_path / "x"))
+    assert storage.read_completed(spark, str(tmp_path / "x")).first().i == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["x"]
+    # What was cut off counts as not there.
+    (tmp_path / "half").mkdir()
+    assert storage.read_completed(spark, str(tmp_path / "half")) is None
+    assert storage.numbered(spark, str(tmp_path)) == ["x"] and storage.numbered(spark, str(tmp_path / "no")) == []
