@@ -50,8 +50,13 @@ def vocabulary(v: Views) -> Vocabulary:
     return stored(v, "concepts", v["f_concept"])
 
 
+def spread(v: Views) -> Views:
+    """The same views over tables that are dealt over all cores, for work that is done row by row."""
+    return Views(v.spark, v.sf_dir, spread=True)
+
+
 def harmonized_drugs(v: Views, steps: list[str] | None = None) -> DataFrame:
-    return h.harmonize(v["f_drug"], "drug_exposure", vocabulary(v), steps)
+    return h.harmonize(spread(v)["f_drug"], "drug_exposure", vocabulary(v), steps)
 
 
 def _step(v: Views, step: str, steps: list[str]) -> DataFrame:
@@ -79,7 +84,7 @@ QUERIES["harmonize_chain"] = harmonized_drugs
 CHECKS["harmonize_chain"] = with_views("SELECT * FROM harmonized", *DRUG_CHAIN)
 
 QUERIES["harmonize_shared_keys"] = lambda v: h.harmonize(
-    v["f_drug"], "drug_exposure", vocabulary(v), repeated_key="dup_key"
+    spread(v)["f_drug"], "drug_exposure", vocabulary(v), repeated_key="dup_key"
 )
 CHECKS["harmonize_shared_keys"] = with_views("SELECT * FROM harmonized", *SHARED_CHAIN)
 
@@ -135,7 +140,7 @@ CHECKS["row_disposition"] = with_views(
 
 
 def _routed(v: Views, view: str, source: str, target: str) -> DataFrame:
-    rows = conform(v[view], schema.layout(source))
+    rows = conform(spread(v)[view], schema.layout(source))
     return route(h.harmonize(rows, source, vocabulary(v)), source, target, SITE)
 
 
@@ -220,7 +225,7 @@ _COPIES = f"SELECT {', '.join(_KEYED)} FROM f_drug"
 
 def _with_copies(v: Views) -> DataFrame:
     # Every second row twice, so that keys repeat with equal and with different content.
-    rows = v["f_drug"].select(*_KEYED)
+    rows = spread(v)["f_drug"].select(*_KEYED)
     return rows.unionAll(rows.filter("person_id % 2 = 0"))
 
 
