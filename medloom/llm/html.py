@@ -46,23 +46,54 @@ _NAMES = re.compile(r"(?:^|[\s\"'])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^'
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}}
 
-# Costs in whole units. CERTAIN outweighs whatever ties a block to the rest of its page.
-CERTAIN, INSIDE = 1 << 40, 400
+# Names that tell a state or what is not there, not what an element is.
+_STATE = re.compile(
+    r"(?:^|(?<=\s))(?:no|not|has|is|with|without|hide|show)[_-]\S+|\S+[_-](?:open|opened|closed|active|enabled|disabled|visible|hidden)(?=\s|$)"
+    r"|(?<=[A-Za-z0-9])[_-](?:with|without|no|has)[_-]\S+", re.I)
+
+# Costs in whole units, all finite and set by hand. An element that says what it holds bears a cost for each block it
+# speaks for; the ties from there to its blocks are stronger than what a block's text alone says, so that a line of links
+# in an article and a long text in a sidebar go with their surroundings; where nothing speaks, neighbours smooth.
+SPOKEN, FROM_ELEMENT, WITHIN = 500, 250, 220
 NEIGHBOURS, SAME_PARENT, PARENTS = 20, 30, 10
+# Share of a page's characters from which a form is the page itself, and an article is not part of what surrounds it.
+WHOLE_PAGE, MAIN_ARTICLE = 0.6, 0.3
 
 
 class Element:
-    __slots__ = ("name", "parent", "number", "verdict", "inside", "hidden")
+    __slots__ = ("name", "parent", "number", "own", "inside", "hidden", "characters")
 
     def __init__(self, name: str, names: str, parent: Element | None, number: int):
-        self.name, self.parent, self.number = name, parent, number
+        self.name, self.parent, self.number, self.characters = name, parent, number, 0
         self.inside = (parent is not None and parent.inside) or name in CONTENT
         self.hidden = (parent is not None and parent.hidden) or name in HIDDEN
-        outer = parent.verdict if parent is not None else 0
-        named = names and _NOT_MAIN.search(names) and name not in ("html", "body", "article", "main")
+        names = _STATE.sub(" ", names) if names else names
+        against = bool(names and _NOT_MAIN.search(names)) and name not in ("html", "body", "article", "main")
+        for_ = bool(names and _MAIN.search(names))
         # A header belongs to the page unless it opens an article.
         header = name == "header" and not self.inside
-        self.verdict = -1 if outer < 0 or name in BOILERPLATE or named or header else 1 if names and _MAIN.search(names) else outer
+        # What the element says of itself: against main text, for it, or nothing.
+        self.own = -1 if name in BOILERPLATE or header else for_ - against
+
+    def speaker(self, characters: int) -> tuple[Element | None, int]:
+        """The element that speaks for this one on a page of so many characters, and what it says.
+
+        The nearest that says anything, or an article: a large one speaks for
+        itself whatever stands around it, a small one, as of a comment, only
+        where nothing around it says otherwise.
+        """
+        element, article = self, None
+        while element is not None:
+            # A form that holds most of a page is no form to fill in.
+            whole = element.name == "form" and element.characters >= WHOLE_PAGE * characters
+            if element.own and not whole:
+                return (article, 1) if article is not None and element.own > 0 else (element, element.own)
+            if element.name in CONTENT:
+                if element.characters >= MAIN_ARTICLE * characters:
+                    return element, 1
+                article = article or element
+            element = element.parent
+        return article, int(article is not None)
 
 
 class Block:
@@ -151,17 +182,18 @@ def blocks(page: str) -> tuple[list[tuple[str, float, Element]], int]:
         clean = " ".join(unescape(text).split())
         if clean:
             out.append((clean, min(1.0, b.linked / len(text)), b.element))
+            above = b.element
+            while above is not None:
+                above.characters += len(clean)
+                above = above.parent
     return out, elements
 
 
 def costs(text: str, linked: float, element: Element) -> tuple[int, int]:
-    """(cost of calling the block boilerplate, cost of calling it content)."""
-    if element.verdict < 0:
-        return 0, CERTAIN
+    """(cost of calling the block boilerplate, cost of calling it content), from its text and its own tag."""
     words = text.count(" ") + 1
     keep = min(words, 40) * 2 + 20 * (text[-1:] in ".!?:;…") + 40 * (element.name in HEADINGS) + 30 * (element.name == "p")
     drop = 30 + int(120 * linked) + 20 * (words < 4) + 15 * (element.name == "li")
-    keep += INSIDE * element.inside + 60 * (element.verdict > 0)
     return keep, drop
 
 
@@ -226,39 +258,48 @@ class Flow:
                 a = self.to[e]
 
 
-def content(found: list[tuple[str, float, Element]]) -> list[bool]:
-    """Which of the blocks are main text."""
-    if not found:
-        return []
-    unary = [costs(*b) for b in found]
-    parents: dict[int, int] = {}
+def graph(found: list[tuple[str, float, Element]]) -> tuple[int, list[tuple[int, int]], list[tuple[int, int, int]]]:
+    """(nodes, (node, gain of calling it content), (node, node, cost of telling them apart)); the blocks are the first nodes."""
+    characters, n = sum(len(text) for text, _, _ in found), len(found)
+    nodes: dict[int, int] = {}
+    spoken: dict[int, int] = {}
     ties: list[tuple[int, int, int]] = []
-    n = len(found)
     for i, (_, _, element) in enumerate(found):
         if i:
             ties.append((i - 1, i, NEIGHBOURS))
-        here, weight = i, SAME_PARENT
-        # The block hangs on its element's parent, each element on its own.
-        above = element.parent
-        while above is not None:
-            known = above.number in parents
-            node = parents.setdefault(above.number, n + len(parents))
-            ties.append((here, node, weight))
-            if known:
-                break
-            here, weight, above = node, PARENTS, above.parent
-    nodes = n + len(parents)
-    source, sink = nodes, nodes + 1
-    flow = Flow(nodes + 2)
-    for i, (keep, drop) in enumerate(unary):
-        # What both terminals have alike is cut in any case.
-        if keep > drop:
-            flow.edge(source, i, keep - drop, 0)
-        elif drop > keep:
-            flow.edge(i, sink, drop - keep, 0)
+        by, says = element.speaker(characters)
+        above, known = element, element.number in nodes
+        ties.append((i, nodes.setdefault(element.number, n + len(nodes)), FROM_ELEMENT if says else SAME_PARENT))
+        if says:
+            spoken[by.number] = spoken.get(by.number, 0) + says * SPOKEN
+        # Each element hangs on its parent, firmly below the one that speaks for both.
+        inner = bool(says)
+        while not known and above.parent is not None:
+            inner = inner and above is not by
+            known = above.parent.number in nodes
+            here, there = nodes[above.number], nodes.setdefault(above.parent.number, n + len(nodes))
+            ties.append((here, there, WITHIN if inner else PARENTS))
+            above = above.parent
+    # What both terminals have alike is cut in any case.
+    gains = [(i, keep - drop) for i, (keep, drop) in enumerate(costs(*b) for b in found)]
+    return n + len(nodes), gains + [(nodes[number], weight) for number, weight in spoken.items()], ties
+
+
+def content(found: list[tuple[str, float, Element]]) -> list[bool]:
+    """Which of the blocks are main text: of the cheapest cuts the one with least of it."""
+    if not found:
+        return []
+    source, gains, ties = graph(found)
+    sink = source + 1
+    flow = Flow(sink + 1)
+    for node, weight in gains:
+        if weight > 0:
+            flow.edge(source, node, weight, 0)
+        elif weight < 0:
+            flow.edge(node, sink, -weight, 0)
     for a, b, weight in ties:
         flow.edge(a, b, weight, weight)
-    return flow.source_side(source, sink)[:n]
+    return flow.source_side(source, sink)[:len(found)]
 
 
 def main_text(page: str | None) -> str:

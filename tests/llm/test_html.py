@@ -75,3 +75,69 @@ def test_large_page_with_mixed_labels():
     page = "<body>" + "".join(f"<div><p>{'Text that is long. ' * (i % 4)}</p><div><a href=x>link {i}</a></div></div>" for i in range(2000))
     lines = html.main_text(page + "<article><p>Ends here.</p></article>").split("\n")
     assert lines[-1] == "Ends here." and not any(line.startswith("link") for line in lines)
+
+
+ARTICLE = ("<article><h1>Title here</h1><p>" + "word " * 40 + ".</p><ul><li><a href=x>One link</a></li></ul><p>" + "more " * 30 + ".</p></article>")
+WRAPPERS = ["<form id=aspnetForm>%s</form>", "<div class='content-with-sidebar'>%s</div>", "<div class='no-comments'>%s</div>",
+            "<main class='has-social'>%s</main>", "<div class='has-social'><main>%s</main></div>", "<div class='search-open'>%s</div>", "%s"]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_wrappers(wrapper):
+    """What stands around a whole article does not take it away; comments, also such as are articles, and menus go."""
+    comments = "<section id=comments><article class=c1><p>" + "nice " * 30 + ".</p></article></section>"
+    page = "<html><nav><a>Home</a><a>About</a></nav>" + wrapper % (ARTICLE + comments) + "<footer>Copyright text here.</footer></html>"
+    lines = html.main_text(page).split("\n")
+    assert lines[0] == "Title here" and lines[2] == "One link" and len(lines) == 4
+    plain = html.main_text(page.replace(ARTICLE, ARTICLE.replace("article>", "section>")))
+    assert "word word" in plain and "more more" in plain and "Home" not in plain and "nice" not in plain
+
+
+def cheapest(page):
+    """Blocks that every cheapest labelling of a small page calls content, from all labellings."""
+    found, _ = html.blocks(page)
+    if not found:
+        return ""
+    nodes, gains, ties = html.graph(found)
+    assert nodes <= 15
+    best = None
+    for side in itertools.product([False, True], repeat=nodes):
+        cost = sum(w for v, w in gains if w > 0 and not side[v]) - sum(w for v, w in gains if w < 0 and side[v])
+        cost += sum(w for a, b, w in ties if side[a] != side[b])
+        if best is None or (cost, sum(side)) < best[0]:
+            best = (cost, sum(side)), side
+    return "\n".join(text for (text, _, _), kept in zip(found, best[1]) if kept)
+
+
+def test_query_against_all_labellings(spark):
+    rng = random.Random(9)
+    texts = ["Short", "A sentence that says something, with enough words to count as text.", "<a href=x>Link text</a>", "Two words.",
+             "Some text with <a href=y>a link that is long</a> in it, and more."]
+    tags = ["p", "div", "li", "h2", "section", "article", "aside", "form", "main", "div class=ad", "div class=content", "div id=has-menu"]
+    pages = []
+    for i in range(150):
+        def made(depth):
+            tag = rng.choice(tags)
+            inner = "".join(made(depth - 1) for _ in range(rng.randrange(1, 3))) if depth and rng.random() < 0.6 else rng.choice(texts)
+            return f"<{tag}>{inner}</{tag.split()[0]}>"
+        pages.append((i, f"u{i}", "".join(made(2) for _ in range(rng.randrange(1, 3)))))
+    pages = [p for p in pages if len(html.blocks(p[2])[0]) and html.graph(html.blocks(p[2])[0])[0] <= 15]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert len(pages) > 60 and found == {k: cheapest(h) for k, _, h in pages}
+
+
+def test_the_cut_decides(spark):
+    """On the given pages the cut calls some blocks otherwise than their own text would."""
+    import os
+
+    from tests.conftest import SMALL
+
+    if not os.path.isdir(SMALL):
+        pytest.skip("needs the given tables")
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    differ = 0
+    for page in pages:
+        found, _ = html.blocks(page)
+        differ += [a > b for a, b in (html.costs(*x) for x in found)] != html.content(found)
+    assert differ > 0.5 * len(pages)
