@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from medloom.llm.shared import carried, given_back, within
 from medloom.llm.text import alnum_words, let, text_of
 from medloom.sources.storage import materialize
 
@@ -191,6 +192,7 @@ def decontaminate(
     rows get equal results, and an empty table on either side gives zeros or
     no rows. Columns of the result's names in the frame are replaced.
     """
+    columns, df, text = df.columns, carried(df), within(text)
     found = windows(items, item_key, item_text, window)
     terms = materialize(found.select(F.explode("terms").alias("term")).distinct(), "bench-terms")
     counts = materialize(term_counts(df, terms, text), "term-counts")
@@ -223,7 +225,7 @@ def decontaminate(
             "n_near": F.size(F.array_distinct(F.transform("_close", lambda c: c["wid"]))).cast("long"),
             "near": F.transform("_close", lambda c: F.struct(c["start"].alias("start"), c["items"].alias("items"))),
         }).drop("_close")
-    return rows.drop("_judged", "_k1", "_k2", *names.values())
+    return given_back(rows.drop("_judged", "_k1", "_k2", *names.values()), columns)
 
 
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"

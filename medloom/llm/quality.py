@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medloom.llm.shared import carried, given_back, within
 from medloom.llm.text import SPACE, UPPER, let, text_of, words
 from medloom.sources.storage import materialize
 
@@ -117,25 +118,33 @@ RULES: dict[str, Callable[[], Column]] = {
 
 
 def _seconds(sample: DataFrame, rule: Column) -> float:
-    """Time of one pass that evaluates a rule on every row of the sample."""
-    started = time.perf_counter()
-    sample.agg(F.count(F.when(rule, 1))).collect()
-    return time.perf_counter() - started
+    """Time of a pass that evaluates a rule on every row of the sample, the better of two."""
+    found = []
+    for _ in range(2):
+        started = time.perf_counter()
+        sample.agg(F.count(F.when(rule, 1))).collect()
+        found.append(time.perf_counter() - started)
+    return min(found)
 
 
-def estimate(sample: DataFrame) -> list[tuple[str, float, float]]:
-    """(rule, seconds, rejected share of what reaches it), best first, from a measured sample."""
-    names = list(RULES)
+def estimate(sample: DataFrame, rules: dict[str, Callable[[], Column]] | None = None) -> list[tuple[str, float, float]]:
+    """(rule, seconds, rejected share of what reaches it), best first, from a measured sample.
+
+    Half a row more than was seen counts as rejected, so that rules that
+    reject nothing on the sample go by their cost, the cheap ones first.
+    """
+    rules = RULES if rules is None else rules
+    names = list(rules)
     idle = min(_seconds(sample, F.lit(True)) for _ in range(2))
-    cost = {n: max(_seconds(sample, RULES[n]()) - idle, 1e-3) for n in names}
+    cost = {n: max(_seconds(sample, rules[n]()) - idle, 1e-3) for n in names}
     # At most one row for each combination of verdicts.
-    passed = sample.groupBy(*[RULES[n]().alias(n) for n in names]).count().collect()
+    passed = sample.groupBy(*[rules[n]().alias(n) for n in names]).count().collect()
     order, left = [], passed
     while names:
-        total = sum(r["count"] for r in left) or 1
-        share = {n: sum(r["count"] for r in left if not r[n]) / total for n in names}
-        best = max(names, key=lambda n: share[n] / cost[n])
-        order.append((best, cost[best], share[best]))
+        total = sum(r["count"] for r in left)
+        rejected = {n: sum(r["count"] for r in left if not r[n]) for n in names}
+        best = max(names, key=lambda n: (rejected[n] + 0.5) / (total + 1) / cost[n])
+        order.append((best, cost[best], rejected[best] / (total or 1)))
         left = [r for r in left if r[best]]
         names.remove(best)
     return order
@@ -149,6 +158,12 @@ def cascade(order: list[str]) -> Column:
     return verdict.otherwise(True)
 
 
+def _sampled(df: DataFrame, text: str, sample_rows: int) -> DataFrame:
+    spare = df.select(F.col(text).alias("text"))
+    rows = spare.count()
+    return spare.sample(min(1.0, 2 * sample_rows / max(rows, 1)), SAMPLE_SEED).limit(sample_rows)
+
+
 def judge(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The frame with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed and kept.
 
@@ -157,12 +172,50 @@ def judge(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) ->
     equal verdicts; an empty table gives an empty result. Columns of these
     names and of the names _text, _words in the frame are replaced.
     """
-    spare = df.select(F.col(text).alias("text"))
-    rows = spare.count()
-    sample = spare.sample(min(1.0, 2 * sample_rows / max(rows, 1)), SAMPLE_SEED).limit(sample_rows)
-    sample = materialize(measured(sample).filter("NOT base_failed"), "quality-sample")
+    sample = materialize(measured(_sampled(df, text, sample_rows)).filter("NOT base_failed"), "quality-sample")
     order = [name for name, _, _ in estimate(sample)]
-    return measured(df, text).withColumn("kept", cascade(order)).drop("_text")
+    found = measured(carried(df), within(text)).withColumn("kept", cascade(order)).drop("_text")
+    return given_back(found, df.columns)
+
+
+def _counted(df: DataFrame, text: str) -> DataFrame:
+    """(row, t, and the counts that cost little): the whole row of the caller in one column.
+
+    The counts come out of an explode of one element: Spark does not copy
+    their expressions into a filter behind it, so each is evaluated once.
+    """
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), text_of(F.col(f"`{text}`")).alias("_text"))
+    lines = let(_worded_lines(F.col("_text")), lambda found: F.struct(
+        F.size(found).cast("long").alias("n_lines"),
+        (F.size(found) - F.size(F.array_distinct(found))).cast("long").alias("n_dup_lines")))
+    counts = F.struct(
+        F.size(words(F.col("_text"))).cast("long").alias("n_words"), F.length(_without(F.col("_text"), _SPACES)).cast("long").alias("word_chars"),
+        _count_of(F.col("_text"), SYMBOLS).alias("n_symbols"), lines.alias("lines"))
+    found = rows.select("row", "_text", F.explode(F.array(counts)).alias("c"))
+    return found.select("row", "_text", "c.n_words", "c.word_chars", "c.n_symbols", "c.lines.n_lines", "c.lines.n_dup_lines")
+
+
+# The base tests as rules like all others, where only the verdict is asked for.
+EVERY_RULE: dict[str, Callable[[], Column]] = {
+    "enough_words": lambda: F.col("n_words") >= LEAST_WORDS, **RULES,
+    "little_repeated": lambda: 100 * let(words(F.col("_text")), _repeat_words) <= REPEATED_PERCENT * F.col("n_words"),
+}
+
+
+def passing(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows whose text passes every rule: those that ``judge`` keeps, with their columns and no others.
+
+    Here the base tests are part of the cascade, so that the dear one, which
+    counts repeated windows, runs only for what the cheap rules leave. Nulls,
+    long texts, repeated rows and empty tables as in ``judge``; columns of any
+    name pass through.
+    """
+    sample = materialize(_counted(_sampled(df, text, sample_rows), "text").drop("row"), "quality-sample")
+    order = [name for name, _, _ in estimate(sample, EVERY_RULE)]
+    verdict = F.when(~EVERY_RULE[order[0]](), False)
+    for name in order[1:]:
+        verdict = verdict.when(~EVERY_RULE[name](), False)
+    return _counted(df, text).filter(verdict.otherwise(True)).select("row.*")
 
 
 _LIST = f"list_filter(regexp_split_to_array(t, '{SPACE}'), lambda x: x <> '')"

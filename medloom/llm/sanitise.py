@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medloom.llm.shared import carried, given_back, within
 from medloom.llm.text import alnum_words, text_of
 from medloom.sources.storage import materialize
 
@@ -264,6 +265,7 @@ def sanitise(
     never change. Repeated rows get equal spans and count once as evidence. An
     empty table gives an empty result; a column named spans is replaced.
     """
+    columns, df, text = df.columns, carried(df), within(text)
     texts = materialize(_entity_texts(df, text), "entity-texts")
     known, rare = _judged(df, _paired(texts), text, threshold, support, texts)
     found = rare.join(known, ["entity", "term"])
@@ -276,7 +278,7 @@ def sanitise(
     rows = df.withColumns({"_k1": F.xxhash64(t), "_k2": F.xxhash64(t, F.lit(1))})
     rows = _with_revealed(rows, revealed)
     rows = rows.withColumn("spans", _spans(t, F.col("_general"), F.col("_removed")))
-    return rows.drop("_k1", "_k2", "_r1", "_r2", "_general", "_removed")
+    return given_back(rows.drop("_k1", "_k2", "_r1", "_r2", "_general", "_removed"), columns)
 
 
 def base_only(spans: Column) -> Column:

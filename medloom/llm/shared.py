@@ -6,6 +6,7 @@ import re
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medloom.sources.storage import scratch_path
 
@@ -29,3 +30,19 @@ def staged_files(spark: SparkSession, path: str) -> DataFrame:
     """One row (file) for each file of a staged frame; no content is read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     return files.selectExpr("path AS file")
+
+
+def carried(df: DataFrame) -> DataFrame:
+    """The caller's rows in one column ``row``, so that an operator's own columns cannot meet theirs."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def within(column: str) -> str:
+    """Name of a caller's column in carried rows."""
+    return f"row.`{column}`"
+
+
+def given_back(found: DataFrame, columns: list[str]) -> DataFrame:
+    """The caller's columns and behind them the new ones, which replace those of their names."""
+    new = [c for c in found.columns if c != "row"]
+    return found.select(*[F.col(within(c)).alias(c) for c in columns if c not in new], *new)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.components import connected
+from medloom.llm.shared import carried, within
 from medloom.sources.storage import materialize
 
 BITS = 3
@@ -209,7 +210,8 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", list_lim
     Rows are told apart by key and text, so that neither a key that stands
     twice nor a null one loses a different text. Rows equal in both are one.
     """
-    rows = df.withColumn("_key", F.struct(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
+    key, text = within(key), within(text)
+    rows = carried(df).withColumn("_key", F.struct(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
     found = materialize(near_duplicates(rows, "_key", text, list_limit), "simhash-components")
     first = F.col("_key") == F.col("component")
     dropped = found.filter(~first).select("_key")
@@ -218,7 +220,7 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", list_lim
     kept = rows.join(_small(gone), "_key", "left_anti")
     if repeated.take(1):
         kept = kept.unionByName(rows.join(_small(repeated), "_key", "left_semi").dropDuplicates(["_key"]))
-    return kept.drop("_key")
+    return kept.select("row.*")
 
 
 def _small(keys: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def test_query(spark, name):
 @given_tables
 def test_every_operator_has_a_query():
     names = list(catalog.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
 
 
 @given_tables

@@ -78,3 +78,30 @@ def test_empty_table(docs):
 def test_plan_stays_native(docs):
     plan = quality.judge(docs(ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_passing_is_what_judge_keeps(docs):
+    df = docs(ROWS, clash=True)
+    from tests.llm.conftest import CLASHES
+
+    names = ["c", "t", "n_lines", "_text", "lines"]
+    df = df.withColumns({c: F.lit("mine") for c in names})
+    got = quality.passing(df)
+    assert got.columns == df.columns
+    rows = got.collect()
+    expected = sorted((str(k), t) for k, t in ROWS if brute(t)[-1])
+    assert sorted((str(r.doc_id), r.text) for r in rows) == expected
+    assert all(r[c] == "mine" for r in rows for c in names) and all(r[c] == "other" for r in rows for c in CLASHES if c not in names)
+    assert quality.passing(docs([])).collect() == []
+
+
+def test_dear_expressions_stand_once(docs):
+    plan = quality.passing(docs(ROWS))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1 and "Python" not in plan
+
+
+def test_rules_that_reject_nothing_go_by_cost(docs, monkeypatch):
+    seconds = iter([0.0, 0.0, 0.9, 0.1, 0.5])
+    monkeypatch.setattr(quality, "_seconds", lambda sample, rule: next(seconds))
+    rules = {n: lambda: F.col("doc_id") >= 0 for n in ("dear", "cheap", "fair")}
+    assert [n for n, _, _ in quality.estimate(docs([(1, ""), (2, "")]), rules)] == ["cheap", "fair", "dear"]
