@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from medloom.llm.decontaminate import decontaminate
 from medloom.llm.mixing import repeat
-from medloom.llm.quality import judge
+from medloom.llm.quality import passing
 from medloom.llm.sanitise import masked, sanitise
 from medloom.llm.simhash import deduplicate
 from medloom.sources.storage import materialize
@@ -20,7 +20,7 @@ from medloom.sources.storage import materialize
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    return passing(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
