@@ -32,11 +32,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), slop=decontaminate.SLOP)
     named = F.sort_array(F.transform("items", lambda i: i.cast("string")))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", named), 256).alias("items_sha256"), "contaminated")
+        F.sha2(F.concat_ws(",", named), 256).alias("items_sha256"), "contaminated",
+        "n_near", F.size("near").cast("long").alias("n_near_places"))
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

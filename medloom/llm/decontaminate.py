@@ -2,9 +2,10 @@
 
 The index is sharded by text: a shard lists, term by term, where the terms
 that are asked for stand in that text. Every window of ten benchmark words is
-looked up from its rarest term. Each place on that term's list must be met by
-the lists of the next rarest terms, shifted by their distance in the window.
-What is left is compared with the text itself, word by word.
+looked up from its rarest term. That term's list, less the term's offset in
+the window, is intersected with the lists of the next rarest terms, less
+theirs; what is left is compared with the text itself, word by word.
+Proximity matches come from the same lists, widened by the slop.
 
 Rarity is counted over all training texts. Only lists of the rarest terms are
 stored, and copies of one text are one shard.
@@ -12,7 +13,7 @@ stored, and copies of one text are one shard.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.shared import carried, given_back, within
@@ -24,14 +25,14 @@ WINDOW = 10
 LISTS = 3
 # One in so many terms of a window may be missing from a proximity match, two of ten.
 ABSENT = 5
+# Words by which a term of a proximity match may be off its place.
+SLOP = 2
 # Rows up to which a frame of short rows is broadcast, after it was counted; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 # The same for candidates, which carry the words of their window.
 BROADCAST_CANDIDATES = 20_000
 # The same for keys of texts, two longs each.
 BROADCAST_KEYS = 1_000_000
-# Numbers of terms that lead no window start here.
-OTHERS = 1 << 30
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -63,71 +64,87 @@ def term_counts(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFram
     return found.join(_small(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def plan(found: DataFrame, counts: DataFrame, lists: int = LISTS) -> DataFrame:
-    """(wid, ranked): the rarest terms of each window whose terms all occur, as (n, term, offset), rarest first."""
-    single = found.select("wid", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
-    known = single.join(counts, "term").groupBy("wid", "size").agg(
-        F.sort_array(F.collect_list(F.struct("n", "term", "offset"))).alias("ranked"))
-    known = known.filter(F.size("ranked") == F.col("size"))
-    return known.select("wid", F.slice("ranked", 1, lists).alias("ranked"))
+def plan(found: DataFrame, counts: DataFrame) -> DataFrame:
+    """(wid, ranked): the terms of each window as (n, term, offset), rarest first; n is 0 where a term stands nowhere."""
+    single = found.select("wid", F.posexplode("terms").alias("offset", "term")).join(counts, "term", "left")
+    return single.groupBy("wid").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset"))).alias("ranked"))
+
+
+def _coded(ranked: Column) -> Column:
+    """(tid, offset) of ranked terms. A term goes by its hash; what two terms of one hash add is refuted by the text."""
+    return F.transform(ranked, lambda t: F.struct(F.xxhash64(t["term"]).alias("tid"), t["offset"].cast("int").alias("offset")))
+
+
+def exact_lookups(planned: DataFrame, lists: int = LISTS) -> DataFrame:
+    """(wid, tid, offset, others): the rarest term of each window whose terms all occur, and the next rarest ones."""
+    whole = planned.filter(F.col("ranked")[0]["n"] > 0)
+    coded = whole.select("wid", _coded(F.slice("ranked", 1, lists)).alias("r"))
+    return coded.select("wid", F.col("r")[0]["tid"].alias("tid"), F.col("r")[0]["offset"].alias("offset"), F.slice("r", 2, lists).alias("others"))
+
+
+def _missing(size: Column) -> Column:
+    return F.floor(size / ABSENT).cast("int")
 
 
-def numbered(ranked: DataFrame) -> DataFrame:
-    """(term, tid, lead): the terms to index. Terms that lead a window, as its rarest, are numbered from 0, others above them all."""
-    terms = ranked.select(F.posexplode("ranked").alias("rank", "t")).groupBy(F.col("t.term").alias("term")).agg(
-        (F.min("rank") == 0).alias("lead"))
-    number = F.row_number().over(Window.orderBy(~F.col("lead"), "term")) - 1
-    return terms.select("term", F.when(F.col("lead"), number).otherwise(number + OTHERS).cast("long").alias("tid"))
+def near_lookups(planned: DataFrame) -> DataFrame:
+    """(wid, tid, offset, others) for proximity matches.
+
+    Of one term more than may be missing, one is there: each of that many, the
+    rarest, leads its window. Of two more, a second one is there as well,
+    which ``others`` has. A term that stands nowhere is one that is missing.
+    """
+    missing = _missing(F.size("ranked"))
+    kept = planned.select("wid", missing.alias("m"), F.slice("ranked", 1, missing + 2).alias("ranked"))
+    leads = kept.select("wid", "m", "ranked", F.posexplode("ranked").alias("rank", "t")).filter("rank <= m AND t.n > 0")
+    return leads.select(
+        "wid", F.xxhash64("t.term").alias("tid"), F.col("t.offset").cast("int").alias("offset"),
+        _coded(F.filter("ranked", lambda o: o["offset"] != F.col("t.offset"))).alias("others"))
+
+
+def asked_terms(planned: DataFrame, lists: int, near: bool) -> DataFrame:
+    """(term): the terms to index."""
+    most = F.greatest(F.lit(lists), _missing(F.size("ranked")) + 2) if near else F.lit(lists)
+    terms = planned.select(F.explode(F.slice("ranked", F.lit(1), most)).alias("t"))
+    return terms.filter("t.n > 0").select("t.term").distinct()
 
 
 def postings(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(k1, k2, entries): the index of all texts; an entry is a term's number times 2^32 plus its place, in order."""
+    """(k1, k2, lists): the index of all texts; a list is a term's hash with its places in the text, in order."""
     found = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term"))
-    found = found.join(_small(terms), "term").select("k1", "k2", (F.shiftleft("tid", 32) + F.col("pos")).alias("entry"))
-    return found.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
+    found = found.join(_small(terms), "term").select("k1", "k2", F.xxhash64("term").alias("tid"), "pos")
+    found = found.groupBy("k1", "k2", "tid").agg(F.sort_array(F.collect_set("pos")).alias("places"))
+    return found.groupBy("k1", "k2").agg(F.collect_list(F.struct("tid", "places")).alias("lists"))
 
 
-def _lookups(ranked: DataFrame, terms: DataFrame) -> DataFrame:
-    """(wid, tid, offset, others): the leading term of each window, and (tid, distance) of the others."""
-    each = ranked.select("wid", F.posexplode("ranked").alias("rank", "t")).select("wid", "rank", "t.term", "t.offset")
-    each = each.join(terms, "term").groupBy("wid").agg(F.sort_array(F.collect_list(F.struct("rank", "tid", "offset"))).alias("r"))
-    first = F.col("r")[0]
-    return each.select(
-        "wid", first["tid"].alias("tid"), first["offset"].alias("offset"),
-        F.transform(F.slice("r", 2, 1 << 20), lambda t: F.struct(
-            t["tid"].alias("tid"), (t["offset"] - first["offset"]).alias("distance"))).alias("others"))
+def _starts(term: Column) -> Column:
+    """Where a window would start, seen from each place of one of its terms."""
+    held = F.get(F.filter("lists", lambda l: l["tid"] == term["tid"]), F.lit(0))["places"]
+    return F.transform(F.coalesce(held, F.array().cast("array<int>")), lambda p: p - term["offset"]).cast("array<int>")
 
 
 def _led(index: DataFrame, lookups: DataFrame) -> DataFrame:
-    """Every place of a leading term with the windows it leads."""
-    leads = F.filter("entries", lambda e: e < OTHERS << 32)
-    places = index.select("k1", "k2", "entries", F.explode(leads).alias("entry"))
-    places = places.withColumns({"tid": F.shiftright("entry", 32), "pos": F.col("entry").bitwiseAND(F.lit((1 << 32) - 1))})
-    return places.join(_small(lookups), "tid").withColumn("start", (F.col("pos") - F.col("offset")).cast("int")).filter("start >= 0")
+    """(wid, k1, k2, others, lists, starts): every text of a leading term with the windows it leads."""
+    terms = index.select("k1", "k2", "lists", F.explode(F.transform("lists", lambda l: l["tid"])).alias("tid"))
+    led = terms.join(_small(lookups), "tid")
+    return led.withColumn("starts", _starts(F.struct("tid", "offset")))
 
 
 def intersect(index: DataFrame, lookups: DataFrame) -> DataFrame:
     """(wid, k1, k2, start) on which all lists of a window agree."""
-    met = F.forall("others", lambda o: F.array_contains(
-        F.col("entries"), F.shiftleft(o["tid"], 32) + F.col("pos") + o["distance"]))
-    return _led(index, lookups).filter(met).select("wid", "k1", "k2", "start")
+    met = F.aggregate("others", F.col("starts"), lambda held, t: F.array_intersect(held, _starts(t)).cast("array<int>"))
+    return _led(index, lookups).select("wid", "k1", "k2", F.explode(met).alias("start")).filter("start >= 0")
 
 
-def near_candidates(df: DataFrame, found: DataFrame, counts: DataFrame, text: str = "text") -> DataFrame:
+def near_candidates(index: DataFrame, lookups: DataFrame, found: DataFrame, slop: int) -> DataFrame:
     """(k1, k2, near): where a window may stand in a text, as (start, wid, terms, items).
 
-    Of one term more than may be missing, one is there: each of that many, the
-    rarest, leads its window. A term that stands nowhere is one that is
-    missing. A start lies before the text where the first terms are cut off.
+    A start lies before the text where the first terms are cut off.
     """
-    single = found.select("wid", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
-    ranked = single.join(counts, "term", "left").groupBy("wid", "size").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset"))).alias("ranked"))
-    missing = F.floor(F.col("size") / ABSENT).cast("int")
-    leads = ranked.select("wid", F.explode(F.slice("ranked", 1, missing + 1)).alias("t")).filter("t.n > 0")
-    leads = materialize(leads.select("wid", "t.term", "t.offset"), "near-leads")
-    places = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term")).join(_small(leads), "term")
-    places = places.select("wid", "k1", "k2", (F.col("pos") - F.col("offset")).cast("int").alias("start")).distinct()
+    shifts = F.array([F.lit(d) for d in range(-slop, slop + 1)])
+    beside = F.flatten(F.transform("others", lambda t: F.flatten(F.transform(shifts, lambda d: F.transform(_starts(t), lambda s: s + d)))))
+    met = F.when(F.size("others") == 0, F.array_distinct("starts")).otherwise(F.array_intersect("starts", beside))
+    places = _led(index, lookups).select("wid", "k1", "k2", F.explode(met).alias("start")).distinct()
     return places.join(_small(found), "wid").groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list(F.struct("start", "wid", "terms", "items"))).alias("near"))
 
@@ -196,16 +213,17 @@ def decontaminate(
     found = windows(items, item_key, item_text, window)
     terms = materialize(found.select(F.explode("terms").alias("term")).distinct(), "bench-terms")
     counts = materialize(term_counts(df, terms, text), "term-counts")
-    ranked = materialize(plan(found, counts, lists), "window-plan")
-    rare = materialize(numbered(ranked), "rare-terms")
-    lookups = materialize(_lookups(ranked, rare), "window-lookups")
-    index = materialize(postings(df, rare, text), "postings")
+    planned = materialize(plan(found, counts), "window-plan")
+    asked = materialize(asked_terms(planned, lists, slop is not None), "asked-terms")
+    lookups = materialize(exact_lookups(planned, lists), "window-lookups")
+    index = materialize(postings(df, asked, text), "postings")
     met = materialize(intersect(index, lookups), "met")
     by_text = met.join(_small(found), "wid").groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list(F.struct("start", "terms", "items"))).alias("candidates"))
     by_text = materialize(by_text, "candidates")
     if slop is not None:
-        by_text = by_text.join(materialize(near_candidates(df, found, counts, text), "near-candidates"), ["k1", "k2"], "full")
+        near = near_candidates(index, materialize(near_lookups(planned), "near-lookups"), found, slop)
+        by_text = by_text.join(materialize(near, "near-candidates"), ["k1", "k2"], "full")
     t = text_of(text)
     rows = df.withColumns({"_k1": F.xxhash64(t), "_k2": F.xxhash64(t, F.lit(1))})
     names = {c: f"_found_{c}" for c in by_text.columns}
@@ -248,9 +266,25 @@ hits AS (SELECT r, p, dw.n, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.n = bw
 words AS (SELECT r, count(DISTINCT p + i) AS c FROM hits, range({WINDOW}) x(i) WHERE i < n GROUP BY r),
 found AS (
   SELECT r, count(*) AS c, string_agg(i, ',' ORDER BY i) AS ids
-  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY r)
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY r),
+grams AS (
+  SELECT row_number() OVER () AS wid, ts, len(ts) AS n, len(ts) // {ABSENT} AS m
+  FROM (SELECT DISTINCT w[p + 1 : p + {WINDOW}] AS ts FROM (SELECT w, unnest(range(greatest(len(w) - {WINDOW - 1}, 1))) AS p FROM b WHERE len(w) > 0))),
+gram_terms AS (SELECT wid, m, unnest(ts) AS x, unnest(range(n)) AS o FROM grams),
+flat AS (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS p FROM d),
+counts AS (SELECT x, count(*) AS c FROM flat WHERE x IN (SELECT x FROM gram_terms) GROUP BY x),
+leads AS (
+  SELECT wid, x, o FROM (
+    SELECT wid, m, gram_terms.x, o, c, row_number() OVER (PARTITION BY wid ORDER BY coalesce(c, 0), gram_terms.x, o) AS k
+    FROM gram_terms LEFT JOIN counts ON gram_terms.x = counts.x)
+  WHERE k <= m + 1 AND c > 0),
+may AS (SELECT DISTINCT r, wid, p - o AS s FROM flat JOIN leads ON flat.x = leads.x),
+near AS (
+  SELECT may.r, may.wid FROM may JOIN d ON may.r = d.r JOIN grams ON may.wid = grams.wid
+  WHERE len(list_filter(range(n), lambda i: list_contains(w[greatest(s + i - {SLOP}, 0) + 1 : greatest(s + i + {SLOP} + 1, 0)], ts[i + 1]))) >= n - m),
+close AS (SELECT r, count(DISTINCT wid) AS c, count(*) AS places FROM near GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.c, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(found.c, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(words.c, 0) > 0 AS contaminated
-FROM d LEFT JOIN words ON d.r = words.r LEFT JOIN found ON d.r = found.r
+       coalesce(words.c, 0) > 0 AS contaminated, CAST(coalesce(close.c, 0) AS BIGINT) AS n_near, CAST(coalesce(places, 0) AS BIGINT) AS n_near_places
+FROM d LEFT JOIN words ON d.r = words.r LEFT JOIN found ON d.r = found.r LEFT JOIN close ON d.r = close.r
 """

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -23,6 +24,22 @@ def brute(text, items, window=10):
     return len(w), len(hit), sorted(str(k) for k in held if k is not None), bool(hit)
 
 
+def brute_near(texts, items, slop, window=10):
+    """(start, window) of every proximity match of every text."""
+    split = [words(t) for t in texts]
+    counts = Counter(x for w in split for x in w)
+    grams = {tuple(o[i:i + window]) for o in (words(t) for _, t in items) if o for i in range(max(1, len(o) - window + 1))}
+    out = [set() for _ in texts]
+    for g in grams:
+        missing = len(g) // 5
+        leads = [(x, o) for n, x, o in sorted((counts[x], x.encode(), o) for o, x in enumerate(g))[:missing + 1] if n]
+        for k, w in enumerate(split):
+            for start in {p - o for x, o in leads for p, y in enumerate(w) if y.encode() == x}:
+                if sum(g[i] in w[max(start + i - slop, 0):max(start + i + slop + 1, 0)] for i in range(len(g))) >= len(g) - missing:
+                    out[k].add((start, g))
+    return out
+
+
 @pytest.fixture
 def corpus(docs, spark):
     rng = random.Random(4)
@@ -95,6 +112,29 @@ def test_proximity_looks_at_all_terms_and_every_place(docs, spark):
     assert not any(r.contaminated for r in found.values())
 
 
+@pytest.mark.parametrize("slop, rows_limit", [(0, None), (1, None), (2, -1)])
+def test_proximity_against_brute_force(corpus, monkeypatch, slop, rows_limit):
+    rows, items, df, bench = corpus
+    if rows_limit is not None:
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows_limit)
+        monkeypatch.setattr(decontaminate, "BROADCAST_CANDIDATES", rows_limit)
+    found = decontaminate.decontaminate(df, bench, slop=slop).collect()
+    got = sorted(((r.doc_id, r.n_near, sorted(p.start for p in r.near)) for r in found), key=str)
+    want = brute_near([t for _, t in rows], items, slop)
+    assert got == sorted(((k, len({g for _, g in m}), sorted(s for s, _ in m)) for (k, _), m in zip(rows, want)), key=str)
+    check(rows, items, decontaminate.decontaminate(df, bench, slop=slop))
+    if slop:
+        assert any(r.n_near and not r.contaminated for r in found)
+
+
+def test_long_text_of_one_window(docs, spark):
+    """One window 40,000 times in a text: lists are met as a whole, not place by place."""
+    item = " ".join(f"k{i}" for i in range(10))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    (row,) = decontaminate.decontaminate(docs([(1, f"{item} " * 40_000)]), bench).collect()
+    assert row.n_words == row.n_hit == 400_000 and row["items"] == [1]
+
+
 def test_empty_tables(docs, spark, corpus):
     rows, items, df, bench = corpus
     assert decontaminate.decontaminate(docs([]), bench).collect() == []
