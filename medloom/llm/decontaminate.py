@@ -110,22 +110,23 @@ def asked_terms(planned: DataFrame, lists: int, near: bool) -> DataFrame:
 
 
 def postings(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(k1, k2, lists): the index of all texts; a list is a term's hash with its places in the text, in order."""
+    """(k1, k2, tids, lists): the index of all texts; beside each term's hash the list of its places in the text, in order."""
     found = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term"))
     found = found.join(_small(terms), "term").select("k1", "k2", F.xxhash64("term").alias("tid"), "pos")
     found = found.groupBy("k1", "k2", "tid").agg(F.sort_array(F.collect_set("pos")).alias("places"))
-    return found.groupBy("k1", "k2").agg(F.collect_list(F.struct("tid", "places")).alias("lists"))
+    found = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("tid", "places")).alias("l"))
+    return found.select("k1", "k2", F.col("l.tid").alias("tids"), F.col("l.places").alias("lists"))
 
 
 def _starts(term: Column) -> Column:
     """Where a window would start, seen from each place of one of its terms."""
-    held = F.get(F.filter("lists", lambda l: l["tid"] == term["tid"]), F.lit(0))["places"]
+    held = F.get("lists", F.array_position("tids", term["tid"]).cast("int") - 1)
     return F.transform(F.coalesce(held, F.array().cast("array<int>")), lambda p: p - term["offset"]).cast("array<int>")
 
 
 def _led(index: DataFrame, lookups: DataFrame) -> DataFrame:
-    """(wid, k1, k2, others, lists, starts): every text of a leading term with the windows it leads."""
-    terms = index.select("k1", "k2", "lists", F.explode(F.transform("lists", lambda l: l["tid"])).alias("tid"))
+    """(wid, k1, k2, others, tids, lists, starts): every text of a leading term with the windows it leads."""
+    terms = index.select("k1", "k2", "tids", "lists", F.explode("tids").alias("tid"))
     led = terms.join(_small(lookups), "tid")
     return led.withColumn("starts", _starts(F.struct("tid", "offset")))
 
@@ -141,10 +142,12 @@ def near_candidates(index: DataFrame, lookups: DataFrame, found: DataFrame, slop
 
     A start lies before the text where the first terms are cut off.
     """
-    shifts = F.array([F.lit(d) for d in range(-slop, slop + 1)])
-    beside = F.flatten(F.transform("others", lambda t: F.flatten(F.transform(shifts, lambda d: F.transform(_starts(t), lambda s: s + d)))))
-    met = F.when(F.size("others") == 0, F.array_distinct("starts")).otherwise(F.array_intersect("starts", beside))
-    places = _led(index, lookups).select("wid", "k1", "k2", F.explode(met).alias("start")).distinct()
+    beside = F.flatten(F.transform("others", _starts))
+    widened = F.flatten(F.transform(beside, lambda s: F.array(*(s + d for d in range(-slop, slop + 1)))))
+    # Most texts have no second term of a window, which its hash alone tells.
+    led = _led(index, lookups).filter(F.exists("others", lambda t: F.array_contains(F.col("tids"), t["tid"])) | (F.size("others") == 0))
+    met = F.when(F.size("others") == 0, F.array_distinct("starts")).otherwise(F.array_intersect("starts", widened))
+    places = led.select("wid", "k1", "k2", F.explode(met).alias("start")).distinct()
     return places.join(_small(found), "wid").groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list(F.struct("start", "wid", "terms", "items"))).alias("near"))
 
