@@ -1,14 +1,15 @@
 """Benchmark passages in training texts, found over a positional inverted index.
 
-The index is sharded by text: a shard lists, term by term, where the terms
-that are asked for stand in that text. Every window of ten benchmark words is
-looked up from its rarest term. That term's list, less the term's offset in
-the window, is intersected with the lists of the next rarest terms, less
-theirs; what is left is compared with the text itself, word by word.
-Proximity matches come from the same lists, widened by the slop.
-
-Rarity is counted over all training texts. Only lists of the rarest terms are
-stored, and copies of one text are one shard.
+The index is sharded by text, and a long text by blocks of places: a shard
+holds the postings of the terms that are asked for, their lists merged by
+place. Every window of ten benchmark words is looked up from its rarest terms.
+Their lists, each less its term's offset in the window, are intersected, for
+all windows in one pass over a shard: two lists meet wherever two postings
+stand as far apart as some window has these terms, give or take the slop. What
+is left is compared with the text itself, word by word.
+
+Rarity is counted over all training texts. Only postings of the rarest terms
+are stored, and copies of one text are one shard.
 """
 
 from __future__ import annotations
@@ -31,13 +32,15 @@ SLOP = 2
 BROADCAST_ROWS = 200_000
 # The same for candidates, which carry the words of their window.
 BROADCAST_CANDIDATES = 20_000
-# The same for keys of texts, two longs each.
+# The same for keys of texts, two longs each, and for pairs of terms, some 40 bytes each.
 BROADCAST_KEYS = 1_000_000
+# Places of a text in one shard of the index.
+BLOCK = 4096
 
 
-def _small(df: DataFrame) -> DataFrame:
+def _small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """The (written) frame, marked for a broadcast when its count allows it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
 def windows(items: DataFrame, key: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -77,10 +80,15 @@ def _coded(ranked: Column) -> Column:
 
 
 def exact_lookups(planned: DataFrame, lists: int = LISTS) -> DataFrame:
-    """(wid, tid, offset, others): the rarest term of each window whose terms all occur, and the next rarest ones."""
+    """(wid, tid, offset, others, need): the rarest term of each window whose terms all occur, and the next rarest ones.
+
+    All of them, ``need``, have to meet.
+    """
     whole = planned.filter(F.col("ranked")[0]["n"] > 0)
     coded = whole.select("wid", _coded(F.slice("ranked", 1, lists)).alias("r"))
-    return coded.select("wid", F.col("r")[0]["tid"].alias("tid"), F.col("r")[0]["offset"].alias("offset"), F.slice("r", 2, lists).alias("others"))
+    return coded.select(
+        "wid", F.col("r")[0]["tid"].alias("tid"), F.col("r")[0]["offset"].alias("offset"), F.slice("r", 2, lists).alias("others"),
+        (F.size("r") - 1).alias("need"))
 
 
 def _missing(size: Column) -> Column:
@@ -88,92 +96,110 @@ def _missing(size: Column) -> Column:
 
 
 def near_lookups(planned: DataFrame) -> DataFrame:
-    """(wid, tid, offset, others) for proximity matches.
+    """(wid, tid, offset, others, need) for proximity matches.
 
     Of one term more than may be missing, one is there: each of that many, the
     rarest, leads its window. Of two more, a second one is there as well,
     which ``others`` has. A term that stands nowhere is one that is missing.
+    Exact occurrences are among these matches.
     """
     missing = _missing(F.size("ranked"))
     kept = planned.select("wid", missing.alias("m"), F.slice("ranked", 1, missing + 2).alias("ranked"))
     leads = kept.select("wid", "m", "ranked", F.posexplode("ranked").alias("rank", "t")).filter("rank <= m AND t.n > 0")
-    return leads.select(
-        "wid", F.xxhash64("t.term").alias("tid"), F.col("t.offset").cast("int").alias("offset"),
-        _coded(F.filter("ranked", lambda o: o["offset"] != F.col("t.offset"))).alias("others"))
+    others = _coded(F.filter("ranked", lambda o: o["offset"] != F.col("t.offset")))
+    found = leads.select("wid", F.xxhash64("t.term").alias("tid"), F.col("t.offset").cast("int").alias("offset"), others.alias("others"))
+    return found.withColumn("need", F.least(F.size("others"), F.lit(1)))
 
 
 def asked_terms(planned: DataFrame, lists: int, near: bool) -> DataFrame:
     """(term): the terms to index."""
-    most = F.greatest(F.lit(lists), _missing(F.size("ranked")) + 2) if near else F.lit(lists)
+    most = _missing(F.size("ranked")) + 2 if near else F.lit(lists)
     terms = planned.select(F.explode(F.slice("ranked", F.lit(1), most)).alias("t"))
     return terms.filter("t.n > 0").select("t.term").distinct()
 
 
-def postings(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(k1, k2, tids, lists): the index of all texts; beside each term's hash the list of its places in the text, in order."""
-    found = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term"))
-    found = found.join(_small(terms), "term").select("k1", "k2", F.xxhash64("term").alias("tid"), "pos")
-    found = found.groupBy("k1", "k2", "tid").agg(F.sort_array(F.collect_set("pos")).alias("places"))
-    found = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("tid", "places")).alias("l"))
-    return found.select("k1", "k2", F.col("l.tid").alias("tids"), F.col("l.places").alias("lists"))
-
+def postings(df: DataFrame, terms: DataFrame, reach: int, text: str = "text", block: int = BLOCK) -> DataFrame:
+    """(k1, k2, block, postings): the index of all texts, in each shard the (pos, tid) of its lists merged by place.
 
-def _starts(term: Column) -> Column:
-    """Where a window would start, seen from each place of one of its terms."""
-    held = F.get("lists", F.array_position("tids", term["tid"]).cast("int") - 1)
-    return F.transform(F.coalesce(held, F.array().cast("array<int>")), lambda p: p - term["offset"]).cast("array<int>")
+    A shard repeats what follows it within ``reach``, so that postings meet
+    across its border.
+    """
+    found = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term"))
+    found = found.join(_small(terms), "term").select("k1", "k2", "pos", F.xxhash64("term").alias("tid"))
+    first = F.floor(F.greatest(F.col("pos") - reach, F.lit(0)) / block)
+    found = found.withColumn("block", F.explode(F.sequence(first, F.floor(F.col("pos") / block))))
+    found = found.groupBy("k1", "k2", "block").agg(F.sort_array(F.collect_set(F.struct("pos", "tid"))).alias("postings"))
+    return found.withColumn("upto", (F.col("block") + 1) * block)
 
 
-def _led(index: DataFrame, lookups: DataFrame) -> DataFrame:
-    """(wid, k1, k2, others, tids, lists, starts): every text of a leading term with the windows it leads."""
-    terms = index.select("k1", "k2", "tids", "lists", F.explode("tids").alias("tid"))
-    led = terms.join(_small(lookups), "tid")
-    return led.withColumn("starts", _starts(F.struct("tid", "offset")))
+def _pairs(lookups: DataFrame, slop: int) -> DataFrame:
+    """(wid, tid, offset, need, j, other, d): every distance at which the leading term of a window may meet its j-th other one."""
+    each = lookups.select("wid", "tid", "offset", "need", F.posexplode_outer("others").alias("j", "other"))
+    distance = F.col("other.offset") - F.col("offset")
+    return each.withColumn("d", F.explode_outer(F.sequence(distance - slop, distance + slop)))
 
 
-def intersect(index: DataFrame, lookups: DataFrame) -> DataFrame:
-    """(wid, k1, k2, start) on which all lists of a window agree."""
-    met = F.aggregate("others", F.col("starts"), lambda held, t: F.array_intersect(held, _starts(t)).cast("array<int>"))
-    return _led(index, lookups).select("wid", "k1", "k2", F.explode(met).alias("start")).filter("start >= 0")
+def _pair(first: Column, second: Column, distance: Column) -> Column:
+    """Two terms and their distance as one key; what two pairs of one key add is refuted by the text."""
+    return F.xxhash64(first, second, distance.cast("int"))
 
 
-def near_candidates(index: DataFrame, lookups: DataFrame, found: DataFrame, slop: int) -> DataFrame:
-    """(k1, k2, near): where a window may stand in a text, as (start, wid, terms, items).
+def candidates(index: DataFrame, lookups: DataFrame, reach: int, slop: int = 0) -> DataFrame:
+    """(k1, k2, wid, starts): where a window may start in a text, as seen from a leading term.
 
     A start lies before the text where the first terms are cut off.
     """
-    beside = F.flatten(F.transform("others", _starts))
-    widened = F.flatten(F.transform(beside, lambda s: F.array(*(s + d for d in range(-slop, slop + 1)))))
-    # Most texts have no second term of a window, which its hash alone tells.
-    led = _led(index, lookups).filter(F.exists("others", lambda t: F.array_contains(F.col("tids"), t["tid"])) | (F.size("others") == 0))
-    met = F.when(F.size("others") == 0, F.array_distinct("starts")).otherwise(F.array_intersect("starts", widened))
-    places = led.select("wid", "k1", "k2", F.explode(met).alias("start")).distinct()
-    return places.join(_small(found), "wid").groupBy("k1", "k2").agg(
-        F.sort_array(F.collect_list(F.struct("start", "wid", "terms", "items"))).alias("near"))
-
-
-def _verified_near(w: Column, candidates: Column, slop: int) -> Column:
-    """Candidates of whose terms enough stand within ``slop`` words of their places; all terms are looked at."""
-    def there(c, i):
-        low = F.greatest(c["start"] + i - slop, F.lit(0))
-        return F.array_contains(F.slice(w, low + 1, F.greatest(c["start"] + i + slop - low + 1, F.lit(0))), c["terms"][i])
-
-    def enough(c):
-        size = F.size(c["terms"])
-        held = F.size(F.filter(F.sequence(F.lit(0), size - 1), lambda i: there(c, i)))
-        return held >= size - F.floor(size / ABSENT)
-    return F.filter(candidates, enough)
-
-
-def _verified(w: Column, candidates: Column) -> Column:
-    return F.filter(candidates, lambda c: F.slice(w, c["start"] + 1, F.size(c["terms"])) == c["terms"])
+    pairs = materialize(_pairs(lookups, slop), "window-pairs")
+    # The same term may stand for two of a window; then, or without others, its own place is enough.
+    alone = pairs.filter("other IS NULL OR (d = 0 AND other.tid = tid)").select("tid", "wid", "offset", "need", "j")
+    ahead = F.col("d") > 0
+    apart = pairs.filter("d <> 0").select(
+        F.when(ahead, _pair(F.col("tid"), F.col("other.tid"), F.col("d")))
+        .otherwise(_pair(F.col("other.tid"), F.col("tid"), -F.col("d"))).alias("pair"),
+        "wid", "offset", "need", "j", ahead.alias("ahead"))
+
+    def following(a, i):
+        near = F.filter(F.slice("postings", i + 2, reach), lambda b: b["pos"] - a["pos"] <= reach)
+        return F.transform(near, lambda b: F.struct(
+            _pair(a["tid"], b["tid"], b["pos"] - a["pos"]).alias("pair"), a["pos"].alias("first"), b["pos"].alias("second")))
+    own = F.filter("postings", lambda a: a["pos"] < F.col("upto"))
+    met = index.select("k1", "k2", F.explode(F.flatten(F.transform(own, following))).alias("m"))
+    met = met.select("k1", "k2", "m.*").join(_small(apart, BROADCAST_KEYS), "pair")
+    met = met.withColumn("start", F.when(F.col("ahead"), F.col("first")).otherwise(F.col("second")) - F.col("offset"))
+    single = index.select("k1", "k2", F.explode(own).alias("p")).select("k1", "k2", "p.*").join(_small(alone), "tid")
+    single = single.withColumn("start", F.col("pos") - F.col("offset"))
+    places = ["k1", "k2", "wid", "start", "need", "j"]
+    # A window led by several terms may be seen from each; the others that met are counted for all of them alike.
+    both = met.select(*places).unionByName(single.select(*places))
+    bit = F.when(F.col("j").isNull(), F.lit(0).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("j")))
+    both = both.groupBy("k1", "k2", "wid", "start", "need").agg(F.bit_or(bit).alias("bits")).filter(F.bit_count("bits") >= F.col("need"))
+    return both.groupBy("k1", "k2", "wid").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+
+
+def _verified_near(w: Column, c: Column, slop: int) -> Column:
+    """Starts of a window of whose terms enough stand within ``slop`` words of their places; all terms are looked at."""
+    size = F.size(c["terms"])
+
+    def there(start, term, i):
+        low = F.greatest(start + i - slop, F.lit(0))
+        return F.array_contains(F.slice(w, low + 1, F.greatest(start + i + slop - low + 1, F.lit(0))), term)
+
+    def enough(start):
+        return F.size(F.filter(c["terms"], lambda term, i: there(start, term, i))) >= size - F.floor(size / ABSENT)
+    return F.filter(c["starts"], enough)
+
+
+def _verified(w: Column, c: Column) -> Column:
+    """Starts at which a window stands word by word."""
+    return F.filter(c["starts"], lambda start: (start >= 0) & (
+        F.slice(w, F.greatest(start, F.lit(0)) + 1, F.size(c["terms"])) == c["terms"]))
 
 
 def _n_hit(spans: Column) -> Column:
     """Words within sorted spans; a word in several counts once."""
     zero = F.struct(F.lit(0).alias("upto"), F.lit(0).cast("long").alias("n"))
     def step(held, span):
-        end = span["start"] + F.size(span["terms"])
+        end = span["start"] + span["size"]
         fresh = F.greatest(F.lit(0), end - F.greatest(span["start"], held["upto"]))
         return F.struct(F.greatest(held["upto"], end).alias("upto"), (held["n"] + fresh).alias("n"))
     return F.aggregate(spans, zero, step, lambda held: held["n"])
@@ -186,8 +212,8 @@ def _with_candidates(rows: DataFrame, by_text: DataFrame) -> DataFrame:
     rows that have any, and only those shuffle; beyond that all rows do.
     """
     same = (F.col("_k1") == F.col("_found_k1")) & (F.col("_k2") == F.col("_found_k2"))
-    held = [F.coalesce(F.size(c), F.lit(0)) for c in by_text.columns if c in ("_found_candidates", "_found_near")]
-    entries, texts = by_text.agg(F.sum(sum(held)), F.count("*")).first()
+    entries, texts = by_text.agg(F.sum(F.aggregate(
+        "_found_windows", F.lit(0), lambda n, c: n + 1 + F.floor(F.size(c["starts"]) / 10).cast("int"))), F.count("*")).first()
     if (entries or 0) <= BROADCAST_CANDIDATES:
         return rows.join(F.broadcast(by_text), same, "left")
     if texts > BROADCAST_KEYS:
@@ -218,35 +244,41 @@ def decontaminate(
     counts = materialize(term_counts(df, terms, text), "term-counts")
     planned = materialize(plan(found, counts), "window-plan")
     asked = materialize(asked_terms(planned, lists, slop is not None), "asked-terms")
-    lookups = materialize(exact_lookups(planned, lists), "window-lookups")
-    index = materialize(postings(df, asked, text), "postings")
-    met = materialize(intersect(index, lookups), "met")
-    by_text = met.join(_small(found), "wid").groupBy("k1", "k2").agg(
-        F.sort_array(F.collect_list(F.struct("start", "terms", "items"))).alias("candidates"))
-    by_text = materialize(by_text, "candidates")
-    if slop is not None:
-        near = near_candidates(index, materialize(near_lookups(planned), "near-lookups"), found, slop)
-        by_text = by_text.join(materialize(near, "near-candidates"), ["k1", "k2"], "full")
+    off = slop or 0
+    reach = window - 1 + off
+    lookups = materialize(exact_lookups(planned, lists) if slop is None else near_lookups(planned), "window-lookups")
+    index = materialize(postings(df, asked, reach, text), "postings")
+    places = materialize(candidates(index, lookups, reach, off), "candidates")
+    by_text = places.join(_small(found), "wid").groupBy(F.col("k1").alias("_found_k1"), F.col("k2").alias("_found_k2")).agg(
+        F.collect_list(F.struct("wid", "terms", "items", "starts")).alias("_found_windows"))
     t = text_of(text)
     rows = df.withColumns({"_k1": F.xxhash64(t), "_k2": F.xxhash64(t, F.lit(1))})
-    names = {c: f"_found_{c}" for c in by_text.columns}
-    by_text = by_text.withColumnsRenamed(names)
-    rows = _with_candidates(rows, materialize(by_text, "found-candidates"))
-    none = F.array().cast(by_text.schema["_found_candidates"].dataType)
-    judged = let(alnum_words(t), lambda w: let(
-        _verified(w, F.coalesce(F.col("_found_candidates"), none)), lambda spans: F.struct(
-            F.size(w).cast("long").alias("n_words"), _n_hit(spans).alias("n_hit"),
-            F.array_distinct(F.flatten(F.transform(spans, lambda s: s["items"]))).alias("items"))))
-    rows = rows.withColumn("_judged", judged).withColumns({
-        "n_words": F.col("_judged.n_words"), "n_hit": F.col("_judged.n_hit"), "items": F.col("_judged.items"),
-    }).withColumn("contaminated", F.col("n_hit") > 0)
+    by_text = materialize(by_text, "found-candidates")
+    rows = _with_candidates(rows, by_text)
+    held = F.coalesce(F.col("_found_windows"), F.array().cast(by_text.schema["_found_windows"].dataType))
+
+    def judged(w):
+        def seen(c):
+            close = F.lit(None).cast("array<int>") if slop is None else _verified_near(w, c, off)
+            return F.struct(F.size(c["terms"]).alias("size"), c["items"].alias("items"), _verified(w, c).alias("exact"), close.alias("near"))
+        return F.struct(F.size(w).cast("long").alias("n_words"), F.transform(held, seen).alias("seen"))
+
+    def places_of(kind, *fields):
+        each = F.transform("_judged.seen", lambda c: F.transform(c[kind], lambda s: F.struct(s.alias("start"), *[c[f].alias(f) for f in fields])))
+        return F.flatten(each)
+    whole = F.filter("_judged.seen", lambda c: F.size(c["exact"]) > 0)
+    rows = rows.withColumn("_judged", let(alnum_words(t), judged)).withColumns({
+        "n_words": F.col("_judged.n_words"), "n_hit": _n_hit(F.sort_array(places_of("exact", "size"))),
+        "items": F.array_distinct(F.flatten(F.transform(whole, lambda c: c["items"]))),
+        "contaminated": F.size(whole) > 0,
+    })
     if slop is not None:
-        close = F.coalesce(F.col("_found_near"), F.array().cast(by_text.schema["_found_near"].dataType))
-        rows = rows.withColumn("_close", let(alnum_words(t), lambda w: _verified_near(w, close, slop))).withColumns({
-            "n_near": F.size(F.array_distinct(F.transform("_close", lambda c: c["wid"]))).cast("long"),
-            "near": F.transform("_close", lambda c: F.struct(c["start"].alias("start"), c["items"].alias("items"))),
-        }).drop("_close")
-    return given_back(rows.drop("_judged", "_k1", "_k2", *names.values()), columns)
+        # By start; what starts at one place is in order of its keys.
+        rows = rows.withColumns({
+            "n_near": F.size(F.filter("_judged.seen", lambda c: F.size(c["near"]) > 0)).cast("long"),
+            "near": F.sort_array(places_of("near", "items")),
+        })
+    return given_back(rows.drop("_judged", "_k1", "_k2", *by_text.columns), columns)
 
 
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
