@@ -8,10 +8,12 @@ all there is to know, IC(e) = log(N / c(e)). A term whose share of it reaches
 wherever it stands in the texts that hold the entity. Common words share next
 to nothing with any entity and stay.
 
-Copies of a text count once. Every entity is judged from its first text on;
-a pair seen in fewer than ``SUPPORT`` texts is smoothed: its term counts as if
-it stood in ``SUPPORT`` more texts, without the entity. So a term of one text
-alone says little among a thousand texts and much among a million.
+Copies of a text count once. Every entity is judged from its first text on,
+and little evidence counts less: the share of a pair seen in c(t, e) texts is
+taken times c(t, e) / (c(t, e) + ``DOUBT``), whatever the size of the corpus. So
+one text is enough only for a term that stands in no other text, which is
+generalised; of two texts on a few others may hold the term, and a term is
+removed from five texts on.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from medloom.sources.storage import materialize
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE = 0.8
 IDENTIFYING = 0.95
-SUPPORT = 3
+# Texts without the entity that stand against those with it.
+DOUBT = 0.25
 # Rows up to which a frame of short rows is broadcast, after it was counted; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 # The same for keys of texts, two longs each, and for the terms that texts are to lose.
@@ -149,7 +152,7 @@ def _small(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def _judged(
-    df: DataFrame, pairs: DataFrame, text: str, threshold: float, support: int, texts: DataFrame | None = None,
+    df: DataFrame, pairs: DataFrame, text: str, threshold: float, doubt: float, texts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(entity, term, share) from ``threshold`` on, and (k1, k2, entity, term) of all pairs that may be among them.
 
@@ -175,7 +178,8 @@ def _judged(
     n = F.lit(float(total))
     information = F.log(n / F.col("c_e"))
     # No pair stands in more texts than its term or its entity, which bounds its share.
-    bound = F.log(n / F.greatest("c_t", "c_e")) >= threshold * information - 1e-9
+    most_texts = F.greatest(F.least("c_t", "c_e"), F.lit(1))
+    bound = F.log(n / F.greatest("c_t", "c_e")) * most_texts / (most_texts + doubt) >= threshold * information - 1e-9
     most = entities.agg(F.max("c_e")).first()[0]
     rare = materialize(stands.withColumn("c_e", F.lit(most)).filter(bound).drop("c_e"), "rare-terms")
     # A text's terms meet their counts once, not once for each entity.
@@ -184,19 +188,18 @@ def _judged(
     rare = found.join(rare, "term").join(_small(holders), ["k1", "k2"]).filter(bound)
     rare = materialize(rare.select("k1", "k2", "entity", "term", "c_e", "c_t"), "pairs-rare")
     known = rare.groupBy("entity", "term", "c_e", "c_t").agg(F.count("*").alias("c_te"))
-    counted = F.greatest("c_t", "c_te") + F.when(F.col("c_te") < support, support).otherwise(0)
-    shared = F.log(n * F.col("c_te") / (counted * F.col("c_e")))
+    shared = F.log(n * F.col("c_te") / (F.greatest("c_t", "c_te") * F.col("c_e"))) * F.col("c_te") / (F.col("c_te") + doubt)
     # An entity that stands in every text has nothing to disclose.
     known = known.withColumn("share", F.when(information > 0, shared / information).otherwise(F.lit(0.0)))
-    known = materialize(known.filter(F.col("share") >= threshold).select("entity", "term", "share"), "disclosures")
+    known = materialize(known.filter(F.col("share") >= threshold - 1e-9).select("entity", "term", "share"), "disclosures")
     return known, rare.select("k1", "k2", "entity", "term")
 
 
 def disclosures(
-    df: DataFrame, pairs: DataFrame, text: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT,
+    df: DataFrame, pairs: DataFrame, text: str = "text", threshold: float = DISCLOSURE, doubt: float = DOUBT,
 ) -> DataFrame:
     """(entity, term, share): pairs whose term gives away at least ``threshold`` of the entity."""
-    return _judged(df, pairs, text, threshold, support)[0]
+    return _judged(df, pairs, text, threshold, doubt)[0]
 
 
 @F.pandas_udf(_SPANS)
@@ -255,7 +258,7 @@ def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 def sanitise(
     df: DataFrame, text: str = "text", threshold: float = DISCLOSURE, identifying: float = IDENTIFYING,
-    support: int = SUPPORT,
+    doubt: float = DOUBT,
 ) -> DataFrame:
     """The frame with ``spans``: array of (kind, start, end), end exclusive, by start and kind.
 
@@ -267,9 +270,9 @@ def sanitise(
     """
     columns, df, text = df.columns, carried(df), within(text)
     texts = materialize(_entity_texts(df, text), "entity-texts")
-    known, rare = _judged(df, _paired(texts), text, threshold, support, texts)
+    known, rare = _judged(df, _paired(texts), text, threshold, doubt, texts)
     found = rare.join(known, ["entity", "term"])
-    strong = F.col("share") >= identifying
+    strong = F.col("share") >= identifying - 1e-9
     # A term that several entities of a text ask for is removed if one of them asks for it; see _spans.
     revealed = found.groupBy(F.col("k1").alias("_r1"), F.col("k2").alias("_r2")).agg(
         F.collect_set(F.when(~strong, F.col("term"))).alias("_general"), F.collect_set(F.when(strong, F.col("term"))).alias("_removed"))

@@ -12,7 +12,7 @@ from tests.conftest import SMALL
 from tests.llm.test_decontaminate import brute as brute_hits
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_quality import brute as brute_quality, good
-from tests.llm.test_sanitise import brute as brute_spans
+from tests.llm.test_sanitise import brute_all as brute_spans
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
 given_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
@@ -62,11 +62,15 @@ def test_pipeline(spark, tmp_path):
     kept = [r for r, c in zip(kept, component) if r[0] == c]
     kept = [r for r in kept if not brute_hits(r[1], items)[-1]]
     clean = {}
-    for key, text, lang, source, n in kept:
-        for kind, a, b in reversed(brute_spans(text)):
-            text = text[:a] + f"[{kind.upper()}]" + text[b:]
-            n = len(text)
+    all_spans, masked_terms = brute_spans([r[1] for r in kept]), 0
+    for (key, text, lang, source, n), spans in zip(kept, all_spans):
+        for kind, a, b in reversed(spans):
+            word = text[a:b]
+            general = "[NUMBER]" if word[0].isdigit() else "[NAME]" if word[0].isupper() else "[TERM]"
+            text = text[:a] + {"general": general, "removed": ""}.get(kind, f"[{kind.upper()}]") + text[b:]
+            n, masked_terms = len(text), masked_terms + (kind in ("general", "removed"))
         clean[key] = (text, lang, source, n)
+    assert masked_terms
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     copies = {}
     for r in found:

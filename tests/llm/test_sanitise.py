@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -33,6 +35,51 @@ def brute(text):
     return sorted(out, key=lambda s: (s[1], sanitise.KINDS.index(s[0])))
 
 
+def lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def brute_disclosures(texts):
+    """{(entity, term): share} of all pairs, over the distinct texts."""
+    distinct, c_t, c_e, c_te = {t or "" for t in texts}, Counter(), Counter(), Counter()
+    for t in distinct:
+        c_t.update(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))))
+        entities, terms = entities_of(t), {term for term, _, _ in terms_of(t)}
+        c_e.update(entities)
+        c_te.update((e, x) for e in entities for x in terms)
+    out = {}
+    for (e, x), n in c_te.items():
+        known = math.log(len(distinct) / c_e[e])
+        pmi = math.log(len(distinct) * n / (max(c_t[x], n) * c_e[e]))
+        out[e, x] = pmi / known * n / (n + 0.25) if known else 0.0
+    return out
+
+
+def entities_of(text):
+    return {f"{k}:" + (lower(text[a:b]) if k in ("email", "ip") else re.sub("[^0-9]", "", text[a:b])) for k, a, b in brute(text)}
+
+
+def terms_of(text):
+    """(term, start, end) of what stands outside of all spans; a span cuts a word."""
+    covered = {i for _, a, b in brute(text) for i in range(a, b)}
+    open_text = "".join("\0" if i in covered else c for i, c in enumerate(lower(text)))
+    return [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", open_text)]
+
+
+def brute_all(texts):
+    """All spans of each text, those of disclosing terms included."""
+    shares, out = brute_disclosures(texts), []
+    for t in texts:
+        t = t or ""
+        found, entities = brute(t), entities_of(t)
+        for term, a, b in terms_of(t) if entities else []:
+            share = max(shares[e, term] for e in entities)
+            if share >= 0.8 - 1e-9:
+                found.append(("removed" if share >= 0.95 - 1e-9 else "general", a, b))
+        out.append(sorted(found, key=lambda s: (s[1], (*sanitise.KINDS, "general", "removed").index(s[0]))))
+    return out
+
+
 @pytest.mark.parametrize("text", [
     None, "", "a@b.c", "a@b", "x a.b%c@d-e.f.g. y", "a@b.c_d@e.f", "a@b@c.d", "@a.b", "a@b.c@d.e", "1.2.3.4", "1.2.3.4.5.6.7.8", "256.1.1.1", "01.002.3.0255",
     "4111 1111 1111 1111", "4111-1111-1111-1112", "4111  1111 1111 1111", "+1 (555) 123-4567", "+1 22", "+12345678901234567 1", "++1 234 567 890", "é😀 a@b.co 1.1.1.1",
@@ -54,7 +101,7 @@ def test_very_long_texts_take_linear_time():
 
 
 def corpus():
-    """zorvian stands near one address alone, and common everywhere; singles have no support."""
+    """zorvian stands near one address alone, and common everywhere; some terms stand in one text only."""
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choice(["common", "word", "stands", f"v{rng.randrange(40)}"]) for _ in range(40))) for i in range(300)]
     for i in range(6):
@@ -74,31 +121,45 @@ def test_terms_that_disclose(docs):
         terms = {text[1000 + i][s.start:s.end].lower() for s in spans if s.kind not in sanitise.KINDS}
         assert "zorvian" in terms and not terms & {"common", "word", "stands"}
         assert [tuple(s) for s in spans if s.kind in sanitise.KINDS] == brute(text[1000 + i])
-    # One text, and many copies of one text, are no evidence of co-occurrence.
-    for key in (2000, 3000, 3049):
-        assert [tuple(s) for s in found[key].spans] == brute(text[key])
+    # Copies of a text count once; a term that no other text has gives the address away, and is not removed.
+    for key, terms in ((2000, {"only", "once", "quixote", "here"}), (3000, {"copies", "bear", "vexing", "evidence"}), (3049, {"copies", "bear", "vexing", "evidence"})):
+        assert {text[key][s.start:s.end] for s in found[key].spans if s.kind == "general"} == terms
+    assert [[tuple(s) for s in found[k].spans] for k, _ in rows] == brute_all([t for _, t in rows])
     assert all(not found[k].spans for k, t in rows if k is not None and not brute(t))
     assert [tuple(s) for s in found[None].spans] == [tuple(s) for s in found[1001].spans]
 
 
-def test_disclosure_is_pmi_by_information(docs, spark):
-    import math
+def test_disclosure_is_pmi_by_information(docs):
+    texts = [t for _, t in corpus()]
+    df = docs(corpus())
+    found = {(r.entity, r.term): r.share for r in sanitise.disclosures(df, sanitise.co_occurrences(df)).collect()}
+    want = {k: v for k, v in brute_disclosures(texts).items() if v >= sanitise.DISCLOSURE - 1e-9}
+    assert found.keys() == want.keys() and found == pytest.approx(want)
 
-    rows = corpus()
-    df = docs(rows)
-    pairs = sanitise.co_occurrences(df)
-    distinct = {t or "" for _, t in rows}
-    for r in sanitise.disclosures(df, pairs).collect():
-        entity = r.entity.split(":", 1)[1]
-        def holds(t, e=entity):
-            return e in t.lower()
-        def has(t, term=r.term):
-            return term in re.findall(r"[a-z0-9]+", t.lower())
-        c_e, c_t = sum(map(holds, distinct)), sum(map(has, distinct))
-        c_te = pairs.filter((pairs.entity == r.entity) & (pairs.term == r.term)).count()
-        n = len(distinct)
-        assert r.share == pytest.approx(math.log(n * c_te / (c_t * c_e)) / math.log(n / c_e))
-        assert c_te >= sanitise.SUPPORT and r.share >= sanitise.DISCLOSURE
+
+@pytest.mark.parametrize("n", [12, 150, 1500])
+def test_the_size_of_the_corpus_does_not_decide(docs, n):
+    rows = [(i, f"common words stand v{i % 5} here") for i in range(n)]
+    rows += [(9000, "common words quixote bob@example.org here"), (9001, "common ann@example.org seldom"), (9002, "ann@example.org seldom words")]
+    found = {r.doc_id: r for r in sanitise.sanitise(docs(rows)).collect()}
+    assert [[tuple(s) for s in found[k].spans] for k, _ in rows] == brute_all([t for _, t in rows])
+    for key, term in ((9000, "quixote"), (9001, "seldom"), (9002, "seldom")):
+        r = found[key]
+        assert [(s.kind, r.text[s.start:s.end]) for s in r.spans if s.kind != "email"] == [("general", term)]
+
+
+@pytest.mark.parametrize("limit", [200_000, -1])
+def test_all_spans_against_brute_force(docs, monkeypatch, limit):
+    monkeypatch.setattr(sanitise, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(sanitise, "BROADCAST_KEYS", limit)
+    monkeypatch.setattr(sanitise, "BROADCAST_TERMS", limit)
+    rng = random.Random(9)
+    parts = [f"w{i}" for i in range(60)] + ["ann@example.org", "Bob@Example.org", "10.0.0.1", "(4111 1111 1111 1111)", "+1 (555) 123-4567", "xann@example.org9", "Ünd"]
+    rows = [(i, " ".join(rng.choice(parts[:20] if i % 2 else parts) for _ in range(rng.randrange(12)))) for i in range(120)]
+    rows += [(i, rows[i % 120][1]) for i in range(120, 150)] + [(None, rows[3][1]), (500, None), (501, "")]
+    found = sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in sanitise.sanitise(docs(rows)).collect()), key=str)
+    assert found == sorted(((k, s) for (k, _), s in zip(rows, brute_all([t for _, t in rows]))), key=str)
+    assert {k for _, spans in found for k, _, _ in spans} >= {"general", "email", "ip", "card", "phone"}
 
 
 def test_one_text_among_many_discloses(docs):
@@ -131,7 +192,7 @@ def test_masked_text(docs):
     out = sanitise.sanitise(docs(corpus()))
     rows = {r.doc_id: r.clean for r in out.select("doc_id", sanitise.masked("text", "spans").alias("clean")).collect()}
     assert "ann@example.org" not in rows[1002] and "[EMAIL]" in rows[1002] and "zorvian" not in rows[1002].lower()
-    assert rows[2000] == "only once quixote [EMAIL] here" and rows[5] == dict(corpus())[5] and rows[4001] == ""
+    assert rows[2000] == "[TERM] [TERM] [TERM] [EMAIL] [TERM]" and rows[5] == dict(corpus())[5] and rows[4001] == ""
 
 
 def test_empty_table(docs):
