@@ -10,10 +10,15 @@ fallback).
 
 Words begin at each space, as the tokenizer marks them; characters that stand
 in no piece cut a word further, as no piece crosses them.
+
+The given model files hold no unigram scores. A piece's score is the logarithm
+of its share among the pieces into which the model itself cuts the words of
+all documents; the pieces are the model's, less control and byte pieces.
 """
 
 from __future__ import annotations
 
+import collections
 import math
 import re
 from collections.abc import Iterator
@@ -22,19 +27,65 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medloom.sources.storage import materialize
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 # Words a task remembers; their counts are found anew beyond it.
 REMEMBERED = 200_000
+# Added to the count of each piece, so that one that no document needs has a score.
+UNSEEN = 0.5
 
 
-def vocabulary(path: str = MODEL) -> list[tuple[str, float]]:
-    """(piece, score) of a model file, in the order of ids."""
+def _model(path: str):
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def vocabulary(path: str = MODEL) -> list[tuple[int, str]]:
+    """(id, piece) of a model file, in the order of ids, less what stands for no text of its own: control and byte pieces."""
+    model = _model(path)
+    other = (model.is_control, model.is_byte, model.is_unknown, model.is_unused)
+    return [(i, model.id_to_piece(i)) for i in range(model.get_piece_size()) if not any(f(i) for f in other)]
+
+
+def piece_counts(df: DataFrame, text: str = "text", model: str = MODEL, remembered: int = REMEMBERED) -> DataFrame:
+    """(id, n): how often the model itself uses each piece in the words of all texts.
+
+    A task cuts a word once for as often as it stands in its texts, as far as
+    it remembers words.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, words, found = _model(model), collections.Counter(), collections.Counter()
+
+        def settle():
+            for ids, n in zip(cut.encode(list(words), num_threads=1), words.values()):
+                for i in ids:
+                    found[i] += n
+            words.clear()
+
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                words.update((value or "").split(" "))
+                if len(words) > remembered:
+                    settle()
+        settle()
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], names=["id", "n"])
+
+    return df.select(F.col(text)).mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def fit(df: DataFrame, text: str = "text", model: str = MODEL) -> list[tuple[str, float]]:
+    """(piece, score) of the model's pieces, by their counts over all texts.
+
+    To the driver comes one count for each piece. Without texts all pieces score alike.
+    """
+    counts = {r["id"]: r["n"] for r in materialize(piece_counts(df, text, model), "piece-counts").collect()}
+    pieces = [(piece, counts.get(i, 0) + UNSEEN) for i, piece in vocabulary(model)]
+    total = sum(n for _, n in pieces)
+    return [(piece, math.log(n / total)) for piece, n in pieces]
 
 
 class Counter:
@@ -106,16 +157,19 @@ class Counter:
         return score, count
 
 
-def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL) -> DataFrame:
+def count_tokens(
+    df: DataFrame, key: str = "doc_id", text: str = "text", pieces: list[tuple[str, float]] | None = None, model: str = MODEL,
+) -> DataFrame:
     """(key, n_tokens, score) for every row; no tokens are added at either end.
 
-    ``model`` is read on the driver; its pieces, a fixed table, go to the
-    tasks. A null or empty text has no tokens and the score zero. Texts are
+    ``pieces`` are (piece, score); without them, the pieces of ``model`` with
+    scores by all texts of the frame (``fit``). They are a fixed table and go
+    to the tasks. A null or empty text has no tokens and the score zero. Texts are
     counted whole. Repeated rows get equal results; an empty table gives an
     empty result; other columns are not touched.
     """
     kind = df.schema[key].dataType.simpleString()
-    pieces = df.sparkSession.sparkContext.broadcast(vocabulary(model))
+    pieces = df.sparkSession.sparkContext.broadcast(fit(df, text, model) if pieces is None else pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(pieces.value)
