@@ -52,7 +52,17 @@ def heavy_keys(df: DataFrame, on: list[str]) -> dict[int, float]:
     return {r["item"]: r["count"] / found.n for r in found.top or [] if r["count"] > HEAVY_SHARE * found.n}
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+def counted_keys(counts: DataFrame, on: list[str], number: str) -> dict[int, float]:
+    """The same from rows that were already counted by key, without a look at the rows themselves."""
+    total = counts.agg(F.sum(number).alias("n")).first().n or 0
+    heavy = counts.filter(F.col(number) > HEAVY_SHARE * total).select(F.xxhash64(*on).alias("key"), F.col(number).alias("n"))
+    # At most 1 / HEAVY_SHARE keys reach the driver.
+    return {r.key: r.n / total for r in heavy.collect()}
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, heavy: dict[int, float] | None = None
+) -> DataFrame:
     """Shuffle join whose left rows of a heavy key spread over many tasks.
 
     Only heavy keys are salted, each in proportion to its share, and only
@@ -60,9 +70,10 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> D
     are. The salt is the partition a left row comes from: rows of one key,
     copies of one row included, arrive from many partitions, and a repeated
     task assigns the same salt again. Left, inner, semi and anti joins stay
-    exact.
+    exact. ``heavy`` names the heavy keys where they are known.
     """
-    heavy = heavy_keys(left, on)
+    if heavy is None:
+        heavy = heavy_keys(left, on)
     if not heavy:
         return left.join(right, on, how)
     spark = left.sparkSession
@@ -80,14 +91,21 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> D
 
 def lookup_join(
     left: DataFrame, lookup: DataFrame, on: list[str] | str, how: str = "left", bound: DataFrame | None = None,
-    narrow: bool = True,
+    narrow: bool = True, number: str | None = None,
 ) -> DataFrame:
     """Join rows with a lookup on equally named columns.
 
     ``narrow=False`` skips the look at the keys in use, for lookups that were
-    made from these very rows.
+    made from these very rows. Such a lookup may tell by its column ``number``,
+    which stays behind, how many of the rows hold a key; heavy keys are then
+    found there, and the rows are not read for them.
     """
     keys = [on] if isinstance(on, str) else on
+    if number:
+        counts, lookup = lookup, lookup.drop(number)
+        if fits(counts, bound):
+            return left.join(F.broadcast(lookup), keys, how)
+        return salted_join(left, lookup, keys, how, counted_keys(counts, keys, number))
     if fits(lookup, bound):
         return left.join(F.broadcast(lookup), keys, how)
     if narrow:

@@ -111,3 +111,35 @@ def test_numbering_by_weight(spark):
     rows = spark.createDataFrame([("a", "x", 3), ("a", "y", 2), ("a", "z", 1), ("b", "x", 1)], "g string, o string, w bigint")
     got = number_rows(rows, ["g"], F.col("o"), ["o"], weight="w", out="first")
     assert sorted((r.g, r.o, r["first"]) for r in got.collect()) == [("a", "x", 1), ("a", "y", 4), ("a", "z", 6), ("b", "x", 1)]
+
+
+def test_join_finds_heavy_keys_in_a_counted_lookup(spark, no_broadcast, monkeypatch):
+    from medloom.operators import joins
+
+    def looked(*_):
+        raise AssertionError("the rows are read once more for their heavy keys")
+
+    monkeypatch.setattr(joins, "heavy_keys", looked)
+    # One key with most of the rows, a missing one, and one that the lookup does not know.
+    rows = spark.createDataFrame([(1, i) for i in range(500)] + [(k, k) for k in range(2, 60)] + [(None, 0), (99, 0)], "k long, i long")
+    lookup = rows.filter("k < 60").groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "n", "k * 10 AS v")
+    assert set(joins.counted_keys(lookup, ["k"], "n").values()) == {500 / 558}
+    found = joins.lookup_join(rows, lookup, "k", narrow=False, number="n")
+    assert found.columns == ["k", "i", "v"]
+    expected = sorted((str(k), i, str(None if k in (None, 99) else k * 10)) for k, i in rows.collect())
+    assert sorted((str(r.k), r.i, str(r.v)) for r in found.collect()) == expected
+
+
+def test_pairs_are_counted_once_for_a_large_vocabulary(spark, no_broadcast, monkeypatch):
+    from medloom.operators import harmonize as h, joins
+    from medloom.operators.vocabulary import Vocabulary
+
+    read = []
+    monkeypatch.setattr(joins, "heavy_keys", lambda df, on: read.append(on) or {})
+    concept = spark.createDataFrame([(1, "S", "Drug"), (2, None, "Drug")], "concept_id long, standard_concept string, domain_id string")
+    relation = spark.createDataFrame([(2, 1, "Maps to")], "concept_id_1 long, concept_id_2 long, relationship_id string")
+    rows = spark.createDataFrame([(1, 2, 2), (1, 1, 1), (2, 2, 2), (3, None, 0)], "key long, drug_concept_id long, drug_source_concept_id long")
+    found = h.harmonize(rows, "drug_exposure", Vocabulary.build(concept, relation), repeated_key="key")
+    assert sorted(r.key for r in found.collect()) == [1, 2, 3]
+    # Neither the rows by pair nor those by key are read for a sketch.
+    assert not [on for on in read if on in (["_pair_s", "_pair_t"], ["key"])]
