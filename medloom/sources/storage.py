@@ -56,7 +56,8 @@ def create_once(df: DataFrame, path: str) -> bool:
     spark = df.sparkSession
     jvm = spark._jvm
     beside = f"{path}.{uuid.uuid4().hex}"
-    df.coalesce(1).write.parquet(beside)
+    # Not coalesce, by which one task would do all the work since the last shuffle, not the writing only.
+    df.repartition(1).write.parquet(beside)
     place, made = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     if is_completed(spark, path):

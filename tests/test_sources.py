@@ -335,3 +335,16 @@ def test_only_one_creates_a_folder(spark, tmp_path):
     (tmp_path / "half").mkdir()
     assert storage.read_completed(spark, str(tmp_path / "half")) is None
     assert storage.numbered(spark, str(tmp_path)) == ["x"] and storage.numbered(spark, str(tmp_path / "no")) == []
+
+
+def test_create_once_leaves_the_work_in_several_tasks(spark, tmp_path):
+    from pyspark import TaskContext
+
+    from medloom.sources.storage import create_once
+
+    task = F.udf(lambda x: TaskContext.get().taskAttemptId(), "long")
+    rows = spark.range(0, 64, 1, 8).select("id", task("id").alias("task"))
+    assert create_once(rows, f"{tmp_path}/made")
+    made = spark.read.parquet(f"{tmp_path}/made")
+    assert made.count() == 64 and made.select("task").distinct().count() == 8
+    assert len(list((tmp_path / "made").glob("part-*"))) == 1
