@@ -15,6 +15,7 @@ from medloom.sources.storage import materialize
 
 NULL_WORDS = ["NULL", "null"]
 _CORRUPT = "_corrupt_record"
+BLOCK_BITS = 15
 # Code points that no text holds.
 _NO_SEPARATOR = "\uffff\ufffe\uffff"
 
@@ -92,10 +93,18 @@ def read_csv(
 
 
 def _lines(spark: SparkSession, path: str, encoding: Encoding) -> DataFrame:
-    """(file, block, at, line): ``at`` grows by one from line to line of a block of a file."""
-    return spark.read.option("lineSep", encoding.separator).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+    """(file, block, at, line): ``at`` grows by one from line to line of a block of a file.
+
+    A block is a run of at most ``1 << BLOCK_BITS`` lines of what one task reads
+    of a file, so what sorts a block's lines stays small; blocks are numbered in
+    the file's order.
+    """
+    lines = spark.read.option("lineSep", encoding.separator).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("at"), encoding.text("value").alias("line"))
+    # The low 33 bits of the id count the lines of a task.
+    run = F.shiftright(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)), BLOCK_BITS)
+    return lines.select("file", (F.shiftleft("start", 33 - BLOCK_BITS) + run).alias("block"), "at", "line")
 
 
 def _single_lines(spark: SparkSession, path: str, has_header: bool, encoding: Encoding) -> DataFrame:
@@ -124,11 +133,11 @@ def rejection(line: Column, incomplete: Column, width: int, separator: str = ","
     does not close is not. A value that goes on behind its closing quote is
     read as well as may be, if the record then has the header's width.
     """
-    opens, sound, separators = values_of(line, separator)
-    return (
-        F.when(opens, F.lit("open quote")).when(sound & (separators >= width), F.lit("too many values"))
-        .when(~sound & incomplete, F.lit("open quote"))
-    )
+    # The struct is worked out once; Spark tries the branches in order.
+    return F.transform(F.array(values_of(line, separator)), lambda v: (
+        F.when(v["opens"], F.lit("open quote")).when(v["sound"] & (v["separators"] >= width), F.lit("too many values"))
+        .when(~v["sound"] & incomplete, F.lit("open quote"))
+    ))[0]
 
 
 def read_delivery_file(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -14,6 +14,7 @@ quote is a stray one: the line stands alone, and the next one is outside.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,55 +23,68 @@ from medloom.operators.joins import lookup_join
 from medloom.sources.storage import materialize
 
 QUOTE = '"'
+# Lines with quotes that a task sorts; a block has fewer lines (``ingest``).
+EVENTS_PER_TASK = 250_000
 
 
 # Noncharacters: two quotes that follow each other, and a value with the separator behind it.
 _PAIR, _VALUE = "\ufffe", "\uffff"
 
 
-def _outside(text: Column, separator: str) -> tuple[Column, Column, Column]:
-    """(open, sound, separators) of a line that begins outside; pairs of quotes are marked in it.
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used or the optimizer moves filters."""
+    return F.transform(F.array(value), use)[0]
 
-    Sound values are taken off from the left. ``open`` if what is left is a
+
+def _outside(text: Column, separator: str) -> Column:
+    """Struct (opens, sound, separators) of a line that begins outside; pairs of quotes are marked in it.
+
+    Sound values are taken off from the left. ``opens`` if what is left is a
     quoted value without its end, ``sound`` if it is a whole value;
     ``separators`` are those taken off.
     """
     sep = re.escape(separator)
     quoted, plain = f'{_PAIR}*"[^"]*"|{_PAIR}+', f'(?!["{_PAIR}])(?:(?!{sep}).)*+' if len(separator) > 1 else f'(?!["{_PAIR}])[^{sep}]*'
-    cut = F.regexp_replace(text, f"\\G(?:{quoted}|{plain}){sep}", _VALUE)
-    left = F.replace(cut, F.lit(_VALUE), F.lit(""))
-    opens = F.regexp_like(left, F.lit(f'^{_PAIR}*"[^"]*\\z'))
-    sound = F.regexp_like(left, F.lit(f"(?s)^(?:{quoted}|{plain})\\z"))
-    return opens, sound, (F.length(cut) - F.length(left)).cast("long")
+
+    def judged(cut: Column) -> Column:
+        return _once(F.replace(cut, F.lit(_VALUE), F.lit("")), lambda left: F.struct(
+            F.regexp_like(left, F.lit(f'^{_PAIR}*"[^"]*\\z')).alias("opens"),
+            F.regexp_like(left, F.lit(f"(?s)^(?:{quoted}|{plain})\\z")).alias("sound"),
+            (F.length(cut) - F.length(left)).cast("long").alias("separators")))
+
+    return _once(F.regexp_replace(text, f"\\G(?:{quoted}|{plain}){sep}", _VALUE), judged)
 
 
 def _marked(line: Column) -> Column:
     return F.replace(F.regexp_replace(line, "\r\\z", ""), F.lit('""'), F.lit(_PAIR))
 
 
-def values_of(record: Column, separator: str) -> tuple[Column, Column, Column]:
-    """(open, sound, separators) of a whole record."""
+def values_of(record: Column, separator: str) -> Column:
+    """Struct (opens, sound, separators) of a whole record."""
     return _outside(_marked(record), separator)
 
 
-def effects(line: Column, separator: str) -> dict[str, Column]:
-    """What a line does to a parser.
+def effects(line: Column, separator: str) -> Column:
+    """Struct of what a line does to a parser.
 
     ``opens``: from outside, it leaves a quoted value open, ``before``
     separators in front of it. ``stops``: from inside, it ends the value and
     leaves none open, ``sound`` if well-formed. ``within``: separators between
     values from inside.
     """
-    text = _marked(line)
-    opens, _, before = _outside(text, separator)
-    stays, sound, within = _outside(F.concat(F.lit(QUOTE), text), separator)
-    return {"opens": opens, "before": before, "stops": ~stays, "sound": sound, "within": within}
+    def told(text: Column) -> Column:
+        inside = F.concat(F.lit(QUOTE), text)
+        return _once(F.struct(_outside(text, separator).alias("o"), _outside(inside, separator).alias("i")), lambda x: F.struct(
+            x["o"]["opens"].alias("opens"), x["o"]["separators"].alias("before"), (~x["i"]["opens"]).alias("stops"),
+            x["i"]["sound"].alias("sound"), x["i"]["separators"].alias("within")))
+
+    return _once(_marked(line), told)
 
 
 def has_open_quotes(lines: DataFrame, separator: str) -> bool:
     """Whether any line leaves a quoted value open, as a record over several lines does."""
     quoted = lines.filter(F.contains("line", F.lit(QUOTE)))
-    return not quoted.filter(effects(F.col("line"), separator)["opens"]).isEmpty()
+    return not quoted.filter(values_of(F.col("line"), separator)["opens"]).isEmpty()
 
 
 def split_records(lines: DataFrame, width: int, separator: str, header: bool, line_end: str = "\n") -> DataFrame:
@@ -81,8 +95,10 @@ def split_records(lines: DataFrame, width: int, separator: str, header: bool, li
     Records may have any length. Blank lines are no records.
     """
     quoted = lines.filter(F.contains("line", F.lit(QUOTE)))
-    found = quoted.select("file", "block", "at", *[c.alias(n) for n, c in effects(F.col("line"), separator).items()])
-    events = materialize(_states(found.filter("opens OR stops OR within > 0"), width), "csv-events")
+    # Generated, as a filter would be moved below and work out the regular expressions again.
+    found = quoted.select("file", "block", "at", F.inline(F.filter(
+        F.array(effects(F.col("line"), separator)), lambda e: e["opens"] | e["stops"] | (e["within"] > 0))))
+    events = materialize(_states(found, width), "csv-events")
     blank = F.trim(F.regexp_replace("line", "\r\\z", "")) == ""
     blocks = lines.groupBy("file", "block").agg(
         F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.min(F.when(~blank, F.col("at"))).alias("text_at"))
@@ -102,6 +118,8 @@ def _states(events: DataFrame, width: int) -> DataFrame:
     one file.
     """
     events = materialize(events, "csv-quotes")
+    # Dealt by their number: by their bytes, which are few, one task would sort many millions.
+    events = events.repartition(events.count() // EVENTS_PER_TASK + 1, "file", "block")
     block = Window.partitionBy("file", "block").orderBy("at")
     upto, later = block.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("file", "block").orderBy(F.desc("at"))
     stop = F.when(F.col("stops"), F.struct(F.col("seen").alias("seen"), "sound", "block", "at"))
@@ -119,7 +137,9 @@ def _states(events: DataFrame, width: int) -> DataFrame:
         F.col("b").alias("block"), F.col("stop.at").alias("at")))
     back = Window.partitionBy("file").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
     table = table.withColumn("ahead", F.last(ahead, ignorenulls=True).over(back)).select("file", F.col("b").alias("block"), "base", "ahead")
-    known = placed.join(table, ["file", "block"]).withColumn("end", F.coalesce(
+    # A row for each block, so that the lines join it where they lie.
+    table = materialize(table, "csv-ends")
+    known = lookup_join(placed, table, ["file", "block"], "inner", narrow=False).withColumn("end", F.coalesce(
         F.when(F.col("next").isNotNull(), F.struct(
             (F.col("base") + F.col("next.seen")).alias("seen"), F.col("next.sound").alias("sound"),
             F.col("next.block").alias("block"), F.col("next.at").alias("at"))), F.col("ahead")))
@@ -135,9 +155,12 @@ def _states(events: DataFrame, width: int) -> DataFrame:
     before = block.rowsBetween(Window.unboundedPreceding, -1)
     known = known.withColumn("since", last.over(before))
     known = materialize(known, "csv-turns")
+    # Numbers only, as a struct would be combined by a sort. `turned` never falls, so its greatest is the last one's.
+    is_fixed = F.col("fixed").isNotNull()
     whole = known.groupBy("file", "block").agg(
-        F.sum("turns").alias("turns"), F.max(F.when(F.col("fixed").isNotNull(), F.struct("at", "fixed", "turned"))).alias("last"))
-    whole = whole.withColumn("out", (F.col("last.fixed") + F.col("turns") - F.col("last.turned")) % 2).withColumn(
+        F.sum("turns").alias("turns"), F.max(F.when(is_fixed, 2 * F.col("at") + F.col("fixed"))).alias("last"),
+        F.max(F.when(is_fixed, F.col("turned"))).alias("last_turned"))
+    whole = whole.withColumn("out", (F.col("last") % 2 + F.col("turns") - F.col("last_turned")) % 2).withColumn(
         "flips", F.when(F.col("out").isNull(), F.col("turns")).otherwise(0))
     blocks = Window.partitionBy("file").orderBy("block")
     whole = whole.withColumn("flipped", F.sum("flips").over(blocks))

@@ -348,3 +348,30 @@ def test_create_once_leaves_the_work_in_several_tasks(spark, tmp_path):
     made = spark.read.parquet(f"{tmp_path}/made")
     assert made.count() == 64 and made.select("task").distinct().count() == 8
     assert len(list((tmp_path / "made").glob("part-*"))) == 1
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_records_over_runs_of_lines(spark, tmp_path, monkeypatch, bits):
+    from medloom.sources import records
+
+    # One file that one task reads; its lines are judged run by run, and a run's lines sorted by a task of their own.
+    values = [(str(i), 'a"\n' * (i % 4) + "x", '"' if i % 5 == 0 else "e,f") for i in range(40)]
+    text = "id,note,more\n" + "".join(
+        ",".join('"' + v.replace('"', '""') + '"' for v in row) + "\n" for row in values) + '41,"open,1\n42,5" tall,z\n'
+    (tmp_path / "t.csv").write_text(text)
+    monkeypatch.setattr(ingest, "BLOCK_BITS", bits)
+    monkeypatch.setattr(records, "EVENTS_PER_TASK", 10)
+    lines = ingest._lines(spark, str(tmp_path / "t.csv"), encoding.encoding_of(spark, str(tmp_path / "t.csv")))
+    assert max(r["count"] for r in lines.groupBy("block").count().collect()) == 1 << bits
+    good, bad = ingest.read_csv(spark, str(tmp_path / "t.csv"))
+    assert sorted(map(tuple, good.collect())) == sorted([*values, ("42", '5" tall', "z")])
+    assert [tuple(r) for r in bad.collect()] == [('41,"open,1', "open quote")]
+
+
+def test_a_line_is_judged_once(spark):
+    lines = spark.createDataFrame([('1,"a",b',)], "line string")
+    reason = ingest.rejection(F.col("line"), F.lit(False), 3)
+    told = lines.select(reason.alias("reason")).filter("reason IS NOT NULL")
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    # The expression that takes values off stands once in the filter and once beside it.
+    assert plan.split("Filter")[1].count("regexp_replace(replace") <= 1
