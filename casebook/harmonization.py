@@ -55,12 +55,12 @@ def spread(v: Views) -> Views:
     return Views(v.spark, v.sf_dir, spread=True)
 
 
-def harmonized_drugs(v: Views, steps: list[str] | None = None) -> DataFrame:
-    return h.harmonize(spread(v)["f_drug"], "drug_exposure", vocabulary(v), steps)
+def harmonized_drugs(v: Views, steps: list[str] | None = None, only_step: str | None = None) -> DataFrame:
+    return h.harmonize(spread(v)["f_drug"], "drug_exposure", vocabulary(v), steps, only_step=only_step)
 
 
 def _step(v: Views, step: str, steps: list[str]) -> DataFrame:
-    return harmonized_drugs(v, steps).filter(f"vocab_harmonization_status = '{h.STATUS[step]}'")
+    return harmonized_drugs(v, steps, step)
 
 
 def _step_check(status: str, entries) -> str:
@@ -141,7 +141,7 @@ CHECKS["row_disposition"] = with_views(
 
 def _routed(v: Views, view: str, source: str, target: str) -> DataFrame:
     rows = conform(spread(v)[view], schema.layout(source))
-    return route(h.harmonize(rows, source, vocabulary(v)), source, target, SITE)
+    return route(h.harmonize(rows, source, vocabulary(v), only_table=target), source, target, SITE)
 
 
 _KINDS = {"timestamp_ntz": "TIMESTAMP", "string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE"}

@@ -5,16 +5,18 @@ settles it. Whether a step applies, and what it gives, depends only on the
 row's two concept ids. A vocabulary that may be broadcast is looked up from
 the rows themselves, in a single pass without a shuffle. A larger one is
 looked up from the distinct pairs of ids in use, once for all steps, and the
-rows are joined with what was found.
+rows are joined with what their pair comes to.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import schema
-from medloom.operators.joins import fits, lookup_join
+from medloom.operators.joins import counted_keys, fits, lookup_join, salted_join
 from medloom.operators.vocabulary import Vocabulary
 from medloom.sources.storage import materialize
 
@@ -49,6 +51,8 @@ def harmonize(
     concept: str | None = None,
     source: str | None = None,
     repeated_key: str | None = None,
+    only_step: str | None = None,
+    only_table: str | None = None,
 ) -> DataFrame:
     """Rows re-coded by the given steps, with the reason and the new table.
 
@@ -57,87 +61,159 @@ def harmonize(
     ``repeated_key`` names a delivered key that several different rows may
     share; the first step that settles any of them then decides for all.
     Tables whose key derives from content do not need it.
+
+    ``only_step`` and ``only_table`` give the rows settled by one step or led
+    to one table, as a filter of the result would, but leave the others out
+    as early as their ids tell.
     """
     concept = concept or schema.PRIMARY_CONCEPT[table]
     source = source or schema.primary_pair(table)[1]
     wanted = DEFAULT_STEPS if steps is None else steps
-    unknown = [s for s in wanted if s not in STEPS]
+    unknown = [s for s in [*wanted, *([only_step] if only_step else [])] if s not in STEPS]
     if unknown:
         raise ValueError(f"unknown harmonization step {', '.join(unknown)}")
     chosen = [s for s in STEPS if s in wanted]
     if source is None:
         chosen = [s for s in chosen if s not in (SOURCE_TARGET, SOURCE_BACKFILL)]
 
-    target_id = F.col(concept)
-    source_id = F.col(source) if source else F.lit(0).cast("bigint")
-    rows = _looked_up(df.withColumn("_target", target_id).withColumn("_source", source_id), vocabulary)
-    applies = _applicable(chosen)
-    rows = rows.withColumns({f"_is_{s}": applies[s] for s in chosen})
-    first = F.coalesce(*[F.when(F.col(f"_is_{s}"), F.lit(i)) for i, s in enumerate(chosen)])
-    rows = rows.withColumn("_step", first)
-    if repeated_key:
-        rows = _settle_by_key(rows, repeated_key, chosen)
-    rows = rows.filter(F.col("_step").isNotNull())
-
-    def at(*names: str) -> Column:
-        return F.col("_step").isin([chosen.index(n) for n in names if n in chosen])
+    ids = {"_target": F.col(concept), "_source": F.col(source) if source else F.lit(0).cast("bigint")}
 
-    recoded_from_target = at(TARGET_REMAP, TARGET_REPLACEMENT)
-    recoded = at(SOURCE_TARGET) | recoded_from_target
-    found = (
-        F.when(at(SOURCE_TARGET), F.col("_s_map")).when(at(TARGET_REMAP), F.col("_t_map"))
-        .when(at(TARGET_REPLACEMENT), F.col("_t_replace"))
-    )
-    kind = rows.schema["_t_map"].dataType
-    itself = F.array(F.lit(None).cast(kind.elementType))
-    others = F.filter(F.coalesce(found, F.array().cast(kind)), lambda x: x["new"] != F.col("_target"))
-    rows = rows.withColumn("_outcome", F.explode(F.when(recoded, others).otherwise(itself))).withColumns({
-        "_new": F.col("_outcome.new"), "_new_domain": F.col("_outcome.domain"), "_relation": F.col("_outcome.relation"),
-    })
+    def settled(rows: DataFrame) -> DataFrame:
+        rows = _with_steps(rows, chosen)
+        if repeated_key:
+            rows = _settle_by_key(rows, repeated_key, chosen)
+        return _with_outcomes(rows, table, chosen, only_step, only_table)
 
-    backfilled = at(SOURCE_BACKFILL)
-    own_domain = F.when(backfilled, F.col("_s_domain")).when(F.col("_t_known"), F.col("_t_domain"))
-    domain = F.when(recoded, F.col("_new_domain")).otherwise(F.coalesce(own_domain, F.lit("Unknown")))
-    code = F.when(recoded, F.col("_new")).when(backfilled, F.col("_source")).otherwise(F.col("_target"))
-    value = F.when(at(SOURCE_TARGET), F.col("_s_value")).when(recoded_from_target, F.col("_t_value"))
+    if only_step and not repeated_key:
+        df = df.filter(_possible(only_step, ids["_source"], ids["_target"]))
+    if fits(vocabulary.concept) and fits(vocabulary.mapping):
+        rows = settled(_with_profiles(df.withColumns(ids), vocabulary))
+    elif repeated_key:
+        rows = settled(_looked_up(df.withColumns(ids), vocabulary))
+    else:
+        rows = _settled_by_pairs(df, ids, vocabulary, settled).withColumns(ids)
+
+    recoded_from_target = _at(chosen, TARGET_REMAP, TARGET_REPLACEMENT)
+    rows = rows.withColumn("_outcome", F.explode("_outcomes"))
+    code = F.col("_outcome.code")
     replaced = {concept: code}
     if source:
         replaced[source] = F.when(recoded_from_target, F.col("_target")).otherwise(F.col("_source"))
     status = F.array(*[F.lit(STATUS[s]) for s in chosen])[F.col("_step")]
     return rows.select(
         *[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns],
-        domain.alias("target_domain"),
+        F.col("_outcome.domain").alias("target_domain"),
         status.alias("vocab_harmonization_status"),
         F.col("_source").alias("source_concept_id"),
         F.col("_target").alias("previous_target_concept_id"),
         code.alias("target_concept_id"),
-        F.col("_relation").alias("mapping_relationship_id"),
-        value.cast("bigint").alias("vh_value_as_concept_id"),
-        table_for(domain, table).alias("target_table"),
+        F.col("_outcome.relation").alias("mapping_relationship_id"),
+        F.col("_value").cast("bigint").alias("vh_value_as_concept_id"),
+        F.col("_outcome.table").alias("target_table"),
+    )
+
+
+def _at(chosen: list[str], *names: str) -> Column:
+    """Whether one of the named steps settled a row."""
+    return F.col("_step").isin([chosen.index(n) for n in names if n in chosen])
+
+
+def _with_steps(rows: DataFrame, chosen: list[str]) -> DataFrame:
+    applies = _applicable(chosen)
+    rows = rows.withColumns({f"_is_{s}": applies[s] for s in chosen})
+    return rows.withColumn("_step", F.coalesce(*[F.when(F.col(f"_is_{s}"), F.lit(i)) for i, s in enumerate(chosen)]))
+
+
+def _with_outcomes(
+    rows: DataFrame, table: str, chosen: list[str], only_step: str | None = None, only_table: str | None = None,
+) -> DataFrame:
+    """Attach what the row's step makes of it (_outcomes, _value); rows that come to nothing go."""
+    rows = rows.filter(F.col("_step").isNotNull())
+    if only_step:
+        rows = rows.filter(_at(chosen, only_step))
+    recoded_from_target, backfilled = _at(chosen, TARGET_REMAP, TARGET_REPLACEMENT), _at(chosen, SOURCE_BACKFILL)
+    recoded = _at(chosen, SOURCE_TARGET) | recoded_from_target
+    found = (
+        F.when(_at(chosen, SOURCE_TARGET), F.col("_s_map")).when(_at(chosen, TARGET_REMAP), F.col("_t_map"))
+        .when(_at(chosen, TARGET_REPLACEMENT), F.col("_t_replace"))
     )
+    kind = rows.schema["_t_map"].dataType
+    others = F.filter(F.coalesce(found, F.array().cast(kind)), lambda x: x["new"] != F.col("_target"))
+
+    def outcome(code: Column, domain: Column, relation: Column) -> Column:
+        return F.struct(
+            code.alias("code"), domain.alias("domain"), relation.alias("relation"), table_for(domain, table).alias("table"))
+
+    own_domain = F.when(backfilled, F.col("_s_domain")).when(F.col("_t_known"), F.col("_t_domain"))
+    itself = outcome(
+        F.when(backfilled, F.col("_source")).otherwise(F.col("_target")), F.coalesce(own_domain, F.lit("Unknown")),
+        F.lit(None).cast(kind.elementType["relation"].dataType))
+    outcomes = F.when(recoded, F.transform(others, lambda x: outcome(x["new"], x["domain"], x["relation"]))).otherwise(F.array(itself))
+    if only_table:
+        outcomes = F.filter(outcomes, lambda x: x["table"] == only_table)
+    value = F.when(_at(chosen, SOURCE_TARGET), F.col("_s_value")).when(recoded_from_target, F.col("_t_value"))
+    return rows.withColumns({"_outcomes": outcomes, "_value": value}).filter(F.size("_outcomes") > 0)
+
+
+def _possible(step: str, source: Column, target: Column) -> Column:
+    """What the ids alone must meet for a step to settle a row."""
+    if step == SOURCE_BACKFILL:
+        return (target == 0) & (source != 0)
+    if step == SOURCE_TARGET:
+        return target.isNotNull() & (source != 0)
+    return F.lit(True) if step == DOMAIN_CHECK else target.isNotNull()
 
 
 # Stands for a missing id where pairs of ids are joined.
 _NO_ID = -(2**63)
+_PAIR = ["_pair_s", "_pair_t"]
 
 
-def _looked_up(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Rows (_source, _target, ...) with all that the vocabulary says of the two.
+def _pair_of(source: Column, target: Column) -> dict[str, Column]:
+    return {name: F.coalesce(c, F.lit(_NO_ID)) for name, c in zip(_PAIR, (source, target))}
+
+
+def _counted_pairs(rows: DataFrame) -> DataFrame:
+    """The distinct pairs of rows (_source, _target, ...) and how many rows each has.
 
-    A vocabulary too large to broadcast meets the distinct pairs, which are
-    combined before they shuffle; the rows are read once for the pairs and
-    once for the result.
+    Pairs are combined before they shuffle. They are counted, so that the heavy
+    ones are known without a third look at the rows.
     """
-    if fits(vocabulary.concept) and fits(vocabulary.mapping):
-        return _with_profiles(rows, vocabulary)
-    pair = [F.coalesce("_source", F.lit(_NO_ID)).alias("_pair_s"), F.coalesce("_target", F.lit(_NO_ID)).alias("_pair_t")]
-    # Counted, so that the heavy pairs are known without a third look at the rows.
     counted = rows.groupBy("_source", "_target").agg(F.count(F.lit(1)).alias("_pair_rows"))
-    pairs = materialize(counted.select("_source", "_target", *pair, "_pair_rows"), "concept-pairs")
-    known = materialize(_with_profiles(pairs, vocabulary).drop("_source", "_target"), "known-pairs")
-    keyed = rows.withColumns({"_pair_s": pair[0], "_pair_t": pair[1]})
-    joined = lookup_join(keyed, known, ["_pair_s", "_pair_t"], narrow=False, number="_pair_rows")
-    return joined.drop("_pair_s", "_pair_t")
+    return materialize(counted.withColumns(_pair_of(F.col("_source"), F.col("_target"))), "concept-pairs")
+
+
+def _looked_up(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Rows (_source, _target, ...) with all that a vocabulary too large to broadcast says of the two.
+
+    The rows are read once for their pairs and once for the result.
+    """
+    known = materialize(_with_profiles(_counted_pairs(rows), vocabulary).drop("_source", "_target"), "known-pairs")
+    keyed = rows.withColumns(_pair_of(F.col("_source"), F.col("_target")))
+    return lookup_join(keyed, known, _PAIR, narrow=False, number="_pair_rows").drop(*_PAIR)
+
+
+def _settled_by_pairs(
+    df: DataFrame, ids: dict[str, Column], vocabulary: Vocabulary, settled: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Rows with what their pair of ids comes to.
+
+    What a row comes to is decided once for its pair, so the rows meet only
+    that, and only the pairs that come to something. Ids are not repeated
+    beside the rows' own columns, which shuffle if the pairs are many.
+    """
+    pairs = _counted_pairs(df.select(*[c.alias(n) for n, c in ids.items()]))
+    known = settled(_with_profiles(pairs, vocabulary))
+    lookup = materialize(known.select(*_PAIR, "_step", "_outcomes", "_value"), "settled-pairs")
+    pair = _pair_of(ids["_source"], ids["_target"])
+    if fits(lookup):
+        lookup, heavy = F.broadcast(lookup), {}
+    else:
+        heavy = counted_keys(pairs, _PAIR, "_pair_rows")
+    if heavy:
+        return salted_join(df.withColumns(pair), lookup, _PAIR, "inner", heavy).drop(*_PAIR)
+    same = [pair[name] == F.col(name) for name in _PAIR]
+    return df.join(lookup, same[0] & same[1], "inner").drop(*_PAIR)
 
 
 def _with_profiles(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:

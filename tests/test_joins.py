@@ -143,3 +143,61 @@ def test_pairs_are_counted_once_for_a_large_vocabulary(spark, no_broadcast, monk
     assert sorted(r.key for r in found.collect()) == [1, 2, 3]
     # Neither the rows by pair nor those by key are read for a sketch.
     assert not [on for on in read if on in (["_pair_s", "_pair_t"], ["key"])]
+
+
+def _coded(spark):
+    from medloom.operators.vocabulary import Vocabulary
+
+    concept = spark.createDataFrame(
+        [(i, None if i % 2 == 0 else "S", ["Drug", "Measurement", "Observation"][i % 3]) for i in range(1, 40)],
+        "concept_id long, standard_concept string, domain_id string")
+    relation = spark.createDataFrame(
+        [(i, i + 1, "Maps to") for i in range(2, 38, 4)] + [(i, i + 3, "Maps to") for i in range(2, 34, 8)]
+        + [(i, i + 1, "Concept replaced by") for i in range(4, 38, 4)] + [(i, i + 2, "Maps to value") for i in range(2, 30, 4)],
+        "concept_id_1 long, concept_id_2 long, relationship_id string")
+    ids = [None, 0, *range(1, 42)]
+    rows = spark.createDataFrame(
+        [(i, ids[i % 43], ids[(i * 7) % 41], f"r{i}") for i in range(300)] + [(i, 5, 6, "hot") for i in range(300, 500)],
+        "key long, drug_concept_id long, drug_source_concept_id long, note string")
+    return rows, Vocabulary.build(concept, relation)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_one_step_or_table_is_a_filter_of_all(spark, large):
+    from medloom.operators import harmonize as h
+
+    rows, codes = _coded(spark)
+
+    def told(df):
+        return sorted(map(str, df.collect()))
+
+    whole = h.harmonize(rows, "drug_exposure", codes, h.STEPS)
+    expected = told(whole)
+    if large:
+        spark.conf.set("spark.medloom.broadcastRows", "10")
+    try:
+        assert told(h.harmonize(rows, "drug_exposure", codes, h.STEPS)) == expected
+        for step in h.STEPS:
+            one = whole.filter(F.col("vocab_harmonization_status") == h.STATUS[step])
+            assert one.count() and told(h.harmonize(rows, "drug_exposure", codes, h.STEPS, only_step=step)) == told(one)
+        for table in ("drug_exposure", "measurement", "observation"):
+            one = whole.filter(F.col("target_table") == table)
+            assert one.count() and told(h.harmonize(rows, "drug_exposure", codes, h.STEPS, only_table=table)) == told(one)
+    finally:
+        spark.conf.unset("spark.medloom.broadcastRows")
+
+
+def test_rows_meet_only_the_pairs_that_come_to_something(spark):
+    from medloom.operators import harmonize as h
+
+    rows, codes = _coded(spark)
+    spark.conf.set("spark.medloom.broadcastRows", "30")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        every = plan(h.harmonize(rows, "drug_exposure", codes))
+        one = plan(h.harmonize(rows, "drug_exposure", codes, only_step=h.SOURCE_BACKFILL))
+    finally:
+        spark.conf.unset("spark.medloom.broadcastRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in every
+    assert "BroadcastHashJoin" in one and "SortMergeJoin" not in one
