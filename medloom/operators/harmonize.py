@@ -5,7 +5,8 @@ settles it. Whether a step applies, and what it gives, depends only on the
 row's two concept ids. A vocabulary that may be broadcast is looked up from
 the rows themselves, in a single pass without a shuffle. A larger one is
 looked up from the distinct pairs of ids in use, once for all steps, and the
-rows are joined with what their pair comes to.
+rows are joined with what their pair comes to. Where one step or one table is
+asked for, rows that cannot come to it are sieved out before they shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom import schema
-from medloom.operators.joins import counted_keys, fits, lookup_join, salted_join
+from medloom.operators.joins import counted_keys, fits, lookup_join, passes, salted_join, sieve
 from medloom.operators.vocabulary import Vocabulary
 from medloom.sources.storage import materialize
 
@@ -76,6 +77,10 @@ def harmonize(
     if source is None:
         chosen = [s for s in chosen if s not in (SOURCE_TARGET, SOURCE_BACKFILL)]
 
+    if only_step and not repeated_key and only_step in chosen[:1]:
+        # What the first step settles does not depend on those after it.
+        chosen = chosen[:1]
+
     ids = {"_target": F.col(concept), "_source": F.col(source) if source else F.lit(0).cast("bigint")}
 
     def settled(rows: DataFrame) -> DataFrame:
@@ -91,7 +96,12 @@ def harmonize(
     elif repeated_key:
         rows = settled(_looked_up(df.withColumns(ids), vocabulary))
     else:
-        rows = _settled_by_pairs(df, ids, vocabulary, settled).withColumns(ids)
+        lead = _leading(vocabulary, ids["_source"], ids["_target"], table, only_step, only_table)
+        rows = _with_sources(df.filter(lead).withColumns(ids), vocabulary) if chosen == [SOURCE_TARGET] else None
+        if rows is not None:
+            rows = settled(rows)
+        else:
+            rows = _settled_by_pairs(df, ids, vocabulary, settled, lead, bool(only_step or only_table)).withColumns(ids)
 
     recoded_from_target = _at(chosen, TARGET_REMAP, TARGET_REPLACEMENT)
     rows = rows.withColumn("_outcome", F.explode("_outcomes"))
@@ -164,6 +174,42 @@ def _possible(step: str, source: Column, target: Column) -> Column:
     return F.lit(True) if step == DOMAIN_CHECK else target.isNotNull()
 
 
+def _leading(
+    vocabulary: Vocabulary, source: Column, target: Column, table: str, only_step: str | None, only_table: str | None,
+) -> Column:
+    """What sieves of concepts let pass of all ids, and surely of those that may come to the step or the table asked for.
+
+    A table that rows of unknown domain stay in is led to by ids that no
+    vocabulary has, and so are the last two steps; these have no sieve.
+    """
+    own = F.col("concept_id")
+    profiles = vocabulary.profiles
+
+    def another(kind: str) -> Column:
+        return (F.col(f"{kind}_low") != own) | (F.col(f"{kind}_high") != own)
+
+    def sieve_of(rows: DataFrame, *columns: Column) -> DataFrame:
+        return sieve(materialize(rows.select(F.xxhash64(*columns).alias("_hash")), "leading-concepts"))
+
+    found = F.lit(True)
+    if only_step in (TARGET_REMAP, TARGET_REPLACEMENT):
+        recoded = profiles.filter(another("map" if only_step == TARGET_REMAP else "replace"))
+        found &= passes(sieve_of(recoded, own), F.xxhash64(target))
+    elif only_step == SOURCE_TARGET:
+        # A source that has no target but itself re-codes no row that has it as a target already.
+        same = F.explode(F.when(another("map"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+        recoded = profiles.filter("map_low IS NOT NULL").select("concept_id", same.alias("same"))
+        found &= passes(sieve_of(recoded, own, F.col("same")), F.xxhash64(source, F.coalesce(source == target, F.lit(False))))
+    if only_table and only_table != table:
+        def leads(domain: Column) -> Column:
+            return table_for(domain, table) == only_table
+        some = [F.exists(kind, lambda x: leads(x["domain"])) for kind in ("map", "replace")]
+        led = profiles.filter(leads(F.col("domain")) | some[0] | some[1])
+        leading = sieve_of(led, own)
+        found &= passes(leading, F.xxhash64(source)) | passes(leading, F.xxhash64(target))
+    return found
+
+
 # Stands for a missing id where pairs of ids are joined.
 _NO_ID = -(2**63)
 _PAIR = ["_pair_s", "_pair_t"]
@@ -195,17 +241,23 @@ def _looked_up(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def _settled_by_pairs(
     df: DataFrame, ids: dict[str, Column], vocabulary: Vocabulary, settled: Callable[[DataFrame], DataFrame],
+    lead: Column, some: bool,
 ) -> DataFrame:
     """Rows with what their pair of ids comes to.
 
     What a row comes to is decided once for its pair, so the rows meet only
     that, and only the pairs that come to something. Ids are not repeated
     beside the rows' own columns, which shuffle if the pairs are many.
+
+    Only rows that ``lead`` lets pass are looked at for their pairs. With
+    ``some`` not all pairs come to something, and the rows are sieved by these.
     """
-    pairs = _counted_pairs(df.select(*[c.alias(n) for n, c in ids.items()]))
+    pairs = _counted_pairs(df.filter(lead).select(*[c.alias(n) for n, c in ids.items()]))
     known = settled(_with_profiles(pairs, vocabulary))
     lookup = materialize(known.select(*_PAIR, "_step", "_outcomes", "_value"), "settled-pairs")
     pair = _pair_of(ids["_source"], ids["_target"])
+    if some:
+        df = df.filter(passes(sieve(lookup.select(F.xxhash64(*_PAIR))), F.xxhash64(*pair.values())))
     if fits(lookup):
         lookup, heavy = F.broadcast(lookup), {}
     else:
@@ -216,19 +268,33 @@ def _settled_by_pairs(
     return df.join(lookup, same[0] & same[1], "inner").drop(*_PAIR)
 
 
+def _profiles_of(vocabulary: Vocabulary, prefix: str, key: str) -> DataFrame:
+    profiles = vocabulary.profiles.withColumn("known", F.lit(True))
+    renamed = [F.col(c).alias(f"_{prefix}_{c.replace('_target', '')}") for c in profiles.columns[1:]]
+    return profiles.select(F.col("concept_id").alias(key), *renamed)
+
+
 def _with_profiles(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Attach what the vocabulary knows of the source and the target concept.
 
     Both joins take the same columns, so that Spark builds the lookup once.
     """
-    profiles = vocabulary.profiles.withColumn("known", F.lit(True))
+    rows = lookup_join(rows, _profiles_of(vocabulary, "s", "_source"), "_source", bound=vocabulary.concept)
+    return lookup_join(rows, _profiles_of(vocabulary, "t", "_target"), "_target", bound=vocabulary.concept)
+
 
-    def named(prefix: str, key: str) -> DataFrame:
-        renamed = [F.col(c).alias(f"_{prefix}_{c.replace('_target', '')}") for c in profiles.columns[1:]]
-        return profiles.select(F.col("concept_id").alias(key), *renamed)
+def _with_sources(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame | None:
+    """Rows whose source concept has targets, with what is known of it, and nothing of the target concept.
 
-    rows = lookup_join(rows, named("s", "_source"), "_source", bound=vocabulary.concept)
-    return lookup_join(rows, named("t", "_target"), "_target", bound=vocabulary.concept)
+    None where there are too many such concepts to broadcast, or where a
+    concept has several profiles, which multiply the rows by either id.
+    """
+    profiles = _profiles_of(vocabulary, "s", "_source")
+    recoding = materialize(profiles.filter("_s_map_low IS NOT NULL"), "recoding-sources")
+    if not fits(recoding) or not profiles.groupBy("_source").count().filter("count > 1").isEmpty():
+        return None
+    unknown = {f"_t_{f.name[3:]}": F.lit(None).cast(f.dataType) for f in recoding.schema if f.name != "_source"}
+    return rows.join(F.broadcast(recoding), "_source").withColumns(unknown)
 
 
 def _applicable(steps: list[str]) -> dict[str, Column]:

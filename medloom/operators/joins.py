@@ -4,11 +4,15 @@ A lookup is broadcast only after its rows were counted. Past the limit the
 lookup is narrowed to the keys in use, and past it again both sides shuffle.
 A sketch of the keys then tells the heavy ones; these alone get a salt, so
 that many tasks serve them.
+
+Rows that an inner join would drop may be sieved out before: a bit for each
+hash of a key costs two bytes a key, however wide the lookup is, and a filter by
+these bits goes below the joins that made the rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medloom.sources.storage import materialize
@@ -18,6 +22,10 @@ BROADCAST_ROWS = 1_000_000
 SALTS = 32
 # Share of the rows from which a key is heavy; what lies below is left to adaptive skew handling.
 HEAVY_SHARE = 0.01
+# Bits of a sieve for each key, in pieces of 512 words of 64 bits, of which there are at most so many (16 MB).
+SIEVE_BITS = 16
+SIEVE_WORDS = 512
+SIEVE_PIECES = 4096
 
 
 def setting(spark: SparkSession, name: str, default: int) -> int:
@@ -114,3 +122,35 @@ def lookup_join(
         if fits(lookup):
             return left.join(F.broadcast(lookup), keys, how)
     return salted_join(left, lookup, keys, how)
+
+
+def sieve(keys: DataFrame) -> DataFrame:
+    """One written row (_sieve) of bits, set for every hash in the only column of the written frame ``keys``.
+
+    About one in sixteen other hashes passes as well, and more where the keys
+    are so many that the sieve is at its limit.
+    """
+    pieces = max(1, min(SIEVE_PIECES, -(-row_count(keys) * SIEVE_BITS // (64 * SIEVE_WORDS))))
+    place = F.pmod(F.col(keys.columns[0]), F.lit(pieces * SIEVE_WORDS * 64))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    words = keys.groupBy(F.floor(place / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    # Words without a key stand in their places too.
+    words = keys.sparkSession.range(pieces * SIEVE_WORDS).withColumnRenamed("id", "_word").join(words, "_word", "left")
+
+    def in_order(number: str, value: Column) -> Column:
+        return F.transform(F.sort_array(F.collect_list(F.struct(F.col(number), value.alias("value")))), lambda x: x["value"])
+    by_piece = words.groupBy(F.floor(F.col("_word") / SIEVE_WORDS).alias("_piece")).agg(
+        in_order("_word", F.coalesce("_bits", F.lit(0).cast("bigint"))).alias("_words"))
+    return materialize(by_piece.agg(in_order("_piece", F.col("_words")).alias("_sieve")), "sieve")
+
+
+def passes(sieve: DataFrame, key: Column) -> Column:
+    """Whether a hash may be among the keys of a sieve; always true of those that are.
+
+    The sieve is a subquery of one value, so that a filter by it goes below
+    the joins that made the rows, which a join would not.
+    """
+    held = sieve.scalar()
+    place = F.pmod(key, F.size(held) * F.lit(SIEVE_WORDS * 64).cast("bigint"))
+    words = F.get(held, F.floor(place / (64 * SIEVE_WORDS)).cast("int"))
+    return F.getbit(F.get(words, (F.floor(place / 64) % SIEVE_WORDS).cast("int")), (place % 64).cast("int")) == 1

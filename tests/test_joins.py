@@ -13,6 +13,20 @@ def hot_rows(spark):
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), (F.col("id") % 5).alias("x"))
 
 
+@pytest.mark.parametrize("pieces", [joins.SIEVE_PIECES, 1])
+def test_sieve_lets_every_key_pass(spark, monkeypatch, pieces):
+    monkeypatch.setattr(joins, "SIEVE_PIECES", pieces)
+    keys = joins.materialize(spark.range(5000).select(F.xxhash64("id").alias("h")), "keys")
+    bits = joins.sieve(keys)
+    assert bits.count() == 1
+    passed = spark.range(10_000).filter(joins.passes(bits, F.xxhash64("id")))
+    assert passed.filter("id < 5000").count() == 5000
+    # One bit in sixteen is set, or one in seven of a single piece.
+    assert passed.count() < 5000 + (500 if pieces > 1 else 1000)
+    none = joins.sieve(joins.materialize(keys.limit(0), "keys"))
+    assert spark.range(100).filter(joins.passes(none, F.xxhash64("id"))).isEmpty()
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_salted_join_is_exact(spark, how):
     left = hot_rows(spark)
@@ -201,3 +215,43 @@ def test_rows_meet_only_the_pairs_that_come_to_something(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in every
     assert "BroadcastHashJoin" in one and "SortMergeJoin" not in one
+
+
+@pytest.mark.parametrize("asked", [{"only_step": "source_target"}, {"only_step": "target_remap"},
+                                   {"only_step": "target_replacement"}, {"only_table": "observation"}])
+def test_rows_are_sieved_before_they_are_joined(spark, asked):
+    """Rows that were made by a join are left out before it, where their ids tell."""
+    from medloom.operators import harmonize as h
+
+    rows, codes = _coded(spark)
+    orders = spark.range(600).select((F.col("id") % 500).alias("order_key"), F.col("id").alias("person"))
+    made = rows.join(orders, F.col("key") == F.col("order_key")).drop("order_key")
+    expected = h.harmonize(made, "drug_exposure", codes, h.STEPS, **asked)
+    expected = sorted(map(str, expected.collect()))
+    spark.conf.set("spark.medloom.broadcastRows", "30")
+    try:
+        found = h.harmonize(made, "drug_exposure", codes, h.STEPS, **asked)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert expected and sorted(map(str, found.collect())) == expected
+    finally:
+        spark.conf.unset("spark.medloom.broadcastRows")
+    assert "scalar-subquery" in plan[plan.index("order_key"):]
+
+
+def test_a_concept_of_two_domains_multiplies_rows(spark):
+    """Whatever the size of the vocabulary, and although one step is asked for."""
+    from medloom.operators import harmonize as h
+    from medloom.operators.vocabulary import Vocabulary
+
+    concept = spark.createDataFrame(
+        [(1, "S", "Drug"), (2, None, "Drug"), (3, "S", "Drug"), (3, "S", "Device")], "concept_id long, standard_concept string, domain_id string")
+    relation = spark.createDataFrame([(2, 1, "Maps to")], "concept_id_1 long, concept_id_2 long, relationship_id string")
+    rows = spark.createDataFrame([(1, 3, 2), (2, 1, 2), (3, 0, 2)], "key long, drug_concept_id long, drug_source_concept_id long")
+    codes, found = Vocabulary.build(concept, relation), []
+    for limit in ("1000", "2"):
+        spark.conf.set("spark.medloom.broadcastRows", limit)
+        try:
+            found.append(sorted(r.key for r in h.harmonize(rows, "drug_exposure", codes, only_step=h.SOURCE_TARGET).collect()))
+        finally:
+            spark.conf.unset("spark.medloom.broadcastRows")
+    assert found == [[1, 1, 3], [1, 1, 3]]
