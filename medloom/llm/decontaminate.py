@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.shared import carried, given_back, within
-from medloom.llm.text import alnum_words, let, text_of
+from medloom.llm.text import alnum_words, cased_words, let, lowered_word, text_of
 from medloom.sources.storage import materialize
 
 WINDOW = 10
@@ -56,14 +56,15 @@ def windows(items: DataFrame, key: str = "item_id", text: str = "text", window:
 
 
 def _keyed(df: DataFrame, text: str) -> DataFrame:
-    """Texts under a key of their content, 128 bits."""
+    """(k1, k2, pos, term): the terms of texts under a key of their content, 128 bits."""
     t = text_of(text)
-    return df.select(F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2"), alnum_words(t).alias("w"))
+    found = df.select(F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2"), F.posexplode(cased_words(t)).alias("pos", "word"))
+    return found.select("k1", "k2", "pos", lowered_word(F.col("word")).alias("term"))
 
 
 def term_counts(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """(term, n): how often each of the terms stands in all texts."""
-    found = df.select(F.explode(alnum_words(text_of(text))).alias("term"))
+    found = df.select(F.explode(cased_words(text_of(text))).alias("word")).select(lowered_word(F.col("word")).alias("term"))
     return found.join(_small(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
@@ -124,8 +125,7 @@ def postings(df: DataFrame, terms: DataFrame, reach: int, text: str = "text", bl
     A shard repeats what follows it within ``reach``, so that postings meet
     across its border.
     """
-    found = _keyed(df, text).select("k1", "k2", F.posexplode("w").alias("pos", "term"))
-    found = found.join(_small(terms), "term").select("k1", "k2", "pos", F.xxhash64("term").alias("tid"))
+    found = _keyed(df, text).join(_small(terms), "term").select("k1", "k2", "pos", F.xxhash64("term").alias("tid"))
     first = F.floor(F.greatest(F.col("pos") - reach, F.lit(0)) / block)
     found = found.withColumn("block", F.explode(F.sequence(first, F.floor(F.col("pos") / block))))
     found = found.groupBy("k1", "k2", "block").agg(F.sort_array(F.collect_set(F.struct("pos", "tid"))).alias("postings"))
@@ -267,7 +267,9 @@ def decontaminate(
         each = F.transform("_judged.seen", lambda c: F.transform(c[kind], lambda s: F.struct(s.alias("start"), *[c[f].alias(f) for f in fields])))
         return F.flatten(each)
     whole = F.filter("_judged.seen", lambda c: F.size(c["exact"]) > 0)
-    rows = rows.withColumn("_judged", let(alnum_words(t), judged)).withColumns({
+    # Without candidates the words are only counted.
+    held_words = F.when(F.size(held) > 0, alnum_words(t)).otherwise(cased_words(t))
+    rows = rows.withColumn("_judged", let(held_words, judged)).withColumns({
         "n_words": F.col("_judged.n_words"), "n_hit": _n_hit(F.sort_array(places_of("exact", "size"))),
         "items": F.array_distinct(F.flatten(F.transform(whole, lambda c: c["items"]))),
         "contaminated": F.size(whole) > 0,

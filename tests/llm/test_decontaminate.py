@@ -146,3 +146,18 @@ def test_plan_stays_native(corpus):
     _, _, df, bench = corpus
     plan = decontaminate.decontaminate(df, bench)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_words_are_lowered_one_by_one(docs, spark):
+    """A-Z alone, beside letters whose lower case is ASCII, longer or another letter."""
+    from pyspark.sql import functions as F
+    from medloom.llm import text
+
+    rows = ["".join(map(chr, range(128))) + " ABC", "\u212aELVIN Kelvin \u0130stanbul \u00c4PFEL \u00e4PFEL \u03a3\u0391\u03a3 x\u0301Y \U0001F600Z", "  A--b  C ", "", "?!"]
+    df = spark.createDataFrame([(t,) for t in rows], "text string")
+    cased = F.transform(text.cased_words(F.col("text")), text.lowered_word)
+    for r, t in zip(df.select(cased.alias("w"), text.alnum_words(F.col("text")).alias("a")).collect(), rows):
+        assert r.w == r.a == words(t)
+    # The index lowers words, not texts.
+    plan = decontaminate.term_counts(df, spark.createDataFrame([("abc",)], "term string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(translate(" not in plan and "split(coalesce(text" in plan
