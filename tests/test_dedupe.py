@@ -2,6 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
+from casebook.harmonization import QUERIES
+from casebook.views import Views
 from medloom.operators import dedupe
 
 
@@ -43,3 +45,17 @@ def test_repeated_keys(spark):
     assert {(r.k, r.row_count) for r in dedupe.repeated_keys(df, "k").collect()} == {(0, 2), (1, 2)}
     distinct = df.dropDuplicates(["k"])
     assert dedupe.repair_keys(df, "k") is not df and dedupe.repair_keys(distinct, "k") is distinct
+
+
+def test_copies_are_made_from_one_reading(spark, tmp_path):
+    # Orders of an even, an odd and no person; a line that comes twice, one without an order and one without a number.
+    orders = [(1, 10), (2, 11), (3, None)]
+    lines = [(1, 1), (1, 2), (2, 1), (2, 1), (3, 1), (4, 1), (1, None)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int").selectExpr(
+        "*", "7L AS l_partkey", "8L AS l_suppkey", "9D AS l_quantity", "timestamp'1998-01-02' AS l_shipdate", "'N' AS l_returnflag",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    counted = QUERIES["repeated_keys"](Views(spark, str(tmp_path)))
+    assert sorted((r.dup_key or 0, r.row_count) for r in counted.collect()) == [(0, 2), (11, 2), (12, 2), (21, 2)]
+    # Lines and orders are each read once, not once for the rows and again for their copies.
+    assert counted._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
