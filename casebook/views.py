@@ -1,7 +1,8 @@
 """Clinical tables seen in the given tables.
 
 The same text runs in Spark and in DuckDB: the queries read the views as
-frames, the checks inline them as leading WITH entries.
+frames, the checks inline them as leading WITH entries. Only the id of a line
+is put otherwise in Spark, where it may be past the range of a long.
 """
 
 from __future__ import annotations
@@ -19,6 +20,13 @@ TABLES = [
 # An id that is unique among lineitem rows.
 _LINE_ID = ("((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000000 + l_suppkey * 100"
             " + CAST(l_quantity AS BIGINT)")
+# The same id in Spark: past the range of a long (order keys above 9,223,371) its low 64 bits, by steps that stay in range.
+# It is the same number wherever that fits a long; beyond, the text above has no value but ends the query.
+_LINE = "(l_orderkey * 10 + l_linenumber)"
+_LOW = (f"(({_LINE} & 16777215) * 100000000000 + l_partkey * 1000000 + l_suppkey * 100"
+        " + CAST(l_quantity AS BIGINT))")
+_LINE_ID_IN_RANGE = (f"(shiftleft(shiftright({_LINE}, 24) * 100000000000 + shiftright({_LOW}, 24), 24)"
+                     f" + ({_LOW} & 16777215))")
 _SHIP_TEXT = "CAST(CAST(l_shipdate AS DATE) AS STRING)"
 
 VIEWS = {
@@ -158,7 +166,7 @@ class Views:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = self.sql(VIEWS[name]) if name in VIEWS else self._table(name)
+            self._frames[name] = self.sql(VIEWS[name].replace(_LINE_ID, _LINE_ID_IN_RANGE)) if name in VIEWS else self._table(name)
         return self._frames[name]
 
     def _table(self, name: str) -> DataFrame:
