@@ -278,9 +278,12 @@ def _with_profiles(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Attach what the vocabulary knows of the source and the target concept.
 
     Both joins take the same columns, so that Spark builds the lookup once.
+    Profiles are wide, and rows that meet too many of them to broadcast are
+    distinct pairs of ids: these shuffle, rather than that the profiles in use
+    go through the driver.
     """
-    rows = lookup_join(rows, _profiles_of(vocabulary, "s", "_source"), "_source", bound=vocabulary.concept)
-    return lookup_join(rows, _profiles_of(vocabulary, "t", "_target"), "_target", bound=vocabulary.concept)
+    rows = lookup_join(rows, _profiles_of(vocabulary, "s", "_source"), "_source", bound=vocabulary.concept, narrow=False)
+    return lookup_join(rows, _profiles_of(vocabulary, "t", "_target"), "_target", bound=vocabulary.concept, narrow=False)
 
 
 def _with_sources(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame | None:

@@ -43,9 +43,11 @@ def _resolve(concept: DataFrame, mapped: DataFrame) -> DataFrame:
         F.col("domain_id").alias("target_concept_id_domain"),
     )
     # The relationships are the side on which one concept may be frequent, as
-    # a source or as a target; both joins look up concepts from there.
-    resolved = lookup_join(mapped, target, "target_concept_id", bound=concept)
-    with_targets = lookup_join(resolved, own, "concept_id", "inner", bound=concept)
+    # a source or as a target; both joins look up concepts from there. They are
+    # about as many as the concepts, most of which they use: what is too large
+    # to broadcast whole is not narrowed to them, but shuffles beside them.
+    resolved = lookup_join(mapped, target, "target_concept_id", bound=concept, narrow=False)
+    with_targets = lookup_join(resolved, own, "concept_id", "inner", bound=concept, narrow=False)
     without = own.join(mapped.select("concept_id").distinct(), "concept_id", "left_anti")
     return with_targets.unionByName(without, allowMissingColumns=True).select(
         "concept_id", "concept_id_standard", "concept_id_domain", "relationship_id", "target_concept_id",
